@@ -42,7 +42,7 @@ def with_event_order(df: DataFrame, time_col: str = "timestamp") -> DataFrame:
     if time_col in df.columns:
         return df
     return df.withColumn(
-        time_col, F.timestamp_seconds(F.monotonically_increasing_id())
+        time_col, F.timestamp_micros(F.monotonically_increasing_id())
     )
 
 
