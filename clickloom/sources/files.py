@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.sources.readers import read_csv, read_json_lines
+from clickloom.sources.readers import read_csv
 
 GROUPS = ("users", "products", "clickstream")
 ARCHIVE_STAMP = "%Y%m%d_%H%M%S"
@@ -53,17 +53,28 @@ def check_new_data(spark: SparkSession, path: str) -> int | None:
     return spark.read.text(path).filter(F.trim("value") != "").count()
 
 
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Non-blank lines, stripped, with the name of the file they come from."""
+    return (
+        spark.read.text(list(paths))
+        .select(F.trim("value").alias("value"), F.col("_metadata.file_name").alias("file"))
+        .filter(F.col("value") != "")
+    )
+
+
 def merge_clickstream(spark: SparkSession, paths: Sequence[str], out: str) -> DataFrame:
-    """Merge JSON-lines files into one dataset; a broken line fails the job.
+    """Merge JSON-lines files into one dataset, lines unchanged and blank ones left out.
 
-    Returns records per input file.
+    A line that is not JSON fails the job. Returns records per input file.
     """
-    rows = read_json_lines(spark, paths, schemas.CLICKSTREAM, bad_records="fail")
-    write_json(rows, out)
-    return (
-        rows.groupBy(F.col("_metadata.file_name").alias("file"))
-        .agg(F.count("*").alias("records"), F.count("user_id").alias("with_user"))
+    lines = _lines(spark, paths)
+    broken = F.try_parse_json("value").isNull()
+    message = F.concat(F.lit("not JSON in "), F.col("file"), F.lit(": "), F.col("value"))
+    checked = lines.select(
+        F.when(broken, F.raise_error(message)).otherwise(F.col("value")).alias("value")
     )
+    checked.write.mode("overwrite").text(out)
+    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("records"))
 
 
 def stage(
@@ -81,31 +92,40 @@ def stage(
     (one folder per input file) and ``clickstream/merged``. A group with no
     input is skipped.
     """
-    done: list[tuple[str, str, int]] = []
+    done: list[DataFrame] = []
+
+    def staged(group: str, out: str, records: DataFrame) -> None:
+        done.append(
+            records.select(
+                F.lit(group).alias("artifact"), F.lit(out).alias("path"), "file", "records"
+            )
+        )
+
     for group in (g for g in ("users", "products") if g in groups):
         path = f"{source}/{group}.csv"
         if exists(spark, path):
             out = f"{target}/{group}"
             schema = schemas.USERS_CSV if group == "users" else schemas.PRODUCTS_CSV
-            df = read_csv(spark, path, schema)
-            df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(out)
-            done.append((group, out, read_csv(spark, out, schema).count()))
+            rows = read_csv(spark, path, schema)
+            rows.write.mode("overwrite").option("header", "true").option("escape", '"').csv(out)
+            name = F.lit(f"{group}.csv").alias("file")
+            staged(group, out, rows.groupBy(name).agg(F.count(F.lit(1)).alias("records")))
     if "clickstream" in groups:
-        pattern = clickstream_file or "clickstream-*.json"
-        files = matching(spark, f"{source}/{pattern}")
-        if individual:
-            for path in files:
-                name = path.rsplit("/", 1)[1].removesuffix(".json")
-                out = f"{target}/clickstream/individual/{name}"
-                spark.read.text(path).filter(F.trim("value") != "").write.mode(
-                    "overwrite"
-                ).text(out)
-                done.append(("clickstream", out, spark.read.text(out).count()))
-        if merged and files:
+        files = matching(spark, f"{source}/{clickstream_file or 'clickstream-*.json'}")
+        if files and individual:
+            out = f"{target}/clickstream/individual"
+            lines = _lines(spark, files)
+            lines.write.mode("overwrite").partitionBy("file").text(out)
+            staged("clickstream", out, lines.groupBy("file").agg(F.count("*").alias("records")))
+        if files and merged:
             out = f"{target}/clickstream/merged"
-            merge_clickstream(spark, files, out)
-            done.append(("clickstream", out, spark.read.text(out).count()))
-    return spark.createDataFrame(done, "artifact string, path string, records long")
+            staged("clickstream", out, merge_clickstream(spark, files, out))
+    if not done:
+        return spark.createDataFrame([], "artifact string, path string, file string, records long")
+    report = done[0]
+    for more in done[1:]:
+        report = report.unionByName(more)
+    return report
 
 
 def list_files(
