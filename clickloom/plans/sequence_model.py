@@ -295,7 +295,7 @@ def _epoch(state, samples, weights, n_factors, workers, lr, reg, seed, batch, av
         dealt.select("worker", F.explode(mentioned).alias("key"))
         .distinct()
         .join(state.select("key", "factor"), "key")
-        .select("worker", "key", "factor")
+        .select(F.col("worker").alias("worker"), "key", "factor")
     )
     groups = min(workers, 20_000)
     left = dealt.repartition(groups, "worker").groupBy("worker")
