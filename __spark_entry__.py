@@ -21,6 +21,7 @@ from clickloom import schemas  # noqa: E402
 from clickloom.functions import clicks as click_fn  # noqa: E402
 from clickloom.functions import times, vectors  # noqa: E402
 from clickloom.operators import keys, metrics, ratings, sequences  # noqa: E402
+from clickloom.operators.encoding import encode_sequences  # noqa: E402
 from clickloom.operators.skew import hot_keys  # noqa: E402
 from clickloom.operators.topn import top_n  # noqa: E402
 from clickloom.operators.windows import fraud_windows  # noqa: E402
@@ -503,14 +504,10 @@ def q_ratings_test(spark, sf):
 
 def q_mean_baseline_error(spark, sf):
     train, test = ratings.split(ratings.normalize_ratings(_ratings(spark, sf)))
-    errors = metrics.error_metrics(ratings_baseline(train, test))
+    errors = metrics.error_metrics(metrics.mean_baseline(train, test))
     return errors.select(_rounded("rmse"), _rounded("mae"), "n")
 
 
-def ratings_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
-    return metrics.mean_baseline(train, test)
-
-
 # --------------------------------------------------------------------------
 # Click sequences
 # --------------------------------------------------------------------------
@@ -542,9 +539,9 @@ def q_sequence_encoding(spark, sf):
         ),
         "sequences",
     )
-    encoded = sequence_model.encode_sequences(
-        found, model.items, model.weights, model.n_factors
-    ).withColumnRenamed("factor", "encoded")
+    encoded = encode_sequences(found, model.items, model.weights).withColumnRenamed(
+        "factor", "encoded"
+    )
     score = vectors.dot(F.col("encoded"), F.col("factor"))
     scored = (
         encoded.join(found.select("request_id", "product_id"), "request_id")

@@ -22,8 +22,15 @@ def l2_norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    norm = l2_norm(a)
-    return F.transform(a, lambda x: F.when(norm > 0, x / norm).otherwise(x))
+    """``a`` over its norm; the inner lambda variable keeps the norm from being
+    computed again for every element."""
+    return F.get(
+        F.transform(
+            F.array(l2_norm(a)),
+            lambda n: F.transform(a, lambda x: F.when(n > 0, x / n).otherwise(x)),
+        ),
+        F.lit(0),
+    )
 
 
 def blend(a: Column, b: Column, weight: float) -> Column:

@@ -1,27 +1,39 @@
-"""Top-N items per query vector, by blocks.
+"""Top-N items per query vector.
 
-Queries and items are hashed into blocks and every (query block, item block)
-pair is one task group joined on the two block numbers: vectors meet as matrix
-products inside a task, score pairs never become rows, and neither side passes
-through the driver. A block keeps only its best ``n`` per query; a ranked window
-merges the item blocks.
+Scores are matrix products inside tasks and never become rows. An item table
+that is small enough (measured, not assumed) is broadcast and the queries stay
+where they are. A larger one is hashed into blocks, as are the queries, and
+every (query block, item block) pair is one group joined on the two block
+numbers; a ranked window then merges the blocks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.operators.matrix import (
+    BROADCAST_BYTES,
+    as_matrix,
+    broadcast_items,
+    measure,
+)
+
+# Queries and excluded pairs of one group; items of one item block.
 QUERIES_PER_BLOCK = 65_536
+PAIRS_PER_BLOCK = 4_000_000
 ITEMS_PER_BLOCK = 131_072
-# Doubles of one score tile held at a time.
-TILE = 2_000_000
+MAX_GROUPS = 20_000
+# Scores held at a time: a tile of queries by items.
+TILE_QUERIES, TILE_ITEMS = 512, 8_192
 
 
 def top_n(
@@ -35,6 +47,8 @@ def top_n(
     n_col: str | None = None,
     digits: int | None = None,
     temperature: float | None = None,
+    n_queries: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
     queries_per_block: int = QUERIES_PER_BLOCK,
     items_per_block: int = ITEMS_PER_BLOCK,
 ) -> DataFrame:
@@ -44,53 +58,18 @@ def top_n(
     of ``queries`` with a limit per row. Ties go to the smaller item id;
     ``digits`` rounds scores before they are ranked. With ``temperature`` the
     softmax probability over all candidates is added. Query ids and item ids
-    are unique. Returns query, item, ``score``, ``rank`` (and ``probability``).
+    are unique. ``n_queries`` saves counting ``queries`` where that is costly.
+    Returns query, item, ``score``, ``rank`` (and ``probability``).
     """
-    spark = queries.sparkSession
-    n_queries, n_items = queries.count(), items.count()
-    cores = spark.sparkContext.defaultParallelism
-    query_blocks = max(
-        math.ceil(n_queries / queries_per_block), min(cores, math.ceil(n_queries / 64)), 1
-    )
-    item_blocks = max(math.ceil(n_items / items_per_block), 1)
+    size = measure(items, item_col, vector_col)
+    small = size.bytes <= broadcast_bytes
     limit = F.lit(n) if n_col is None else F.coalesce(F.col(n_col), F.lit(n))
-    query_block = F.pmod(F.xxhash64(query_col), F.lit(query_blocks)).cast("int").alias("_qb")
-    item_block = F.pmod(F.xxhash64(item_col), F.lit(item_blocks)).cast("int").alias("_ib")
-
-    def every(blocks: int, name: str):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias(name)
-
-    query_id, item_id = queries.schema[query_col].dataType, items.schema[item_col].dataType
     asked = queries.select(
-        query_block,
-        every(item_blocks, "_ib"),
-        F.col(query_col),
-        F.lit(None).cast(item_id).alias(item_col),
+        query_col,
         F.col(vector_col).cast("array<double>").alias("_vector"),
         limit.cast("int").alias("_limit"),
     )
-    if exclude is not None:
-        asked = asked.unionByName(
-            exclude.select(F.col(query_col).cast(query_id), F.col(item_col).cast(item_id))
-            .distinct()
-            .select(
-                query_block,
-                item_block,
-                query_col,
-                item_col,
-                F.lit(None).cast("array<double>").alias("_vector"),
-                F.lit(None).cast("int").alias("_limit"),
-            )
-        )
-    offered = items.select(
-        every(query_blocks, "_qb"),
-        item_block,
-        F.col(item_col),
-        F.col(vector_col).cast("array<double>").alias("_vector"),
-    )
-    groups = min(query_blocks * item_blocks, 20_000)
-    left = asked.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
-    right = offered.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
+    query_id, item_id = queries.schema[query_col].dataType, items.schema[item_col].dataType
     schema = T.StructType(
         [
             T.StructField(query_col, query_id),
@@ -101,19 +80,67 @@ def top_n(
             T.StructField("_mass", T.DoubleType()),
         ]
     )
-    kernel = _block_kernel(query_col, item_col, digits, temperature)
-    best = left.cogroup(right).applyInArrow(kernel, schema)
-    if item_blocks > 1:
-        order = Window.partitionBy(query_col).orderBy(F.col("score").desc(), item_col)
-        best = best.withColumn("rank", F.row_number().over(order))
+    score = partial(_score, query_col, item_col, digits, temperature)
+    if size.rows == 0:
+        best = queries.sparkSession.createDataFrame([], schema)
+    elif small and exclude is None:
+        shipped = broadcast_items(items, size, item_col, vector_col)
+        best = asked.mapInArrow(_per_batch(score, shipped), schema)
+    else:
+        if n_queries is None:
+            n_queries = queries.count()
+        n_pairs = 0
+        if exclude is not None:
+            exclude = exclude.select(
+                F.col(query_col).cast(query_id), F.col(item_col).cast(item_id)
+            ).distinct()
+            n_pairs = exclude.count()
+        item_blocks = 1 if small else max(math.ceil(size.rows / items_per_block), 1)
+        cores = queries.sparkSession.sparkContext.defaultParallelism
+        query_blocks = max(
+            math.ceil(n_queries / queries_per_block),
+            math.ceil(n_pairs / (PAIRS_PER_BLOCK * item_blocks)),
+            min(cores, math.ceil(n_queries / 64)),
+            1,
+        )
+        qb, ib = _block(query_col, query_blocks, "_qb"), _block(item_col, item_blocks, "_ib")
+        left = asked.select(
+            qb, _each(item_blocks, "_ib"), "*", F.lit(None).cast(item_id).alias(item_col)
+        )
+        if exclude is not None:
+            left = left.unionByName(exclude.select(qb, ib, "*"), allowMissingColumns=True)
+        groups = min(query_blocks * item_blocks, MAX_GROUPS)
+        grouped = left.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
+        if small:
+            shipped = broadcast_items(items, size, item_col, vector_col)
+            best = grouped.applyInArrow(_per_group(score, shipped), schema)
+        else:
+            right = items.select(
+                _each(query_blocks, "_qb"),
+                ib,
+                item_col,
+                F.col(vector_col).cast("array<double>").alias("_vector"),
+            )
+            blocks = right.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
+            best = grouped.cogroup(blocks).applyInArrow(_per_pair(score, item_col), schema)
+        if item_blocks > 1:
+            order = Window.partitionBy(query_col).orderBy(F.col("score").desc(), item_col)
+            best = best.withColumn("rank", F.row_number().over(order))
     if temperature is not None:
         best = _with_probability(best, query_col, temperature)
-    found = best.filter(F.col("rank") <= F.col("_limit"))
-    return found.drop("_limit", "_mass")
+    return best.filter(F.col("rank") <= F.col("_limit")).drop("_limit", "_mass")
+
+
+def _block(key: str, blocks: int, name: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias(name)
+
+
+def _each(blocks: int, name: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias(name)
 
 
 def _with_probability(best: DataFrame, query_col: str, temperature: float) -> DataFrame:
-    """Merge the log of the exponential sums that each block reports once."""
+    """Merge the log of the exponential sum that each block reports on its first row."""
     w = Window.partitionBy(query_col)
     peak = F.max("_mass").over(w)
     total = F.sum(F.exp(F.col("_mass") - peak)).over(w)
@@ -121,78 +148,124 @@ def _with_probability(best: DataFrame, query_col: str, temperature: float) -> Da
     return best.withColumn("probability", share)
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    rows = column.combine_chunks()
-    flat = rows.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(rows), -1) if len(rows) else np.empty((0, 0))
+def _per_batch(score, shipped):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix = shipped.value
+        for batch in batches:
+            yield from score(pa.Table.from_batches([batch]), None, ids, matrix).to_batches()
 
+    return run
 
-def _block_kernel(query_col: str, item_col: str, digits: int | None, temperature: float | None):
-    def best_of_block(asked: pa.Table, offered: pa.Table) -> pa.Table:
+
+def _per_group(score, shipped):
+    def run(asked: pa.Table) -> pa.Table:
+        ids, matrix = shipped.value
         is_query = pc.is_valid(asked["_vector"])
-        rows, pairs = asked.filter(is_query), asked.filter(pc.invert(is_query))
+        return score(asked.filter(is_query), asked.filter(pc.invert(is_query)), ids, matrix)
+
+    return run
+
+
+def _per_pair(score, item_col: str):
+    def run(asked: pa.Table, offered: pa.Table) -> pa.Table:
         offered = offered.take(pc.sort_indices(offered[item_col]))
-        if rows.num_rows == 0 or offered.num_rows == 0:
-            return _result(rows.slice(0, 0), offered.slice(0, 0), [], [], [], [], [])
-        vectors, matrix = _matrix(rows["_vector"]), _matrix(offered["_vector"]).T
+        ids = offered[item_col].combine_chunks()
+        is_query = pc.is_valid(asked["_vector"])
+        return score(
+            asked.filter(is_query),
+            asked.filter(pc.invert(is_query)),
+            ids,
+            as_matrix(offered["_vector"]),
+        )
+
+    return run
+
+
+def _score(query_col, item_col, digits, temperature, rows, pairs, ids, matrix) -> pa.Table:
+    """Best items of each query row among ``ids`` (sorted), tile by tile."""
+    found = []
+    if rows.num_rows and len(ids):
+        vectors = as_matrix(rows["_vector"])
         limits = rows["_limit"].to_numpy()
-        out_q, out_i = _positions(pairs, rows, offered)
-        order = np.argsort(out_q, kind="stable")
-        out_q, out_i = out_q[order], out_i[order]
-        step = max(1, TILE // matrix.shape[1])
-        parts = []
-        for start in range(0, len(vectors), step):
-            stop = min(start + step, len(vectors))
-            tile = vectors[start:stop] @ matrix
+        out_q, out_i = _positions(query_col, item_col, rows, pairs, ids)
+        for start in range(0, len(vectors), TILE_QUERIES):
+            stop = min(start + TILE_QUERIES, len(vectors))
             a, b = np.searchsorted(out_q, [start, stop])
-            tile[out_q[a:b] - start, out_i[a:b]] = -np.inf
-            if digits is not None:
-                tile = np.round(tile, digits)
-            parts.append(_best_of_tile(tile, limits[start:stop], start))
-        q, i, score, rank, mass = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return _result(rows, offered, q, i, score, rank, mass)
-
-    def _best_of_tile(tile: np.ndarray, limits: np.ndarray, start: int):
-        keep = int(min(max(limits.max(), 1), tile.shape[1]))
-        cut = np.partition(tile, tile.shape[1] - keep, axis=1)[:, tile.shape[1] - keep]
-        q, i = np.nonzero((tile >= cut[:, None]) & np.isfinite(tile))
-        score = tile[q, i]
-        order = np.lexsort((i, -score, q))
-        q, i, score = q[order], i[order], score[order]
-        first = np.searchsorted(q, np.arange(len(tile)))
-        rank = np.arange(len(q)) - first[q] + 1
-        mass = np.full(len(q), np.nan)
-        if temperature is not None:
-            peak = tile.max(axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                sums = np.exp((tile - peak[:, None]) / temperature).sum(axis=1)
-                mass = np.where(rank == 1, peak[q] / temperature + np.log(sums[q]), np.nan)
-        # Rank 1 always stays: it carries the block's exponential sum.
-        chosen = rank <= np.maximum(limits[q], 1)
-        return q[chosen] + start, i[chosen], score[chosen], rank[chosen], mass[chosen]
-
-    def _positions(pairs: pa.Table, rows: pa.Table, offered: pa.Table):
-        if pairs.num_rows == 0:
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        q = pc.index_in(pairs[query_col], value_set=rows[query_col].combine_chunks())
-        i = pc.index_in(pairs[item_col], value_set=offered[item_col].combine_chunks())
-        known = pc.and_(pc.is_valid(q), pc.is_valid(i))
-        return (
-            np.asarray(pc.filter(q, known), dtype=np.int64),
-            np.asarray(pc.filter(i, known), dtype=np.int64),
-        )
+            best = _best_of(
+                vectors[start:stop],
+                matrix,
+                limits[start:stop],
+                (out_q[a:b] - start, out_i[a:b]),
+                digits,
+                temperature,
+            )
+            found.append((best[0] + start, *best[1:]))
+    q, i, score, rank, mass = (
+        (np.concatenate(x) for x in zip(*found, strict=True)) if found else ([],) * 5
+    )
+    q = pa.array(q, pa.int64())
+    return pa.table(
+        {
+            query_col: rows[query_col].take(q),
+            item_col: ids.take(pa.array(i, pa.int64())),
+            "score": pa.array(score, pa.float64()),
+            "rank": pa.array(rank, pa.int32()),
+            "_limit": rows["_limit"].take(q),
+            "_mass": pa.array(mass, pa.float64(), from_pandas=True),
+        }
+    )
 
-    def _result(rows, offered, q, i, score, rank, mass) -> pa.Table:
-        q = pa.array(q, pa.int64())
-        return pa.table(
-            {
-                query_col: rows[query_col].take(q),
-                item_col: offered[item_col].take(pa.array(i, pa.int64())),
-                "score": pa.array(score, pa.float64()),
-                "rank": pa.array(rank, pa.int32()),
-                "_limit": rows["_limit"].take(q),
-                "_mass": pa.array(mass, pa.float64(), from_pandas=True),
-            }
-        )
 
-    return best_of_block
+def _positions(query_col, item_col, rows, pairs, ids):
+    """Excluded pairs as (query position, item position), sorted by both."""
+    none = np.empty(0, dtype=np.int64)
+    if pairs is None or pairs.num_rows == 0:
+        return none, none
+    q = pc.index_in(pairs[query_col], value_set=rows[query_col].combine_chunks())
+    i = pc.index_in(pairs[item_col], value_set=ids)
+    known = pc.and_(pc.is_valid(q), pc.is_valid(i))
+    q = np.asarray(pc.filter(q, known), dtype=np.int64)
+    i = np.asarray(pc.filter(i, known), dtype=np.int64)
+    order = np.lexsort((i, q))
+    return q[order], i[order]
+
+
+def _best_of(vectors, matrix, limits, excluded, digits, temperature):
+    """Candidates of each item tile, then one ranking per query."""
+    keep = int(max(limits.max(), 1))
+    out_q, out_i = excluded
+    peak = np.full(len(vectors), -np.inf)
+    sums = np.zeros(len(vectors))
+    candidates = []
+    for start in range(0, len(matrix), TILE_ITEMS):
+        stop = min(start + TILE_ITEMS, len(matrix))
+        tile = vectors @ matrix[start:stop].T
+        if digits is not None:
+            tile = np.round(tile, digits)
+        here = (out_i >= start) & (out_i < stop)
+        tile[out_q[here], out_i[here] - start] = -np.inf
+        width = tile.shape[1]
+        if keep < width:
+            cut = np.partition(tile, width - keep, axis=1)[:, width - keep]
+            chosen = (tile >= cut[:, None]) & np.isfinite(tile)
+        else:
+            chosen = np.isfinite(tile)
+        q, i = np.nonzero(chosen)
+        candidates.append((q, i + start, tile[q, i]))
+        if temperature is not None:
+            higher = np.maximum(peak, tile.max(axis=1))
+            some = np.isfinite(higher)
+            sums[some] *= np.exp((peak[some] - higher[some]) / temperature)
+            sums[some] += np.exp((tile[some] - higher[some, None]) / temperature).sum(axis=1)
+            peak = higher
+    q, i, score = (np.concatenate(x) for x in zip(*candidates, strict=True))
+    order = np.lexsort((i, -score, q))
+    q, i, score = q[order], i[order], score[order]
+    rank = np.arange(len(q)) - np.searchsorted(q, np.arange(len(vectors)))[q] + 1
+    mass = np.full(len(q), np.nan)
+    if temperature is not None:
+        first = rank == 1
+        mass[first] = peak[q[first]] / temperature + np.log(sums[q[first]])
+    # The first row always stays: it carries the exponential sum.
+    kept = rank <= np.maximum(limits[q], 1)
+    return q[kept], i[kept], score[kept], rank[kept], mass[kept]

@@ -105,7 +105,13 @@ def predict(
 
 def evaluate(model: FactorModel, test: DataFrame) -> DataFrame:
     """RMSE, MAE and size of the test rows."""
-    return error_metrics(predict(model, test, hot_items=hot_keys(test, "product_id")))
+    scored = predict(
+        model,
+        test,
+        hot_users=hot_keys(test, "user_id"),
+        hot_items=hot_keys(test, "product_id"),
+    )
+    return error_metrics(scored)
 
 
 def train_with_early_stopping(
@@ -153,9 +159,8 @@ def train_factor_model(
     bounds = ratings.agg(F.min("rating"), F.max("rating")).first()
     if bounds[0] is None:
         raise ValueError("no ratings in the input")
-    scaled = normalize_ratings(ratings) if normalize else ratings
+    scaled = materialize(normalize_ratings(ratings), "ratings") if normalize else ratings
     train, test = split(scaled, fraction, seed)
-    train = materialize(train, "train")
     model = train_factors(train, seed=seed, **params)
     errors = evaluate(model, test).first()
     model.metadata.update(

@@ -114,6 +114,7 @@ def serve_batch(
         query_col="request_id",
         n_col="n",
         digits=digits,
+        n_queries=valid.count(),
     )
     meta = model.metadata
     info = F.struct(

@@ -1,29 +1,34 @@
 """Next-click model: item vectors and position weights trained on click sequences.
 
-Every epoch deals the sequences out to W workers by a seeded hash. A worker gets
-its sequences together with just the item rows they mention, runs gradient steps
-on them and returns the change of each touched row; the new model is the old one
-plus the summed changes over W. Item rows travel by joins, so the model is never
-broadcast and never collected, and each epoch is written to the shared folder.
+Every epoch deals the sequences out to W workers by a seeded hash. A worker runs
+gradient steps on its own copy of the model and returns the change of each row it
+touched; the new model is the old one plus the summed changes over W. Each epoch
+is written to the shared folder.
+
+A model that is small enough (measured) is broadcast and a worker streams through
+one sorted partition, whatever its length. For a larger one a worker is a group
+that is joined with just the item rows its sequences mention.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
-from clickloom.functions.clicks import PAD, last_k
+from clickloom.functions.clicks import PAD
 from clickloom.functions.vectors import position_weights, seeded_vector
+from clickloom.operators.encoding import encode_sequences
 from clickloom.operators.keys import distinct_keys, new_keys
+from clickloom.operators.matrix import BROADCAST_BYTES, as_matrix, broadcast_items, measure
 from clickloom.operators.sequences import SEQUENCE_LENGTH, click_sequences
-from clickloom.operators.skew import hot_keys, skew_join
 from clickloom.operators.topn import top_n
 from clickloom.session import scratch_path
 from clickloom.sources.files import remove_scratch
@@ -48,8 +53,11 @@ WEIGHT_LIMITS = (0.01, 10.0)
 
 MIN_WORKERS = 4
 SEQUENCES_PER_WORKER = 100_000
+MAX_GROUPS = 20_000
 BATCH = 64
 
+CHANGES = "key long, change array<double>, loss double"
+
 
 @dataclass
 class SequenceModel:
@@ -221,12 +229,14 @@ def _run_epochs(
     workers: int | None = None,
     batch: int = BATCH,
     average: str = "workers",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, list[float], list[float]]:
-    """The epoch loop. Only the loss and the position weights reach the driver.
+    """The epoch loop: item rows, position weights and the mean loss of each epoch.
 
-    ``workers`` is W (default: enough for bounded chunks). ``average="workers"``
-    divides summed changes by W; ``"touched"`` divides a row's change by the
-    workers that touched it, which keeps the step size when W is large.
+    ``workers`` is W. By default it follows the data, up to the parallelism of the
+    cluster, or as many as keep a group bounded. ``average="workers"`` divides
+    summed changes by W; ``"touched"`` divides a row's change by the workers that
+    touched it, which keeps the step size when W is large.
     """
     spark = clicks.sparkSession
     k = len(weights)
@@ -246,8 +256,15 @@ def _run_epochs(
     ).write.parquet(samples_path)
     samples = spark.read.parquet(samples_path)
     n_samples = samples.count()
+
+    size = measure(keyed, "key")
+    small = size.bytes <= broadcast_bytes
     if workers is None:
-        workers = max(MIN_WORKERS, math.ceil(n_samples / SEQUENCES_PER_WORKER))
+        wanted = math.ceil(n_samples / SEQUENCES_PER_WORKER)
+        if small:
+            wanted = min(wanted, spark.sparkContext.defaultParallelism)
+        workers = max(MIN_WORKERS, wanted)
+    steps = {"lr": lr, "reg": reg, "batch": batch}
 
     # The position weights ride along as the row without a key.
     state = keyed.select("product_id", "key", "factor").unionByName(
@@ -258,10 +275,17 @@ def _run_epochs(
     history: list[float] = []
     best, waited = float("inf"), 0
     for epoch in range(epochs):
+        dealt = _deal(samples, workers, seed + epoch)
+        shipped = None
+        if small:
+            shipped = broadcast_items(state.filter(F.col("key").isNotNull()), size, "key")
+            changes = _changes_by_partition(dealt, shipped, weights, workers, steps)
+        else:
+            changes = _changes_by_group(dealt, state, weights, workers, steps)
         path = scratch_path(spark, f"sequence-epoch-{epoch}")
-        next_state = _epoch(state, samples, weights, n_factors, workers, lr, reg, seed + epoch,
-                            batch, average)
-        next_state.write.parquet(path)
+        _apply(state, changes, max(n_factors, k), workers, average).write.parquet(path)
+        if shipped is not None:
+            shipped.destroy()
         remove_scratch(spark, state_path)
         state, state_path = spark.read.parquet(path), path
         row = state.filter(F.col("key").isNull()).first()
@@ -282,14 +306,28 @@ def _run_epochs(
     return trained, weights, history
 
 
-def _epoch(state, samples, weights, n_factors, workers, lr, reg, seed, batch, average):
+def _deal(samples: DataFrame, workers: int, seed: int) -> DataFrame:
+    """Worker and place of each sequence in this epoch."""
     draw = F.xxhash64("sample", F.lit(seed))
-    dealt = samples.select(
+    return samples.select(
         F.pmod(draw, F.lit(workers)).cast("int").alias("worker"),
         draw.alias("place"),
         "sequence",
         "target",
     )
+
+
+def _changes_by_partition(
+    dealt: DataFrame, shipped: Broadcast, weights: list[float], workers: int, steps: dict
+) -> DataFrame:
+    placed = dealt.repartitionById(workers, "worker").sortWithinPartitions("place")
+    kernel = _partition_worker(shipped, np.array(weights), steps)
+    return placed.select("sequence", "target").mapInArrow(kernel, CHANGES)
+
+
+def _changes_by_group(
+    dealt: DataFrame, state: DataFrame, weights: list[float], workers: int, steps: dict
+) -> DataFrame:
     mentioned = F.array_distinct(F.concat("sequence", F.array("target")))
     needed = (
         dealt.select("worker", F.explode(mentioned).alias("key"))
@@ -297,59 +335,86 @@ def _epoch(state, samples, weights, n_factors, workers, lr, reg, seed, batch, av
         .join(state.select("key", "factor"), "key")
         .select(F.col("worker").alias("worker"), "key", "factor")
     )
-    groups = min(workers, 20_000)
+    groups = min(workers, MAX_GROUPS)
     left = dealt.repartition(groups, "worker").groupBy("worker")
     right = needed.repartition(groups, "worker").groupBy("worker")
-    changes = left.cogroup(right).applyInArrow(
-        _worker(np.array(weights), lr, reg, batch),
-        "key long, change array<double>, loss double",
-    )
-    width = max(n_factors, len(weights))
-    summed = changes.groupBy("key").agg(
-        *[F.sum(F.get("change", F.lit(i))).alias(f"_c{i}") for i in range(width)],
+    return left.cogroup(right).applyInArrow(_group_worker(np.array(weights), steps), CHANGES)
+
+
+def _apply(
+    state: DataFrame, changes: DataFrame, width: int, workers: int, average: str
+) -> DataFrame:
+    """Add the averaged changes to the rows they belong to."""
+    total = ", ".join(f"sum(get(change, {i}))" for i in range(width))
+    summed = changes.groupBy(F.col("key").alias("_key")).agg(
+        F.expr(f"array({total})").alias("_change"),
         F.sum("loss").alias("loss"),
         F.count(F.lit(1)).alias("_touched"),
     )
     divisor = F.lit(workers) if average == "workers" else F.col("_touched")
-    change = F.slice(F.array(*[F.col(f"_c{i}") for i in range(width)]), 1, F.size("factor"))
+    change = F.slice("_change", 1, F.size("factor"))
     moved = F.zip_with("factor", change, lambda x, d: x + d / divisor)
+    factor = F.when(F.col("_touched").isNotNull(), moved).otherwise(F.col("factor"))
     return (
-        state.join(
-            summed.withColumnRenamed("key", "_key"), F.col("key").eqNullSafe(F.col("_key")), "left"
-        )
-        .withColumn("factor", F.when(F.col("_touched").isNotNull(), moved).otherwise(F.col("factor")))
+        state.join(summed, F.col("key").eqNullSafe(F.col("_key")), "left")
+        .withColumn("factor", factor)
         .select("product_id", "key", "factor", "loss")
     )
 
 
-def _worker(weights: np.ndarray, lr: float, reg: float, batch: int):
+def _partition_worker(shipped: Broadcast, weights: np.ndarray, steps: dict):
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, start = shipped.value
+        keys = keys.to_numpy()
+        factors, moved, total = start.copy(), weights, 0.0
+        touched = np.zeros(len(keys), dtype=bool)
+        for dealt in batches:
+            rows, known, goal = _samples(dealt["sequence"], dealt["target"], keys, len(weights))
+            factors, moved, loss = sgd(factors, moved, rows, known, goal, **steps)
+            touched[rows[known]] = True
+            touched[goal] = True
+            total += loss
+        result = _changes(keys, start, factors, weights, moved, np.nonzero(touched)[0], total)
+        yield from result.to_batches()
+
+    return train
+
+
+def _group_worker(weights: np.ndarray, steps: dict):
     def train(dealt: pa.Table, needed: pa.Table) -> pa.Table:
         dealt = dealt.sort_by("place")
-        keys = needed["key"].to_numpy()
-        order = np.argsort(keys)
-        keys = keys[order]
-        flat = needed["factor"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        start = flat.reshape(len(keys), -1)[order] if len(keys) else np.empty((0, 1))
-        target = dealt["target"].to_numpy()
-        seq = dealt["sequence"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        seq = seq.reshape(len(target), len(weights))
-        rows, known = _rows_of(keys, seq)
-        goal, trainable = _rows_of(keys, target)
-        rows, known, goal = rows[trainable], known[trainable], goal[trainable]
-        factors, moved_weights, loss = sgd(start, weights, rows, known, goal, lr, reg, batch)
-        touched = np.unique(np.concatenate([rows[known], goal]))
-        changes = [*(factors - start)[touched], moved_weights - weights]
-        return pa.table(
-            {
-                "key": pa.array([*keys[touched].tolist(), None], pa.int64()),
-                "change": pa.array(changes, pa.list_(pa.float64())),
-                "loss": pa.array([None] * len(touched) + [loss], pa.float64()),
-            }
+        needed = needed.sort_by("key")
+        keys, start = needed["key"].to_numpy(), as_matrix(needed["factor"])
+        rows, known, goal = _samples(
+            dealt["sequence"].combine_chunks(), dealt["target"], keys, len(weights)
         )
+        factors, moved, loss = sgd(start.copy(), weights, rows, known, goal, **steps)
+        touched = np.unique(np.concatenate([rows[known], goal]))
+        return _changes(keys, start, factors, weights, moved, touched, loss)
 
     return train
 
 
+def _samples(sequence: pa.Array, target, keys: np.ndarray, k: int):
+    """Row numbers of the items of each sequence; sequences with an unknown target drop out."""
+    flat = sequence.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+    rows, known = _rows_of(keys, flat)
+    goal, trainable = _rows_of(keys, target.to_numpy())
+    return rows[trainable], known[trainable], goal[trainable]
+
+
+def _changes(keys, start, factors, weights, moved, touched, loss) -> pa.Table:
+    """One row per touched item, and one without a key for the weights and the loss."""
+    rows = [*(factors[touched] - start[touched]), moved - weights]
+    return pa.table(
+        {
+            "key": pa.array([*keys[touched].tolist(), None], pa.int64()),
+            "change": pa.array(rows, pa.list_(pa.float64())),
+            "loss": pa.array([None] * len(touched) + [loss], pa.float64()),
+        }
+    )
+
+
 def _rows_of(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return np.zeros(wanted.shape, dtype=np.int64), np.zeros(wanted.shape, dtype=bool)
@@ -357,14 +422,13 @@ def _rows_of(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, keys[at] == wanted
 
 
-def sgd(start, weights, rows, known, goal, lr, reg, batch):
-    """Gradient steps over small batches, in the given order.
+def sgd(factors, weights, rows, known, goal, lr, reg, batch):
+    """Gradient steps over small batches, in the given order; changes ``factors`` in place.
 
     Inside a batch all samples see the same vectors. The target moves first and
     the item step uses its new value; each use of a row or weight shrinks it by
     ``1 - lr * reg``, so repeated uses compound as single steps would.
     """
-    factors, weights = start.copy(), weights.copy()
     total = 0.0
     keep = 1.0 - lr * reg
     for begin in range(0, len(goal), batch):
@@ -404,57 +468,6 @@ def _move(factors: np.ndarray, rows: np.ndarray, steps: np.ndarray, keep: float)
     factors[touched] = np.clip(moved, -FACTOR_LIMIT, FACTOR_LIMIT)
 
 
-def encode_sequences(
-    requests: DataFrame,
-    items: DataFrame,
-    weights: Sequence[float],
-    n_factors: int,
-    key_col: str = "request_id",
-    seq_col: str = "click_sequence",
-) -> DataFrame:
-    """``sum(w[pos] * E[item]) / known items`` for each sequence, as ``factor``.
-
-    Sequences are cut to the last K items and padded on the left. Padding is the
-    most frequent item by far, so its share is taken from one row and a table of
-    weight sums instead of being joined.
-    """
-    k = len(weights)
-    clicks = last_k(F.col(seq_col), k)
-    prepared = requests.select(
-        key_col, clicks.alias("_clicks"), (F.lit(k) - F.size(clicks)).alias("_pads")
-    )
-    places = prepared.select(
-        key_col, "_pads", F.posexplode("_clicks").alias("_at", "product_id")
-    ).select(
-        key_col,
-        "product_id",
-        F.get(F.array(*map(F.lit, weights)), F.col("_at") + F.col("_pads")).alias("_w"),
-    )
-    found = skew_join(places, items, "product_id", "inner", hot_keys(places, "product_id"))
-    sums = found.groupBy(key_col).agg(
-        *[F.sum(F.col("_w") * F.get("factor", F.lit(i))).alias(f"_s{i}") for i in range(n_factors)],
-        F.count(F.lit(1)).alias("_known"),
-    )
-    upto = F.array(*[F.lit(float(sum(weights[:i]))) for i in range(k + 1)])
-    pad_row = items.filter(F.col("product_id") == PAD).select("factor").scalar()
-    pads = F.when(pad_row.isNotNull(), F.col("_pads")).otherwise(F.lit(0))
-    known = F.coalesce(F.col("_known"), F.lit(0)) + pads
-    shares = [
-        (
-            F.coalesce(F.col(f"_s{i}"), F.lit(0.0))
-            + F.coalesce(F.get(upto, F.col("_pads")) * F.get(F.col("_pad"), F.lit(i)), F.lit(0.0))
-        )
-        / F.greatest(known, F.lit(1))
-        for i in range(n_factors)
-    ]
-    return (
-        prepared.select(key_col, "_pads")
-        .join(sums, key_col, "left")
-        .withColumn("_pad", pad_row)
-        .select(key_col, F.array(*shares).alias("factor"))
-    )
-
-
 def recommend_from_sequence(
     model: SequenceModel,
     requests: DataFrame,
@@ -466,13 +479,21 @@ def recommend_from_sequence(
     **options,
 ) -> DataFrame:
     """Top-N next items per click sequence; the padding row is never offered."""
-    queries = encode_sequences(
-        requests, model.items, model.weights, model.n_factors, key_col, seq_col
-    )
+    queries = encode_sequences(requests, model.items, model.weights, key_col, seq_col)
     if n_col is not None:
         queries = queries.join(requests.select(key_col, n_col), key_col)
     offered = model.items.filter(F.col("product_id") != PAD)
-    return top_n(queries, offered, n, exclude, query_col=key_col, n_col=n_col, **options)
+    count = requests.count() if exclude is not None else None
+    return top_n(
+        queries,
+        offered,
+        n,
+        exclude,
+        query_col=key_col,
+        n_col=n_col,
+        n_queries=count,
+        **options,
+    )
 
 
 def save_model(model: SequenceModel, path: str) -> str:
