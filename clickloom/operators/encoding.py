@@ -51,7 +51,7 @@ def encode_sequences(
     )
     clicks = fit_sequence(F.col(seq_col), len(weights)).alias("_clicks")
     places = np.array(weights)
-    if size.bytes <= broadcast_bytes:
+    if size.rows and size.bytes <= broadcast_bytes:
         shipped = broadcast_items(items, size, "product_id")
         fitted = requests.select(key_col, clicks)
         return fitted.mapInArrow(_encode_batches(key_col, places, shipped), schema)
@@ -67,7 +67,7 @@ def encode_sequences(
     groups = min(blocks, MAX_GROUPS)
     left = fitted.repartition(groups, "_block").groupBy("_block")
     right = mentioned.repartition(groups, "_block").groupBy("_block")
-    return left.cogroup(right).applyInArrow(_encode_block(key_col, places), schema)
+    return left.cogroup(right).applyInArrow(_encode_block(key_col, places, size.width), schema)
 
 
 def _encode_batches(key_col: str, weights: np.ndarray, shipped):
@@ -80,19 +80,19 @@ def _encode_batches(key_col: str, weights: np.ndarray, shipped):
     return run
 
 
-def _encode_block(key_col: str, weights: np.ndarray):
+def _encode_block(key_col: str, weights: np.ndarray, width: int):
     def run(fitted: pa.Table, mentioned: pa.Table) -> pa.Table:
-        ids = mentioned["product_id"].combine_chunks()
-        return _encode(key_col, weights, fitted, ids, as_matrix(mentioned["factor"]))
+        ids, factors = mentioned["product_id"].combine_chunks(), as_matrix(mentioned["factor"])
+        if not len(ids):
+            return pa.table(
+                {key_col: fitted[key_col], "factor": as_lists(np.zeros((len(fitted), width)))}
+            )
+        return _encode(key_col, weights, fitted, ids, factors)
 
     return run
 
 
 def _encode(key_col: str, weights: np.ndarray, fitted: pa.Table, ids: pa.Array, factors):
-    if not len(ids):
-        return pa.table(
-            {key_col: fitted[key_col], "factor": pa.nulls(len(fitted), pa.list_(pa.float64()))}
-        )
     at = pc.index_in(fitted["_clicks"].combine_chunks().flatten(), value_set=ids)
     known = np.asarray(pc.is_valid(at)).reshape(-1, len(weights))
     at = np.asarray(pc.fill_null(at, 0)).reshape(-1, len(weights))

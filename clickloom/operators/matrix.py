@@ -19,16 +19,18 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 class Size(NamedTuple):
     rows: int
     bytes: int
+    width: int
 
 
 def measure(items: DataFrame, id_col: str, vector_col: str = "factor") -> Size:
-    """Rows and exact payload bytes of an item table, from one aggregate."""
+    """Rows, exact payload bytes and vector length of an item table, from one aggregate."""
     row = items.agg(
         F.count(F.lit(1)),
         F.coalesce(F.sum(F.size(vector_col) * 8), F.lit(0)),
         F.coalesce(F.sum(F.octet_length(F.col(id_col).cast("string")) + 8), F.lit(0)),
+        F.coalesce(F.max(F.size(vector_col)), F.lit(0)),
     ).first()
-    return Size(row[0], row[1] + row[2])
+    return Size(row[0], row[1] + row[2], row[3])
 
 
 def broadcast_items(
