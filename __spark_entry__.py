@@ -23,7 +23,6 @@ from clickloom.functions import times, vectors  # noqa: E402
 from clickloom.operators import keys, metrics, ratings, sequences  # noqa: E402
 from clickloom.operators.encoding import encode_sequences  # noqa: E402
 from clickloom.operators.skew import hot_keys  # noqa: E402
-from clickloom.operators.topn import top_n  # noqa: E402
 from clickloom.operators.windows import fraud_windows  # noqa: E402
 from clickloom.plans import (  # noqa: E402
     affinity,
@@ -624,7 +623,8 @@ def q_predict_pairs(spark, sf):
 
 
 def q_prediction_errors(spark, sf):
-    errors = factor_model.evaluate(_embedding_model(spark, sf), _order_pairs(spark, sf))
+    pairs = materialize(_order_pairs(spark, sf), "pairs")
+    errors = factor_model.evaluate(_embedding_model(spark, sf), pairs)
     return errors.select(_rounded("rmse"), _rounded("mae"), "n")
 
 
@@ -635,12 +635,25 @@ def q_event_recommendations(spark, sf):
     return found.select("event_id", "user_id", "product_id", "recommended_product_id", "score")
 
 
+def q_event_recommendations_sql(spark, sf):
+    """The same through SQL: a lateral call of the registered table function."""
+    lists = recommend.user_lists(_embedding_model(spark, sf), digits=DIGITS)
+    recommend.register_lateral(materialize(lists, "user-lists"), "clickloom_recommendations")
+    return tables.run_sql(
+        spark,
+        """
+        SELECT e.event_id, e.user_id, e.product_id, r.recommended_product_id, r.score
+        FROM clickloom_events e,
+             LATERAL clickloom_recommendations(e.user_id, e.product_id) r
+        """,
+        clickloom_events=_clicks(spark, sf),
+    )
+
+
 def q_event_recommendations_stream(spark, sf):
     model = _embedding_model(spark, sf)
     clicks = _clicks(spark, sf)
-    lists = recommend.as_lists(
-        top_n(model.users, model.items, recommend.EVENT_RECOMMENDATIONS + 1, digits=DIGITS)
-    )
+    lists = recommend.user_lists(model, digits=DIGITS)
     out, checkpoint = scratch_path(spark, "recs"), scratch_path(spark, "recs-checkpoint")
     query = jobs.start_recommendation_stream(
         _event_stream(spark, sf),
@@ -843,8 +856,8 @@ items AS (SELECT product_id, v FROM vecs)"""
 
 _ITEMS_PADDED = """padded AS (
   SELECT product_id, v FROM items
-  UNION ALL SELECT '<PAD>', list_transform(v, lambda x: 0.05::DOUBLE)
-  FROM (SELECT v FROM items LIMIT 1))"""
+  UNION ALL SELECT '<PAD>', list_transform(range(max(len(v))), lambda x: 0.05::DOUBLE)
+  FROM items)"""
 
 
 def _recent_sql(k: int, extra: str = "") -> str:
@@ -1101,6 +1114,7 @@ def oracle_sql() -> dict[str, str]:
                    round(avg(abs(rating - prediction)), 6) AS mae, count(*) AS n
             FROM predicted""",
         "event_recommendations": _EVENT_RECS,
+        "event_recommendations_sql": _EVENT_RECS,
         "event_recommendations_stream": _EVENT_RECS,
         "serve_batch": f"""
             WITH {_CLICKS}, {_FACTORS}, requests AS (

@@ -30,11 +30,11 @@ def last_k(seq: Column, k: int) -> Column:
     return F.when(F.size(seq) > k, F.slice(seq, -k, k)).otherwise(seq)
 
 
-def pad_left(seq: Column, k: int, pad: str = PAD) -> Column:
+def pad_left(seq: Column, k: int, pad: str | Column = PAD) -> Column:
     missing = F.greatest(F.lit(k) - F.size(seq), F.lit(0))
     return F.concat(F.array_repeat(F.lit(pad), missing), seq)
 
 
-def fit_sequence(seq: Column, k: int, pad: str = PAD) -> Column:
+def fit_sequence(seq: Column, k: int, pad: str | Column = PAD) -> Column:
     """Keep the last ``k`` entries, then pad on the left to exactly ``k``."""
     return pad_left(last_k(seq, k), k, pad)

@@ -36,13 +36,13 @@ def click_sequences(
     item_col: str = "product_id",
     time_col: str = "event_time",
     tie_cols: Sequence[str] = (),
-    pad: str = PAD,
+    pad: str | Column = PAD,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per click that has a next click: the last ``k`` items and the next one.
 
     Adds ``sequence`` (padded on the left to ``k`` items, the click itself last)
-    and ``target``. Order is time, then ``tie_cols``; a missing time sorts last.
+    and ``target``; ``pad`` is of the item's type. Order is time, then ``tie_cols``; a missing time sorts last.
     Rows without user or item are left out.
     """
     clicks = events.filter(F.col(user_col).isNotNull() & F.col(item_col).isNotNull())
@@ -65,7 +65,7 @@ def click_sequences(
             sliced.filter("_hot"), k, user_col, item_col, time_col, tie_cols
         )
         joined = local.join(edges, [user_col, "_slice"], "left")
-        earlier = F.coalesce(F.col("_before"), F.array().cast("array<string>"))
+        earlier = F.coalesce(F.col("_before"), F.slice("_history", 1, 0))
         history = last_k(F.concat(earlier, F.col("_history")), k)
         following = F.coalesce(F.col("_next"), F.col("_after"))
     return (
@@ -85,10 +85,9 @@ def _with_history(
     tie_cols: Sequence[str],
 ) -> DataFrame:
     w = Window.partitionBy(*partition).orderBy(*_order(time_col, tie_cols))
-    item = F.col(item_col).cast("string")
     return df.withColumn(
-        "_history", F.collect_list(item).over(w.rowsBetween(-(k - 1), 0))
-    ).withColumn("_next", F.lead(item).over(w))
+        "_history", F.collect_list(item_col).over(w.rowsBetween(-(k - 1), 0))
+    ).withColumn("_next", F.lead(item_col).over(w))
 
 
 def _slice_hot_users(
@@ -125,35 +124,31 @@ def _slice_edges(
     time_col: str,
     tie_cols: Sequence[str],
 ) -> DataFrame:
-    """Per slice of a hot user: the k-1 items before it and the first item after it."""
-    item = F.col(item_col).cast("string")
+    """Per slice of a hot user: up to k items before it and the first item after it."""
     slice_cols = [user_col, "_slice"]
     backwards = Window.partitionBy(*slice_cols).orderBy(*_reverse_order(time_col, tie_cols))
     forwards = Window.partitionBy(*slice_cols).orderBy(*_order(time_col, tie_cols))
     tails = (
         sliced.withColumn("_rank", F.row_number().over(backwards))
-        .filter(F.col("_rank") < k)
+        .filter(F.col("_rank") <= k)
         .groupBy(*slice_cols)
         .agg(
             F.transform(
-                F.sort_array(F.collect_list(F.struct(-F.col("_rank"), item.alias("item")))),
-                lambda x: x["item"],
+                F.sort_array(F.collect_list(F.struct(-F.col("_rank"), F.col(item_col)))),
+                lambda x: x[item_col],
             ).alias("_tail")
         )
     )
     heads = (
         sliced.withColumn("_rank", F.row_number().over(forwards))
         .filter(F.col("_rank") <= 1)
-        .select(*slice_cols, item.alias("_head"))
+        .select(*slice_cols, F.col(item_col).alias("_head"))
     )
     by_slice = Window.partitionBy(user_col).orderBy("_slice")
-    recent = F.flatten(F.collect_list("_tail").over(by_slice.rowsBetween(-(k - 1), -1)))
-    if k == 1:
-        recent = F.array().cast("array<string>")
-        tails = sliced.select(*slice_cols).distinct()
+    earlier = F.flatten(F.collect_list("_tail").over(by_slice.rowsBetween(-k, -1)))
     return (
         tails.join(heads, slice_cols)
-        .withColumn("_before", recent if k == 1 else last_k(recent, k - 1))
+        .withColumn("_before", last_k(earlier, k))
         .withColumn("_after", F.lead("_head").over(by_slice))
         .select(*slice_cols, "_before", "_after")
     )
@@ -175,7 +170,7 @@ def recent_clicks(
     w = Window.partitionBy(user_col).orderBy(*_reverse_order(time_col, tie_cols))
     return (
         events.filter(F.col(user_col).isNotNull() & F.col(item_col).isNotNull())
-        .select(user_col, F.col(item_col).cast("string").alias("_item"), time_col, *tie_cols)
+        .select(user_col, F.col(item_col).alias("_item"), time_col, *tie_cols)
         .withColumn("_rank", F.row_number().over(w))
         .filter(F.col("_rank") <= k)
         .groupBy(user_col)

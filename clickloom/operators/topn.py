@@ -34,6 +34,8 @@ ITEMS_PER_BLOCK = 131_072
 MAX_GROUPS = 20_000
 # Scores held at a time: a tile of queries by items.
 TILE_QUERIES, TILE_ITEMS = 512, 8_192
+# Multiply-adds of one task at most, and the least that is worth a task of its own.
+TASK_WORK, LEAST_WORK = 2.5e11, 1e9
 
 
 def top_n(
@@ -47,6 +49,7 @@ def top_n(
     n_col: str | None = None,
     digits: int | None = None,
     temperature: float | None = None,
+    lists: bool = False,
     n_queries: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     queries_per_block: int = QUERIES_PER_BLOCK,
@@ -59,8 +62,13 @@ def top_n(
     ``digits`` rounds scores before they are ranked. With ``temperature`` the
     softmax probability over all candidates is added. Query ids and item ids
     are unique. ``n_queries`` saves counting ``queries`` where that is costly.
-    Returns query, item, ``score``, ``rank`` (and ``probability``).
+
+    Returns query, item, ``score``, ``rank`` (and ``probability``), or with
+    ``lists`` one row per query with the array ``recs``, best first.
     """
+    if lists and temperature is not None:
+        raise ValueError("lists carry no probability")
+    spark = queries.sparkSession
     size = measure(items, item_col, vector_col)
     small = size.bytes <= broadcast_bytes
     limit = F.lit(n) if n_col is None else F.coalesce(F.col(n_col), F.lit(n))
@@ -70,7 +78,7 @@ def top_n(
         limit.cast("int").alias("_limit"),
     )
     query_id, item_id = queries.schema[query_col].dataType, items.schema[item_col].dataType
-    schema = T.StructType(
+    flat = T.StructType(
         [
             T.StructField(query_col, query_id),
             T.StructField(item_col, item_id),
@@ -80,52 +88,82 @@ def top_n(
             T.StructField("_mass", T.DoubleType()),
         ]
     )
-    score = partial(_score, query_col, item_col, digits, temperature)
     if size.rows == 0:
-        best = queries.sparkSession.createDataFrame([], schema)
-    elif small and exclude is None:
+        best = spark.createDataFrame([], flat)
+        return as_lists(best, query_col, item_col) if lists else _finish(best, query_col, None)
+    if n_queries is None:
+        n_queries = queries.count()
+    cores = spark.sparkContext.defaultParallelism
+    work = n_queries * size.rows * size.width
+    tasks = max(math.ceil(work / TASK_WORK), min(cores, math.ceil(work / LEAST_WORK)))
+    # One block of items: a task sees all of them and can build the lists itself.
+    listed = lists and small
+    schema = flat
+    if listed:
+        entry = T.StructType([flat["score"]])
+        entry = T.StructType([T.StructField(item_col, item_id), *entry.fields])
+        schema = T.StructType([flat[query_col], T.StructField("recs", T.ArrayType(entry))])
+    score = partial(_score, query_col, item_col, digits, temperature, listed)
+    if small and exclude is None:
         shipped = broadcast_items(items, size, item_col, vector_col)
+        if tasks > 1:
+            asked = asked.repartition(tasks, query_col)
         best = asked.mapInArrow(_per_batch(score, shipped), schema)
-    else:
-        if n_queries is None:
-            n_queries = queries.count()
-        n_pairs = 0
-        if exclude is not None:
-            exclude = exclude.select(
-                F.col(query_col).cast(query_id), F.col(item_col).cast(item_id)
-            ).distinct()
-            n_pairs = exclude.count()
-        item_blocks = 1 if small else max(math.ceil(size.rows / items_per_block), 1)
-        cores = queries.sparkSession.sparkContext.defaultParallelism
-        query_blocks = max(
-            math.ceil(n_queries / queries_per_block),
-            math.ceil(n_pairs / (PAIRS_PER_BLOCK * item_blocks)),
-            min(cores, math.ceil(n_queries / 64)),
-            1,
-        )
-        qb, ib = _block(query_col, query_blocks, "_qb"), _block(item_col, item_blocks, "_ib")
-        left = asked.select(
-            qb, _each(item_blocks, "_ib"), "*", F.lit(None).cast(item_id).alias(item_col)
-        )
-        if exclude is not None:
-            left = left.unionByName(exclude.select(qb, ib, "*"), allowMissingColumns=True)
-        groups = min(query_blocks * item_blocks, MAX_GROUPS)
-        grouped = left.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
-        if small:
-            shipped = broadcast_items(items, size, item_col, vector_col)
-            best = grouped.applyInArrow(_per_group(score, shipped), schema)
-        else:
-            right = items.select(
-                _each(query_blocks, "_qb"),
-                ib,
-                item_col,
-                F.col(vector_col).cast("array<double>").alias("_vector"),
-            )
-            blocks = right.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
-            best = grouped.cogroup(blocks).applyInArrow(_per_pair(score, item_col), schema)
-        if item_blocks > 1:
-            order = Window.partitionBy(query_col).orderBy(F.col("score").desc(), item_col)
-            best = best.withColumn("rank", F.row_number().over(order))
+        return best if listed else _finish(best, query_col, temperature)
+    item_blocks = 1 if small else math.ceil(size.rows / items_per_block)
+    n_pairs = 0
+    if exclude is not None:
+        pairs = exclude.select(F.col(query_col).cast(query_id), F.col(item_col).cast(item_id))
+        exclude = pairs.distinct()
+        # Repeated pairs only make blocks finer, which is free while items are broadcast.
+        n_pairs = (pairs if small else exclude).count()
+    query_blocks = max(
+        math.ceil(n_queries / queries_per_block),
+        math.ceil(n_pairs / (PAIRS_PER_BLOCK * item_blocks)),
+        math.ceil(tasks / item_blocks),
+        1,
+    )
+    qb, ib = _block(query_col, query_blocks, "_qb"), _block(item_col, item_blocks, "_ib")
+    left = asked.select(
+        qb, _each(item_blocks, "_ib"), "*", F.lit(None).cast(item_id).alias(item_col)
+    )
+    if exclude is not None:
+        left = left.unionByName(exclude.select(qb, ib, "*"), allowMissingColumns=True)
+    groups = min(query_blocks * item_blocks, MAX_GROUPS)
+    grouped = left.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
+    if small:
+        shipped = broadcast_items(items, size, item_col, vector_col)
+        best = grouped.applyInArrow(_per_group(score, shipped), schema)
+        return best if listed else _finish(best, query_col, temperature)
+    right = items.select(
+        _each(query_blocks, "_qb"),
+        ib,
+        item_col,
+        F.col(vector_col).cast("array<double>").alias("_vector"),
+    )
+    blocks = right.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
+    best = grouped.cogroup(blocks).applyInArrow(_per_pair(score, item_col), schema)
+    if item_blocks > 1:
+        order = Window.partitionBy(query_col).orderBy(F.col("score").desc(), item_col)
+        best = best.withColumn("rank", F.row_number().over(order))
+    best = _finish(best, query_col, temperature)
+    return as_lists(best, query_col, item_col) if lists else best
+
+
+def as_lists(
+    ranked: DataFrame, query_col: str = "user_id", item_col: str = "product_id"
+) -> DataFrame:
+    """Ranked rows to one array ``recs`` per query, best first."""
+    entry = F.struct("rank", item_col, "score")
+    return ranked.groupBy(query_col).agg(
+        F.transform(
+            F.sort_array(F.collect_list(entry)),
+            lambda x: F.struct(x[item_col].alias(item_col), x["score"].alias("score")),
+        ).alias("recs")
+    )
+
+
+def _finish(best: DataFrame, query_col: str, temperature: float | None) -> DataFrame:
     if temperature is not None:
         best = _with_probability(best, query_col, temperature)
     return best.filter(F.col("rank") <= F.col("_limit")).drop("_limit", "_mass")
@@ -181,7 +219,7 @@ def _per_pair(score, item_col: str):
     return run
 
 
-def _score(query_col, item_col, digits, temperature, rows, pairs, ids, matrix) -> pa.Table:
+def _score(query_col, item_col, digits, temperature, listed, rows, pairs, ids, matrix):
     """Best items of each query row among ``ids`` (sorted), tile by tile."""
     found = []
     if rows.num_rows and len(ids):
@@ -203,6 +241,8 @@ def _score(query_col, item_col, digits, temperature, rows, pairs, ids, matrix) -
     q, i, score, rank, mass = (
         (np.concatenate(x) for x in zip(*found, strict=True)) if found else ([],) * 5
     )
+    if listed:
+        return _lists(query_col, item_col, rows, ids, q, i, score, rank)
     q = pa.array(q, pa.int64())
     return pa.table(
         {
@@ -216,6 +256,26 @@ def _score(query_col, item_col, digits, temperature, rows, pairs, ids, matrix) -
     )
 
 
+def _lists(query_col, item_col, rows, ids, q, i, score, rank) -> pa.Table:
+    """One list per query row that has candidates; rows come sorted by query and rank."""
+    q, i = np.asarray(q, dtype=np.int64), np.asarray(i, dtype=np.int64)
+    score = np.asarray(score, dtype=float)
+    if len(q):
+        kept = rank <= rows["_limit"].to_numpy()[q]
+        q, i, score = q[kept], i[kept], score[kept]
+    asked, lengths = np.unique(q, return_counts=True)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+    entries = pa.StructArray.from_arrays(
+        [ids.take(pa.array(i)), pa.array(score)], names=[item_col, "score"]
+    )
+    return pa.table(
+        {
+            query_col: rows[query_col].take(pa.array(asked)),
+            "recs": pa.ListArray.from_arrays(offsets, entries),
+        }
+    )
+
+
 def _positions(query_col, item_col, rows, pairs, ids):
     """Excluded pairs as (query position, item position), sorted by both."""
     none = np.empty(0, dtype=np.int64)

@@ -16,17 +16,6 @@ USER_REQUIRED = "user_id is required"
 CLICKS_REQUIRED = "click_sequence is required"
 
 
-def as_lists(ranked: DataFrame, key_col: str = "user_id", name: str = "recs") -> DataFrame:
-    """Ranked rows to one array per key, best first."""
-    entry = F.struct("rank", "product_id", "score")
-    return ranked.groupBy(key_col).agg(
-        F.transform(
-            F.sort_array(F.collect_list(entry)),
-            lambda x: F.struct(x["product_id"].alias("product_id"), x["score"].alias("score")),
-        ).alias(name)
-    )
-
-
 def lateral_recommend(
     events: DataFrame,
     recs: DataFrame,
@@ -36,7 +25,7 @@ def lateral_recommend(
 ) -> DataFrame:
     """Each event times the best ``n`` products of its user, without the event's product.
 
-    ``recs`` has one row per user (``as_lists`` of the top ``n + 1``), so the join
+    ``recs`` has one row per user (``user_lists``), so the join
     adds no rows before the short list is unfolded. Users without a list give no
     rows. Works on a stream as a stream-static join.
     """
@@ -53,6 +42,17 @@ def lateral_recommend(
     )
 
 
+def user_lists(
+    model: FactorModel,
+    users: DataFrame | None = None,
+    n: int = EVENT_RECOMMENDATIONS,
+    digits: int | None = None,
+) -> DataFrame:
+    """The ``n + 1`` best products per user, so that one can be dropped later."""
+    queries = model.users if users is None else users
+    return top_n(queries, model.items, n + 1, lists=True, digits=digits)
+
+
 def event_recommendations(
     events: DataFrame,
     model: FactorModel,
@@ -62,8 +62,37 @@ def event_recommendations(
 ) -> DataFrame:
     """``lateral_recommend`` for a factor model: scored once per user, not per event."""
     active = model.users.join(events.select("user_id").distinct(), "user_id", "left_semi")
-    ranked = top_n(active, model.items, n + 1, digits=digits)
-    return lateral_recommend(events, as_lists(ranked), n, keep, hot_keys(events, "user_id"))
+    recs = user_lists(model, active, n, digits)
+    return lateral_recommend(events, recs, n, keep, hot_keys(events, "user_id"))
+
+
+def register_lateral(
+    recs: DataFrame, name: str = "get_recommendations", n: int = EVENT_RECOMMENDATIONS
+) -> None:
+    """Make ``LATERAL name(user_id, product_id)`` available to SQL.
+
+    The function is plain SQL over the lists, so the optimizer turns a lateral
+    call into an equi-join on the user. The list's last entry stands in when the
+    current product is among the first ``n``.
+    """
+    spark = recs.sparkSession
+    view = f"{name}_lists"
+    recs.select(
+        "user_id",
+        F.slice(F.col("recs.product_id"), 1, n).alias("first_ids"),
+        F.posexplode("recs").alias("place", "rec"),
+    ).createOrReplaceTempView(view)
+    user = recs.schema["user_id"].dataType.simpleString()
+    product = recs.schema["recs"].dataType.elementType["product_id"].dataType.simpleString()
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(asked_user {user}, current_product {product})
+        RETURNS TABLE (recommended_product_id {product}, score DOUBLE)
+        RETURN SELECT rec.product_id, rec.score FROM {view}
+          WHERE user_id = asked_user AND NOT rec.product_id <=> current_product
+            AND (place < {n} OR place = {n} AND array_contains(first_ids, current_product))
+        """
+    )
 
 
 def _user_missing() -> Column:
@@ -75,18 +104,17 @@ def _excluded(requests: DataFrame) -> DataFrame:
 
 
 def _respond(
-    requests: DataFrame, ranked: DataFrame, error: Column, metadata: Column, echo: list[str]
+    requests: DataFrame, lists: DataFrame, error: Column, metadata: Column, echo: list[str]
 ) -> DataFrame:
-    lists = as_lists(ranked, "request_id", "_found")
     ok = F.col("error").isNull()
-    empty = F.array().cast(lists.schema["_found"].dataType)
+    empty = F.array().cast(lists.schema["recs"].dataType)
     return (
         requests.withColumn("error", error)
         .join(lists, "request_id", "left")
         .select(
             "request_id",
             *[F.when(ok, F.col(c)).alias(c) for c in echo],
-            F.when(ok, F.coalesce(F.col("_found"), empty)).alias("recommendations"),
+            F.when(ok, F.coalesce(F.col("recs"), empty)).alias("recommendations"),
             F.when(ok, metadata).alias("metadata"),
             "error",
         )
@@ -106,7 +134,7 @@ def serve_batch(
     error = F.when(_user_missing(), F.lit(USER_REQUIRED))
     valid = requests.filter(~_user_missing()).select("request_id", "user_id", "n")
     queries = skew_join(valid, model.users, "user_id", "inner", hot_keys(valid, "user_id"))
-    ranked = top_n(
+    lists = top_n(
         queries,
         model.items,
         n,
@@ -114,6 +142,7 @@ def serve_batch(
         query_col="request_id",
         n_col="n",
         digits=digits,
+        lists=True,
         n_queries=valid.count(),
     )
     meta = model.metadata
@@ -123,7 +152,7 @@ def serve_batch(
         F.lit(meta.get("n_users")).cast("bigint").alias("n_users"),
         F.lit(meta.get("n_items")).cast("bigint").alias("n_items"),
     )
-    return _respond(requests, ranked, error, info, ["user_id"])
+    return _respond(requests, lists, error, info, ["user_id"])
 
 
 def serve_sequence_batch(
@@ -136,8 +165,8 @@ def serve_sequence_batch(
     no_clicks = F.col("click_sequence").isNull() | (F.size("click_sequence") == 0)
     error = F.when(_user_missing(), F.lit(USER_REQUIRED)).when(no_clicks, F.lit(CLICKS_REQUIRED))
     valid = requests.filter(~_user_missing() & ~no_clicks)
-    ranked = recommend_from_sequence(
-        model, valid, n, _excluded(valid), n_col="n", digits=digits
+    lists = recommend_from_sequence(
+        model, valid, n, _excluded(valid), n_col="n", digits=digits, lists=True
     )
     meta = model.metadata
     info = F.struct(
@@ -147,4 +176,4 @@ def serve_sequence_batch(
         F.lit(meta.get("n_items")).cast("bigint").alias("n_items"),
         F.lit(meta.get("final_loss")).cast("double").alias("final_loss"),
     )
-    return _respond(requests, ranked, error, info, ["user_id", "click_sequence"])
+    return _respond(requests, lists, error, info, ["user_id", "click_sequence"])

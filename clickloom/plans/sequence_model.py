@@ -244,15 +244,12 @@ def _run_epochs(
     items.write.parquet(state_path)
     keyed, salt = _keyed(spark.read.parquet(state_path))
 
-    def hashed(item):
-        return F.xxhash64(item, F.lit(salt))
-
+    # Items become 64-bit keys before the window, so it sorts and ships numbers.
     samples_path = scratch_path(spark, "sequences")
-    order_key = F.xxhash64("user_id", time_col, *tie_cols, "target")
-    click_sequences(clicks, k, time_col=time_col, tie_cols=tie_cols).select(
-        order_key.alias("sample"),
-        F.transform("sequence", hashed).alias("sequence"),
-        hashed(F.col("target")).alias("target"),
+    coded = clicks.withColumn("product_id", F.xxhash64("product_id", F.lit(salt)))
+    padding = F.xxhash64(F.lit(PAD), F.lit(salt))
+    click_sequences(coded, k, time_col=time_col, tie_cols=tie_cols, pad=padding).select(
+        F.xxhash64("user_id", time_col, *tie_cols, "target").alias("sample"), "sequence", "target"
     ).write.parquet(samples_path)
     samples = spark.read.parquet(samples_path)
     n_samples = samples.count()

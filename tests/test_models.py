@@ -105,11 +105,10 @@ def test_event_recommendations(spark, trained):
 
 def test_event_recommendations_with_hot_users(spark, trained):
     from clickloom.operators.skew import hot_keys
-    from clickloom.operators.topn import top_n
 
     model, _ = trained
     events = events_of(spark, [(i, f"u{i % 3}", f"p{i % 30}", "view", i) for i in range(300)])
-    lists = recommend.as_lists(top_n(model.users, model.items, 6))
+    lists = recommend.user_lists(model)
     plain = recommend.lateral_recommend(events, lists, keep=("event_id",))
     hot = hot_keys(events, "user_id", min_rows=50)
     salted = recommend.lateral_recommend(events, lists, keep=("event_id",), hot_users=hot)

@@ -54,6 +54,27 @@ def test_against_brute_force(spark, path, n, exclude):
     assert got(found) == brute(n, SEEN if exclude else ())
 
 
+@pytest.mark.parametrize("path", PATHS)
+@pytest.mark.parametrize("exclude", [False, True])
+def test_lists(spark, path, exclude):
+    limits = {u: i % 4 for i, u in enumerate(QUERIES)}
+    rows = [(u, v, limits[u]) for u, v in QUERIES.items()]
+    queries = spark.createDataFrame(rows, "user_id string, factor array<double>, n int")
+    seen = spark.createDataFrame(sorted(SEEN) * 2, "user_id string, product_id string")
+    found = top_n(
+        queries,
+        vectors(spark, ITEMS, "product_id"),
+        exclude=seen if exclude else None,
+        n_col="n",
+        lists=True,
+        **PATHS[path],
+    )
+    want = {}
+    for (u, _), hit in brute(0, SEEN if exclude else (), limits).items():
+        want.setdefault(u, []).append(hit)
+    assert {r.user_id: [tuple(x) for x in r.recs] for r in found.collect()} == want
+
+
 @pytest.mark.parametrize("path", PATHS)
 def test_limit_per_query(spark, path):
     limits = {u: i % 4 for i, u in enumerate(QUERIES)}
@@ -99,6 +120,8 @@ def test_no_items_no_queries(spark):
     queries, items = vectors(spark, QUERIES, "user_id"), vectors(spark, ITEMS, "product_id")
     assert top_n(queries, items.limit(0)).count() == 0
     assert top_n(queries.limit(0), items).count() == 0
+    assert top_n(queries, items.limit(0), lists=True).count() == 0
+    assert top_n(queries.limit(0), items, lists=True).count() == 0
 
 
 @pytest.mark.parametrize("path", PATHS)
