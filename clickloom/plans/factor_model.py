@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -26,6 +27,10 @@ EPOCHS = 20
 # tuned and not the per-sample penalty of gradient descent.
 REG = 0.1
 MODEL_TYPE = "factor"
+# The solver sends every user block to every item block, so their number follows
+# the data and is bounded.
+RATINGS_PER_BLOCK = 100_000
+MIN_BLOCKS, MAX_BLOCKS = 4, 2_000
 
 
 @dataclass
@@ -57,7 +62,7 @@ def train_factors(
         .join(item_ids.withColumnRenamed("index", "_item"), item_col)
         .select(F.col("_user").cast("int"), F.col("_item").cast("int"), "rating")
     )
-    blocks = max(10, spark.sparkContext.defaultParallelism)
+    blocks = min(max(MIN_BLOCKS, math.ceil(rated.count() / RATINGS_PER_BLOCK)), MAX_BLOCKS)
     solver = ALS(
         rank=rank,
         maxIter=epochs,

@@ -54,9 +54,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint folder."""
+    return f"{checkpoint_root(spark)}/clickloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared checkpoint folder that nothing else uses."""
-    return f"{checkpoint_root(spark)}/clickloom/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
+from clickloom.session import scratch_root
 from clickloom.sources.readers import read_csv
 
 GROUPS = ("users", "products", "clickstream")
@@ -177,3 +178,8 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
         raise ValueError(f"not a scratch path: {path}")
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch data of this application; frames read from it become unusable."""
+    remove_scratch(spark, scratch_root(spark))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.plans import etl, signups
+from clickloom.session import materialize, scratch_path
 from clickloom.sources import files, readers, tables
 
 LINES = [
@@ -197,3 +198,15 @@ def test_json_rows_and_sql(spark):
 def test_scratch_guard(spark, folder):
     with pytest.raises(ValueError):
         files.remove_scratch(spark, folder)
+    path = scratch_path(spark, "guard")
+    spark.range(3).write.parquet(path)
+    assert files.exists(spark, path)
+    files.remove_scratch(spark, path)
+    assert not files.exists(spark, path)
+
+
+def test_scratch_is_below_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/clickloom/")
+    frame = materialize(spark.range(3), "range")
+    assert frame.count() == 3 and "scratch" not in frame.columns

@@ -138,6 +138,21 @@ def test_two_sinks_and_table_sink(spark, folder):
     assert {r.recommended_product_id for r in found.collect()} == {"q", "r"}
 
 
+def test_table_sink(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/in")
+    write_lines(f"{folder}/in/clickstream-1.json", [("a", i) for i in range(8)] + [("z", 60)])
+    events = read_clickstream_stream(spark, f"{folder}/in")
+    name = "clickloom_stream_alerts"
+    query = jobs.start_stream(
+        jobs.fraud_alerts(events), f"{folder}/out", f"{folder}/ck", drain=True, table=name
+    )
+    query.awaitTermination()
+    assert alerts(spark.table(name)) == [("a", at(0), at(10), 8)]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_serving_stream_answers_once_per_batch(spark, folder):
     import os
 
