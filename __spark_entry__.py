@@ -22,6 +22,7 @@ from clickloom.functions import clicks as click_fn  # noqa: E402
 from clickloom.functions import times, vectors  # noqa: E402
 from clickloom.operators import keys, metrics, ratings, sequences  # noqa: E402
 from clickloom.operators.encoding import encode_sequences  # noqa: E402
+from clickloom.operators.indexing import dense_index  # noqa: E402
 from clickloom.operators.skew import hot_keys  # noqa: E402
 from clickloom.operators.windows import fraud_windows  # noqa: E402
 from clickloom.plans import (  # noqa: E402
@@ -29,6 +30,7 @@ from clickloom.plans import (  # noqa: E402
     etl,
     factor_model,
     recommend,
+    retraining,
     sequence_model,
     signups,
 )
@@ -183,6 +185,12 @@ def q_fraud_windows(spark, sf):
     return found.select("user_id", _text("window_start"), _text("window_end"), "event_count")
 
 
+def q_fraud_windows_short(spark, sf):
+    """The default 10 s windows; the test events are sparse, so every window counts."""
+    found = fraud_windows(_clicks(spark, sf), threshold=0)
+    return found.select("user_id", _text("window_start"), _text("window_end"), "event_count")
+
+
 def q_fraud_windows_counted(spark, sf):
     """Counts one column and not rows: only failed events add up."""
     failed = _clicks(spark, sf).withColumn(
@@ -405,6 +413,31 @@ def q_staged_records(spark, sf):
     return report.groupBy("artifact", place).agg(F.sum("records").alias("records"))
 
 
+def q_archived_records(spark, sf):
+    """New data is counted where it waits, moved to the archive and counted there."""
+    base = scratch_path(spark, "archive")
+    staged = f"{base}/clickstream_new.json"
+    _click_lines(spark, sf).write.json(staged)
+    waiting = files.check_new_data(spark, staged)
+    moved = files.archive(spark, staged, f"{base}/archive")
+    left = files.check_new_data(spark, staged)
+    listed = files.list_archives(spark, f"{base}/archive").count()
+    archived = readers.read_json_lines(spark, moved, schemas.CLICKSTREAM)
+    return archived.agg(
+        F.lit(waiting).cast("bigint").alias("waiting"),
+        F.lit(left or 0).cast("bigint").alias("left_over"),
+        F.lit(listed).cast("bigint").alias("archives"),
+        F.count(F.lit(1)).alias("archived"),
+        F.count_distinct("user_id").alias("users"),
+    )
+
+
+def q_json_rows(spark, sf):
+    return files.to_json_rows(
+        _table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    )
+
+
 def q_inspect_events(spark, sf):
     """The first 20 events, raw time next to parsed time."""
     rows = _clicks(spark, sf).withColumn("timestamp", _iso("event_time"))
@@ -461,6 +494,16 @@ def q_distinct_counts(spark, sf):
     return keys.count_distinct(_clicks(spark, sf), "user_id", "product_id")
 
 
+def q_user_index(spark, sf):
+    """Dense ids of users: as many as users, from 0 without gaps."""
+    return dense_index(_clicks(spark, sf), "user_id").agg(
+        F.count_distinct("user_id").alias("n_users"),
+        F.count_distinct("index").alias("n_ids"),
+        F.min("index").alias("first_id"),
+        F.max("index").alias("last_id"),
+    )
+
+
 # --------------------------------------------------------------------------
 # Ratings
 # --------------------------------------------------------------------------
@@ -572,6 +615,15 @@ def q_recommend_top_n(spark, sf):
     return _ranked(found, "user_id", "product_id")
 
 
+def q_sample_recommendations(spark, sf):
+    """A glance at a model: the first three users, five products each."""
+    seen = _clicks(spark, sf).select("user_id", "product_id")
+    model = _embedding_model(spark, sf)
+    return _ranked(
+        factor_model.sample_recommendations(model, seen), "user_id", "product_id"
+    ).withColumn("score", _rounded("score"))
+
+
 def _affinity_inputs(spark: SparkSession, sf: str):
     users = _vectors(spark, sf, "user_id", "features")
     products = _vectors(spark, sf, "product_id", "features")
@@ -693,9 +745,9 @@ def _answers(responses: DataFrame) -> DataFrame:
     ).select(
         "request_id",
         "user_id",
-        "n_items",
+        F.coalesce("n_items", F.lit(0)).alias("n_items"),
         "error",
-        (F.col("place") + 1).cast("bigint").alias("rank"),
+        F.coalesce(F.col("place") + 1, F.lit(0)).cast("bigint").alias("rank"),
         F.col("rec.product_id").alias("product_id"),
         F.col("rec.score").alias("score"),
     )
@@ -775,6 +827,14 @@ def q_mf_top_n(spark, sf):
     return _ranked(found, "user_id", "product_id")
 
 
+def q_mf_early_stopping(spark, sf):
+    """Validation RMSE by number of iterations, up to the one that no longer helps."""
+    scaled = materialize(ratings.normalize_ratings(_ratings(spark, sf)), "ratings")
+    train, test = ratings.split(scaled)
+    _, history = factor_model.train_with_early_stopping(train, test)
+    return spark.createDataFrame(history, "epochs int, rmse double")
+
+
 def _trained_sequences(spark: SparkSession, sf: str, events: DataFrame | None = None):
     return sequence_model.train_sequence_model(
         _clicks(spark, sf) if events is None else events, tie_cols=("event_id",)
@@ -808,6 +868,37 @@ def q_seq_incremental(spark, sf):
     )
 
 
+def q_retraining_runs(spark, sf):
+    """Full run over the earlier half, incremental run over the later half, idle run."""
+    base = scratch_path(spark, "retraining")
+    early, late = (
+        half.select(
+            _iso("event_time").alias("timestamp"),
+            F.col("user_id").cast("string").alias("user_id"),
+            "product_id",
+            "event_type",
+        )
+        for half in _halves(spark, sf)
+    )
+    early.write.json(f"{base}/clickstream.json")
+    late.write.json(f"{base}/clickstream_new.json")
+    reports = [
+        retraining.run_training(
+            spark,
+            f"{base}/clickstream.json",
+            f"{base}/model",
+            incremental=True,
+            new_path=f"{base}/clickstream_new.json",
+            archive_dir=f"{base}/archive",
+        )
+        for _ in range(3)
+    ]
+    rows = [
+        (r["mode"], r["n_users"], r["n_items"], r["total_training_samples"]) for r in reports
+    ]
+    return spark.createDataFrame(rows, "mode string, n_users long, n_items long, n_samples long")
+
+
 # --------------------------------------------------------------------------
 # SQL equivalents
 # --------------------------------------------------------------------------
@@ -922,6 +1013,16 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB statements over the same tables, column for column."""
     return {
         "fraud_windows": f"WITH {_CLICKS}, {_ALERTS} SELECT {_ALERT_COLUMNS} FROM alerts",
+        "fraud_windows_short": f"""
+            WITH {_CLICKS}, alerts AS (
+              SELECT user_id,
+                     time_bucket(INTERVAL '10 seconds', event_time, TIMESTAMP '1970-01-01')
+                       AS window_start,
+                     count(*) AS event_count
+              FROM clicks GROUP BY 1, 2)
+            SELECT user_id, strftime(window_start, {_STAMP}) AS window_start,
+              strftime(window_start + INTERVAL '10 seconds', {_STAMP}) AS window_end, event_count
+            FROM alerts""",
         "fraud_windows_counted": f"""
             WITH {_CLICKS}, alerts AS (
               SELECT user_id,
@@ -1003,6 +1104,14 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'products', 'products', count(*) FROM part
             UNION ALL SELECT 'clickstream', 'individual', count(*) FROM events
             UNION ALL SELECT 'clickstream', 'merged', count(*) FROM events""",
+        "archived_records": """
+            SELECT count(*) AS waiting, 0::BIGINT AS left_over, 1::BIGINT AS archives,
+                   count(*) AS archived, count(DISTINCT user_id) AS users
+            FROM events""",
+        "json_rows": """
+            SELECT to_json(struct_pack(c_custkey := c_custkey, c_name := c_name,
+                                       c_nationkey := c_nationkey))::VARCHAR AS value
+            FROM customer""",
         "inspect_events": f"""
             SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
                    strftime(date_trunc('millisecond', ts), {_STAMP}) AS event_time
@@ -1024,6 +1133,10 @@ def oracle_sql() -> dict[str, str]:
         "distinct_counts": f"""
             WITH {_CLICKS} SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_user_id,
               count(DISTINCT product_id) AS n_product_id FROM clicks""",
+        "user_index": """
+            SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT user_id) AS n_ids,
+                   0::BIGINT AS first_id, count(DISTINCT user_id) - 1 AS last_id
+            FROM events""",
         "ratings_raw": f"WITH {_CLICKS}, {_RATINGS} SELECT * FROM ratings",
         "rating_stats": f"""
             WITH {_CLICKS}, {_RATINGS}
@@ -1083,6 +1196,16 @@ def oracle_sql() -> dict[str, str]:
             FROM scored
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) <= 5
             """,
+        "sample_recommendations": f"""
+            WITH {_CLICKS}, {_FACTORS}, scored AS (
+              SELECT u.vec_id AS user_id, i.product_id,
+                     round(list_dot_product(u.v, i.v), 6) AS score,
+                     row_number() OVER (PARTITION BY u.vec_id
+                       ORDER BY list_dot_product(u.v, i.v) DESC, i.product_id) AS rank
+              FROM (SELECT * FROM vecs ORDER BY vec_id LIMIT 3) u, items i
+              WHERE NOT EXISTS (SELECT 1 FROM clicks c
+                WHERE c.user_id = u.vec_id AND c.product_id = i.product_id))
+            SELECT user_id, product_id, rank, score FROM scored WHERE rank <= 5""",
         "affinity_top_k": f"""
             WITH {_CLICKS}, vecs AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
             {_recent_sql(1, "WHERE event_type IN ('view', 'click', 'purchase')")},
@@ -1130,9 +1253,10 @@ def oracle_sql() -> dict[str, str]:
               FROM requests r JOIN vecs u ON u.vec_id = r.user_id
               JOIN items i ON i.product_id <> r.excluded)
             SELECT q.request_id, q.user_id::VARCHAR AS user_id,
-                   CASE WHEN q.user_id IS NOT NULL THEN (SELECT count(*) FROM items) END AS n_items,
+                   CASE WHEN q.user_id IS NOT NULL THEN (SELECT count(*) FROM items) ELSE 0 END
+                     AS n_items,
                    CASE WHEN q.user_id IS NULL THEN 'user_id is required' END AS error,
-                   t.rank, t.product_id, t.score
+                   coalesce(t.rank, 0) AS rank, t.product_id, t.score
             FROM requests q LEFT JOIN ranked t ON t.request_id = q.request_id AND t.rank <= t.n""",
         "recommend_from_sequence": f"""
             WITH {_CLICKS}, {_FACTORS}, {_ITEMS_PADDED}, {_sequence_scores(10)}
@@ -1152,12 +1276,22 @@ def oracle_sql() -> dict[str, str]:
               WHERE NOT list_contains(r.click_sequence, s.product_id))
             SELECT c_custkey AS request_id,
                    CASE WHEN r.user_id IS NOT NULL THEN c_custkey::VARCHAR END AS user_id,
-                   CASE WHEN r.user_id IS NOT NULL THEN (SELECT count(*) FROM padded) END
+                   CASE WHEN r.user_id IS NOT NULL THEN (SELECT count(*) FROM padded) ELSE 0 END
                      AS n_items,
                    CASE WHEN r.user_id IS NULL THEN 'click_sequence is required' END AS error,
-                   t.rank, t.product_id, t.score
+                   coalesce(t.rank, 0) AS rank, t.product_id, t.score
             FROM customer LEFT JOIN recent r ON r.user_id = c_custkey
             LEFT JOIN ranked t ON t.user_id = c_custkey AND t.rank <= 5""",
+        "retraining_runs": f"""
+            WITH {_CLICKS}, early AS (
+              SELECT * FROM clicks WHERE event_time < TIMESTAMP '{CUTOVER}'),
+            total AS (SELECT count(DISTINCT user_id) AS n_users,
+                             count(DISTINCT product_id) + 1 AS n_items, count(*) AS n_samples
+                      FROM clicks)
+            SELECT 'full' AS mode, count(DISTINCT user_id) AS n_users,
+                   count(DISTINCT product_id) + 1 AS n_items, count(*) AS n_samples FROM early
+            UNION ALL SELECT 'incremental', * FROM total
+            UNION ALL SELECT 'noop', * FROM total""",
         "model_info": """
             SELECT 'factor' AS model_type, count(*) AS n_users, count(*) AS n_items,
                    max(len(embedding))::BIGINT AS n_factors, false AS normalized

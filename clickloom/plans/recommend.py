@@ -12,6 +12,7 @@ from clickloom.plans.sequence_model import SequenceModel, recommend_from_sequenc
 
 EVENT_RECOMMENDATIONS = 5
 REQUEST_LIMIT = 5
+# Error texts of a response.
 USER_REQUIRED = "user_id is required"
 CLICKS_REQUIRED = "click_sequence is required"
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.times import normalize_timestamp
 from clickloom.plans import sequence_model as seq
 from clickloom.schemas import CLICKSTREAM
+from clickloom.session import materialize
 from clickloom.sources.files import archive, check_new_data
 from clickloom.sources.readers import read_json_lines
 
@@ -15,14 +16,18 @@ ROW = "_row"
 
 
 def training_events(spark: SparkSession, path: str) -> DataFrame:
-    """Click events with ISO or epoch times; rows keep file order where time is equal or missing."""
+    """Click events with ISO or epoch times; rows keep file order where time is equal or missing.
+
+    Training scans its events several times, so the text is parsed once and kept as a table.
+    """
     rows = read_json_lines(spark, path, CLICKSTREAM)
-    return rows.select(
+    events = rows.select(
         "user_id",
         "product_id",
         normalize_timestamp(F.col("timestamp")).alias("event_time"),
         F.monotonically_increasing_id().alias(ROW),
     )
+    return materialize(events, "training-events")
 
 
 def run_training(

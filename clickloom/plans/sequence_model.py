@@ -44,6 +44,7 @@ SEED = 42
 INIT_SCALE = 0.1
 INCREMENTAL_EPOCHS = 3
 INCREMENTAL_DECAY = 0.5
+# Fixed value: the type name stored with a model.
 MODEL_TYPE = "prio_clicks_aware_sequence"
 
 # Bounds that keep training stable.
