@@ -42,6 +42,7 @@ def encode_sequences(
     joined with the distinct item rows it mentions, so a popular item (padding
     above all) travels once per block and not once per click.
     """
+    items = items.filter(F.col("factor").isNotNull())
     size = measure(items, "product_id")
     schema = T.StructType(
         [

@@ -47,11 +47,14 @@ def broadcast_items(
 
 
 def as_matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Equal-length lists to a matrix with one row per list."""
+    """Lists to a matrix with one row per list; lists of different lengths are an error."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if not len(vectors):
         return np.empty((0, 0))
+    lengths = pc.min_max(pc.list_value_length(vectors)).as_py()
+    if vectors.null_count or lengths["min"] != lengths["max"]:
+        raise ValueError(f"vectors differ in length: {lengths}")
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
 
 

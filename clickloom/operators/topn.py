@@ -36,6 +36,7 @@ MAX_GROUPS = 20_000
 TILE_QUERIES, TILE_ITEMS = 512, 8_192
 # Multiply-adds of one task at most, and the least that is worth a task of its own.
 TASK_WORK, LEAST_WORK = 2.5e11, 1e9
+BLOCKS_PER_TASK = 4
 
 
 def top_n(
@@ -61,7 +62,7 @@ def top_n(
     of ``queries`` with a limit per row. Ties go to the smaller item id;
     ``digits`` rounds scores before they are ranked. With ``temperature`` the
     softmax probability over all candidates is added. Query ids and item ids
-    are unique. ``n_queries`` saves counting ``queries`` where that is costly.
+    are unique; rows without a vector are left out. ``n_queries`` saves counting ``queries`` where that is costly.
 
     Returns query, item, ``score``, ``rank`` (and ``probability``), or with
     ``lists`` one row per query with the array ``recs``, best first.
@@ -69,6 +70,8 @@ def top_n(
     if lists and temperature is not None:
         raise ValueError("lists carry no probability")
     spark = queries.sparkSession
+    queries = queries.filter(F.col(vector_col).isNotNull())
+    items = items.filter(F.col(vector_col).isNotNull())
     size = measure(items, item_col, vector_col)
     small = size.bytes <= broadcast_bytes
     limit = F.lit(n) if n_col is None else F.coalesce(F.col(n_col), F.lit(n))
@@ -117,11 +120,11 @@ def top_n(
         exclude = pairs.distinct()
         # Repeated pairs only make blocks finer, which is free while items are broadcast.
         n_pairs = (pairs if small else exclude).count()
+    # Blocks are hashed to partitions; several per task even out collisions.
     query_blocks = max(
         math.ceil(n_queries / queries_per_block),
         math.ceil(n_pairs / (PAIRS_PER_BLOCK * item_blocks)),
-        math.ceil(tasks / item_blocks),
-        1,
+        math.ceil(tasks * BLOCKS_PER_TASK / item_blocks) if tasks > 1 else 1,
     )
     qb, ib = _block(query_col, query_blocks, "_qb"), _block(item_col, item_blocks, "_ib")
     left = asked.select(

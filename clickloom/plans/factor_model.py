@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
@@ -42,27 +42,47 @@ class FactorModel:
     metadata: dict = field(default_factory=dict)
 
 
+@dataclass
+class IndexedRatings:
+    """Ratings with dense integer ids, and the ids of each key."""
+
+    ratings: DataFrame  # (_user INT, _item INT, rating)
+    users: DataFrame  # (user_id, index)
+    items: DataFrame  # (product_id, index)
+    blocks: int
+
+
+def index_ratings(ratings: DataFrame) -> IndexedRatings:
+    """Prepare ratings for the solver. A product that most users rated is salted in the join.
+
+    The ratings are scanned several times, so a costly plan should be materialized first.
+    """
+    rated = ratings.select("user_id", "product_id", "rating")
+    users = materialize(dense_index(rated, "user_id"), "user-index")
+    items = materialize(dense_index(rated, "product_id"), "item-index")
+    with_user = skew_join(
+        rated, users.withColumnRenamed("index", "_user"), "user_id", "inner",
+        hot_keys(rated, "user_id"),
+    )
+    with_both = skew_join(
+        with_user, items.withColumnRenamed("index", "_item"), "product_id", "inner",
+        hot_keys(rated, "product_id"),
+    )
+    indexed = with_both.select(F.col("_user").cast("int"), F.col("_item").cast("int"), "rating")
+    blocks = min(max(MIN_BLOCKS, math.ceil(rated.count() / RATINGS_PER_BLOCK)), MAX_BLOCKS)
+    return IndexedRatings(indexed, users, items, blocks)
+
+
 def train_factors(
-    ratings: DataFrame,
+    ratings: DataFrame | IndexedRatings,
     rank: int = RANK,
     epochs: int = EPOCHS,
     reg: float = REG,
     seed: int = 42,
-    user_col: str = "user_id",
-    item_col: str = "product_id",
 ) -> FactorModel:
     """Factor the ratings; unseen users and items simply have no row."""
-    spark = ratings.sparkSession
-    checkpoint_root(spark)
-    rated = materialize(ratings.select(user_col, item_col, "rating"), "ratings")
-    user_ids = materialize(dense_index(rated, user_col), "user-index")
-    item_ids = materialize(dense_index(rated, item_col), "item-index")
-    indexed = (
-        rated.join(user_ids.withColumnRenamed("index", "_user"), user_col)
-        .join(item_ids.withColumnRenamed("index", "_item"), item_col)
-        .select(F.col("_user").cast("int"), F.col("_item").cast("int"), "rating")
-    )
-    blocks = min(max(MIN_BLOCKS, math.ceil(rated.count() / RATINGS_PER_BLOCK)), MAX_BLOCKS)
+    data = ratings if isinstance(ratings, IndexedRatings) else index_ratings(ratings)
+    checkpoint_root(data.ratings.sparkSession)
     solver = ALS(
         rank=rank,
         maxIter=epochs,
@@ -71,11 +91,11 @@ def train_factors(
         userCol="_user",
         itemCol="_item",
         ratingCol="rating",
-        numUserBlocks=blocks,
-        numItemBlocks=blocks,
+        numUserBlocks=data.blocks,
+        numItemBlocks=data.blocks,
         coldStartStrategy="nan",
     )
-    solved = solver.fit(indexed)
+    solved = solver.fit(data.ratings)
 
     def named(factors: DataFrame, ids: DataFrame, key: str) -> DataFrame:
         vectors = factors.select(
@@ -85,8 +105,8 @@ def train_factors(
         return materialize(ids.join(vectors, "index").select(key, "factor"), f"{key}-factors")
 
     return FactorModel(
-        named(solved.userFactors, user_ids, user_col),
-        named(solved.itemFactors, item_ids, item_col),
+        named(solved.userFactors, data.users, "user_id"),
+        named(solved.itemFactors, data.items, "product_id"),
         {"n_factors": rank, "epochs_completed": epochs},
     )
 
@@ -132,11 +152,13 @@ def train_with_early_stopping(
     The solver cannot be paused, so each step trains from the same seed. Returns
     the best model and the (epochs, RMSE) history.
     """
+    indexed = index_ratings(train)
+    indexed = replace(indexed, ratings=materialize(indexed.ratings, "indexed-ratings"))
     best: FactorModel | None = None
     best_rmse, waited = float("inf"), 0
     history: list[tuple[int, float]] = []
     for epochs in grid:
-        model = train_factors(train, epochs=epochs, **params)
+        model = train_factors(indexed, epochs=epochs, **params)
         rmse = evaluate(model, validation).first()["rmse"]
         history.append((epochs, rmse))
         if best is None or rmse < best_rmse - min_delta:

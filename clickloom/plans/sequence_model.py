@@ -460,7 +460,9 @@ def _move(factors: np.ndarray, rows: np.ndarray, steps: np.ndarray, keep: float)
     if not len(rows):
         return
     order = np.argsort(rows, kind="stable")
-    touched, first, uses = np.unique(rows[order], return_index=True, return_counts=True)
+    ordered = rows[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    touched, uses = ordered[first], np.diff(first, append=len(ordered))
     summed = np.add.reduceat(steps[order], first, axis=0)
     moved = factors[touched] * (keep**uses)[:, None] + summed
     factors[touched] = np.clip(moved, -FACTOR_LIMIT, FACTOR_LIMIT)

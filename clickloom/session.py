@@ -18,6 +18,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # A task slot is one core; matrix products must not start more threads.
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
 }
 
 

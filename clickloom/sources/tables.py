@@ -10,7 +10,8 @@ FORMAT = "parquet"
 
 def _session_catalog(spark: SparkSession, name: str) -> bool:
     parts = name.split(".")
-    return len(parts) < 3 and spark.catalog.currentCatalog() == "spark_catalog"
+    catalog = parts[0] if len(parts) == 3 else spark.catalog.currentCatalog()
+    return catalog == "spark_catalog"
 
 
 def use_namespace(spark: SparkSession, name: str, create: bool = True) -> None:
@@ -54,7 +55,9 @@ def ensure_table(
 
 
 def append_table(df: DataFrame, name: str) -> DataFrame:
-    df.write.mode("append").insertInto(name)
+    """Append rows; columns are matched by name."""
+    table = df.sparkSession.table(name)
+    df.select(table.columns).write.mode("append").insertInto(name)
     return df.sparkSession.table(name)
 
 

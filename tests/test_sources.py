@@ -113,7 +113,8 @@ def test_ensure_table_keeps_rows(spark, folder):
         [("u", datetime(2024, 1, 1), datetime(2024, 1, 2), 7)], schemas.FRAUD_ATTEMPTS
     )
     tables.ensure_table(spark, name, schemas.FRAUD_ATTEMPTS, f"{folder}/t")
-    tables.append_table(row, name)
+    tables.append_table(row.select(*reversed(row.columns)), name)
+    assert tables.read_table(spark, name).first().event_count == 7
     assert tables.ensure_table(spark, name, schemas.FRAUD_ATTEMPTS, f"{folder}/t").count() == 1
     tables.drop_table(spark, name)
 

@@ -15,7 +15,7 @@ SEEN |= {("u7", p) for p in ITEMS}
 
 PATHS = {
     "broadcast": {},
-    "blocks": {"broadcast_bytes": 0, "items_per_block": 17, "queries_per_block": 9},
+    "blocks": {"broadcast_bytes": 0, "items_per_block": 31, "queries_per_block": 9},
     "one block": {"broadcast_bytes": 0},
 }
 
@@ -124,6 +124,16 @@ def test_no_items_no_queries(spark):
     assert top_n(queries.limit(0), items, lists=True).count() == 0
 
 
+@pytest.mark.parametrize("path", PATHS)
+def test_rows_without_vector_and_ragged_vectors(spark, path):
+    queries = vectors(spark, {**QUERIES, "empty": None}, "user_id")
+    items = vectors(spark, {**ITEMS, "none": None}, "product_id")
+    assert got(top_n(queries, items, 3, **PATHS[path])) == brute(3)
+    ragged = vectors(spark, {**ITEMS, "long": [1.0] * 5, "short": [1.0] * 3}, "product_id")
+    with pytest.raises(Exception, match="differ in length"):
+        top_n(queries, ragged, 3, **PATHS[path]).collect()
+
+
 @pytest.mark.parametrize("path", PATHS)
 def test_score_pairs_are_never_rows(spark, path):
     found = top_n(
