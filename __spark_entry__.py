@@ -7,6 +7,7 @@ products and ``embeddings`` every kind of vector (features and factors).
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 import uuid
@@ -1011,7 +1012,7 @@ scored AS (
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB statements over the same tables, column for column."""
-    return {
+    return _llm_sql() | {
         "fraud_windows": f"WITH {_CLICKS}, {_ALERTS} SELECT {_ALERT_COLUMNS} FROM alerts",
         "fraud_windows_short": f"""
             WITH {_CLICKS}, alerts AS (
@@ -1309,6 +1310,39 @@ SELECT strftime(signup_date, '%Y-%m') AS signup_month, count(*) AS count
 FROM users WHERE user_id NOT IN (SELECT user_id FROM alerts) GROUP BY 1"""
 
 
+# --------------------------------------------------------------------------
+# Training-data operators, a subpackage that may be absent
+# --------------------------------------------------------------------------
+
+
+def _optional(name: str):
+    """The module, or None where just it (or its package) is absent."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name and (name == error.name or name.startswith(f"{error.name}.")):
+            return None
+        raise
+
+
+def _llm_modules() -> tuple:
+    found = _optional("clickloom.llm.queries")
+    return found, _optional("corpus_pipeline") if found else None
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found, pipeline = _llm_modules()
+    own = found.queries() if found else {}
+    return own | ({"pipeline": pipeline.run} if pipeline else {})
+
+
+def _llm_sql() -> dict[str, str]:
+    found, pipeline = _llm_modules()
+    own = found.oracle_sql() if found else {}
+    sql = pipeline.ORACLE_SQL if pipeline else None
+    return own | ({"pipeline": sql} if sql else {})
+
+
 # --------------------------------------------------------------------------
 # Contract
 # --------------------------------------------------------------------------
@@ -1321,4 +1355,5 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query by name."""
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    return own | _llm_queries()
