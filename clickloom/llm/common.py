@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,28 +23,6 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.encode(text, "UTF-8")), F.lit(modulus)).cast("int")
 
 
-def map_rows(
-    frame: DataFrame, schema: str, rows: Callable[[dict[str, list]], Iterator[dict[str, list]]]
-) -> DataFrame:
-    """Run ``rows`` on each Arrow batch, columns as Python lists in and out."""
-    arrow = _arrow_schema(frame, schema)
-
-    def run(batches):
-        for batch in batches:
-            for out in rows(batch.to_pydict()):
-                arrays = [pa.array(out[f.name], f.type) for f in arrow]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
-
-    return frame.mapInArrow(run, schema)
-
-
-def _arrow_schema(frame: DataFrame, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    return to_arrow_schema(_parse_datatype_string(schema))
-
-
 def drop_listed(docs: DataFrame, dropped: DataFrame, id_col: str = ID) -> DataFrame:
     """``docs`` without the rows whose id is listed; rows without id stay.
 
@@ -55,4 +30,4 @@ def drop_listed(docs: DataFrame, dropped: DataFrame, id_col: str = ID) -> DataFr
     where the measured list is small.
     """
     listed = dropped.select(F.col(id_col).alias("_listed")).distinct()
-    return docs.join(listed, docs[id_col] == F.col("_listed"), "left_anti")
+    return docs.join(listed, docs[id_col] == listed["_listed"], "left_anti")

@@ -86,6 +86,7 @@ def token_pieces(
 # --------------------------------------------------------------------------
 
 
+RESULT = ("sequence_id", "offset")
 TAIL = 10_000  # documents left from which on one plan, of at most as many rows, ends the job
 
 
@@ -275,8 +276,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, ties: tuple[str, ...] = (I
 
     Each sequence holds its pieces without gaps from 0. Rows that are alike in
     ``ties`` and length are packed as separate pieces; no rows give no rows.
+    Columns named like the results are replaced, those with a leading
+    underscore are dropped.
     """
-    names = pieces.columns
+    names = [c for c in pieces.columns if c not in RESULT and not c.startswith("_")]
+    pieces = pieces.select(*names)
     docs, runs = _sorted_positions(pieces, "length", *ties, label="pack-pieces", descending=True)
     if runs and not 1 <= runs[-1][0] <= runs[0][0] <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
@@ -323,7 +327,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, ties: tuple[str, ...] = (I
         gap_runs = [Gap(*run) for run in found]
     if not placed:
         empty = pieces.limit(0)
-        for name in ("sequence_id", "offset"):
+        for name in RESULT:
             empty = empty.withColumn(name, F.lit(0).cast("long"))
         return empty
     result = placed[0]

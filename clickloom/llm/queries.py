@@ -5,11 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, exact_dedup, packing, simhash
-from clickloom.llm.common import table
+from clickloom.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    langid,
+    license_scan,
+    packing,
+    secret_scan,
+    simhash,
+    toxicity,
+    warc,
+)
+from clickloom.llm.common import remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+TOXIC_FROM = 0.7
+DAMAGED = 97  # one page in so many is damaged in the audited replica
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -18,11 +31,29 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID)
     return packing.pack(pieces)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 3) == 1
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic IS NOT NULL")
+    learn = docs.select("doc_id", "text").where(~held_out).join(labels, "doc_id")
+    scored = toxicity.score(docs, toxicity.fit(learn))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The operator leaves unique texts unhashed; the digest column fills that in."""
     docs = table(spark, sf_dir, "documents")
@@ -32,6 +63,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.LEARNED)
+    count = [
+        F.size(F.filter("spans", lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}")
+        for kind in secret_scan.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *count,
+        F.sha2(F.encode(secret_scan.span_text(base), "UTF-8"), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
     return coded.select(
@@ -51,6 +101,25 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit a replica of the pages in which some pages have lost a byte or are gone."""
+    pages = table(spark, sf_dir, "pages")
+    fate = F.pmod(F.crc32(F.encode(F.col("page_id").cast("string"), "UTF-8")), F.lit(DAMAGED))
+    primary = warc.to_archive(pages)
+    cut = F.overlay(F.col("html"), F.lit("?"), F.greatest(F.length("html") / 2, F.lit(1)).cast("int"))
+    replica = warc.to_archive(pages.withColumn("html", F.when(fate == 0, cut).otherwise(F.col("html"))))
+    return warc.audit(primary, replica)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    found = langid.identify(docs, langid.fit(docs.where(~held_out)))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected"
+    )
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
