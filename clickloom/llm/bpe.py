@@ -1,6 +1,6 @@
 """BPE encoding by a depth-first walk of the trie of distinct words, and decoding.
 
-Every task walks its own words: the distinct words of an Arrow batch are
+Every task walks its own words: the new words of an Arrow batch are
 sorted, which is the depth-first order of their trie, and each prefix carries
 one state, the last token of its encoding. The state of a longer prefix is the
 one token that ends it and may follow the state in front of that token, so a
@@ -12,6 +12,7 @@ worker remembers at most ``MEMORY`` words and starts over when it is full.
 from __future__ import annotations
 
 import json
+import os
 import re
 from functools import cache
 from itertools import chain
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import ID, TEXT, text_or_empty
 
-MEMORY = 500_000
-CHUNK = 256
+MEMORY = 700_000
+CHUNK = 512
 
 
 def _sizes(tokens) -> dict[str, tuple[int, ...]]:
@@ -134,67 +135,65 @@ class WordTrie:
 
 
 class Encoder:
-    """Texts to ids and back; equal to the library's result without special tokens added."""
+    """Texts to ids and back; equal to the library's result without special tokens added.
 
-    # Printable ASCII words only: the vocabulary's own splitting rule without its other letters.
-    PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-    SEPARATORS = "\x1c\x1d\x1e\x1f"
+    Texts of printable ASCII and precomposed Latin letters, which the library's
+    normalisation only lowers, are cut into words at white space and those into
+    pieces by one regular expression; any other text is cut by the library.
+    """
+
+    LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff\u0100-\u017f"
+    PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
+    ODD = re.compile(
+        "[^\t\n\v\f\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u0100-\u012f\u0131-\u017f]"
+    )
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        model, library = spec["model"], Tokenizer.from_file(path)
-        self.trie = WordTrie(model["vocab"], model["merges"], model["end_of_word_suffix"])
-        self.normalise = library.normalizer.normalize_str
-        self.split = library.pre_tokenizer.pre_tokenize_str
+        self.library, self.model = Tokenizer.from_file(path), spec["model"]
+        self.library.no_truncation()
+        self.library.no_padding()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        size = max(chain(model["vocab"].values(), self.special.values())) + 1
-        self.tokens = [""] * size
-        for token, i in chain(model["vocab"].items(), self.special.items()):
+        vocab = self.model["vocab"]
+        self.tokens = [""] * (max(chain(vocab.values(), self.special.values())) + 1)
+        for token, i in chain(vocab.items(), self.special.items()):
             self.tokens[i] = token
         self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def words(self, text: str) -> list[str]:
-        """Cut at white space, which no token crosses."""
-        if any(c in text for c in self.SEPARATORS):  # str.split() alone takes them for spaces
-            return re.findall(r"[^ \t\n\v\f\r]+", text)
-        return text.split()
-
-    def _pieces(self, word: str) -> list[str | bytes]:
-        if word.isascii() and word.isprintable() and "<|" not in word:
-            return self.PLAIN.findall(word.lower())
-        pieces: list[str | bytes] = []
-        for part in self.marks.split(word):
-            if part in self.special:
-                pieces.append(pack("<I", self.special[part]))
-            elif part:
-                pieces += [p for p, _ in self.split(self.normalise(part))]
-        return pieces
-
-    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
-        """The ids of each word of the batch."""
-        if len(self.known) > MEMORY:
-            self.known = {}
-        known = self.known
-        new = {w: self._pieces(w) for w in set().union(*texts) if w not in known}
-        if len(self.parts) > MEMORY:
-            self.parts = {}
-        ids = self.parts
-        ids |= self.trie.encode(
-            {p for ps in new.values() for p in ps if isinstance(p, str) and p not in ids}
-        )
-        for word, pieces in new.items():
-            known[word] = b"".join([ids[p] if isinstance(p, str) else p for p in pieces])
-        return known
+        self.pieces: dict[str, bytes] = {}
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        raise NotImplementedError
+
+    def _odd(self, text: str) -> bytes:
+        raise NotImplementedError
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.words(t) for t in texts]
-        known = self.learn(cut)
-        return [b"".join([known[w] for w in words]) for words in cut]
+        """The ids of each text, as little-endian 32-bit numbers."""
+        odd, marks = self.ODD, tuple(self.special)
+        cut = [
+            None if odd.search(t) or any(m in t for m in marks) else t.split() for t in texts
+        ]
+        words = self._words(set().union(*[own for own in cut if own]))
+        return [
+            self._odd(text) if own is None else b"".join(map(words.__getitem__, own))
+            for text, own in zip(texts, cut)
+        ]
+
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words between white space, which no piece crosses."""
+        if len(self.known) > MEMORY or len(self.pieces) > MEMORY:
+            self.known, self.pieces = {}, {}
+        known, pieces = self.known, self.pieces
+        cut = {w: self.PIECE.findall(w.lower()) for w in words if w not in known}
+        new = list({p for own in cut.values() for p in own if p not in pieces})
+        pieces.update(zip(new, self._learn(new)))
+        for word, own in cut.items():
+            known[word] = pieces[own[0]] if len(own) == 1 else b"".join([pieces[p] for p in own])
+        return known
 
     def decode(self, ids) -> str:
         """As the library does without a decoder: the tokens with a space between them."""
@@ -202,10 +201,60 @@ class Encoder:
         return " ".join([tokens[i] for i in ids])
 
 
+class TrieEncoder(Encoder):
+    """New pieces are encoded along their trie."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        model = self.model
+        self.trie = WordTrie(model["vocab"], model["merges"], model["end_of_word_suffix"])
+        self.split = self.library.pre_tokenizer.pre_tokenize_str
+        self.normalise = self.library.normalizer.normalize_str
+        self.byte_letters = str.maketrans(_byte_letters())
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        letters = [
+            p if p.isascii() else p.encode().decode("latin-1").translate(self.byte_letters)
+            for p in pieces
+        ]
+        ids = self.trie.encode(set(letters))
+        return [ids[x] for x in letters]
+
+    def _odd(self, text: str) -> bytes:
+        out: list[str | bytes] = []
+        for part in self.marks.split(text):
+            if part in self.special:
+                out.append(pack("<I", self.special[part]))
+            elif part:
+                out += [p for p, _ in self.split(self.normalise(part))]
+        ids = self.trie.encode({p for p in out if isinstance(p, str)})
+        return b"".join([ids[p] if isinstance(p, str) else p for p in out])
+
+
+class LibraryEncoder(Encoder):
+    """New pieces are encoded by the library, in one call per batch."""
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        return [pack(f"<{len(f.ids)}I", *f.ids) for f in found]
+
+    def _odd(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if printable, else the next one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kind: type[Encoder] = TrieEncoder) -> Encoder:
     """One per worker process."""
-    return Encoder(path)
+    return kind(path)
 
 
 def encode_decode(

@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.bpe import CHUNK, encoder
+from clickloom.llm.bpe import CHUNK, LibraryEncoder, encoder
 from clickloom.llm.common import ID, TEXT, text_or_empty
 from clickloom.session import materialize
 
@@ -51,7 +52,7 @@ def token_pieces(
     step = 4 * capacity
 
     def run(batches):
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, LibraryEncoder)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
@@ -280,7 +281,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, ties: tuple[str, ...] = (I
     underscore are dropped.
     """
     names = [c for c in pieces.columns if c not in RESULT and not c.startswith("_")]
-    pieces = pieces.select(*names)
+    pieces = materialize(pieces.select(*names), "pack-input")  # the range sort reads it twice
     docs, runs = _sorted_positions(pieces, "length", *ties, label="pack-pieces", descending=True)
     if runs and not 1 <= runs[-1][0] <= runs[0][0] <= capacity:
         raise ValueError(f"lengths must be from 1 to {capacity}")
@@ -292,22 +293,25 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, ties: tuple[str, ...] = (I
         fits, opens = sweep(left, gap_runs, capacity)
         old = [p for p in fits if not p.fresh]
         fresh = [p for p in fits if p.fresh] + opens
+        moved = []
         if old:
             place = gaps.select(F.col("_pos").alias("_gap_pos"), "_seq", "_used")
-            placed.append(
+            moved.append(
                 _moved(docs, old)
                 .join(place, F.col("_at") == F.col("_gap_pos"))
                 .withColumn("sequence_id", F.col("_seq"))
                 .withColumn("offset", F.col("_used") + F.col("_shift"))
-                .select(*names, "sequence_id", "offset")
+                .select(*names, *RESULT)
             )
         if fresh:
-            placed.append(
+            moved.append(
                 _moved(docs, fresh)
                 .withColumn("sequence_id", F.col("_at"))
                 .withColumn("offset", F.col("_shift"))
-                .select(*names, "sequence_id", "offset")
+                .select(*names, *RESULT)
             )
+        if moved:
+            placed.append(materialize(_union(moved), "pack-placed"))
         smallest = min((s for s, (first, end) in left.items() if first < end), default=None)
         if smallest is None:
             break
@@ -315,8 +319,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, ties: tuple[str, ...] = (I
         if opens:
             opened = _moved(docs, opens)
             after.append(opened.select(F.col("_at").alias("_seq"), F.col("length").alias("_used")))
-        table = after[0] if len(after) == 1 else after[0].unionByName(after[1])
-        table = table.withColumn("_gap", F.lit(capacity) - F.col("_used"))
+        table = _union(after).withColumn("_gap", F.lit(capacity) - F.col("_used"))
         gaps, found = _sorted_positions(
             table.where(F.col("_gap") >= smallest),
             "_gap",
@@ -330,10 +333,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, ties: tuple[str, ...] = (I
         for name in RESULT:
             empty = empty.withColumn(name, F.lit(0).cast("long"))
         return empty
-    result = placed[0]
-    for more in placed[1:]:
-        result = result.unionByName(more)
-    return result
+    return _union(placed)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _shrunk(gaps: DataFrame, moves: list[Interval]) -> DataFrame:
