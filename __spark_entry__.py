@@ -315,7 +315,7 @@ def q_csv_roundtrip(spark, sf):
     """Header, no schema: all columns come back as text."""
     path = _write_csv(_table(spark, sf, "customer"), scratch_path(spark, "csv"))
     rows = readers.read_csv(spark, path)
-    return rows.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return rows.withColumn("c_acctbal", F.round(F.col("c_acctbal").cast("double"), 2))
 
 
 def q_csv_inferred(spark, sf):
@@ -331,7 +331,7 @@ def _write_clicks(spark: SparkSession, sf: str, label: str) -> str:
 
 def q_json_roundtrip(spark, sf):
     path = _write_clicks(spark, sf, "json")
-    rows = readers.read_clickstream(spark, f"{path}/clickstream-all.json", file_glob="*.json")
+    rows = readers.read_clickstream(spark, f"{path}/clickstream-all.json")
     return rows.select("user_id", "product_id", "event_type", _text("event_time"))
 
 
@@ -350,10 +350,75 @@ def _broken_lines(spark: SparkSession, sf: str) -> str:
 
 def q_malformed_json(spark, sf):
     path = _broken_lines(spark, sf)
-    rows = readers.read_clickstream(spark, path, file_glob=None)
+    rows = readers.read_clickstream(spark, path)
     return rows.select("user_id", "product_id", "event_type", _text("event_time"))
 
 
+def q_clickstream_path_filter(spark, sf):
+    """A mixed folder: named files, a folder named like one, and files of another kind."""
+    base = scratch_path(spark, "mixed")
+    lines = _click_lines(spark, sf)
+    for kind, place in (
+        ("view", "clickstream-1.json"),
+        ("click", "2024/clickstream-2.json"),
+        ("purchase", "other.json"),
+    ):
+        lines.filter(F.col("event_type") == kind).write.json(f"{base}/{place}")
+    text = files.to_json_rows(lines.filter(F.col("event_type") == "error"))
+    text.write.text(f"{base}/clickstream-3.txt")
+    paths = [f"{base}/*", f"{base}/2024/*"]
+    rows = readers.read_clickstream(spark, paths, path_pattern=readers.CLICKSTREAM_PATHS)
+    return rows.select("user_id", "product_id", "event_type", _text("event_time"))
+
+
+def q_staged_reread(spark, sf):
+    """What staging and merging wrote, read back by the reader's defaults."""
+    base = scratch_path(spark, "reread")
+    _click_lines(spark, sf).write.json(f"{base}/in/clickstream-1.json")
+    files.stage(spark, f"{base}/in", f"{base}/out", groups=("clickstream",))
+    parts = [
+        readers.read_clickstream(spark, f"{base}/out/clickstream/{place}").select(
+            F.lit(place).alias("place"), "user_id", "product_id", _text("event_time")
+        )
+        for place in ("merged", "individual")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def q_training_bad_lines(spark, sf):
+    """Lines a training run would read, and the broken ones that make it fail."""
+    path = _broken_lines(spark, sf)
+    good, bad = readers.count_lines(spark, path, schemas.CLICKSTREAM)
+    return spark.createDataFrame([(good, bad)], "n_good long, n_broken long")
+
+
+def q_input_fallback(spark, sf):
+    """Of several places only the last holds input."""
+    base = scratch_path(spark, "fallback")
+    _click_lines(spark, sf).write.json(f"{base}/staged/clickstream-1.json")
+    found = readers.first_existing(
+        spark, [f"{base}/clickstream.json", f"{base}/new-*.json", f"{base}/staged/clickstream-*"]
+    )
+    rows = readers.read_clickstream(spark, found)
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_merge_report(spark, sf):
+    """Two inputs of the same name in different folders, and what the merge says of them."""
+    base = scratch_path(spark, "merge-report")
+    lines = _click_lines(spark, sf)
+    for kind in ("view", "error"):
+        chosen = lines.filter(F.col("event_type") == kind)
+        chosen.coalesce(1).write.json(f"{base}/{kind}/clickstream-1.json")
+    paths = [f"{base}/{kind}/clickstream-1.json" for kind in ("view", "error")]
+    report = files.merge_clickstream(spark, paths, f"{base}/merged")
+    return report.select(
+        F.regexp_extract("source", r"/(view|error)/", 1).alias("kind"),
+        "records",
+        F.array_join("sample_keys", ",").alias("sample_keys"),
+    )
+
+
 def q_malformed_json_kept(spark, sf):
     path = _broken_lines(spark, sf)
     rows = readers.read_json_lines(spark, path, schemas.CLICKSTREAM, bad_records="null")
@@ -435,7 +500,10 @@ def q_archived_records(spark, sf):
 
 def q_json_rows(spark, sf):
     return files.to_json_rows(
-        _table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+        _table(spark, sf, "customer").select(
+            "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+            F.round("c_acctbal", 2).cast("decimal(12,2)").cast("string").alias("c_acctbal"),
+        )
     )
 
 
@@ -530,6 +598,16 @@ def q_rating_stats(spark, sf):
     )
 
 
+def q_value_stats(spark, sf):
+    """Values that hardly repeat, so the median is found among many ranges."""
+    prices = _table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("rating"))
+    stats = ratings.rating_stats(prices)
+    return stats.select(
+        "n_ratings", "rating_min", "rating_max", F.round("rating_mean", 2).alias("rating_mean"),
+        "rating_median", F.round("rating_std", 2).alias("rating_std"),
+    )
+
+
 def q_ratings_normalized(spark, sf):
     scaled = ratings.normalize_ratings(_ratings(spark, sf))
     return scaled.select("user_id", "product_id", _rounded("rating"))
@@ -566,6 +644,39 @@ def q_click_sequences(spark, sf):
     )
 
 
+def _hot_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks where user 0 holds half of the rows, most of them at one instant or without time."""
+    kind = F.col("event_id") % 6
+    time = (
+        F.when(kind == 0, F.lit("2024-01-05 00:00:00").cast("timestamp"))
+        .when(kind == 1, F.lit(None))
+        .otherwise(F.col("event_time"))
+    )
+    return _clicks(spark, sf).select(
+        "event_id",
+        F.when(kind < 3, F.lit(0)).otherwise(F.col("user_id")).cast("long").alias("user_id"),
+        "product_id",
+        time.alias("event_time"),
+    )
+
+
+def q_click_sequences_hot(spark, sf):
+    found = sequences.click_sequences(
+        _hot_clicks(spark, sf), tie_cols=("event_id",), hot_rows=1_000
+    )
+    return found.select(
+        "event_id", "user_id", F.array_join("sequence", ",").alias("sequence"), "target"
+    )
+
+
+def q_click_sequences_long(spark, sf):
+    """Sequences of at most three clicks from histories that are longer."""
+    found = sequences.click_sequences(_clicks(spark, sf), 3, tie_cols=("event_id",))
+    return found.select(
+        "event_id", "user_id", F.array_join("sequence", ",").alias("sequence"), "target"
+    )
+
+
 def q_recent_clicks(spark, sf):
     recent = sequences.recent_clicks(_clicks(spark, sf), 5, tie_cols=("event_id",))
     return recent.select("user_id", F.concat_ws(",", "click_sequence").alias("click_sequence"))
@@ -770,6 +881,26 @@ def q_recommend_from_sequence(spark, sf):
     return _ranked(found.withColumnRenamed("request_id", "user_id"), "user_id", "product_id")
 
 
+def q_recommend_unknown_sequences(spark, sf):
+    """Clicks on nothing the model knows: every product ties, the smallest ids win."""
+    users = _clicks(spark, sf).select("user_id").distinct()
+    requests = users.select(
+        F.col("user_id").alias("request_id"), F.array(F.lit("unknown")).alias("click_sequence")
+    )
+    model = _embedding_sequence_model(spark, sf)
+    model = sequence_model.SequenceModel(
+        model.items.withColumn(
+            "factor",
+            F.when(
+                F.col("product_id") == click_fn.PAD, F.transform("factor", lambda x: x * 0)
+            ).otherwise(F.col("factor")),
+        ),
+        model.users, model.weights, model.metadata,
+    )
+    found = sequence_model.recommend_from_sequence(model, materialize(requests, "requests"), n=5)
+    return _ranked(found.withColumnRenamed("request_id", "user_id"), "user_id", "product_id")
+
+
 def q_serve_sequence_batch(spark, sf):
     """Users of orders ask with their last three clicks; customers without clicks cannot."""
     recent = sequences.recent_clicks(_clicks(spark, sf), 3, tie_cols=("event_id",))
@@ -814,43 +945,115 @@ def q_model_roundtrip(spark, sf):
 
 
 def q_mf_metrics(spark, sf):
-    model, _ = _trained_factors(spark, sf)
+    """Counts and bounds of a trained model, and that it predicts no worse than the mean."""
+    model, train = _trained_factors(spark, sf)
     path = scratch_path(spark, "model")
     factor_model.save_model(model, path)
-    return model_info(spark, path, schemas.FACTOR_MODEL_METADATA).drop("version", "last_updated")
+    info = model_info(spark, path, schemas.FACTOR_MODEL_METADATA)
+    _, test = ratings.split(ratings.normalize_ratings(_ratings(spark, sf)))
+    constant = test.withColumn("prediction", F.lit(model.metadata["rating_offset"]))
+    mean_rmse = metrics.error_metrics(constant).first()["rmse"]
+    return info.select(
+        "model_type", "n_users", "n_items", "n_factors", "training_samples", "test_samples",
+        "epochs_completed", "rating_min", "rating_max", "normalized",
+        _rounded("rating_offset"),
+        (F.col("rmse") <= F.lit(mean_rmse * 1.005)).alias("as_good_as_mean"),
+    )
+
+
+def _list_facts(found: DataFrame, unwanted: DataFrame, items: DataFrame) -> DataFrame:
+    """Per user: length of the list, whether it is in order, known and free of unwanted items."""
+    pair = ["user_id", "product_id"]
+    marked = (
+        found.join(unwanted.select(*pair).distinct().withColumn("_bad", F.lit(1)), pair, "left")
+        .join(items.select("product_id", F.lit(1).alias("_known")), "product_id", "left")
+    )
+    entry = F.struct("rank", -F.col("score"), "product_id")
+    best = F.struct(-F.col("score"), "product_id")
+    listed = lambda e: F.transform(F.sort_array(F.collect_list(e)), lambda x: x["product_id"])
+    return marked.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_items"),
+        (listed(entry) == listed(best)).alias("in_order"),
+        F.count("_bad").alias("n_unwanted"),
+        F.count("_known").alias("n_known"),
+    )
 
 
 def q_mf_top_n(spark, sf):
+    """Facts about each user's list that hold for any trained vectors."""
     model, train = _trained_factors(spark, sf)
     found = factor_model.recommend_top_n(
         model, n=5, exclude=train.select("user_id", "product_id")
     )
-    return _ranked(found, "user_id", "product_id")
+    return _list_facts(found, train, model.items)
 
 
 def q_mf_early_stopping(spark, sf):
-    """Validation RMSE by number of iterations, up to the one that no longer helps."""
+    """Iteration counts are tried in order until the error no longer falls; the best one is kept."""
     scaled = materialize(ratings.normalize_ratings(_ratings(spark, sf)), "ratings")
     train, test = ratings.split(scaled)
-    _, history = factor_model.train_with_early_stopping(train, test)
-    return spark.createDataFrame(history, "epochs int, rmse double")
+    grid, patience = (1, 2, 4), 1
+    model, history = factor_model.train_with_early_stopping(train, test, grid, patience)
+    errors = [rmse for _, rmse in history]
+    best = next(e for e, rmse in history if rmse == min(errors))
+    rose = next((i for i in range(1, len(errors)) if errors[i] >= min(errors[:i]) - 1e-4), None)
+    stops = len(errors) == (len(grid) if rose is None else rose + 1)
+    facts = (
+        [e for e, _ in history] == list(grid[: len(history)]),
+        stops,
+        abs(dict(history)[model.metadata["epochs_completed"]] - dict(history)[best]) <= 1e-4,
+    )
+    counts = train.select(F.lit("train").alias("part")).unionByName(
+        test.select(F.lit("test").alias("part"))
+    )
+    return counts.groupBy("part").agg(F.count(F.lit(1)).alias("n_ratings")).select(
+        "part", "n_ratings",
+        *[F.lit(f).alias(n) for f, n in zip(facts, ("tried_in_order", "stopped_in_time", "kept_best"))],
+    )
+
+
+# Rates at which the loss falls on the test tables.
+SEQ_TRAINING = {"lr": 0.3, "reg": 0.0001, "epochs": 4, "patience": None}
 
 
 def _trained_sequences(spark: SparkSession, sf: str, events: DataFrame | None = None):
     return sequence_model.train_sequence_model(
-        _clicks(spark, sf) if events is None else events, tie_cols=("event_id",)
+        _clicks(spark, sf) if events is None else events, tie_cols=("event_id",), **SEQ_TRAINING
     )
 
 
 def q_seq_train_history(spark, sf):
-    return sequence_model.training_history(_trained_sequences(spark, sf))
+    """From the given vectors, with one step per worker: the first epoch's loss is known."""
+    clicks = _clicks(spark, sf)
+    given = _embedding_sequence_model(spark, sf)
+    given.metadata |= {
+        "seed": 42, "learning_rate": 0.01, "regularization": 0.0, "history": [],
+        "total_training_samples": 0,
+    }
+    known = clicks.join(given.items.select("product_id"), "product_id", "left_semi")
+    model = sequence_model.update_sequence_model(
+        given, known, epochs=1, decay=1.0, tie_cols=("event_id",), batch=1 << 40
+    )
+    history = sequence_model.training_history(model)
+    learned = _trained_sequences(spark, sf).metadata["history"]
+    return history.select(
+        "epoch",
+        _rounded("loss"),
+        F.lit(model.metadata["total_training_samples"]).cast("long").alias("n_clicks"),
+        F.lit(all(b < a for a, b in zip(learned, learned[1:]))).alias("loss_falls"),
+    )
 
 
 def q_seq_top_n(spark, sf):
+    """Facts about each user's list that hold for any trained vectors."""
     recent = sequences.recent_clicks(_clicks(spark, sf), tie_cols=("event_id",))
     requests = materialize(recent.withColumnRenamed("user_id", "request_id"), "requests")
-    found = sequence_model.recommend_from_sequence(_trained_sequences(spark, sf), requests, n=5)
-    return _ranked(found.withColumnRenamed("request_id", "user_id"), "user_id", "product_id")
+    model = _trained_sequences(spark, sf)
+    found = sequence_model.recommend_from_sequence(model, requests, n=5)
+    padding = requests.select(
+        F.col("request_id").alias("user_id"), F.lit(click_fn.PAD).alias("product_id")
+    )
+    return _list_facts(found.withColumnRenamed("request_id", "user_id"), padding, model.items)
 
 
 def q_seq_incremental(spark, sf):
@@ -865,7 +1068,11 @@ def q_seq_incremental(spark, sf):
     info = model_info(spark, path, schemas.SEQUENCE_MODEL_METADATA)
     return info.select(
         "model_type", "n_users", "n_items", "n_factors", "sequence_length",
-        "epochs_completed", "final_loss", "training_mode", "total_training_samples",
+        "epochs_completed", "training_mode", "total_training_samples",
+        (F.element_at("history", SEQ_TRAINING["epochs"]) < F.get("history", F.lit(0))).alias(
+            "first_run_learned"
+        ),
+        (F.element_at("history", -1) < F.get("history", F.lit(0))).alias("update_kept_it"),
     )
 
 
@@ -1070,7 +1277,7 @@ def oracle_sql() -> dict[str, str]:
             FROM part""",
         "csv_roundtrip": """
             SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey,
-                   c_mktsegment FROM customer""",
+                   round(c_acctbal, 2) AS c_acctbal, c_mktsegment FROM customer""",
         "csv_inferred": """
             SELECT c_custkey::INTEGER AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
             FROM customer""",
@@ -1082,6 +1289,22 @@ def oracle_sql() -> dict[str, str]:
             WITH {_CLICKS} SELECT user_id::VARCHAR AS user_id, product_id, event_type,
               strftime(date_trunc('millisecond', event_time), {_STAMP}) AS event_time
             FROM clicks WHERE event_type <> 'error'""",
+        "clickstream_path_filter": f"""
+            WITH {_CLICKS} SELECT user_id::VARCHAR AS user_id, product_id, event_type,
+              strftime(date_trunc('millisecond', event_time), {_STAMP}) AS event_time
+            FROM clicks WHERE event_type IN ('view', 'click')""",
+        "staged_reread": f"""
+            WITH {_CLICKS} SELECT place, user_id::VARCHAR AS user_id, product_id,
+              strftime(date_trunc('millisecond', event_time), {_STAMP}) AS event_time
+            FROM clicks, (VALUES ('merged'), ('individual')) AS places(place)""",
+        "training_bad_lines": """
+            SELECT count(*) FILTER (event_type <> 'error') AS n_good,
+                   count(*) FILTER (event_type = 'error') AS n_broken FROM events""",
+        "input_fallback": "SELECT event_type, count(*) AS n_rows FROM events GROUP BY 1",
+        "merge_report": """
+            SELECT event_type AS kind, count(*) AS records,
+                   'timestamp,user_id,product_id,event_type' AS sample_keys
+            FROM events WHERE event_type IN ('view', 'error') GROUP BY 1""",
         "malformed_json_kept": """
             SELECT (event_type = 'error')::INTEGER AS is_broken, count(*) AS n_rows,
                    count(CASE WHEN event_type <> 'error' THEN 1 END) AS n_typed
@@ -1111,7 +1334,8 @@ def oracle_sql() -> dict[str, str]:
             FROM events""",
         "json_rows": """
             SELECT to_json(struct_pack(c_custkey := c_custkey, c_name := c_name,
-                                       c_nationkey := c_nationkey))::VARCHAR AS value
+                     c_nationkey := c_nationkey, c_mktsegment := c_mktsegment,
+                     c_acctbal := c_acctbal::DECIMAL(12, 2)::VARCHAR))::VARCHAR AS value
             FROM customer""",
         "inspect_events": f"""
             SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
@@ -1145,6 +1369,12 @@ def oracle_sql() -> dict[str, str]:
                    max(rating) AS rating_max, round(avg(rating), 6) AS rating_mean,
                    median(rating) AS rating_median, round(stddev_samp(rating), 6) AS rating_std
             FROM ratings""",
+        "value_stats": """
+            SELECT count(*) AS n_ratings, min(l_extendedprice) AS rating_min,
+                   max(l_extendedprice) AS rating_max, round(avg(l_extendedprice), 2) AS rating_mean,
+                   median(l_extendedprice) AS rating_median,
+                   round(stddev_samp(l_extendedprice), 2) AS rating_std
+            FROM lineitem""",
         "ratings_normalized": f"""
             WITH {_CLICKS}, {_SCALED}
             SELECT user_id, product_id, round(rating, 6) AS rating FROM scaled""",
@@ -1164,6 +1394,31 @@ def oracle_sql() -> dict[str, str]:
         "click_sequences": f"""
             WITH {_CLICKS}, {_SEQUENCES}
             SELECT event_id, user_id, array_to_string(seq, ',') AS sequence, target FROM seqs""",
+        "click_sequences_hot": """
+            WITH clicks AS (
+              SELECT event_id, json_extract_string(props, '$.k') AS product_id,
+                     CASE WHEN event_id % 6 < 3 THEN 0 ELSE user_id END AS user_id,
+                     CASE event_id % 6 WHEN 0 THEN TIMESTAMP '2024-01-05 00:00:00'
+                       WHEN 1 THEN NULL ELSE ts END AS event_time
+              FROM events),
+            histories AS (
+              SELECT event_id, user_id, lead(product_id) OVER w AS target,
+                     list(product_id) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS h
+              FROM clicks
+              WINDOW w AS (PARTITION BY user_id ORDER BY event_time NULLS LAST, event_id))
+            SELECT event_id, user_id, target,
+                   array_to_string(list_concat(
+                     list_transform(range(10 - len(h)), lambda x: '<PAD>'), h), ',') AS sequence
+            FROM histories WHERE target IS NOT NULL""",
+        "click_sequences_long": f"""
+            WITH {_CLICKS}, histories AS (
+              SELECT event_id, user_id, lead(product_id) OVER w AS target,
+                     list(product_id) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS h
+              FROM clicks WINDOW w AS (PARTITION BY user_id ORDER BY event_time, event_id))
+            SELECT event_id, user_id, target,
+                   array_to_string(list_concat(
+                     list_transform(range(3 - len(h)), lambda x: '<PAD>'), h), ',') AS sequence
+            FROM histories WHERE target IS NOT NULL""",
         "recent_clicks": f"""
             WITH {_CLICKS}, {_recent_sql(5)}
             SELECT user_id, array_to_string(click_sequence, ',') AS click_sequence FROM recent""",
@@ -1267,6 +1522,11 @@ def oracle_sql() -> dict[str, str]:
             FROM scored
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, product_id) <= 5
             """,
+        "recommend_unknown_sequences": f"""
+            WITH {_FACTORS}, best AS (
+              SELECT product_id, row_number() OVER (ORDER BY product_id) AS rank FROM items)
+            SELECT user_id, product_id, rank, 0.0::DOUBLE AS score
+            FROM (SELECT DISTINCT user_id FROM events), best WHERE rank <= 5""",
         "serve_sequence_batch": f"""
             WITH {_CLICKS}, {_FACTORS}, {_ITEMS_PADDED}, {_sequence_scores(3)},
             ranked AS (
@@ -1283,6 +1543,61 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(t.rank, 0) AS rank, t.product_id, t.score
             FROM customer LEFT JOIN recent r ON r.user_id = c_custkey
             LEFT JOIN ranked t ON t.user_id = c_custkey AND t.rank <= 5""",
+        "mf_metrics": f"""
+            WITH {_CLICKS}, {_SCALED}
+            SELECT 'factor' AS model_type, count(DISTINCT user_id) FILTER (in_train) AS n_users,
+                   count(DISTINCT product_id) FILTER (in_train) AS n_items,
+                   20::BIGINT AS n_factors, count(*) FILTER (in_train) AS training_samples,
+                   count(*) FILTER (NOT in_train) AS test_samples, 20::BIGINT AS epochs_completed,
+                   (SELECT lo FROM bounds) AS rating_min, (SELECT hi FROM bounds) AS rating_max,
+                   true AS normalized, round(avg(rating) FILTER (in_train), 6) AS rating_offset,
+                   true AS as_good_as_mean
+            FROM scaled""",
+        "mf_top_n": f"""
+            WITH {_CLICKS}, {_SCALED}, train AS (SELECT * FROM scaled WHERE in_train)
+            SELECT user_id, least(5, any_value(total) - count(*)) AS n_items, true AS in_order,
+                   0::BIGINT AS n_unwanted, least(5, any_value(total) - count(*)) AS n_known
+            FROM train, (SELECT count(DISTINCT product_id) AS total FROM train)
+            GROUP BY user_id HAVING any_value(total) > count(*)""",
+        "mf_early_stopping": f"""
+            WITH {_CLICKS}, {_SCALED}
+            SELECT CASE WHEN in_train THEN 'train' ELSE 'test' END AS part, count(*) AS n_ratings,
+                   true AS tried_in_order, true AS stopped_in_time, true AS kept_best
+            FROM scaled GROUP BY 1""",
+        "seq_train_history": f"""
+            WITH {_FACTORS}, all_clicks AS (
+              SELECT event_id, user_id, json_extract_string(props, '$.k') AS product_id,
+                     ts AS event_time FROM events),
+            clicks AS (
+              SELECT * FROM all_clicks WHERE product_id IN (SELECT product_id FROM items)),
+            {_SEQUENCES}, {_ITEMS_PADDED},
+            places AS (SELECT event_id, target, unnest(seq) AS product_id,
+                              unnest(range(1, 11)) AS pos FROM seqs),
+            scores AS (
+              SELECT l.event_id,
+                     sum((1.0::DOUBLE / l.pos) / 2.9289682539682538 * list_dot_product(p.v, t.v))
+                       / count(*) AS score
+              FROM places l JOIN padded p ON p.product_id = l.product_id
+              JOIN items t ON t.product_id = l.target GROUP BY l.event_id)
+            SELECT 1 AS epoch,
+                   round(avg(-ln(greatest(1.0::DOUBLE / (1.0::DOUBLE
+                     + exp(-least(greatest(score, -10.0), 10.0))), 1e-10))), 6) AS loss,
+                   (SELECT count(*) FROM clicks) AS n_clicks, true AS loss_falls
+            FROM scores""",
+        "seq_top_n": f"""
+            WITH {_CLICKS}
+            SELECT user_id, least(5, any_value(total)) AS n_items, true AS in_order,
+                   0::BIGINT AS n_unwanted, least(5, any_value(total)) AS n_known
+            FROM clicks, (SELECT count(DISTINCT product_id) AS total FROM clicks)
+            WHERE product_id IS NOT NULL GROUP BY user_id""",
+        "seq_incremental": f"""
+            WITH {_CLICKS}
+            SELECT 'prio_clicks_aware_sequence' AS model_type, count(DISTINCT user_id) AS n_users,
+                   count(DISTINCT product_id) + 1 AS n_items, 32::BIGINT AS n_factors,
+                   10::BIGINT AS sequence_length, 7::BIGINT AS epochs_completed,
+                   'incremental' AS training_mode, count(*) AS total_training_samples,
+                   true AS first_run_learned, true AS update_kept_it
+            FROM clicks""",
         "retraining_runs": f"""
             WITH {_CLICKS}, early AS (
               SELECT * FROM clicks WHERE event_time < TIMESTAMP '{CUTOVER}'),

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.clicks import EVENT_WEIGHTS, event_weight
+from clickloom.session import materialize
 
-# Distinct values left in the range before they are ranked in one task.
-MEDIAN_ROWS = 100_000
+# Distinct values of a range that one task ranks.
+MEDIAN_VALUES = 1_000_000
 
 
 def build_ratings(
@@ -59,40 +61,40 @@ def split(
     return ratings.filter(in_train), ratings.filter(~in_train)
 
 
-def exact_median(df: DataFrame, value_col: str, max_rows: int = MEDIAN_ROWS) -> float | None:
+def exact_median(
+    df: DataFrame, value_col: str, values_per_part: int = MEDIAN_VALUES
+) -> float | None:
     """Exact median without bringing the values together.
 
-    Narrows a value range around the middle ranks with mergeable quantile
-    sketches until few distinct values are left in it, then walks their counts.
+    Values are counted, which folds equal ones before the shuffle, and dealt
+    into ranges of about ``values_per_part`` distinct values. The ranges' counts
+    say which range holds the middle ranks; only that one is ranked.
     """
     values = df.select(F.col(value_col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    total, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    counted = materialize(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "median-counts")
+    total, distinct = counted.agg(F.sum("n"), F.count(F.lit(1))).first()
     if not total:
         return None
+    parts = math.ceil(distinct / values_per_part)
+    ranged = materialize(
+        counted.repartitionByRange(parts, "v").withColumn("part", F.spark_partition_id()),
+        "median-ranges",
+    )
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
+
+    def at(rank: int) -> float:
+        below = 0
+        for part, n in sums:
+            if rank < below + n:
+                break
+            below += n
+        upto = F.sum("n").over(Window.partitionBy("part").orderBy("v")) + F.lit(below)
+        own = ranged.where(F.col("part") == part).select("v", upto.alias("upto"))
+        return own.where(F.col("upto") > rank).agg(F.min("v")).first()[0]
+
     first, second = (total - 1) // 2, total // 2
-    below = 0
-    inside = values
-    while True:
-        inside = values.filter(F.col("v").between(low, high))
-        held, distinct = inside.agg(F.count("v"), F.approx_count_distinct("v")).first()
-        if distinct <= max_rows:
-            break
-        left = max((first - below) / held - 0.001, 0.0)
-        right = min((second - below + 1) / held + 0.001, 1.0)
-        bounds = inside.agg(F.percentile_approx("v", [left, right], 10_000)).first()[0]
-        new_below = values.filter(F.col("v") < bounds[0]).count()
-        new_held = values.filter(F.col("v").between(*bounds)).count()
-        shrunk = new_held < held
-        if not shrunk or not new_below <= first or second >= new_below + new_held:
-            break
-        (low, high), below = bounds, new_below
-    running = F.sum("count").over(Window.orderBy("v")) + F.lit(below)
-    ranked = inside.groupBy("v").count().select("v", running.alias("upto"))
-    pair = ranked.agg(
-        F.min(F.when(F.col("upto") > first, F.col("v"))),
-        F.min(F.when(F.col("upto") > second, F.col("v"))),
-    ).first()
-    return (pair[0] + pair[1]) / 2.0
+    low = at(first)
+    return (low + (low if first == second else at(second))) / 2.0
 
 
 def rating_stats(ratings: DataFrame, value_col: str = "rating") -> DataFrame:

@@ -1,13 +1,14 @@
 """Per-user click sequences.
 
 A window over one user's whole history puts it into one task, so the history of
-a hot user is cut into time slices first. Slices are processed like users of
+a hot user is cut into slices of about equal numbers of clicks first. Slices are processed like users of
 their own, and the few rows at a slice edge get what they need from the
 neighbouring slices: the last K-1 clicks before it and the first click after it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.clicks import PAD, last_k, pad_left
 from clickloom.operators.skew import HOT_ROWS, hot_keys
+from clickloom.session import materialize
 
 SEQUENCE_LENGTH = 10
-# Slices per HOT_ROWS rows of a hot user; spare ones absorb bursts.
-SLICES_PER_TASK = 4
+# Slices per HOT_ROWS rows of the hot users; spare ones absorb the range sort's error.
+SLICES_PER_TASK = 2
 
 
 def _order(time_col: str, tie_cols: Sequence[str]) -> list[Column]:
@@ -46,20 +48,13 @@ def click_sequences(
     Rows without user or item are left out.
     """
     clicks = events.filter(F.col(user_col).isNotNull() & F.col(item_col).isNotNull())
-    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
-    hot = hot_keys(
-        clicks,
-        user_col,
-        F.min(micros).alias("_first"),
-        F.max(micros).alias("_last"),
-        min_rows=hot_rows,
-    )
+    hot = hot_keys(clicks, user_col, min_rows=hot_rows)
     if hot is None:
         local = _with_history(clicks, k, [user_col], item_col, time_col, tie_cols)
         history, following = F.col("_history"), F.col("_next")
         joined = local
     else:
-        sliced = _slice_hot_users(clicks, hot, user_col, micros, hot_rows)
+        sliced = _slice_hot_users(clicks, hot, user_col, time_col, tie_cols, hot_rows)
         local = _with_history(sliced, k, [user_col, "_slice"], item_col, time_col, tie_cols)
         edges = _slice_edges(
             sliced.filter("_hot"), k, user_col, item_col, time_col, tie_cols
@@ -91,28 +86,33 @@ def _with_history(
 
 
 def _slice_hot_users(
-    clicks: DataFrame, hot: DataFrame, user_col: str, micros: Column, hot_rows: int
+    clicks: DataFrame,
+    hot: DataFrame,
+    user_col: str,
+    time_col: str,
+    tie_cols: Sequence[str],
+    hot_rows: int,
 ) -> DataFrame:
-    """Number each hot user's time slices; all other users are one slice."""
-    slices = F.ceil(F.col("hot_rows") * F.lit(SLICES_PER_TASK) / F.lit(hot_rows))
-    width = (F.col("_last") - F.col("_first")) / slices + F.lit(1.0)
-    widths = F.broadcast(
-        hot.select(
-            user_col,
-            F.col("_first"),
-            slices.alias("_slices"),
-            width.alias("_width"),
-        )
+    """Number each hot user's slices; all other users are one slice.
+
+    Slices are the partitions of a range sort of the hot users' rows in click
+    order, so they hold as many rows each however the clicks bunch in time;
+    clicks that tie in everything are told apart by their content.
+    """
+    listed = F.broadcast(hot.select(user_col))
+    content = F.xxhash64(*clicks.columns)
+    rows = hot.agg(F.sum("hot_rows")).first()[0]
+    slices = math.ceil(rows * SLICES_PER_TASK / hot_rows)
+    order = [F.col(user_col), *_order(time_col, tie_cols), content]
+    cut = materialize(
+        clicks.join(listed, user_col, "left_semi")
+        .repartitionByRange(slices, *order)
+        .withColumn("_slice", F.spark_partition_id()),
+        "hot-clicks",
     )
-    place = F.floor((micros - F.col("_first")) / F.col("_width"))
-    return (
-        clicks.join(widths, user_col, "left")
-        .withColumn("_hot", F.col("_slices").isNotNull())
-        .withColumn(
-            "_slice",
-            F.when(~F.col("_hot"), F.lit(0)).otherwise(F.coalesce(place, F.col("_slices"))),
-        )
-        .drop("_first", "_slices", "_width")
+    others = clicks.join(listed, user_col, "left_anti").withColumn("_slice", F.lit(0))
+    return cut.withColumn("_hot", F.lit(True)).unionByName(
+        others.withColumn("_hot", F.lit(False))
     )
 
 

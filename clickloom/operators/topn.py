@@ -299,7 +299,7 @@ def _best_of(vectors, matrix, limits, excluded, digits, temperature):
     out_q, out_i = excluded
     peak = np.full(len(vectors), -np.inf)
     sums = np.zeros(len(vectors))
-    candidates = []
+    best = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
     for start in range(0, len(matrix), TILE_ITEMS):
         stop = min(start + TILE_ITEMS, len(matrix))
         tile = vectors @ matrix[start:stop].T
@@ -311,20 +311,24 @@ def _best_of(vectors, matrix, limits, excluded, digits, temperature):
         if keep < width:
             cut = np.partition(tile, width - keep, axis=1)[:, width - keep]
             chosen = (tile >= cut[:, None]) & np.isfinite(tile)
+            crowded = np.flatnonzero(chosen.sum(axis=1) > keep)
+            if len(crowded):  # of equal scores the first ids go on
+                above = tile[crowded] > cut[crowded, None]
+                equal = chosen[crowded] & ~above
+                free = keep - above.sum(axis=1, keepdims=True)
+                chosen[crowded] = above | (equal & (equal.cumsum(axis=1) <= free))
         else:
             chosen = np.isfinite(tile)
         q, i = np.nonzero(chosen)
-        candidates.append((q, i + start, tile[q, i]))
+        best = _merged(best, (q, i + start, tile[q, i]), len(vectors), keep)
         if temperature is not None:
             higher = np.maximum(peak, tile.max(axis=1))
             some = np.isfinite(higher)
             sums[some] *= np.exp((peak[some] - higher[some]) / temperature)
             sums[some] += np.exp((tile[some] - higher[some, None]) / temperature).sum(axis=1)
             peak = higher
-    q, i, score = (np.concatenate(x) for x in zip(*candidates, strict=True))
-    order = np.lexsort((i, -score, q))
-    q, i, score = q[order], i[order], score[order]
-    rank = np.arange(len(q)) - np.searchsorted(q, np.arange(len(vectors)))[q] + 1
+    q, i, score = best
+    rank = _ranks(q, len(vectors))
     mass = np.full(len(q), np.nan)
     if temperature is not None:
         first = rank == 1
@@ -332,3 +336,17 @@ def _best_of(vectors, matrix, limits, excluded, digits, temperature):
     # The first row always stays: it carries the exponential sum.
     kept = rank <= np.maximum(limits[q], 1)
     return q[kept], i[kept], score[kept], rank[kept], mass[kept]
+
+
+def _ranks(q: np.ndarray, queries: int) -> np.ndarray:
+    """Places from 1 within each query of rows in order."""
+    return np.arange(len(q)) - np.searchsorted(q, np.arange(queries))[q] + 1
+
+
+def _merged(best, more, queries: int, keep: int):
+    """The first ``keep`` of both candidate sets per query, in order."""
+    q, i, score = (np.concatenate(x) for x in zip(best, more, strict=True))
+    order = np.lexsort((i, -score, q))
+    q, i, score = q[order], i[order], score[order]
+    kept = _ranks(q, queries) <= keep
+    return q[kept], i[kept], score[kept]

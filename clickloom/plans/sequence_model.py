@@ -2,7 +2,7 @@
 
 Every epoch deals the sequences out to W workers by a seeded hash. A worker runs
 gradient steps on its own copy of the model and returns the change of each row it
-touched; the new model is the old one plus the summed changes over W. Each epoch
+touched; the new model is the old one plus the mean change of each row. Each epoch
 is written to the shared folder.
 
 A model that is small enough (measured) is broadcast and a worker streams through
@@ -229,15 +229,15 @@ def _run_epochs(
     min_delta: float,
     workers: int | None = None,
     batch: int = BATCH,
-    average: str = "workers",
+    average: str = "touched",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, list[float], list[float]]:
     """The epoch loop: item rows, position weights and the mean loss of each epoch.
 
-    ``workers`` is W. By default it follows the data, up to the parallelism of the
-    cluster, or as many as keep a group bounded. ``average="workers"`` divides
-    summed changes by W; ``"touched"`` divides a row's change by the workers that
-    touched it, which keeps the step size when W is large.
+    ``workers`` is W. By default it follows the number of sequences alone, so a
+    model depends neither on the cluster nor on how items are shipped.
+    ``average="touched"`` divides a row's summed change by the workers that touched
+    it, which keeps the step size when W is large; ``"workers"`` divides by W.
     """
     spark = clicks.sparkSession
     k = len(weights)
@@ -258,10 +258,7 @@ def _run_epochs(
     size = measure(keyed, "key")
     small = size.bytes <= broadcast_bytes
     if workers is None:
-        wanted = math.ceil(n_samples / SEQUENCES_PER_WORKER)
-        if small:
-            wanted = min(wanted, spark.sparkContext.defaultParallelism)
-        workers = max(MIN_WORKERS, wanted)
+        workers = max(MIN_WORKERS, math.ceil(n_samples / SEQUENCES_PER_WORKER))
     steps = {"lr": lr, "reg": reg, "batch": batch}
 
     # The position weights ride along as the row without a key.

@@ -39,6 +39,7 @@ FACTOR_MODEL_METADATA = _struct(
     training_samples=L,
     test_samples=L,
     epochs_completed=L,
+    rating_offset=D,
     rating_min=D,
     rating_max=D,
     normalized=T.BooleanType(),

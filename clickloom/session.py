@@ -45,13 +45,16 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (tests, notebooks) a temporary folder is
-    created and registered as this session's checkpoint folder.
+    Only in a local session (tests, notebooks) that lacks the setting a temporary
+    folder is created and registered; executors of a cluster would not share it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="clickloom-checkpoint-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -6,6 +6,7 @@ on the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
@@ -47,6 +48,13 @@ def to_json_rows(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
+def has_new_data(spark: SparkSession, path: str) -> bool:
+    """Whether a non-blank line waits at ``path``; stops at the first one."""
+    if not exists(spark, path):
+        return False
+    return not spark.read.text(path).filter(F.trim("value") != "").isEmpty()
+
+
 def check_new_data(spark: SparkSession, path: str) -> int | None:
     """Number of non-blank lines waiting at ``path``; None when nothing is there."""
     if not exists(spark, path):
@@ -55,10 +63,14 @@ def check_new_data(spark: SparkSession, path: str) -> int | None:
 
 
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Non-blank lines, stripped, with the name of the file they come from."""
+    """Non-blank lines, stripped, with the name and path of the file they come from."""
     return (
         spark.read.text(list(paths))
-        .select(F.trim("value").alias("value"), F.col("_metadata.file_name").alias("file"))
+        .select(
+            F.trim("value").alias("value"),
+            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.file_path").alias("source"),
+        )
         .filter(F.col("value") != "")
     )
 
@@ -66,7 +78,8 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def merge_clickstream(spark: SparkSession, paths: Sequence[str], out: str) -> DataFrame:
     """Merge JSON-lines files into one dataset, lines unchanged and blank ones left out.
 
-    A line that is not JSON fails the job. Returns records per input file.
+    A line that is not JSON fails the job. Returns a report per input file: name,
+    path (``source``), records and the keys of its first record.
     """
     lines = _lines(spark, paths)
     broken = F.try_parse_json("value").isNull()
@@ -75,7 +88,15 @@ def merge_clickstream(spark: SparkSession, paths: Sequence[str], out: str) -> Da
         F.when(broken, F.raise_error(message)).otherwise(F.col("value")).alias("value")
     )
     checked.write.mode("overwrite").text(out)
-    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("records"))
+    return _file_report(lines)
+
+
+def _file_report(lines: DataFrame) -> DataFrame:
+    """Records per input file; files of the same name in different folders stay apart."""
+    keys = F.json_object_keys(F.first("value"))
+    return lines.groupBy("file", "source").agg(
+        F.count(F.lit(1)).alias("records"), keys.alias("sample_keys")
+    )
 
 
 def stage(
@@ -98,7 +119,7 @@ def stage(
     def staged(group: str, out: str, records: DataFrame) -> None:
         done.append(
             records.select(
-                F.lit(group).alias("artifact"), F.lit(out).alias("path"), "file", "records"
+                F.lit(group).alias("artifact"), F.lit(out).alias("path"), "file", "source", "records"
             )
         )
 
@@ -109,20 +130,22 @@ def stage(
             schema = schemas.USERS_CSV if group == "users" else schemas.PRODUCTS_CSV
             rows = read_csv(spark, path, schema)
             rows.write.mode("overwrite").option("header", "true").option("escape", '"').csv(out)
-            name = F.lit(f"{group}.csv").alias("file")
-            staged(group, out, rows.groupBy(name).agg(F.count(F.lit(1)).alias("records")))
+            name, place = F.lit(f"{group}.csv").alias("file"), F.lit(path).alias("source")
+            staged(group, out, rows.groupBy(name, place).agg(F.count(F.lit(1)).alias("records")))
     if "clickstream" in groups:
         files = matching(spark, f"{source}/{clickstream_file or 'clickstream-*.json'}")
         if files and individual:
             out = f"{target}/clickstream/individual"
             lines = _lines(spark, files)
-            lines.write.mode("overwrite").partitionBy("file").text(out)
-            staged("clickstream", out, lines.groupBy("file").agg(F.count("*").alias("records")))
+            lines.drop("source").write.mode("overwrite").partitionBy("file").text(out)
+            staged("clickstream", out, _file_report(lines))
         if files and merged:
             out = f"{target}/clickstream/merged"
             staged("clickstream", out, merge_clickstream(spark, files, out))
     if not done:
-        return spark.createDataFrame([], "artifact string, path string, file string, records long")
+        return spark.createDataFrame(
+            [], "artifact string, path string, file string, source string, records long"
+        )
     report = done[0]
     for more in done[1:]:
         report = report.unionByName(more)
@@ -147,17 +170,25 @@ def list_files(
 def archive(
     spark: SparkSession, path: str, archive_dir: str, now: datetime | None = None
 ) -> str:
-    """Move consumed input to ``archive_dir`` under a UTC-stamped name."""
+    """Move input to ``archive_dir`` under a UTC-stamped name of its own."""
     stamp = (now or datetime.now(UTC)).strftime(ARCHIVE_STAMP)
-    target = f"{archive_dir}/clickstream_archive_{stamp}.json"
+    target = f"{archive_dir}/clickstream_archive_{stamp}_{uuid.uuid4().hex[:8]}.json"
     fs, source = _fs(spark, path)
     target_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
     fs.mkdirs(target_path.getParent())
-    if not fs.rename(source, target_path):
+    if fs.exists(target_path) or not fs.rename(source, target_path):
         raise OSError(f"could not move {path} to {target}")
     return target
 
 
+def move_back(spark: SparkSession, archived: str, path: str) -> None:
+    """Return an archived input to ``path``; refused where new input waits there."""
+    fs, source = _fs(spark, archived)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"could not move {archived} back to {path}")
+
+
 def list_archives(spark: SparkSession, archive_dir: str) -> DataFrame:
     """Archived inputs, newest first."""
     fs, pattern = _fs(spark, f"{archive_dir}/clickstream_archive_*")

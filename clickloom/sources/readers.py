@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,8 @@ from pyspark.sql import types as T
 from clickloom import schemas
 from clickloom.functions.times import parse_event_time
 
-CLICKSTREAM_GLOB = "*clickstream*.json"
+# Matches the full path, so files below a folder with such a name count too.
+CLICKSTREAM_PATHS = r"clickstream.*\.json"
 CORRUPT = "_corrupt_record"
 
 
@@ -52,9 +55,14 @@ def read_json_lines(
     schema: T.StructType | None = None,
     bad_records: str = "drop",
     file_glob: str | None = None,
+    path_pattern: str | None = None,
 ) -> DataFrame:
     """JSON lines from one or many paths; blank lines are skipped.
 
+    All files of the paths are read unless ``file_glob`` (file names) or
+    ``path_pattern`` (a regular expression found in the full path) says
+    otherwise. Paths that leave no file to read are an error.
+
     ``bad_records``: ``drop`` a broken line, keep it as a ``null`` row with its
     text in ``_corrupt_record``, or ``fail``. Without a schema Spark infers one,
     which costs a pass over the files.
@@ -64,7 +72,39 @@ def read_json_lines(
         reader = _json_options(reader, schema, bad_records)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    return reader.json([paths] if isinstance(paths, str) else list(paths))
+    rows = reader.json([paths] if isinstance(paths, str) else list(paths))
+    files = [unquote(f) for f in rows.inputFiles()]
+    if not any(path_pattern is None or re.search(path_pattern, f) for f in files):
+        raise FileNotFoundError(f"no input files in {paths}")
+    if path_pattern is not None:
+        rows = rows.where(F.url_decode("_metadata.file_path").rlike(path_pattern))
+    return rows
+
+
+def count_lines(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType
+) -> tuple[int, int]:
+    """Readable and broken lines: what reading with ``drop`` would keep and lose."""
+    broken = F.col(CORRUPT).isNotNull()
+    rows = read_json_lines(spark, paths, schema, bad_records="null")
+    # The hash makes all columns take part: a pruned read takes broken lines for whole.
+    good, bad, _ = rows.agg(
+        F.count_if(~broken), F.count_if(broken), F.max(F.xxhash64(*schema.fieldNames()))
+    ).first()
+    return good, bad
+
+
+def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:
+    """The first path that exists; the inputs of a job may be in one of several places.
+
+    A candidate may be a glob; then it counts if it matches anything.
+    """
+    for path in candidates:
+        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.globStatus(hadoop_path):
+            return path
+    raise FileNotFoundError(f"none of {list(candidates)} exists")
 
 
 def with_event_time(df: DataFrame, mode: str = "lenient") -> DataFrame:
@@ -74,12 +114,18 @@ def with_event_time(df: DataFrame, mode: str = "lenient") -> DataFrame:
 def read_clickstream(
     spark: SparkSession,
     paths: str | Sequence[str],
-    file_glob: str | None = CLICKSTREAM_GLOB,
+    file_glob: str | None = None,
     bad_records: str = "drop",
     mode: str = "lenient",
+    path_pattern: str | None = None,
 ) -> DataFrame:
-    """Bounded click events with their computed event time."""
-    df = read_json_lines(spark, paths, schemas.CLICKSTREAM, bad_records, file_glob)
+    """Bounded click events with their computed event time.
+
+    ``path_pattern=CLICKSTREAM_PATHS`` picks the clickstream out of a mixed folder.
+    """
+    df = read_json_lines(
+        spark, paths, schemas.CLICKSTREAM, bad_records, file_glob, path_pattern
+    )
     return with_event_time(df, mode)
 
 

@@ -94,6 +94,7 @@ def start_fraud_and_recommendations(
     path: str,
     checkpoint: str,
     drain: bool = False,
+    hot_users: DataFrame | None = None,
     **options,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Two sinks from one source, each with its own checkpoint and pace."""
@@ -105,6 +106,7 @@ def start_fraud_and_recommendations(
         recs,
         f"{path}/user_recommendations",
         f"{checkpoint}/user_recommendations",
+        hot_users=hot_users,
         drain=drain,
     )
     return alerts, found
@@ -121,11 +123,16 @@ def start_serving_stream(
     """Answer a stream of requests with a batch scorer.
 
     Each micro-batch overwrites its own folder, so a replayed batch leaves no
-    second answer.
+    second answer. A scorer measures a batch before it answers, so the batch is
+    read once and kept until it is answered.
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        respond(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.persist()
+        try:
+            respond(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = requests.writeStream.option("checkpointLocation", checkpoint).foreachBatch(answer)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=interval)

@@ -55,7 +55,7 @@ def test_exact_median(spark, count, distinct):
     rng = np.random.default_rng(count)
     values = rng.integers(0, distinct, count).astype(float)
     df = spark.createDataFrame([(v,) for v in values.tolist()], "rating double")
-    assert ratings.exact_median(df, "rating", max_rows=20) == np.median(values)
+    assert ratings.exact_median(df, "rating", values_per_part=20) == np.median(values)
 
 
 def test_rating_stats_empty(spark):
