@@ -288,7 +288,7 @@ class _Memory:
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.languages) + 1))
+        self.scores = np.zeros((1024, len(self.model.languages) + 1))
 
     def document_sums(self, texts: list[str]) -> np.ndarray:
         if len(self.rows) > MEMORY:
@@ -298,8 +298,11 @@ class _Memory:
         if new:
             first = len(self.rows)
             self.rows.update(zip(new, range(first, first + len(new))))
-            added = self.model.word_scores([language_words(w) for w in new])
-            self.scores = np.concatenate([self.scores, added])
+            while len(self.scores) < len(self.rows):
+                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            self.scores[first : len(self.rows)] = self.model.word_scores(
+                [language_words(w) for w in new]
+            )
         rows = self.rows
         out = np.zeros((len(texts), self.scores.shape[1]))
         for i, words in enumerate(cut):

@@ -126,6 +126,23 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_embedding_dedup": """
+            WITH RECURSIVE v AS (
+              SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+            usable AS (
+              SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x <> 0)) > 0
+                AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            links AS (
+              SELECT p.vec_id AS a, q.vec_id AS b
+              FROM usable p JOIN usable q
+                ON p.label = q.label AND len(p.e) = len(q.e) AND p.vec_id <> q.vec_id
+              WHERE list_cosine_similarity(p.e, q.e) >= 0.98),
+            reach(node, other) AS (
+              SELECT vec_id, vec_id FROM v
+              UNION SELECT node, b FROM reach JOIN links ON a = other)
+            SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+                   min(other) AS component_id, vec_id = min(other) AS kept
+            FROM v JOIN reach ON node = vec_id GROUP BY vec_id""",
         "op4_exact_dedup": r"""
             WITH plain AS (
               SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))

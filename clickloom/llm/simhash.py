@@ -40,15 +40,16 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
         return 0
     flat = b" ".join(cut)
     ends = np.cumsum([len(w) + 1 for w in cut])
-    first = [0, *ends[: max(0, len(cut) - words)].tolist()]
-    last = (ends[min(words, len(cut)) - 1 :] - 1).tolist()
+    first = np.concatenate([[0], ends[: max(0, len(cut) - words)]])
+    last = ends[min(words, len(cut)) - 1 :] - 1
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(flat[a:b], seed) for a, b in zip(first, last)]
     counts = np.zeros(64, "int64")
-    for at in range(0, len(hashes), STEP):
-        part = np.array(hashes[at : at + STEP], "<u8").view("u1").reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype="int64")
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    for at in range(0, len(first), STEP):
+        places = zip(first[at : at + STEP].tolist(), last[at : at + STEP].tolist())
+        hashes = np.array([digest(flat[a:b], seed) for a, b in places], "<u8")
+        bits = np.unpackbits(hashes.view("u1").reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(0, dtype="int64")
+    return int(np.packbits(counts * 2 > len(first), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from clickloom.session import materialize
 
 FANOUT = 16
-FILES = 64  # archives per million records, at least one
+RECORDS = 1_000  # about so many in an archive
 LINE = "\r\n"
 
 
@@ -45,7 +45,7 @@ def to_archive(
     A null url or payload is empty; other columns are ignored. Records of an
     archive are in order of id; rows that repeat an id are ordered by content.
     """
-    files = max(1, pages.count() * FILES // 1_000_000)
+    files = max(1, pages.count() // RECORDS)
     return pages.select(
         F.pmod(F.xxhash64(id_col, uri_col), F.lit(files)).cast("int").alias("file"),
         F.col(id_col).alias("id"),

@@ -197,8 +197,10 @@ def test_packing_of_documents(spark, real):
     assert whole[one.offset : one.offset + one.length] == one.ids
 
 
-@pytest.mark.parametrize("tail", [0, 50, packing.TAIL])
-@pytest.mark.parametrize("shape", ["mixed", "tiny", "hot", "half", "full"])
+@pytest.mark.parametrize(
+    "shape, tail",
+    [("mixed", 0), ("hot", 50), ("tiny", 50), ("half", packing.TAIL), ("full", packing.TAIL)],
+)
 def test_packing_rounds(spark, monkeypatch, shape, tail):
     rng = random.Random(shape)
     draw = {
