@@ -218,6 +218,38 @@ def q_fraud_windows_stream(spark, sf):
     return alerts.select("user_id", _text("window_start"), _text("window_end"), "event_count")
 
 
+def q_fraud_windows_json_stream(spark, sf):
+    """The alerts again, from a watched folder of JSON lines."""
+    path = scratch_path(spark, "json-stream")
+    _click_lines(spark, sf).write.json(path)
+    events = readers.read_clickstream_stream(spark, path)
+    out, checkpoint = scratch_path(spark, "alerts"), scratch_path(spark, "alerts-checkpoint")
+    jobs.start_fraud_stream(
+        events, out, checkpoint, drain=True, window=WINDOW, threshold=THRESHOLD
+    ).awaitTermination()
+    alerts = spark.read.parquet(out)
+    return alerts.select("user_id", _text("window_start"), _text("window_end"), "event_count")
+
+
+def q_two_sinks_stream(spark, sf):
+    """One stream, two sinks: alerts and recommendations per user."""
+    lists = recommend.user_lists(_embedding_model(spark, sf), digits=DIGITS)
+    path = scratch_path(spark, "two-sinks")
+    for query in jobs.start_fraud_and_recommendations(
+        _event_stream(spark, sf), materialize(lists, "user-lists"), path, f"{path}-checkpoint",
+        drain=True, hot_users=hot_keys(_clicks(spark, sf), "user_id", min_rows=100),
+        window=WINDOW, threshold=THRESHOLD,
+    ):
+        query.awaitTermination()
+    parts = [
+        spark.read.parquet(f"{path}/{sink}").select(F.lit(sink).alias("sink"), "user_id")
+        for sink in ("fraud_attempts", "user_recommendations")
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("sink", "user_id").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
 # --------------------------------------------------------------------------
 # Scalars and parsing
 # --------------------------------------------------------------------------
@@ -447,6 +479,40 @@ def q_table_append(spark, sf):
     return rows.select("user_id", _text("window_start"), _text("window_end"), "event_count")
 
 
+def q_namespace_tables(spark, sf):
+    """A table in a namespace of its own is listed until it is dropped."""
+    before, namespace = spark.catalog.currentDatabase(), _table_name("space")
+    tables.use_namespace(spark, namespace)
+    try:
+        rows = tables.write_table(
+            _table(spark, sf, "customer"), "customers", scratch_path(spark, "space")
+        ).count()
+        known = tables.list_namespaces(spark).where(F.col("namespace") == namespace).count()
+        listed = [r.tableName for r in tables.list_tables(spark).collect() if not r.isTemporary]
+        tables.drop_table(spark, "customers")
+        left = tables.list_tables(spark, namespace).where(~F.col("isTemporary")).count()
+    finally:
+        tables.use_namespace(spark, before, create=False)
+        spark.sql(f"DROP NAMESPACE {namespace} CASCADE")
+    return spark.createDataFrame(
+        [(rows, known == 1 and listed == ["customers"], left)],
+        "n_rows long, was_listed boolean, n_left long",
+    )
+
+
+def q_listed_files(spark, sf):
+    """The newest files of a folder that has one per event type and others besides."""
+    path = scratch_path(spark, "listing")
+    lines = _click_lines(spark, sf)
+    lines.repartition(1, "event_type").write.partitionBy("event_type").json(path)
+    lines.limit(1).write.csv(f"{path}/other")
+    found = files.list_files(spark, path, "*.json", n=100)
+    return found.select(
+        F.regexp_extract("path", "event_type=([a-z]+)/", 1).alias("event_type"),
+        (F.col("length") > 0).alias("has_content"),
+    )
+
+
 def q_sql_entry(spark, sf):
     return tables.run_sql(
         spark,
@@ -782,7 +848,11 @@ def _order_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_predict_pairs(spark, sf):
-    scored = factor_model.predict(_embedding_model(spark, sf), _order_pairs(spark, sf))
+    pairs = _order_pairs(spark, sf)
+    scored = factor_model.predict(
+        _embedding_model(spark, sf), pairs,
+        hot_users=hot_keys(pairs, "user_id"), hot_items=hot_keys(pairs, "product_id"),
+    )
     return scored.select("user_id", "product_id", _rounded("prediction"))
 
 
@@ -872,6 +942,20 @@ def q_serve_batch(spark, sf):
     return _answers(recommend.serve_batch(requests, model, digits=DIGITS))
 
 
+def q_serve_stream(spark, sf):
+    """The requests of ``serve_batch`` from a stream."""
+    model = _embedding_model(spark, sf)
+    model.users = model.users.withColumn("user_id", F.col("user_id").cast("string"))
+    source, out = scratch_path(spark, "requests"), scratch_path(spark, "responses")
+    _requests(spark, sf).write.parquet(source)
+    requests = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    jobs.start_serving_stream(
+        requests, lambda batch: recommend.serve_batch(batch, model, digits=DIGITS), out,
+        f"{out}-checkpoint", drain=True,
+    ).awaitTermination()
+    return _answers(spark.read.parquet(out).drop("batch"))
+
+
 def q_recommend_from_sequence(spark, sf):
     recent = sequences.recent_clicks(_clicks(spark, sf), tie_cols=("event_id",))
     requests = materialize(recent.withColumnRenamed("user_id", "request_id"), "requests")
@@ -1126,6 +1210,12 @@ _ALERTS = """alerts AS (
 _ALERT_COLUMNS = f"""user_id, strftime(window_start, {_STAMP}) AS window_start,
   strftime(window_start + INTERVAL '1 day', {_STAMP}) AS window_end, event_count"""
 
+_CLOSED_ALERTS = f"""
+            WITH {_CLICKS}, {_ALERTS}
+            SELECT {_ALERT_COLUMNS} FROM alerts
+            WHERE window_start + INTERVAL '1 day' <=
+                  (SELECT max(event_time) - INTERVAL '5 seconds' FROM clicks)"""
+
 _RATINGS = """ratings AS (
   SELECT user_id, product_id, coalesce(sum(CASE event_type WHEN 'view' THEN 1.0::DOUBLE
     WHEN 'click' THEN 3.0 WHEN 'purchase' THEN 5.0 WHEN 'error' THEN -2.0 END), 0.0) AS rating
@@ -1240,11 +1330,18 @@ def oracle_sql() -> dict[str, str]:
               FROM clicks GROUP BY 1, 2
               HAVING count(CASE WHEN event_type = 'error' THEN user_id END) > 1)
             SELECT {_ALERT_COLUMNS} FROM alerts""",
-        "fraud_windows_stream": f"""
-            WITH {_CLICKS}, {_ALERTS}
-            SELECT {_ALERT_COLUMNS} FROM alerts
-            WHERE window_start + INTERVAL '1 day' <=
-                  (SELECT max(event_time) - INTERVAL '5 seconds' FROM clicks)""",
+        "fraud_windows_stream": _CLOSED_ALERTS,
+        "fraud_windows_json_stream": _CLOSED_ALERTS.replace(
+            "SELECT user_id,", "SELECT user_id::VARCHAR AS user_id,"
+        ),
+        "two_sinks_stream": f"""
+            SELECT 'fraud_attempts' AS sink, user_id, count(*) AS n_rows
+            FROM ({_CLOSED_ALERTS}) GROUP BY user_id
+            UNION ALL SELECT 'user_recommendations', user_id, count(*)
+            FROM ({_EVENT_RECS}) GROUP BY user_id""",
+        "namespace_tables": """
+            SELECT count(*) AS n_rows, true AS was_listed, 0::BIGINT AS n_left FROM customer""",
+        "listed_files": "SELECT DISTINCT event_type, true AS has_content FROM events",
         "event_time_parse": f"""
             SELECT event_id, CASE WHEN event_type <> 'error'
               THEN strftime(date_trunc('millisecond', ts), {_STAMP}) END AS event_time
@@ -1495,25 +1592,8 @@ def oracle_sql() -> dict[str, str]:
         "event_recommendations": _EVENT_RECS,
         "event_recommendations_sql": _EVENT_RECS,
         "event_recommendations_stream": _EVENT_RECS,
-        "serve_batch": f"""
-            WITH {_CLICKS}, {_FACTORS}, requests AS (
-              SELECT event_id AS request_id, product_id AS excluded,
-                     CASE WHEN event_type NOT IN ('error', 'signup') THEN user_id END AS user_id,
-                     CASE WHEN event_type = 'view' THEN 3 ELSE 5 END AS n
-              FROM clicks),
-            ranked AS (
-              SELECT r.request_id, i.product_id, round(list_dot_product(u.v, i.v), 6) AS score,
-                     row_number() OVER (PARTITION BY r.request_id
-                       ORDER BY round(list_dot_product(u.v, i.v), 6) DESC, i.product_id) AS rank,
-                     r.n
-              FROM requests r JOIN vecs u ON u.vec_id = r.user_id
-              JOIN items i ON i.product_id <> r.excluded)
-            SELECT q.request_id, q.user_id::VARCHAR AS user_id,
-                   CASE WHEN q.user_id IS NOT NULL THEN (SELECT count(*) FROM items) ELSE 0 END
-                     AS n_items,
-                   CASE WHEN q.user_id IS NULL THEN 'user_id is required' END AS error,
-                   coalesce(t.rank, 0) AS rank, t.product_id, t.score
-            FROM requests q LEFT JOIN ranked t ON t.request_id = q.request_id AND t.rank <= t.n""",
+        "serve_batch": _SERVED,
+        "serve_stream": _SERVED,
         "recommend_from_sequence": f"""
             WITH {_CLICKS}, {_FACTORS}, {_ITEMS_PADDED}, {_sequence_scores(10)}
             SELECT user_id, product_id,
@@ -1618,6 +1698,27 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+_SERVED = f"""
+            WITH {_CLICKS}, {_FACTORS}, requests AS (
+              SELECT event_id AS request_id, product_id AS excluded,
+                     CASE WHEN event_type NOT IN ('error', 'signup') THEN user_id END AS user_id,
+                     CASE WHEN event_type = 'view' THEN 3 ELSE 5 END AS n
+              FROM clicks),
+            ranked AS (
+              SELECT r.request_id, i.product_id, round(list_dot_product(u.v, i.v), 6) AS score,
+                     row_number() OVER (PARTITION BY r.request_id
+                       ORDER BY round(list_dot_product(u.v, i.v), 6) DESC, i.product_id) AS rank,
+                     r.n
+              FROM requests r JOIN vecs u ON u.vec_id = r.user_id
+              JOIN items i ON i.product_id <> r.excluded)
+            SELECT q.request_id, q.user_id::VARCHAR AS user_id,
+                   CASE WHEN q.user_id IS NOT NULL THEN (SELECT count(*) FROM items) ELSE 0 END
+                     AS n_items,
+                   CASE WHEN q.user_id IS NULL THEN 'user_id is required' END AS error,
+                   coalesce(t.rank, 0) AS rank, t.product_id, t.score
+            FROM requests q LEFT JOIN ranked t ON t.request_id = q.request_id AND t.rank <= t.n"""
+
+
 _SIGNUPS = f"""
 WITH {_CLICKS}, {_ALERTS},
 users AS (SELECT o_custkey AS user_id, min(o_orderdate) AS signup_date FROM orders GROUP BY 1)

@@ -72,3 +72,16 @@ def test_recent_clicks(spark):
     assert {r.user_id: r.click_sequence for r in recent.collect()} == want
     plan = plan_of(recent)
     assert "row_number(), 4, Partial" in plan
+
+
+def test_slices_of_a_burst_are_even(spark):
+    """One user with one instant for most clicks: slices follow rows and not time."""
+    from clickloom.operators.sequences import _slice_hot_users
+    from clickloom.operators.skew import hot_keys
+
+    rows = [(i, "u", f"p{i}", "view", 5 if i % 50 else i) for i in range(20_000)]
+    events = events_of(spark, rows)
+    hot = hot_keys(events, "user_id", min_rows=2_000)
+    cut = _slice_hot_users(events, hot, "user_id", "event_time", ("event_id",), 2_000)
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 2 * 2_000

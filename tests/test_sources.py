@@ -211,3 +211,65 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/clickloom/")
     frame = materialize(spark.range(3), "range")
     assert frame.count() == 3 and "scratch" not in frame.columns
+
+
+def test_folders_are_read_whole_and_patterns_see_the_full_path(spark, folder):
+    for n, place in enumerate(["clickstream-1.json", "clickstream-2.json/part-0.json", "x.json"]):
+        write(f"{folder}/in/{place}", json.dumps(LINES[n % 2]) + "\n")
+    paths = [f"{folder}/in", f"{folder}/in/clickstream-2.json"]
+    assert readers.read_clickstream(spark, paths).count() == 3
+    only = readers.read_clickstream(spark, paths, path_pattern=readers.CLICKSTREAM_PATHS)
+    assert only.count() == 2
+    with pytest.raises(FileNotFoundError):
+        readers.read_clickstream(spark, paths, path_pattern="nothing-like-it")
+    os.makedirs(f"{folder}/empty")
+    with pytest.raises(FileNotFoundError):
+        readers.read_clickstream(spark, f"{folder}/empty")
+
+
+def test_first_existing(spark, folder):
+    path = write(f"{folder}/b/clickstream-1.json", json.dumps(LINES[0]))
+    assert readers.first_existing(spark, [f"{folder}/a", f"{folder}/b/click*"]).endswith("click*")
+    assert readers.first_existing(spark, [path, f"{folder}/b/click*"]) == path
+    with pytest.raises(FileNotFoundError):
+        readers.first_existing(spark, [f"{folder}/a", f"{folder}/c-*"])
+
+
+def test_count_lines(spark, broken):
+    good, bad = readers.count_lines(spark, broken, schemas.CLICKSTREAM)
+    kept = readers.read_json_lines(spark, broken, schemas.CLICKSTREAM).count()
+    assert (good, bad > 0) == (kept, True)
+
+
+def test_archives_of_one_second_do_not_meet(spark, folder):
+    now, moved = datetime(2024, 1, 2, tzinfo=UTC), []
+    for n in range(2):
+        path = write(f"{folder}/in/clickstream_new.json", json.dumps(LINES[n]))
+        moved.append(files.archive(spark, path, f"{folder}/archive", now))
+    assert len(set(moved)) == 2
+    assert sorted(files.check_new_data(spark, m) for m in moved) == [1, 1]
+    files.move_back(spark, moved[0], f"{folder}/in/clickstream_new.json")
+    assert files.has_new_data(spark, f"{folder}/in/clickstream_new.json")
+    with pytest.raises(OSError):
+        files.move_back(spark, moved[1], f"{folder}/in/clickstream_new.json")
+
+
+def test_reports_keep_equal_names_apart(spark, folder):
+    paths = [
+        write(f"{folder}/{d}/clickstream-1.json", (json.dumps(LINES[0]) + "\n") * n)
+        for d, n in (("a", 1), ("b", 2))
+    ]
+    report = files.merge_clickstream(spark, paths, f"{folder}/merged").collect()
+    assert sorted(r.records for r in report) == [1, 2]
+    assert all(r.sample_keys == list(LINES[0]) for r in report)
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from clickloom.session import checkpoint_root
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, default: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(conf=conf, sparkContext=context))

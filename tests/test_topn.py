@@ -189,3 +189,23 @@ def test_affinity_uses_context(spark):
     best = {r.user_id: (r.product_id, r.score) for r in rows}
     assert best["u1"] == ("a", 1.0)
     assert best["u2"] == ("b", pytest.approx(0.7))
+
+
+def test_ties_are_cut_per_tile(monkeypatch):
+    """All scores tie: no tile hands on more than it may keep, and the first ids win."""
+    import numpy as np
+
+    from clickloom.operators import topn
+
+    monkeypatch.setattr(topn, "TILE_ITEMS", 100)
+    sizes, merged = [], topn._merged
+    monkeypatch.setattr(
+        topn, "_merged", lambda best, more, *rest: sizes.append(len(more[0])) or merged(best, more, *rest)
+    )
+    none = np.empty(0, dtype=np.int64)
+    q, i, score, rank, _ = topn._best_of(
+        np.zeros((7, 4)), np.ones((1000, 4)), np.full(7, 5), (none, none), None, None
+    )
+    assert max(sizes) <= 7 * 5
+    assert i.tolist() == list(range(5)) * 7 and rank.tolist() == [1, 2, 3, 4, 5] * 7
+    assert q.tolist() == [n for n in range(7) for _ in range(5)] and not score.any()
