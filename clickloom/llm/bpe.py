@@ -6,7 +6,7 @@ one state, the last token of its encoding. The state of a longer prefix is the
 one token that ends it and may follow the state in front of that token, so a
 prefix that many words share is encoded once and an encoding is read back from
 the states. No shuffle and no table of words that grows with the corpus: a
-worker remembers at most ``MEMORY`` words and starts over when it is full.
+worker remembers a bounded number of words.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import ID, TEXT, text_or_empty
 
-MEMORY = 700_000
+MEMORY = 600_000
 CHUNK = 512
 
 
@@ -134,6 +134,28 @@ class WordTrie:
         return out
 
 
+class Memory(dict):
+    """What a worker remembers, in two generations of at most about ``MEMORY`` entries.
+
+    When the young one is full it becomes the old one; entries used since move on.
+    """
+
+    def __init__(self):
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Keys in neither generation; those in the old one become young."""
+        if len(self) > MEMORY:
+            self.old = dict(self)
+            self.clear()
+        new = keys.difference(self.keys())
+        if self.old:
+            used = new.intersection(self.old.keys())
+            self.update((k, self.old[k]) for k in used)
+            new -= used
+        return new
+
+
 class Encoder:
     """Texts to ids and back; equal to the library's result without special tokens added.
 
@@ -162,8 +184,7 @@ class Encoder:
         self.tokens = [""] * (max(chain(vocab.values(), self.special.values())) + 1)
         for token, i in chain(vocab.items(), self.special.items()):
             self.tokens[i] = token
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known, self.pieces = Memory(), Memory()
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -185,11 +206,9 @@ class Encoder:
 
     def _words(self, words: set[str]) -> dict[str, bytes]:
         """The ids of words between white space, which no piece crosses."""
-        if len(self.known) > MEMORY or len(self.pieces) > MEMORY:
-            self.known, self.pieces = {}, {}
         known, pieces = self.known, self.pieces
-        cut = {w: self.PIECE.findall(w.lower()) for w in words if w not in known}
-        new = list({p for own in cut.values() for p in own if p not in pieces})
+        cut = {w: self.PIECE.findall(w.lower()) for w in known.missing(words)}
+        new = list(pieces.missing({p for own in cut.values() for p in own}))
         pieces.update(zip(new, self._learn(new)))
         for word, own in cut.items():
             known[word] = pieces[own[0]] if len(own) == 1 else b"".join([pieces[p] for p in own])
