@@ -12,7 +12,6 @@ worker remembers a bounded number of words.
 from __future__ import annotations
 
 import json
-import os
 import re
 from functools import cache
 from itertools import chain
@@ -250,13 +249,71 @@ class TrieEncoder(Encoder):
         return b"".join([ids[p] if isinstance(p, str) else p for p in out])
 
 
-class LibraryEncoder(Encoder):
-    """New pieces are encoded by the library, in one call per batch."""
+class MergeEncoder(Encoder):
+    """New pieces are merged all together: one array of symbols, a merge per piece and step."""
+
+    NONE = np.iinfo("i8").max
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        vocab, suffix = self.model["vocab"], self.model["end_of_word_suffix"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in self.model["merges"]]
+        key = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs])
+        order = np.argsort(key)
+        self.key, self.rank = key[order], order
+        self.whole = np.array([vocab[a + b] for a, b in pairs])
+        # The symbols of a byte: inside a piece, and at its end.
+        letters = _byte_letters()
+        self.inner = np.array([vocab[letters[x]] for x in range(256)])
+        self.final = np.array([vocab[letters[x] + suffix] for x in range(256)])
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.key, pair), len(self.key) - 1)
+        return np.where(self.key[at] == pair, self.rank[at], self.NONE)
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [pack(f"<{len(f.ids)}I", *f.ids) for f in found]
+        if not pieces:
+            return []
+        coded = [p.encode() for p in pieces]
+        sizes = np.array([len(c) for c in coded])
+        flat = np.frombuffer(b"".join(coded), "u1")
+        symbol, last = self.inner[flat], np.cumsum(sizes) - 1
+        symbol[last] = self.final[flat[last]]
+        row = np.repeat(np.arange(len(pieces)), sizes)
+        rank = np.full(len(symbol), self.NONE)  # of the pair that begins here
+        inside = np.flatnonzero(row[1:] == row[:-1])
+        rank[inside] = self._ranks(symbol[inside], symbol[inside + 1])
+        done_rows, done_symbols = [], []
+        while len(symbol):
+            start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            sizes = np.diff(start, append=len(row))
+            best = np.minimum.reduceat(rank, start)
+            going = best != self.NONE
+            if not going.all():
+                keep = np.repeat(going, sizes)
+                done_rows.append(row[~keep])
+                done_symbols.append(symbol[~keep])
+                symbol, row, rank = symbol[keep], row[keep], rank[keep]
+                best, sizes = best[going], sizes[going]
+                if not len(symbol):
+                    break
+            at = np.flatnonzero(rank == np.repeat(best, sizes))
+            at = at[np.concatenate([[True], row[at[1:]] != row[at[:-1]]])]  # the leftmost
+            symbol[at] = self.whole[rank[at]]
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))  # one symbol fewer before each later merge
+            symbol, row, rank = symbol[keep], row[keep], rank[keep]
+            rank[at] = self.NONE
+            for here in (at[at > 0] - 1, at[at < len(row) - 1]):
+                pair = here[row[here] == row[here + 1]]
+                rank[pair] = self._ranks(symbol[pair], symbol[pair + 1])
+        rows, symbols = np.concatenate(done_rows), np.concatenate(done_symbols)
+        order = np.argsort(rows, kind="stable")
+        data = symbols[order].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(rows, minlength=len(pieces)))).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
     def _odd(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids

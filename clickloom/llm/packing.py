@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.bpe import CHUNK, LibraryEncoder, encoder
+from clickloom.llm.bpe import CHUNK, MergeEncoder, encoder
 from clickloom.llm.common import ID, TEXT, text_or_empty
 from clickloom.session import materialize
 
@@ -52,7 +52,7 @@ def token_pieces(
     step = 4 * capacity
 
     def run(batches):
-        own = encoder(tokenizer, LibraryEncoder)
+        own = encoder(tokenizer, MergeEncoder)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)

@@ -166,6 +166,26 @@ def test_ids_and_decoded_text_equal_the_library(spark, real):
         assert got[i].decoded == decoded[i]
 
 
+@pytest.mark.parametrize("kind", [bpe.TrieEncoder, bpe.MergeEncoder])
+def test_encoders_equal_the_library(monkeypatch, kind):
+    monkeypatch.setattr(bpe, "MEMORY", 500)  # words move between the generations
+    rng = random.Random(8)
+    sets = [
+        "etaoinshrdlu",
+        "abcdefghijklmnopqrstuvwxyzABC0129 \t\n.,'!<|>/-_\x1c\x85",
+        "aàéßÄÖñŉſıİijĲ'.,!0 9\v×÷Æ΄Σςσ日🙂̣́ẛ²½",
+        "the'sreal lldve'm 'RE' 7",
+    ]
+    texts = ["".join(rng.choice(s) for _ in range(rng.randrange(40))) for s in sets for _ in range(800)]
+    texts += [t for t in ODD if t] + ["", "thethethe" * 300]
+    own, got = kind(PATH), []
+    for at in range(0, len(texts), 300):
+        got += own.encode(texts[at : at + 300])
+    want, _ = brute.token_ids(texts, PATH)
+    for text, ids, w in zip(texts, got, want):
+        assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == w, text
+
+
 def test_query_digests(spark):
     ids, decoded = brute.token_ids([r.text for r in table(spark, SF, "documents").collect()], PATH)
     want = Counter(
