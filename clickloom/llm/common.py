@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.session import materialize
+
 ID, TEXT = "doc_id", "text"
+BROADCAST_ROWS = 1_000_000  # of an id or two
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,11 +26,16 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.encode(text, "UTF-8")), F.lit(modulus)).cast("int")
 
 
+def bounded(frame: DataFrame) -> DataFrame:
+    """A narrow frame, to be broadcast if it is counted to be small; else as it is."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
 def drop_listed(docs: DataFrame, dropped: DataFrame, id_col: str = ID) -> DataFrame:
     """``docs`` without the rows whose id is listed; rows without id stay.
 
-    A plain anti join: sized and skew-split by the engine, and broadcast only
-    where the measured list is small.
+    A list of at most ``BROADCAST_ROWS`` ids is broadcast and no text is
+    shuffled; with a longer one it is a plain anti join.
     """
-    listed = dropped.select(F.col(id_col).alias("_listed")).distinct()
-    return docs.join(listed, docs[id_col] == listed["_listed"], "left_anti")
+    listed = materialize(dropped.select(F.col(id_col).alias("_listed")).distinct(), "dropped")
+    return docs.join(bounded(listed), docs[id_col] == listed["_listed"], "left_anti")

@@ -17,7 +17,7 @@ from clickloom.llm import (
     toxicity,
     warc,
 )
-from clickloom.llm.common import remainder, table
+from clickloom.llm.common import bounded, remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -44,7 +44,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 3) == 1
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic IS NOT NULL")
-    learn = docs.select("doc_id", "text").where(~held_out).join(labels, "doc_id")
+    learn = docs.select("doc_id", "text").where(~held_out).join(bounded(labels), "doc_id")
     scored = toxicity.score(docs, toxicity.fit(learn))
     return scored.select(
         "doc_id",
