@@ -152,35 +152,57 @@ def chain_events(spark, users=30, length=40, items=6, offset=0, prefix="p"):
     return events_of(spark, rows)
 
 
-def one_at_a_time(start, weights, rows, goal, lr, reg):
-    """Plain statement of one pass: every sample moves the target, then each place."""
-    e, w, total = start.copy(), weights.copy(), 0.0
-    k = len(w)
-    for seq_rows, t in zip(rows, goal, strict=True):
-        enc = sum(w[p] * e[seq_rows[p]] for p in range(k)) / k
-        p_hit = 1 / (1 + np.exp(-np.clip(enc @ e[t], -10, 10)))
-        total -= np.log(max(p_hit, 1e-10))
-        g = (1 - p_hit) * p_hit * (1 - p_hit)
-        e[t] = e[t] + lr * (g * enc - reg * e[t])
-        for p in range(k):
-            i = seq_rows[p]
-            e[i] = np.clip(e[i] + lr * (g * w[p] * e[t] / k - reg * e[i]), -10, 10)
-            w[p] += lr * (g * (e[i] @ e[t]) / k - reg * w[p])
-        w = np.clip(w, 0.01, 10)
-    return e, w, total
-
-
-def test_steps_agree_with_single_steps():
-    rng = np.random.default_rng(1)
-    start, weights = 0.3 * rng.standard_normal((12, 5)), np.array(position_weights(4))
-    rows, goal = rng.integers(0, 12, (200, 4)), rng.integers(0, 12, 200)
+def miss(factors, weights, rows, goal):
+    """Half the squared probability of missing the target: what a step goes down on."""
+    logit = (weights[:, None] * factors[rows]).sum(0) @ factors[goal] / len(rows)
+    return 0.5 * (1 - 1 / (1 + np.exp(-logit))) ** 2
+
+
+def one_step(factors, weights, rows, goal, lr, reg, batch=1):
+    rows, goal = np.atleast_2d(rows), np.atleast_1d(goal)
     known = np.ones(rows.shape, dtype=bool)
-    want = one_at_a_time(start, weights, rows, goal, 0.01, 0.05)
-    for batch, tolerance in ((1, 1e-4), (16, 1e-2)):
-        got = seq.sgd(start.copy(), weights, rows, known, goal, 0.01, 0.05, batch)
-        assert np.abs(got[0] - want[0]).max() < tolerance
-        assert np.abs(got[1] - want[1]).max() < tolerance
-        assert got[2] == pytest.approx(want[2], rel=tolerance)
+    return seq.sgd(factors.copy(), weights.copy(), rows, known, goal, lr, reg, batch)
+
+
+def test_a_step_follows_the_gradient():
+    rng = np.random.default_rng(1)
+    start, weights = 0.5 * rng.standard_normal((6, 5)), np.array(position_weights(4))
+    rows, goal, lr, h = np.array([0, 1, 2, 3]), 4, 0.1, 1e-6
+    moved, weights_after, loss = one_step(start, weights, rows, goal, lr, 0.0)
+    slope = np.empty(5)
+    for d in range(5):
+        up, down = start.copy(), start.copy()
+        up[goal, d] += h
+        down[goal, d] -= h
+        slope[d] = (miss(up, weights, rows, goal) - miss(down, weights, rows, goal)) / (2 * h)
+    assert np.allclose(moved[goal], start[goal] - lr * slope, atol=1e-8)
+    # Items move along the target's new vector, in proportion to their place's weight.
+    along = (moved - start)[rows] / weights[:, None]
+    assert np.allclose(along, along[0]) and np.allclose(np.cross(along[0][:3], moved[goal][:3]), 0)
+    assert np.allclose(moved[5], start[5])
+    assert loss == pytest.approx(-np.log(1 - np.sqrt(2 * miss(start, weights, rows, goal))))
+    assert (weights_after != weights).all()
+
+
+def test_steps_without_pull_only_shrink():
+    """A certain hit leaves the regularisation: each use of a row counts once."""
+    start = np.full((3, 2), 5.0)
+    weights, lr, reg = np.array(position_weights(3)), 0.1, 0.5
+    moved, weights_after, _ = one_step(start, weights, [0, 0, 1], 2, lr, reg)
+    keep = 1 - lr * reg
+    assert np.allclose(moved, start * np.array([[keep**2], [keep], [keep]]), atol=1e-4)
+    assert np.allclose(weights_after, weights * keep, atol=1e-4)
+
+
+def test_samples_of_a_batch_that_share_nothing_add_up():
+    rng = np.random.default_rng(3)
+    start, weights = 0.5 * rng.standard_normal((8, 4)), np.array(position_weights(3))
+    rows, goal = np.array([[0, 1, 2], [4, 5, 6]]), np.array([3, 7])
+    both = one_step(start, weights, rows, goal, 0.1, 0.0, batch=2)
+    parts = [one_step(start, weights, r, g, 0.1, 0.0) for r, g in zip(rows, goal, strict=True)]
+    assert np.allclose(both[0] - start, sum(p[0] - start for p in parts))
+    assert np.allclose(both[1] - weights, sum(p[1] - weights for p in parts))
+    assert both[2] == pytest.approx(sum(p[2] for p in parts))
 
 
 def test_steps_stay_bounded():
@@ -212,15 +234,15 @@ def test_average_divides_by_all_workers(spark):
     """One worker's change counts 1/W, as if idle workers returned the old model."""
     events = chain_events(spark, users=1, length=2)
     one = seq.train_sequence_model(events, epochs=1, workers=1, n_factors=4, k=2)
-    four = seq.train_sequence_model(events, epochs=1, workers=4, n_factors=4, k=2)
+    four = seq.train_sequence_model(
+        events, epochs=1, workers=4, n_factors=4, k=2, average="workers"
+    )
     ids = spark.createDataFrame([(PAD,), ("p0",), ("p1",)], "product_id string")
     start = {r.product_id: np.array(r.factor) for r in seq.start_rows(ids, 4, 42).collect()}
     a, b = model_rows(one), model_rows(four)
     for item in start:
         assert np.allclose((a[item] - start[item]) / 4, b[item] - start[item])
-    kept = seq.train_sequence_model(
-        events, epochs=1, workers=4, n_factors=4, k=2, average="touched"
-    )
+    kept = seq.train_sequence_model(events, epochs=1, workers=4, n_factors=4, k=2)
     assert all(np.allclose(model_rows(kept)[i], a[i]) for i in a)
 
 
