@@ -61,7 +61,8 @@ def test_unseen_predicts_zero_and_gets_no_list(spark, trained):
     assert rows[("nobody", "p1")] == rows[("u1", "nothing")] == 0.0
     user = model.users.filter("user_id = 'u1'").first().factor
     item = model.items.filter("product_id = 'p1'").first().factor
-    assert rows[("u1", "p1")] == pytest.approx(np.dot(user, item))
+    offset = model.metadata["rating_offset"]
+    assert rows[("u1", "p1")] == pytest.approx(offset + np.dot(user, item))
     stranger = spark.createDataFrame([("nobody",)], "user_id string")
     assert factor_model.recommend_top_n(model, stranger).count() == 0
 
