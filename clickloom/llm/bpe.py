@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import ID, TEXT, text_or_empty
 
-MEMORY = 600_000
+MEMORY = 250_000
 CHUNK = 512
 
 

@@ -31,7 +31,9 @@ MAX_LANGUAGES = 256
 MAX_GRAMS = 4_000_000
 CALIBRATION = 10  # one row of so many is kept out of the counts
 CALIBRATION_ROWS = 2_000
+LENIENCE = 1.75  # times the mean entropy; texts that mix known languages stay below
 MEMORY = 300_000
+COUNTED, SCORED, WORDS = 1_000, 512, 20_000  # rows and words held at a time
 START, END = "\x01", "\x02"
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -73,13 +75,19 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 # --------------------------------------------------------------------------
 
 
+def _slices(batches, rows: int):
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _gram_counts(rows: DataFrame) -> DataFrame:
     """(lang, gram, n) of rows (lang, text); counted per batch before the shuffle."""
 
     def run(batches):
-        for batch in batches:
+        for part in _slices(batches, COUNTED):
             by: dict[str, Counter] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 by.setdefault(lang, Counter()).update(text.split())
             for lang, counts in by.items():
                 words: Counter = Counter()
@@ -257,7 +265,7 @@ def fit(
 
 
 def _calibrated(model: LanguageModel, rows: DataFrame) -> LanguageModel:
-    """Entropy limits per language from held-out rows: half above the mean level, and
+    """Entropy limits per language from held-out rows: well above the mean level, plus
     twice the worst excess over it, which shrinks with the root of the length."""
     scored = _scored(rows.select("lang", "text"), model, "lang", "string").toArrow()
     lang = np.array(scored.column("lang").to_pylist(), object)
@@ -269,8 +277,8 @@ def _calibrated(model: LanguageModel, rows: DataFrame) -> LanguageModel:
             continue
         chars, entropy = own[:, -1], -own[:, i] / own[:, -1]
         mean = (-own[:, i]).sum() / chars.sum()
-        excess = np.maximum(entropy - 1.5 * mean, 0) * np.sqrt(chars)
-        model.level[i] = 1.5 * mean
+        excess = np.maximum(entropy - LENIENCE * mean, 0) * np.sqrt(chars)
+        model.level[i] = LENIENCE * mean
         model.spread[i] = 2 * max(excess.max(), mean)
     return model
 
@@ -300,9 +308,9 @@ class _Memory:
             self.rows.update(zip(new, range(first, first + len(new))))
             while len(self.scores) < len(self.rows):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[first : len(self.rows)] = self.model.word_scores(
-                [language_words(w) for w in new]
-            )
+            for at in range(0, len(new), WORDS):
+                part = [language_words(w) for w in new[at : at + WORDS]]
+                self.scores[first + at : first + at + len(part)] = self.model.word_scores(part)
         rows = self.rows
         out = np.zeros((len(texts), self.scores.shape[1]))
         for i, words in enumerate(cut):
@@ -319,15 +327,13 @@ def _scored(rows: DataFrame, model: LanguageModel, key: str, kind: str) -> DataF
 
     def run(batches):
         memory = _Memory(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                sums = memory.document_sums([t or "" for t in part.column(1).to_pylist()])
-                ends = np.arange(0, sums.size + 1, sums.shape[1], dtype="int32")
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends), sums.ravel())],
-                    names=[key, "sums"],
-                )
+        for part in _slices(batches, SCORED):
+            sums = memory.document_sums([t or "" for t in part.column(1).to_pylist()])
+            ends = np.arange(0, sums.size + 1, sums.shape[1], dtype="int32")
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.ListArray.from_arrays(pa.array(ends), sums.ravel())],
+                names=[key, "sums"],
+            )
 
     return rows.mapInArrow(run, f"`{key}` {kind}, sums array<double>")
 
@@ -351,38 +357,36 @@ def identify(
         own = shared.value
         memory, size = _Memory(own), len(own.languages)
         names = np.array([*own.languages, UNKNOWN], object)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                if size:
-                    texts = [t or "" for t in part.column(1).to_pylist()]
-                    sums = memory.document_sums(texts)
-                else:
-                    sums = np.zeros((part.num_rows, 1))
-                chars = sums[:, -1]
-                some = chars > 0
-                best = np.full(part.num_rows, size)
-                score, entropy = np.zeros(part.num_rows), np.zeros(part.num_rows)
-                rejected = np.ones(part.num_rows, bool)
-                if some.any():
-                    each = -sums[some, :-1] / chars[some, None]
-                    top = each.argmin(1)
-                    least = each.min(1)
-                    evidence = np.minimum(chars[some], 40)[:, None]
-                    best[some] = top
-                    score[some] = 1 / np.exp((least[:, None] - each) * evidence).sum(1)
-                    entropy[some] = least
-                    rejected[some] = least > own.limits(chars[some], top)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(names[best].tolist(), pa.string()),
-                        pa.array(score),
-                        pa.array(entropy),
-                        pa.array(rejected),
-                    ],
-                    names=[id_col, "lang_pred", "score", "entropy", "rejected"],
-                )
+        for part in _slices(batches, SCORED):
+            if size:
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                sums = memory.document_sums(texts)
+            else:
+                sums = np.zeros((part.num_rows, 1))
+            chars = sums[:, -1]
+            some = chars > 0
+            best = np.full(part.num_rows, size)
+            score, entropy = np.zeros(part.num_rows), np.zeros(part.num_rows)
+            rejected = np.ones(part.num_rows, bool)
+            if some.any():
+                each = -sums[some, :-1] / chars[some, None]
+                top = each.argmin(1)
+                least = each.min(1)
+                evidence = np.minimum(chars[some], 40)[:, None]
+                best[some] = top
+                score[some] = 1 / np.exp((least[:, None] - each) * evidence).sum(1)
+                entropy[some] = least
+                rejected[some] = least > own.limits(chars[some], top)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(names[best].tolist(), pa.string()),
+                    pa.array(score),
+                    pa.array(entropy),
+                    pa.array(rejected),
+                ],
+                names=[id_col, "lang_pred", "score", "entropy", "rejected"],
+            )
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
@@ -395,13 +399,13 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = TEXT)
     def run(batches):
         own = shared.value
         memory = _Memory(own)
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+        for part in _slices(batches, SCORED):
+            keep = np.zeros(part.num_rows, bool)
             if own.languages:
-                sums = memory.document_sums([t or "" for t in batch.column(at).to_pylist()])
+                sums = memory.document_sums([t or "" for t in part.column(at).to_pylist()])
                 some = np.flatnonzero(sums[:, -1] > 0)
                 each = -sums[some, :-1] / sums[some, -1:]
                 keep[some] = each.min(1) <= own.limits(sums[some, -1], each.argmin(1))
-            yield batch.filter(pa.array(keep))
+            yield part.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

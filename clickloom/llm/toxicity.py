@@ -33,7 +33,7 @@ FACTORS = 4
 STEPS = 250
 RATE = 0.05
 DECAY = 1e-3
-MEMORY = 400_000
+MEMORY = 200_000
 SEED = 11
 
 
