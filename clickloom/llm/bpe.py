@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import ID, TEXT, text_or_empty
 
-MEMORY = 250_000
+MEMORY = 300_000
 CHUNK = 512
 
 
@@ -159,8 +159,8 @@ class Encoder:
     """Texts to ids and back; equal to the library's result without special tokens added.
 
     Texts of printable ASCII and precomposed Latin letters, which the library's
-    normalisation only lowers, are cut into words at white space and those into
-    pieces by one regular expression; any other text is cut by the library.
+    normalisation only lowers, are cut into pieces by one regular expression;
+    any other text is cut by the library.
     """
 
     LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff\u0100-\u017f"
@@ -183,7 +183,7 @@ class Encoder:
         self.tokens = [""] * (max(chain(vocab.values(), self.special.values())) + 1)
         for token, i in chain(vocab.items(), self.special.items()):
             self.tokens[i] = token
-        self.known, self.pieces = Memory(), Memory()
+        self.known = Memory()
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -193,26 +193,19 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
-        odd, marks = self.ODD, tuple(self.special)
+        odd, marks, pieces = self.ODD, tuple(self.special), self.PIECE.findall
         cut = [
-            None if odd.search(t) or any(m in t for m in marks) else t.split() for t in texts
+            None if odd.search(t) or any(m in t for m in marks) else pieces(t.lower())
+            for t in texts
         ]
-        words = self._words(set().union(*[own for own in cut if own]))
+        known = self.known
+        new = list(known.missing(set().union(*[own for own in cut if own])))
+        known.update(zip(new, self._learn(new)))
         return [
-            self._odd(text) if own is None else b"".join(map(words.__getitem__, own))
+            self._odd(text) if own is None else b"".join([known[p] for p in own])
             for text, own in zip(texts, cut)
         ]
 
-    def _words(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of words between white space, which no piece crosses."""
-        known, pieces = self.known, self.pieces
-        cut = {w: self.PIECE.findall(w.lower()) for w in known.missing(words)}
-        new = list(pieces.missing({p for own in cut.values() for p in own}))
-        pieces.update(zip(new, self._learn(new)))
-        for word, own in cut.items():
-            known[word] = pieces[own[0]] if len(own) == 1 else b"".join([pieces[p] for p in own])
-        return known
-
     def decode(self, ids) -> str:
         """As the library does without a decoder: the tokens with a space between them."""
         tokens = self.tokens
