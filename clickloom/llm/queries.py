@@ -102,13 +102,19 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit a replica of the pages in which some pages have lost a byte or are gone."""
+    """Audit a replica of the pages in which some pages have one character changed.
+
+    It is dealt over as many archives as the primary.
+    """
     pages = table(spark, sf_dir, "pages")
+    files = warc.archive_count(pages)
     fate = F.pmod(F.crc32(F.encode(F.col("page_id").cast("string"), "UTF-8")), F.lit(DAMAGED))
-    primary = warc.to_archive(pages)
-    cut = F.overlay(F.col("html"), F.lit("?"), F.greatest(F.length("html") / 2, F.lit(1)).cast("int"))
-    replica = warc.to_archive(pages.withColumn("html", F.when(fate == 0, cut).otherwise(F.col("html"))))
-    return warc.audit(primary, replica)
+    html = F.coalesce("html", F.lit(""))
+    at = F.greatest(F.length(html) / 2, F.lit(1)).cast("int")
+    other = F.when(F.substring(html, at, F.lit(1)) == "?", "!").otherwise("?")
+    cut = F.overlay(html, other, at)
+    damaged = pages.withColumn("html", F.when(fate == 0, cut).otherwise(F.col("html")))
+    return warc.audit(warc.to_archive(pages, files=files), warc.to_archive(damaged, files=files))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

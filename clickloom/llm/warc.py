@@ -1,12 +1,12 @@
 """Merkle fixity audit of WARC records in two replicas.
 
-Every archive's records, in order of their offset, are the leaves of a tree:
-a leaf hashes the record's length and bytes, an inner node the hashes of up to
-``FANOUT`` neighbours, so it stands for a range of offsets, and a record that
-has grown does not change the leaves behind it. Replicas
-are compared root by root, and only below nodes that differ the next level is
-compared, down to the records. Leaves and nodes are built by DataFrame
-functions; a level has one row per ``FANOUT`` rows of the level below.
+Every archive has a tree over slots, a record's slot being the hash of its id,
+so a record that has grown, is gone or is new changes its own slot and no other.
+A slot hashes the ids, lengths and bytes of its records, an inner node the hashes
+of up to ``FANOUT`` neighbours, so it stands for a range of slots. Replicas get
+trees of the same height and are compared root by root, and only below nodes that
+differ the next level is compared, down to the slots; there records are matched
+by id. Leaves and nodes are built by DataFrame functions.
 """
 
 from __future__ import annotations
@@ -37,15 +37,26 @@ def record_bytes(uri: Column, payload: Column) -> Column:
     return F.concat(F.encode(head, "UTF-8"), body, F.encode(F.lit(LINE + LINE), "UTF-8"))
 
 
+def archive_count(pages: DataFrame) -> int:
+    """How many archives these pages are dealt over; a replica takes its primary's number."""
+    return max(1, pages.count() // RECORDS)
+
+
 def to_archive(
-    pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html"
+    pages: DataFrame,
+    id_col: str = "page_id",
+    uri_col: str = "url",
+    payload_col: str = "html",
+    files: int | None = None,
 ) -> DataFrame:
     """Pages as records (file, id, record), dealt over archives by a hash of id and url.
 
-    A null url or payload is empty; other columns are ignored. Records of an
-    archive are in order of id; rows that repeat an id are ordered by content.
+    ``files`` is the number of archives, by default what the number of pages
+    asks for; two replicas are dealt alike only over the same number. A null
+    url or payload is empty; other columns are ignored. Records of an archive
+    are in order of id; rows that repeat an id are ordered by content.
     """
-    files = max(1, pages.count() // RECORDS)
+    files = files or archive_count(pages)
     return pages.select(
         F.pmod(F.xxhash64(id_col, uri_col), F.lit(files)).cast("int").alias("file"),
         F.col(id_col).alias("id"),
@@ -54,7 +65,7 @@ def to_archive(
 
 
 def leaves(records: DataFrame) -> DataFrame:
-    """(file, seq, id, offset, length, hash): where each record lies, and its leaf.
+    """(file, seq, id, first, last, hash): where each record lies, and its leaf.
 
     Only ids, lengths and content hashes are shuffled; an archive's records are
     bounded by the writer, so its prefix sum is one group.
@@ -66,35 +77,48 @@ def leaves(records: DataFrame) -> DataFrame:
         F.sha2("record", 256).alias("content"),
     )
     order = Window.partitionBy("file").orderBy("id", "content")
-    placed = narrow.withColumn("seq", F.row_number().over(order) - 1).withColumn(
-        "offset",
-        F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"),
+    last = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    leaf = F.sha2(F.concat_ws(":", "id", "length", "content").cast("binary"), 256)
+    return narrow.select(
+        "file",
+        (F.row_number().over(order) - 1).cast("long").alias("seq"),
+        "id",
+        (last - F.col("length")).alias("first"),
+        last.alias("last"),
+        leaf.alias("hash"),
     )
-    leaf = F.sha2(F.concat_ws(":", "length", "content").cast("binary"), 256)
-    return placed.select("file", "seq", "id", "offset", "length", leaf.alias("hash"))
 
 
-def levels(leaf_rows: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
-    """Nodes per level (file, node, first, last, hash), the records first, the roots last."""
+def height(leaf_rows: DataFrame, fanout: int = FANOUT) -> int:
+    """Levels above the slots, for about as many slots as the largest archive has records."""
+    largest = leaf_rows.groupBy("file").count().agg(F.max("count")).first()[0] or 0
+    found = 0
+    while fanout**found < largest:
+        found += 1
+    return found
+
+
+def slot(id_col: str, slots: int) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(slots).cast("long"))
+
+
+def levels(leaf_rows: DataFrame, above: int, fanout: int = FANOUT) -> list[DataFrame]:
+    """Nodes per level (file, node, hash), the slots first, the roots last."""
+    parts = F.sort_array(F.collect_list("hash"))
     level = materialize(
-        leaf_rows.select(
-            "file",
-            F.col("seq").cast("long").alias("node"),
-            F.col("offset").alias("first"),
-            (F.col("offset") + F.col("length")).alias("last"),
-            "hash",
+        leaf_rows.groupBy("file", slot("id", fanout**above).alias("node")).agg(
+            F.sha2(F.array_join(parts, "").cast("binary"), 256).alias("hash")
         ),
         "warc-level",
     )
     found = [level]
-    while level.where("node > 0").limit(1).count():
-        parts = F.sort_array(F.collect_list(F.struct("node", "hash")))
+    parts = F.sort_array(F.collect_list(F.struct("node", "hash")))
+    parts = F.transform(parts, lambda p: F.concat_ws(":", p["node"], p["hash"]))
+    for _ in range(above):
         level = materialize(
-            level.groupBy("file", F.floor(F.col("node") / fanout).cast("long").alias("node")).agg(
-                F.min("first").alias("first"),
-                F.max("last").alias("last"),
-                F.sha2(F.array_join(parts["hash"], "").cast("binary"), 256).alias("hash"),
-            ),
+            level.groupBy("file", F.floor(F.col("node") / fanout).cast("long").alias("parent"))
+            .agg(F.sha2(F.array_join(parts, ",").cast("binary"), 256).alias("hash"))
+            .withColumnRenamed("parent", "node"),
             "warc-level",
         )
         found.append(level)
@@ -109,23 +133,45 @@ def _unequal(one: DataFrame, two: DataFrame) -> DataFrame:
     return joined.where(~F.col("_one").eqNullSafe(F.col("_two"))).select(*names)
 
 
+def _side_by_side(own: DataFrame, other: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(one, two) of leaves that agree in file, id and ``by``, null ids included; else one is null."""
+    a = own.select(F.struct(*own.columns).alias("one"))
+    b = other.select(F.struct(*other.columns).alias("two"))
+    same = F.col("one.id").eqNullSafe(F.col("two.id"))
+    for name in ("file", *by):
+        same &= F.col(f"one.{name}") == F.col(f"two.{name}")
+    return a.join(b, same, "full_outer")
+
+
+def _numbered(leaf_rows: DataFrame, *by: str) -> DataFrame:
+    order = Window.partitionBy("file", "id", *by).orderBy("seq")
+    return leaf_rows.withColumn("turn", F.row_number().over(order))
+
+
+def _damage(own: DataFrame, other: DataFrame) -> DataFrame:
+    """(one, two) of the leaves that differ; equal leaves of a repeated id cancel out first."""
+    pairs = _side_by_side(_numbered(own, "hash"), _numbered(other, "hash"), ("hash", "turn"))
+    left = materialize(pairs.where("one IS NULL OR two IS NULL"), "warc-unmatched")
+    rest = [left.where(f"{name} IS NOT NULL").select(f"{name}.*") for name in ("one", "two")]
+    return _side_by_side(*(_numbered(rows) for rows in rest), ("turn",))
+
+
 def audit(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """Records (file, id, record) that differ between two replicas.
+    """Records (file, id, record) that differ between two replicas dealt alike.
 
-    One row per damaged leaf: file, seq, id, first, last (offsets in the
-    primary, in the replica where the primary has no such record), state
+    One row per damaged record: file, seq, id, first, last (position and offsets
+    in the primary, in the replica where the primary has no such record), state
     (``changed``, ``missing`` from or ``extra`` in the replica) and levels, the
-    number of tree levels descended. Equal replicas, empty ones included, give
-    no rows.
+    number of tree levels descended. Records are matched by file and id; of an id
+    that repeats, equal records are matched first and the others in their order.
+    Equal replicas, empty ones included, give no rows.
     """
     own = materialize(leaves(primary), "warc-leaves")
     other = materialize(leaves(replica), "warc-leaves")
-    one, two = levels(own, fanout), levels(other, fanout)
-    depth = max(len(one), len(two))
-    # Of unequal heights, the lower tree's root has no partner above: descend from the lower top.
-    top = min(len(one), len(two)) - 1
-    bad = materialize(_unequal(one[top], two[top]), "warc-bad")
-    for k in range(top - 1, -1, -1):
+    above = max(height(own, fanout), height(other, fanout))
+    one, two = levels(own, above, fanout), levels(other, above, fanout)
+    bad = materialize(_unequal(one[above], two[above]), "warc-bad")
+    for k in range(above - 1, -1, -1):
         parents = bad.select(F.col("file").alias("_f"), F.col("node").alias("_n"))
         below = [
             level.join(
@@ -137,29 +183,17 @@ def audit(primary: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataF
             for level in (one[k], two[k])
         ]
         bad = materialize(_unequal(*below), "warc-bad")
-    places = [
-        rows.select(
-            "file",
-            F.col("seq").cast("long").alias("node"),
-            F.struct(
-                "id", F.col("offset").alias("first"), (F.col("offset") + F.col("length")).alias("last")
-            ).alias(name),
-        )
-        for name, rows in (("_own", own), ("_other", other))
-    ]
-    found = bad.join(places[0], ["file", "node"], "left").join(places[1], ["file", "node"], "left")
-    at = F.coalesce("_own", "_other")
+    places = bad.select(F.col("file").alias("_f"), F.col("node").alias("_n"))
+    inside = (F.col("file") == F.col("_f")) & (slot("id", fanout**above) == F.col("_n"))
+    found = _damage(*(rows.join(places, inside, "left_semi") for rows in (own, other)))
+    at = F.coalesce("one", "two")
     state = (
-        F.when(F.col("_other").isNull(), "missing")
-        .when(F.col("_own").isNull(), "extra")
+        F.when(F.col("two").isNull(), "missing")
+        .when(F.col("one").isNull(), "extra")
         .otherwise("changed")
     )
     return found.select(
-        "file",
-        F.col("node").alias("seq"),
-        at["id"].alias("id"),
-        at["first"].alias("first"),
-        at["last"].alias("last"),
+        *(at[name].alias(name) for name in ("file", "seq", "id", "first", "last")),
         state.alias("state"),
-        F.lit(depth).alias("levels"),
+        F.lit(above + 1).alias("levels"),
     )

@@ -300,6 +300,36 @@ def test_fixity_of_odd_archives(spark, fanout):
     assert [(r.id, r.state) for r in warc.audit(full, short, fanout).collect()] == [(50, "missing")]
 
 
+def test_fixity_names_lost_and_added_records(spark):
+    schema = "page_id long, url string, html string"
+    rows = [(i, f"http://x/{i}", f"<p>{i}</p>") for i in range(2_000)]
+    rows += [(9, "http://x/9", t) for t in ("a", "b", "b", "c")]
+    rows += [(None, "http://x/n", t) for t in ("a", "b")]
+    pages = spark.createDataFrame(rows, schema)
+    files = warc.archive_count(pages)
+    assert files == 2  # the replica has fewer than 2,000 pages, so its own number would be 1
+    gone, new = {0, 3, 500, 501, 777, 1999, *range(1200, 1260)}, {-5, 5_000}
+    changed = {4: "longer than it was", 1000: "?"}
+    kept = [(i, u, changed.get(i, t)) for i, u, t in rows if i not in gone]
+    kept.remove((9, "http://x/9", "b"))
+    kept.remove((None, "http://x/n", "a"))
+    kept += [(i, f"http://x/{i}", "new") for i in new]
+    replica = warc.to_archive(spark.createDataFrame(kept, schema), files=files)
+    got = warc.audit(warc.to_archive(pages, files=files), replica).collect()
+    want = [(i, "missing") for i in [*gone, 9, None]]
+    want += [(i, "extra") for i in new] + [(i, "changed") for i in changed]
+    assert Counter((r.id, r.state) for r in got) == Counter(want)
+
+
+def test_fixity_query_damages_every_chosen_page(spark, folder):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % queries.DAMAGED == 0][:3]
+    rows = [(i, "http://x", t) for i, t in zip(ids, ["????", None, ""])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(f"{folder}/pages.parquet")
+    got = queries.op9_warc_fixity(spark, folder).collect()
+    assert sorted((r.id, r.state) for r in got) == sorted((i, "changed") for i in ids)
+
+
 # ----------------------------------------------------------------- pipeline
 
 
