@@ -1,10 +1,13 @@
 """Licence scan: passages compared to licence templates by Dice over word bigrams.
 
-Texts and templates are lower-cased words. A passage is a sentence, or a run of
-sentences in a row that are made mostly of template bigrams, so that a notice
-is found inside other text and a whole licence as one piece. Two sets of sizes
-a and b can reach a Dice coefficient t only if b lies between a*t/(2-t) and
-a*(2-t)/t, so templates, in order of size, are compared only within these bounds.
+Texts and templates are lower-cased words. A passage is any run of sentences in a
+row, so that a notice is found inside other text or next to another one and a
+whole licence as one piece; its words are at most ``STRETCH`` times its
+template's. Two sets of sizes a and b can reach a Dice coefficient t only if b
+lies between a*t/(2-t) and a*(2-t)/t, and then share at least b*t/(2-t), so a
+template is compared only with texts and windows that share as many of its
+bigrams. Of all passages that reach the threshold those are kept that do not
+overlap and together exceed it by the most bigrams.
 The scan is a narrow step: one pass over the texts, nothing is shuffled.
 """
 
@@ -13,6 +16,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +24,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import ID, TEXT, text_or_empty
 
 THRESHOLD = 0.8
+STRETCH = 2
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s|$)|\n|$)")
 
@@ -129,21 +134,35 @@ TEMPLATES = {
 }
 
 
+def words_of(text: str) -> list[str]:
+    """Words of the normalised text; ``licence`` is spelt ``license``."""
+    return WORD.findall(text.lower().replace("licence", "license"))
+
+
 def bigrams(text: str) -> set[tuple[str, str]]:
-    """Neighbouring words of the normalised text; ``licence`` is spelt ``license``."""
-    words = WORD.findall(text.lower().replace("licence", "license"))
+    """Neighbouring words of the normalised text."""
+    words = words_of(text)
     return set(zip(words, words[1:]))
 
 
 class Templates:
-    """Templates in order of size, and the bigrams that any of them has."""
+    """Templates in order of size, and a row of flags each over the bigrams that any has."""
 
     def __init__(self, texts: dict[str, tuple[str, ...]], threshold: float):
         rows = [(bigrams(t), name, k) for name, ts in texts.items() for k, t in enumerate(ts)]
         self.rows = sorted(((len(b), name, k, b) for b, name, k in rows), key=lambda r: r[:3])
         self.sizes = [r[0] for r in self.rows]
-        self.known = set().union(*(r[3] for r in self.rows))
         self.threshold = threshold
+        self.number: dict[tuple[str, str], int] = {}
+        for row in self.rows:
+            for pair in sorted(row[3]):
+                self.number.setdefault(pair, len(self.number))
+        self.has = np.zeros((len(self.rows), len(self.number) + 1), bool)  # the last: unknown
+        for flags, row in zip(self.has, self.rows):
+            flags[[self.number[pair] for pair in row[3]]] = True
+        sizes = np.array(self.sizes)
+        self.need = np.where(sizes > 0, np.ceil(sizes * threshold / (2 - threshold) - 1e-9), np.inf)
+        self.reach = [STRETCH * len(words_of(texts[r[1]][r[2]])) for r in self.rows]
 
     def best(self, own: set) -> tuple[float, str, int] | None:
         """The template of the largest coefficient, if it reaches the threshold; ties by name."""
@@ -161,29 +180,79 @@ class Templates:
 
     def scan(self, text: str) -> list[tuple[int, int, str, int, float]]:
         """(start, end, licence, template, dice) of the passages, in order."""
-        out, run = [], []
+        parts, first, words = [], [], []
         for m in SENTENCE.finditer(text):
-            if m.end() == m.start():
-                continue
-            own = bigrams(m[0])
-            if not own:
-                continue
-            if 2 * len(own & self.known) >= len(own):
-                run.append((m.start(), m.end(), own))
-            elif run:
-                out += self._passages(text, run)
-                run = []
-        return out + (self._passages(text, run) if run else [])
-
-    def _passages(self, text: str, run: list) -> list:
-        """The run's sentences that are licences, or the whole run if that fits no worse."""
-        parts = [(s, e, hit) for s, e, own in run if (hit := self.best(own))]
-        if len(run) > 1:
-            start, end = run[0][0], run[-1][1]
+            own = words_of(m[0])
+            if own:
+                parts.append(m.span())
+                first.append(len(words))
+                words += own
+        pairs = list(zip(words, words[1:]))
+        known = list({n for n in map(self.number.get, pairs) if n is not None})
+        rows = np.flatnonzero(self.has[:, known].sum(1) >= self.need)
+        if not len(rows):
+            return []
+        out = []
+        for i, j in self._passages(pairs, np.array([*first, len(words)]), rows):
+            start, end = parts[i][0], parts[j][1]
             hit = self.best(bigrams(text[start:end]))
-            if hit and all(hit[0] >= part[2][0] for part in parts):
-                parts = [(start, end, hit)]
-        return [self._row(text, *part) for part in parts]
+            if hit:
+                out.append(self._row(text, start, end, hit))
+        return out
+
+    def _passages(self, pairs: list, first: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:
+        """First and last part of the passages that exceed the threshold by the most in sum.
+
+        From the last part to the first: the best sum from a part on is that from
+        the next part on, or that of a passage from here and of what is behind it.
+        A passage starts with a part that has bigrams of its template, as it would
+        score no less without it.
+        """
+        t, parts, total = self.threshold, len(first) - 1, len(pairs)
+        before, last = np.empty(total, "i8"), {}
+        for n, pair in enumerate(pairs):
+            before[n] = last.get(pair, -1)
+            last[pair] = n
+        unknown = len(self.number)
+        codes = np.fromiter((self.number.get(pair, unknown) for pair in pairs), "i8", total)
+        starts = []
+        for row in rows:
+            hits = self.has[row][codes]
+            so_far = np.concatenate([[0], np.cumsum(hits)])
+            left = so_far[np.minimum(first[:-1], total)]
+            here = so_far[np.minimum(first[1:], total)] - left
+            ahead = so_far[np.minimum(first[:-1] + self.reach[row], total)] - left
+            starts.append((here > 0) & (ahead >= self.need[row]))
+        sums, chosen = np.zeros(parts + 1), [None] * parts
+        for i in range(parts - 1, -1, -1):
+            sums[i] = sums[i + 1]
+            for row, can in zip(rows, starts):
+                if not can[i]:
+                    continue
+                begin = first[i]
+                end = min(begin + self.reach[row], total)
+                behind = np.searchsorted(first, end + 1, "right")
+                ends = np.arange(i + 1, behind)  # the part behind the passage
+                ends = ends[first[ends] - 1 > begin]
+                if not len(ends):
+                    continue
+                new = before[begin:end] < begin
+                at = first[ends] - 2 - begin
+                size = np.cumsum(new)[at]
+                shared = np.cumsum(new & self.has[row][codes[begin:end]])[at]
+                over = 2 * shared - t * (size + self.sizes[row])
+                found = np.where(over >= -1e-9, over + 1e-6 + sums[ends], -1.0)
+                top = found.argmax()
+                if found[top] > sums[i]:
+                    sums[i], chosen[i] = found[top], ends[top]
+        out, i = [], 0
+        while i < parts:
+            if chosen[i] is None:
+                i += 1
+            else:
+                out.append((i, chosen[i] - 1))
+                i = chosen[i]
+        return out
 
     @staticmethod
     def _row(text: str, start: int, end: int, hit) -> tuple:

@@ -214,6 +214,48 @@ def test_whole_licence_in_lines_is_one_passage(spark):
     assert license_scan.scan(docs_of(spark, [])).count() == 0
 
 
+def test_adjacent_licences_are_passages_of_their_own():
+    own = license_scan.Templates(license_scan.TEMPLATES, 0.8)
+    notices = {"Apache-2.0": 2, "GPL-3.0": 2, "MIT": 3}
+    full = {n: license_scan.TEMPLATES[n][k] for n, k in notices.items()}
+    for names in [("Apache-2.0", "GPL-3.0"), ("GPL-3.0", "Apache-2.0", "MIT"), ("MIT", "MIT")]:
+        for gap in (" ", "\n", "\n\nAnd these files:\n"):
+            text = gap.join(full[n] for n in names)
+            got = own.scan(text)
+            assert [(r[2], text[r[0] : r[1]]) for r in got] == [(n, full[n]) for n in names]
+    short = "Licensed under the MIT License."
+    got = own.scan(f"{short} {full['GPL-3.0']}")
+    assert [(r[2], r[4]) for r in got] == [("MIT", 1.0), ("GPL-3.0", 1.0)]
+    worn = full["GPL-3.0"].replace("useful", "handy").replace("details", "of it").replace("along", "")
+    got = own.scan(f"{short}\n{worn}\n{full['Apache-2.0']} Some words of no licence.")
+    assert [r[2] for r in got] == ["MIT", "GPL-3.0", "Apache-2.0"]
+
+
+def test_passages_match_every_window(spark):
+    rng = random.Random(11)
+    own = license_scan.Templates(license_scan.TEMPLATES, 0.8)
+    pool = [t for ts in license_scan.TEMPLATES.values() for t in ts if len(t) < 2_000]
+    pool = [m[0].strip() for t in pool for m in license_scan.SENTENCE.finditer(t) if m[0].strip()]
+    for _ in range(40):
+        text = "\n".join(rng.choice([*pool, "Some words.", "x", "the end of it"]) for _ in range(8))
+        spans = [m.span() for m in license_scan.SENTENCE.finditer(text) if m[0].strip()]
+        sums = {len(spans): 0.0}
+        for i in reversed(range(len(spans))):
+            sums[i] = sums[i + 1]
+            for j in range(i, len(spans)):
+                a = license_scan.bigrams(text[spans[i][0] : spans[j][1]])
+                words = len(license_scan.words_of(text[spans[i][0] : spans[j][1]]))
+                for (size, _, _, b), reach in zip(own.rows, own.reach):
+                    over = 2 * len(a & b) - 0.8 * (len(a) + size)
+                    if size and a and words <= reach and over >= -1e-9:
+                        sums[i] = max(sums[i], over + 1e-6 + sums[j + 1])
+        got = 0.0
+        for start, end, *_ in own.scan(text):
+            a = license_scan.bigrams(text[start:end])
+            got += 1e-6 + max(2 * len(a & r[3]) - 0.8 * (len(a) + r[0]) for r in own.rows)
+        assert got == pytest.approx(sums[0], abs=1e-9)
+
+
 # ------------------------------------------------------------------ vectors
 
 
