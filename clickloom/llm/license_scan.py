@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s|$)|\n|$)")
 
 # Fixed: wordings of public licences and of the notices that name them.
-TEMPLATES = {
+NOTICES = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
@@ -133,6 +134,92 @@ TEMPLATES = {
     "CC0-1.0": ("This work is released under CC0 1.0 Universal.",),
 }
 
+# Whole texts, in files of their names.
+TEXTS = (
+    "Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "LGPL-2.1", "LGPL-2.0", "MPL-2.0", "CC0-1.0",
+    "Unlicense",
+)
+
+DISCLAIMER = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS "
+    "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+    "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED "
+    "AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED "
+    "OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+ISC_DISCLAIMER = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+    "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL "
+    "THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+    "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+    "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE "
+    "OR PERFORMANCE OF THIS SOFTWARE."
+)
+# The notice of version 2 and its relatives; {0} the work, {1} the licence, {2} the version.
+OLDER_GNU = (
+    "This {0} is free software; you can redistribute it and/or modify it under the terms of the "
+    "GNU {1} as published by the Free Software Foundation; either version {2} of the License, or "
+    "(at your option) any later version. This {0} is distributed in the hope that it will be "
+    "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+    "FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details. You should have received "
+    "a copy of the GNU {1} along with this {0}; if not, write to the Free Software Foundation, "
+    "Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."
+)
+GENERAL = "General Public License"
+AFFERO_13 = (
+    "13. Remote Network Interaction; Use with the GNU General Public License. Notwithstanding any "
+    "other provision of this License, if you modify the Program, your modified version must "
+    "prominently offer all users interacting with it remotely through a computer network (if your "
+    "version supports such interaction) an opportunity to receive the Corresponding Source of your "
+    "version by providing access to the Corresponding Source from a network server at no charge, "
+    "through some standard or customary means of facilitating copying of software. This "
+    "Corresponding Source shall include the Corresponding Source for any work covered by version 3 "
+    "of the GNU General Public License that is incorporated pursuant to the following paragraph."
+)
+
+
+def _all_templates() -> dict[str, tuple[str, ...]]:
+    """The notices, then the longer wordings and the whole texts of the same licences."""
+    found = {name: list(texts) for name, texts in NOTICES.items()}
+
+    def add(name: str, text: str) -> None:
+        found.setdefault(name, []).append(text)
+
+    program = NOTICES["GPL-3.0"][-1]
+    for name, kind in (("LGPL-3.0", "Lesser"), ("AGPL-3.0", "Affero")):
+        notice = program.replace(f"GNU {GENERAL}", f"GNU {kind} {GENERAL}")
+        add(name, notice)
+        add(name, notice.split(" This program is distributed")[0])
+    for name, work, kind, version in (
+        ("GPL-2.0", "program", "", "2"),
+        ("LGPL-2.1", "library", "Lesser ", "2.1"),
+        ("LGPL-2.0", "library", "Library ", "2"),
+    ):
+        notice = OLDER_GNU.format(work, kind + GENERAL, version)
+        add(name, notice)
+        if name != "GPL-2.0":  # its first sentence is among the notices
+            add(name, notice.split(f" This {work} is distributed")[0])
+    add("GPL-3.0", program.split(" This program is distributed")[0])
+    for name in ("BSD-3-Clause", "BSD-2-Clause"):
+        add(name, NOTICES[name][-1] + DISCLAIMER)
+    add("ISC", NOTICES["ISC"][-1] + ISC_DISCLAIMER)
+    folder = resources.files("clickloom.llm") / "licences"
+    for name in TEXTS:
+        add(name, (folder / f"{name}.txt").read_text("utf-8"))
+    # The Affero text is made from that of version 3: another name and another section 13.
+    start, _, end = found["GPL-3.0"][-1].partition("  13. Use with the GNU Affero")
+    start, end = (re.sub(rf"GNU\s+{GENERAL}|GNU GENERAL PUBLIC LICENSE", f"GNU Affero {GENERAL}", part)
+                  for part in (start, end.partition("  14. ")[2]))
+    add("AGPL-3.0", f"{start}  {AFFERO_13}\n\n  14. {end}")
+    return {name: tuple(texts) for name, texts in found.items()}
+
+
+TEMPLATES = _all_templates()
+
 
 def words_of(text: str) -> list[str]:
     """Words of the normalised text; ``licence`` is spelt ``license``."""

@@ -231,6 +231,21 @@ def test_adjacent_licences_are_passages_of_their_own():
     assert [r[2] for r in got] == ["MIT", "GPL-3.0", "Apache-2.0"]
 
 
+def test_whole_texts_and_gnu_notices_have_their_own_names():
+    own = license_scan.Templates(license_scan.TEMPLATES, 0.8)
+    for name, wordings in license_scan.TEMPLATES.items():
+        for text in wordings:
+            assert [(r[2], r[4]) for r in own.scan(text)] == [(name, 1.0)]
+    gnu = license_scan.TEMPLATES["GPL-3.0"][2]
+    for kind, name in (("Affero", "AGPL-3.0"), ("Lesser", "LGPL-3.0")):
+        notice = gnu.replace("GNU General", f"GNU {kind} General")
+        assert [r[2] for r in own.scan(f"Some file.\n\n{notice}\n\nimport this")] == [name]
+    for name in license_scan.TEXTS:  # lines taken away, a header and a text behind
+        lines = license_scan.TEMPLATES[name][-1].splitlines()
+        text = "\n".join(["My project, 2020", *lines[: len(lines) // 3], *lines[len(lines) // 3 + 2 :], "Bye now."])
+        assert [r[2] for r in own.scan(text)] == [name]
+
+
 def test_passages_match_every_window(spark):
     rng = random.Random(11)
     own = license_scan.Templates(license_scan.TEMPLATES, 0.8)
