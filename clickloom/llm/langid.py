@@ -21,19 +21,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickloom.llm.common import ID, TEXT
 from clickloom.session import materialize
 
 ORDER = 4  # four characters of 16 bits make a key of 64
 SAMPLE_ROWS = 20_000  # rows learned from, per language
-MAX_LANGUAGES = 256
-MAX_GRAMS = 4_000_000
+MAX_LANGUAGES = 1_000  # the most frequent ones
+MAX_GRAMS = 4_000_000  # of all languages together; beyond, each keeps its most frequent
+MAX_CELLS = 16_000_000  # distinct grams times languages
 CALIBRATION = 10  # one row of so many is kept out of the counts
 CALIBRATION_ROWS = 2_000
+ALL_CALIBRATION_ROWS = 1_000_000
 LENIENCE = 1.75  # times the mean entropy; texts that mix known languages stay below
 MEMORY = 300_000
 COUNTED, SCORED, WORDS = 1_000, 512, 20_000  # rows and words held at a time
+FEW = 25  # languages up to which so many are held
 START, END = "\x01", "\x02"
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -109,6 +113,33 @@ def _gram_counts(rows: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _frequent(counts: DataFrame) -> DataFrame:
+    """The grams to learn: all, or as many of the most frequent of each language as fit.
+
+    The rank up to which grams are kept is the same for all languages and the largest that
+    leaves ``MAX_GRAMS`` rows and ``MAX_CELLS`` distinct grams times languages; at least 1.
+    """
+    sizes = sorted(r["count"] for r in counts.groupBy("lang").count().collect())
+    total, many = sum(sizes), len(sizes)
+    if total <= MAX_GRAMS and total * many <= MAX_CELLS:
+        return counts
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    ranked = materialize(counts.withColumn("rank", F.row_number().over(order)), "langid-ranked")
+    left, most = MAX_GRAMS, sizes[-1]
+    if total > MAX_GRAMS:
+        for at, size in enumerate(sizes):
+            most = left // (many - at)
+            if size > most:
+                break
+            left -= size
+    best = ranked.where(F.col("rank") <= most).groupBy("gram").agg(F.min("rank").alias("rank"))
+    fits = MAX_CELLS // many
+    if best.count() > fits:
+        # Of the first that do not fit, all of their rank are left out.
+        most = best.orderBy("rank").limit(fits + 1).agg(F.max("rank")).first()[0] - 1
+    return ranked.where(F.col("rank") <= max(most, 1)).drop("rank")
+
+
 # --------------------------------------------------------------------------
 # The model
 # --------------------------------------------------------------------------
@@ -222,31 +253,31 @@ def fit(
     """Learn from ``rows`` with text, language and id.
 
     ``sample_rows`` per language bounds what is learned from: rows are taken by
-    a hash of their id, so the choice is the same at every run. With no such
-    rows the model knows no language.
+    a hash of their id, so the choice is the same at every run. Of more than
+    ``MAX_LANGUAGES`` languages the most frequent are learned, of more grams than
+    the model holds the most frequent of each language. With no such rows the
+    model knows no language.
     """
     known = rows.select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    sizes = dict(known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    ranked = known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    sizes = dict(ranked.limit(MAX_LANGUAGES).collect())
     languages = sorted(sizes)
     empty = LanguageModel([], [], [], [], [], *(np.zeros(0) for _ in range(3)))
     if not languages:
         return empty
     draw = F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for lang in languages:
-        share = F.when(F.col("lang") == lang, sample_rows / sizes[lang]).otherwise(share)
-    sample = known.where(draw < share)
+    shares = known.sparkSession.createDataFrame(
+        [(lang, sample_rows / sizes[lang]) for lang in languages], "lang string, _share double"
+    )
+    share = F.col("_share")
+    sample = known.join(F.broadcast(shares), "lang").where(draw < share)
     fold = F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(CALIBRATION))
     counts = materialize(
         _gram_counts(sample.where(fold != 0).select("lang", "text")), "langid-grams"
     )
-    if counts.count() > MAX_GRAMS:
-        raise ValueError(f"more than {MAX_GRAMS} grams; lower sample_rows")
-    table = counts.toArrow()
+    table = _frequent(counts).toArrow()
     if not table.num_rows:
         return empty
     names = table.column("lang").to_pylist()
@@ -260,23 +291,24 @@ def fit(
     )
     model = LanguageModel(languages, *arrays, *(np.zeros(len(languages)) for _ in range(2)))
     rest = sample.where(fold == 0).withColumn("_draw", draw / share)
-    rest = rest.where(F.col("_draw") < CALIBRATION_ROWS * CALIBRATION / sample_rows)
+    wanted = min(CALIBRATION_ROWS, ALL_CALIBRATION_ROWS // len(languages))
+    rest = rest.where(F.col("_draw") < wanted * CALIBRATION / sample_rows)
     return _calibrated(model, rest)
 
 
 def _calibrated(model: LanguageModel, rows: DataFrame) -> LanguageModel:
     """Entropy limits per language from held-out rows: well above the mean level, plus
     twice the worst excess over it, which shrinks with the root of the length."""
-    scored = _scored(rows.select("lang", "text"), model, "lang", "string").toArrow()
+    scored = _scored(rows.select("lang", "text"), model).toArrow()
     lang = np.array(scored.column("lang").to_pylist(), object)
-    sums = np.array(scored.column("sums").to_pylist(), "f8").reshape(-1, len(model.languages) + 1)
+    sums = np.column_stack([scored.column(name).to_numpy() for name in ("own", "chars")])
     for i, name in enumerate(model.languages):
-        own = sums[(lang == name) & (sums[:, -1] > 0)] if len(sums) else sums
+        own = sums[(lang == name) & (sums[:, 1] > 0)]
         if not len(own):
             model.level[i] = np.inf
             continue
-        chars, entropy = own[:, -1], -own[:, i] / own[:, -1]
-        mean = (-own[:, i]).sum() / chars.sum()
+        chars, entropy = own[:, 1], -own[:, 0] / own[:, 1]
+        mean = (-own[:, 0]).sum() / chars.sum()
         excess = np.maximum(entropy - LENIENCE * mean, 0) * np.sqrt(chars)
         model.level[i] = LENIENCE * mean
         model.spread[i] = 2 * max(excess.max(), mean)
@@ -294,12 +326,15 @@ class _Memory:
         self.model = model
         self.clear()
 
+        few = max(1, len(model.languages) // FEW)
+        self.most, self.words = MEMORY // few, WORDS // few
+
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.scores = np.zeros((1024, len(self.model.languages) + 1))
 
     def document_sums(self, texts: list[str]) -> np.ndarray:
-        if len(self.rows) > MEMORY:
+        if len(self.rows) > self.most:
             self.clear()
         cut = [t.split() for t in texts]
         new = list({w for words in cut for w in words if w not in self.rows})
@@ -308,8 +343,8 @@ class _Memory:
             self.rows.update(zip(new, range(first, first + len(new))))
             while len(self.scores) < len(self.rows):
                 self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            for at in range(0, len(new), WORDS):
-                part = [language_words(w) for w in new[at : at + WORDS]]
+            for at in range(0, len(new), self.words):
+                part = [language_words(w) for w in new[at : at + self.words]]
                 self.scores[first + at : first + at + len(part)] = self.model.word_scores(part)
         rows = self.rows
         out = np.zeros((len(texts), self.scores.shape[1]))
@@ -321,21 +356,27 @@ class _Memory:
         return out
 
 
-def _scored(rows: DataFrame, model: LanguageModel, key: str, kind: str) -> DataFrame:
-    """(key, sums): per text the log-probabilities of each language, and the characters."""
+def _scored(rows: DataFrame, model: LanguageModel) -> DataFrame:
+    """(lang, own, chars): per text the log-probability of its language, and the characters."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         memory = _Memory(shared.value)
-        for part in _slices(batches, SCORED):
+        number = {lang: i for i, lang in enumerate(shared.value.languages)}
+        for part in _slices(batches, _held(shared.value)):
             sums = memory.document_sums([t or "" for t in part.column(1).to_pylist()])
-            ends = np.arange(0, sums.size + 1, sums.shape[1], dtype="int32")
+            at = np.array([number.get(lang, -1) for lang in part.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(pa.array(ends), sums.ravel())],
-                names=[key, "sums"],
+                [part.column(0), pa.array(sums[np.arange(len(at)), at]), pa.array(sums[:, -1])],
+                names=["lang", "own", "chars"],
             )
 
-    return rows.mapInArrow(run, f"`{key}` {kind}, sums array<double>")
+    return rows.mapInArrow(run, "lang string, own double, chars double")
+
+
+def _held(model: LanguageModel) -> int:
+    """Rows scored at a time: less with many languages, as each has a column."""
+    return max(16, SCORED // max(1, len(model.languages) // FEW))
 
 
 def identify(
@@ -357,7 +398,7 @@ def identify(
         own = shared.value
         memory, size = _Memory(own), len(own.languages)
         names = np.array([*own.languages, UNKNOWN], object)
-        for part in _slices(batches, SCORED):
+        for part in _slices(batches, _held(own)):
             if size:
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 sums = memory.document_sums(texts)
@@ -399,7 +440,7 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = TEXT)
     def run(batches):
         own = shared.value
         memory = _Memory(own)
-        for part in _slices(batches, SCORED):
+        for part in _slices(batches, _held(own)):
             keep = np.zeros(part.num_rows, bool)
             if own.languages:
                 sums = memory.document_sums([t or "" for t in part.column(at).to_pylist()])

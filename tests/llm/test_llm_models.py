@@ -114,6 +114,30 @@ def test_language_model_of_nothing(spark):
     assert langid.keep_recognised(rows, model).count() == 0
 
 
+def test_languages_and_grams_beyond_the_bounds_still_give_a_model(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = []
+    for i in range(300 * 12):
+        letters = [chr(0x4E00 + 40 * (i % 300) + k) for k in range(40)]
+        rows.append((i, " ".join("".join(rng.choices(letters[:6], k=5)) for _ in range(8)), f"l{i % 300}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "MAX_GRAMS", 20_000)
+    monkeypatch.setattr(langid, "MAX_CELLS", 2_000_000)
+    model = langid.fit(docs)
+    assert len(model.languages) == 300
+    assert len(model.keys[-1]) * 300 <= 2_000_000
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) >= 0.99 * len(rows)
+    counts = [("a", g, 9 - g) for g in range(9)] + [("b", 100 + g, 1) for g in range(2)]
+    counts = spark.createDataFrame(counts, "lang string, gram long, n long")
+    monkeypatch.setattr(langid, "MAX_GRAMS", 6)
+    kept = [(r.lang, r.gram) for r in langid._frequent(counts).collect()]
+    assert sorted(kept) == [("a", 0), ("a", 1), ("a", 2), ("a", 3), ("b", 100), ("b", 101)]
+    monkeypatch.setattr(langid, "MAX_CELLS", 11)
+    kept = [(r.lang, r.gram) for r in langid._frequent(counts).collect()]
+    assert sorted(kept) == [("a", 0), ("a", 1), ("a", 2), ("b", 100), ("b", 101)]
+
+
 # ---------------------------------------------------------------- toxicity
 
 
