@@ -13,6 +13,7 @@ language, kept out of the counts, show for texts of its length.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -35,6 +36,7 @@ CALIBRATION = 10  # one row of so many is kept out of the counts
 CALIBRATION_ROWS = 2_000
 ALL_CALIBRATION_ROWS = 1_000_000
 LENIENCE = 1.75  # times the mean entropy; texts that mix known languages stay below
+OUTLIERS = 0.005  # share of the calibration rows that may be garbled
 MEMORY = 300_000
 COUNTED, SCORED, WORDS = 1_000, 512, 20_000  # rows and words held at a time
 FEW = 25  # languages up to which so many are held
@@ -298,20 +300,27 @@ def fit(
 
 def _calibrated(model: LanguageModel, rows: DataFrame) -> LanguageModel:
     """Entropy limits per language from held-out rows: well above the mean level, plus
-    twice the worst excess over it, which shrinks with the root of the length."""
-    scored = _scored(rows.select("lang", "text"), model).toArrow()
-    lang = np.array(scored.column("lang").to_pylist(), object)
-    sums = np.column_stack([scored.column(name).to_numpy() for name in ("own", "chars")])
-    for i, name in enumerate(model.languages):
-        own = sums[(lang == name) & (sums[:, 1] > 0)]
+    the worst excess over it, which shrinks with the root of the length. The ``OUTLIERS``
+    of the rows, one at least, that lie furthest beyond the typical level count for neither."""
+    scored = _scored(rows.select("lang", "text"), model).where("chars > 0").toArrow()
+    number = {lang: i for i, lang in enumerate(model.languages)}
+    lang = np.array([number.get(x, -1) for x in scored.column("lang").to_pylist()], "i8")
+    order = np.argsort(lang, kind="stable")
+    sums = np.column_stack([scored.column(name).to_numpy() for name in ("own", "chars")])[order]
+    ends = np.searchsorted(lang[order], np.arange(len(number) + 1))
+    for i in range(len(number)):
+        own = sums[ends[i] : ends[i + 1]]
         if not len(own):
             model.level[i] = np.inf
             continue
-        chars, entropy = own[:, 1], -own[:, 0] / own[:, 1]
-        mean = (-own[:, 0]).sum() / chars.sum()
-        excess = np.maximum(entropy - LENIENCE * mean, 0) * np.sqrt(chars)
+        root, entropy = np.sqrt(own[:, 1]), -own[:, 0] / own[:, 1]
+        beyond = (entropy - LENIENCE * np.median(entropy)) * root
+        outliers = min(math.ceil(OUTLIERS * len(own)), len(own) - 1)
+        kept = np.argsort(beyond, kind="stable")[: len(own) - outliers]
+        mean = -own[kept, 0].sum() / own[kept, 1].sum()
+        excess = (entropy[kept] - LENIENCE * mean) * root[kept]
         model.level[i] = LENIENCE * mean
-        model.spread[i] = 2 * max(excess.max(), mean)
+        model.spread[i] = max(excess.max(), 2 * mean)
     return model
 
 

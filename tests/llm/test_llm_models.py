@@ -138,6 +138,25 @@ def test_languages_and_grams_beyond_the_bounds_still_give_a_model(spark, monkeyp
     assert sorted(kept) == [("a", 0), ("a", 1), ("a", 2), ("b", 100), ("b", 101)]
 
 
+def test_garbled_labelled_rows_do_not_switch_off_rejection(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    garbled = lambda rng, n: " ".join(
+        "".join(rng.choices("qxzjvkwy", k=rng.randrange(3, 9))) for _ in range(n)
+    )
+    first = docs.where("lang = 'en'").select("doc_id").orderBy("doc_id")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(langid.CALIBRATION))
+    ids = [r.doc_id for r in first.where(fold == 0).limit(1).collect()]
+    noise = spark.createDataFrame(
+        [(i, garbled(random.Random(i), 2_000), "en") for i in ids], docs.schema
+    )
+    model = langid.fit(docs.where(~F.col("doc_id").isin(ids)).union(noise))
+    texts = [garbled(random.Random(100 + i), n) for i, n in enumerate([60, 200, 1_000])]
+    got = langid.identify(docs_of(spark, texts), model).collect()
+    assert all(r.rejected for r in got)
+    clean = langid.identify(docs, model).collect()
+    assert sum(r.rejected for r in clean) <= 0.005 * len(clean)
+
+
 # ---------------------------------------------------------------- toxicity
 
 
