@@ -10,11 +10,14 @@ from clickloom.llm import (
     embedding_dedup,
     exact_dedup,
     langid,
+    lexical,
     license_scan,
     packing,
+    repeats,
     secret_scan,
     simhash,
     toxicity,
+    variants,
     warc,
 )
 from clickloom.llm.common import bounded, remainder, table
@@ -126,6 +129,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
@@ -159,4 +181,55 @@ def oracle_sql() -> dict[str, str]:
               FROM plain GROUP BY 1)
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
             FROM plain JOIN groups USING (text_sha256)""",
+        "op11_lexical_search": r"""
+            WITH cut AS (
+              SELECT doc_id, row_number() OVER () AS row_no,
+                     unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+              FROM documents),
+            held AS (SELECT doc_id, row_no, term, count(*) AS tf FROM cut GROUP BY ALL),
+            sizes AS (SELECT row_no, sum(tf)::BIGINT AS n FROM held GROUP BY 1),
+            total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM sizes),
+            asked AS (
+              SELECT item_id, item_no, term, count(*) AS times FROM (
+                SELECT item_id, row_number() OVER () AS item_no,
+                       unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM benchmark) GROUP BY ALL),
+            weights AS (
+              SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+              FROM (SELECT term, count(*) AS df FROM held GROUP BY 1), total),
+            scores AS (
+              SELECT item_no, item_id, row_no, doc_id,
+                     sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // l))))::BIGINT AS score
+              FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (row_no), total
+              GROUP BY ALL),
+            ranked AS (
+              SELECT item_id, doc_id, score,
+                     row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS FIRST) AS place
+              FROM scores WHERE score > 0)
+            SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 20""",
+        "op12_repeat_removal": """
+            WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+            starts AS (
+              SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d),
+            windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM starts),
+            least AS (SELECT s, min(doc_id) AS m FROM windows GROUP BY s),
+            again AS (
+              SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS fresh
+              FROM windows JOIN least USING (s) WHERE doc_id > m),
+            numbered AS (
+              SELECT doc_id, i, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM again),
+            spans AS (
+              SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY ALL),
+            cuts AS (
+              SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+            kept AS (
+              SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+                     string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+                       || substr(any_value(h), 2 * max(b) + 1) AS k
+              FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+            SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+                   coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+            FROM d LEFT JOIN kept USING (doc_id)""",
     }
