@@ -38,7 +38,7 @@ from clickloom.plans import (  # noqa: E402
 from clickloom.session import materialize, scratch_path  # noqa: E402
 from clickloom.sources import files, readers, tables  # noqa: E402
 from clickloom.sources.models import model_info  # noqa: E402
-from clickloom.streaming import jobs  # noqa: E402
+from clickloom.streaming import fanout, jobs  # noqa: E402
 
 # Event types of the test table; ``signup`` has no weight on purpose.
 WEIGHTS = {"view": 1.0, "click": 3.0, "purchase": 5.0, "error": -2.0}
@@ -250,6 +250,85 @@ def q_two_sinks_stream(spark, sf):
     )
 
 
+def q_fan_out_stream(spark, sf):
+    """Both sinks again, from one read of the stream."""
+    lists = recommend.user_lists(_embedding_model(spark, sf), digits=DIGITS)
+    path = scratch_path(spark, "fan-out")
+    fanout.start_fan_out(
+        _event_stream(spark, sf), materialize(lists, "user-lists"), path, f"{path}-checkpoint",
+        drain=True, hot_users=hot_keys(_clicks(spark, sf), "user_id", min_rows=100),
+        window=WINDOW, threshold=THRESHOLD,
+    ).awaitTermination()
+    parts = [
+        fanout.read_sink(spark, path, sink).select(F.lit(sink).alias("sink"), "user_id")
+        for sink in (fanout.ALERTS, fanout.RECOMMENDATIONS)
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("sink", "user_id").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+def _in_batches(spark: SparkSession, sf: str, parts: list[Column], recs, between=None, **options):
+    """Run a fan-out over the clicks, one micro-batch per part, and return its path."""
+    source, path = scratch_path(spark, "batches"), scratch_path(spark, "fan-out")
+    clicks = _clicks(spark, sf)
+    for number, part in enumerate(parts):
+        if between:
+            between(number)
+        clicks.where(part).write.mode("append").parquet(source)
+        events = spark.readStream.schema(clicks.schema).parquet(source)
+        fanout.start_fan_out(
+            events, recs, path, f"{path}-checkpoint", drain=True, keep=("event_id",),
+            window=WINDOW, threshold=THRESHOLD, **options,
+        ).awaitTermination()
+    return path
+
+
+def _late_errors(spark: SparkSession, sf: str) -> str:
+    """Three batches: what came before the cutover, then the rest; errors come last."""
+    error = F.col("event_type") == "error"
+    early = F.col("event_time") < F.lit(CUTOVER).cast("timestamp")
+    lists = materialize(
+        recommend.user_lists(_embedding_model(spark, sf), digits=DIGITS), "user-lists"
+    )
+    return _in_batches(spark, sf, [~error & early, ~error & ~early, error], lists)
+
+
+def q_late_rows_stream(spark, sf):
+    """Rows of windows that were closed when they came, with their number per batch."""
+    path = _late_errors(spark, sf)
+    late = fanout.read_sink(spark, path, fanout.LATE).select("event_id", "user_id", "batch")
+    counted = fanout.progress(spark, path).select("batch_id", "n_rows", "n_late")
+    return late.join(counted, F.col("batch") == F.col("batch_id")).drop("batch")
+
+
+def q_late_alerts_stream(spark, sf):
+    """The alerts of the same run: late rows do not count."""
+    alerts = fanout.read_sink(spark, _late_errors(spark, sf), fanout.ALERTS)
+    return alerts.select("user_id", _text("window_start"), _text("window_end"), "event_count")
+
+
+def q_swapped_lists_stream(spark, sf):
+    """New lists are published between two batches of one stream."""
+    model = _embedding_model(spark, sf)
+    turned = factor_model.FactorModel(
+        model.users.withColumn("factor", F.transform("factor", lambda x: -x)), model.items
+    )
+    published = scratch_path(spark, "published")
+
+    def publish(number: int) -> None:
+        lists = recommend.user_lists((model, turned)[number], digits=DIGITS)
+        fanout.publish_lists(materialize(lists, "user-lists"), published)
+
+    early = F.col("event_time") < F.lit(CUTOVER).cast("timestamp")
+    path = _in_batches(spark, sf, [early, ~early], published, publish)
+    found = fanout.read_sink(spark, path, fanout.RECOMMENDATIONS)
+    return found.select(
+        "event_id", "user_id", "product_id", "recommended_product_id", "score",
+        F.col("batch").cast("long").alias("batch"),
+    )
+
+
 # --------------------------------------------------------------------------
 # Scalars and parsing
 # --------------------------------------------------------------------------
@@ -441,13 +520,13 @@ def q_merge_report(spark, sf):
     lines = _click_lines(spark, sf)
     for kind in ("view", "error"):
         chosen = lines.filter(F.col("event_type") == kind)
-        chosen.coalesce(1).write.json(f"{base}/{kind}/clickstream-1.json")
+        chosen.write.json(f"{base}/{kind}/clickstream-1.json")
     paths = [f"{base}/{kind}/clickstream-1.json" for kind in ("view", "error")]
     report = files.merge_clickstream(spark, paths, f"{base}/merged")
-    return report.select(
-        F.regexp_extract("source", r"/(view|error)/", 1).alias("kind"),
-        "records",
-        F.array_join("sample_keys", ",").alias("sample_keys"),
+    kind = F.regexp_extract("source", r"/(view|error)/", 1).alias("kind")
+    return report.groupBy(kind).agg(
+        F.sum("records").alias("records"),
+        F.first(F.array_join("sample_keys", ",")).alias("sample_keys"),
     )
 
 
@@ -501,16 +580,51 @@ def q_namespace_tables(spark, sf):
 
 
 def q_listed_files(spark, sf):
-    """The newest files of a folder that has one per event type and others besides."""
+    """The files of a folder with some for each event type and others besides."""
     path = scratch_path(spark, "listing")
     lines = _click_lines(spark, sf)
-    lines.repartition(1, "event_type").write.partitionBy("event_type").json(path)
+    lines.write.partitionBy("event_type").json(path)
     lines.limit(1).write.csv(f"{path}/other")
-    found = files.list_files(spark, path, "*.json", n=100)
-    return found.select(
-        F.regexp_extract("path", "event_type=([a-z]+)/", 1).alias("event_type"),
-        (F.col("length") > 0).alias("has_content"),
-    )
+    found = files.manifest(spark, path, "*.json")
+    return found.groupBy(
+        F.regexp_extract("path", "event_type=([a-z]+)/", 1).alias("event_type")
+    ).agg((F.sum("length") > 0).alias("has_content"))
+
+
+def q_new_files(spark, sf):
+    """Files that came after the last look at a folder, and what they hold."""
+    base = scratch_path(spark, "inbox")
+    lines, seen = _click_lines(spark, sf), f"{base}/seen"
+    first = F.col("event_type").isin("view", "click")
+    lines.where(first).write.partitionBy("event_type").json(f"{base}/in")
+    files.mark_seen(files.unseen_files(spark, f"{base}/in", seen), seen)
+    lines.where(~first).write.mode("append").partitionBy("event_type").json(f"{base}/in")
+    fresh = files.unseen_files(spark, f"{base}/in", seen, "*.json")
+    kind = F.regexp_extract("path", "event_type=([a-z]+)/", 1).alias("event_type")
+    rows = spark.read.schema(schemas.CLICKSTREAM).json(f"{base}/in")
+    counted = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    return fresh.select(kind).distinct().join(counted, "event_type")
+
+
+def q_table_replace(spark, sf):
+    """A table is replaced while it is read, and then by a write that fails."""
+    name, path = _table_name("customer"), scratch_path(spark, "table")
+    customers = _table(spark, sf, "customer")
+    tables.write_table(customers, name, path)
+    began_before = tables.read_table(spark, name)
+    tables.write_table(customers.where("c_acctbal > 0"), name, path)
+    broken = customers.withColumn("c_name", F.raise_error(F.col("c_name")))
+    try:
+        tables.write_table(broken, name, path)
+        failed = False
+    except Exception:  # the write fails as it should
+        failed = True
+    parts = [("before", began_before), ("after", tables.read_table(spark, name))]
+    counts = [
+        rows.groupBy(F.lit(when).alias("reader"), "c_nationkey").agg(F.count("*").alias("n_rows"))
+        for when, rows in parts
+    ]
+    return counts[0].unionByName(counts[1]).withColumn("replace_failed", F.lit(failed))
 
 
 def q_sql_entry(spark, sf):
@@ -735,6 +849,21 @@ def q_click_sequences_hot(spark, sf):
     )
 
 
+def q_click_sequences_alike(spark, sf):
+    """A bot clicks one product at one instant, without event ids, once per error event."""
+    bot = F.col("event_type") == "error"
+    clicks = _clicks(spark, sf).select(
+        F.when(bot, F.lit(-1)).otherwise(F.col("user_id")).cast("long").alias("user_id"),
+        F.when(bot, F.lit("0")).otherwise(F.col("product_id")).alias("product_id"),
+        F.when(bot, F.lit("2024-01-05 00:00:00").cast("timestamp"))
+        .otherwise(F.col("event_time")).alias("event_time"),
+    )
+    found = sequences.click_sequences(clicks, hot_rows=200)
+    return found.select(
+        "user_id", "product_id", F.array_join("sequence", ",").alias("sequence"), "target"
+    )
+
+
 def q_click_sequences_long(spark, sf):
     """Sequences of at most three clicks from histories that are longer."""
     found = sequences.click_sequences(_clicks(spark, sf), 3, tie_cols=("event_id",))
@@ -949,10 +1078,10 @@ def q_serve_stream(spark, sf):
     source, out = scratch_path(spark, "requests"), scratch_path(spark, "responses")
     _requests(spark, sf).write.parquet(source)
     requests = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-    jobs.start_serving_stream(
-        requests, lambda batch: recommend.serve_batch(batch, model, digits=DIGITS), out,
-        f"{out}-checkpoint", drain=True,
-    ).awaitTermination()
+    with recommend.Scorer(model, digits=DIGITS) as scorer:
+        jobs.start_serving_stream(
+            requests, scorer, out, f"{out}-checkpoint", drain=True
+        ).awaitTermination()
     return _answers(spark.read.parquet(out).drop("batch"))
 
 
@@ -1096,6 +1225,40 @@ def q_mf_early_stopping(spark, sf):
     )
 
 
+STEP = {"lr": 0.02, "reg": 0.05}
+
+
+def _epoch_from_given(spark: SparkSession, sf: str) -> factor_model.FactorModel:
+    """One epoch from the given vectors, as one step over all ratings of known ids."""
+    given = _embedding_model(spark, sf)
+    rated = _ratings(spark, sf).join(given.users, "user_id", "left_semi")
+    rated = rated.join(given.items, "product_id", "left_semi")
+    return factor_model.train_by_rotation(
+        materialize(rated, "ratings"), epochs=1, start=given, blocks=1, batch=1 << 40, **STEP
+    )
+
+
+def q_mf_epoch_history(spark, sf):
+    """The error that the first epoch meets, from given vectors."""
+    model = _epoch_from_given(spark, sf)
+    return factor_model.training_history(model).select(
+        "epoch",
+        _rounded("rmse"),
+        F.lit(model.metadata["training_samples"]).cast("long").alias("n_ratings"),
+    )
+
+
+def q_mf_epoch_vectors(spark, sf):
+    """Every vector's length after that epoch."""
+    model = _epoch_from_given(spark, sf)
+    norm = F.round(vectors.l2_norm(F.col("factor")), DIGITS).alias("norm")
+    users = model.users.select(
+        F.lit("user").alias("kind"), F.col("user_id").cast("string").alias("id"), norm
+    )
+    items = model.items.select(F.lit("item").alias("kind"), F.col("product_id").alias("id"), norm)
+    return users.unionByName(items)
+
+
 # Rates at which the loss falls on the test tables.
 SEQ_TRAINING = {"lr": 0.3, "reg": 0.0001, "epochs": 4, "patience": None}
 
@@ -1106,8 +1269,8 @@ def _trained_sequences(spark: SparkSession, sf: str, events: DataFrame | None =
     )
 
 
-def q_seq_train_history(spark, sf):
-    """From the given vectors, with one step per worker: the first epoch's loss is known."""
+def _sequence_epoch(spark: SparkSession, sf: str, **training) -> sequence_model.SequenceModel:
+    """One epoch from the given vectors, with one step per worker."""
     clicks = _clicks(spark, sf)
     given = _embedding_sequence_model(spark, sf)
     given.metadata |= {
@@ -1115,9 +1278,24 @@ def q_seq_train_history(spark, sf):
         "total_training_samples": 0,
     }
     known = clicks.join(given.items.select("product_id"), "product_id", "left_semi")
-    model = sequence_model.update_sequence_model(
-        given, known, epochs=1, decay=1.0, tie_cols=("event_id",), batch=1 << 40
+    return sequence_model.update_sequence_model(
+        given, known, epochs=1, decay=1.0, tie_cols=("event_id",), batch=1 << 40, **training
+    )
+
+
+def q_seq_epoch_vectors(spark, sf):
+    """Every item's and the position weights' length after three workers' steps are averaged."""
+    model = _sequence_epoch(spark, sf, workers=3, deal_by="event_id")
+    norm = F.round(vectors.l2_norm(F.col("factor")), DIGITS).alias("norm")
+    weights = spark.createDataFrame(
+        [("weights", model.weights)], "product_id string, factor array<double>"
     )
+    return model.items.unionByName(weights).select("product_id", norm)
+
+
+def q_seq_train_history(spark, sf):
+    """From the given vectors, with one step per worker: the first epoch's loss is known."""
+    model = _sequence_epoch(spark, sf)
     history = sequence_model.training_history(model)
     learned = _trained_sequences(spark, sf).metadata["history"]
     return history.select(
@@ -1216,6 +1394,16 @@ _CLOSED_ALERTS = f"""
             WHERE window_start + INTERVAL '1 day' <=
                   (SELECT max(event_time) - INTERVAL '5 seconds' FROM clicks)"""
 
+_LATE = f"""arrived AS (
+  SELECT *, time_bucket(INTERVAL '1 day', event_time, TIMESTAMP '1970-01-01') AS window_start,
+         CASE WHEN event_type = 'error' THEN 2
+              WHEN event_time < TIMESTAMP '{CUTOVER}' THEN 0 ELSE 1 END AS part
+  FROM clicks),
+late AS (
+  SELECT event_id, user_id FROM arrived
+  WHERE part = 2 AND window_start + INTERVAL '1 day' <=
+    (SELECT max(event_time) - INTERVAL '5 seconds' FROM arrived WHERE part < 2))"""
+
 _RATINGS = """ratings AS (
   SELECT user_id, product_id, coalesce(sum(CASE event_type WHEN 'view' THEN 1.0::DOUBLE
     WHEN 'click' THEN 3.0 WHEN 'purchase' THEN 5.0 WHEN 'error' THEN -2.0 END), 0.0) AS rating
@@ -1243,6 +1431,12 @@ _FACTORS = """vecs AS (SELECT vec_id, vec_id::VARCHAR AS product_id, embedding::
   FROM embeddings),
 items AS (SELECT product_id, v FROM vecs)"""
 
+_STEP_ERRORS = """errors AS (
+  SELECT s.user_id, s.product_id, u.v AS uv, i.v AS iv,
+         greatest(-10.0::DOUBLE, least(10.0::DOUBLE, s.raw - list_dot_product(u.v, i.v))) AS err
+  FROM (SELECT user_id, product_id, rating AS raw FROM ratings) s
+  JOIN vecs u ON u.vec_id = s.user_id JOIN items i ON i.product_id = s.product_id)"""
+
 _ITEMS_PADDED = """padded AS (
   SELECT product_id, v FROM items
   UNION ALL SELECT '<PAD>', list_transform(range(max(len(v))), lambda x: 0.05::DOUBLE)
@@ -1339,8 +1533,53 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_CLOSED_ALERTS}) GROUP BY user_id
             UNION ALL SELECT 'user_recommendations', user_id, count(*)
             FROM ({_EVENT_RECS}) GROUP BY user_id""",
+        "fan_out_stream": f"""
+            SELECT 'fraud_attempts' AS sink, user_id, count(*) AS n_rows
+            FROM ({_CLOSED_ALERTS}) GROUP BY user_id
+            UNION ALL SELECT 'user_recommendations', user_id, count(*)
+            FROM ({_EVENT_RECS}) GROUP BY user_id""",
+        "late_rows_stream": f"""
+            WITH {_CLICKS}, {_LATE}
+            SELECT event_id, user_id, 2::BIGINT AS batch_id,
+                   (SELECT count(*) FROM arrived WHERE part = 2) AS n_rows,
+                   count(*) OVER () AS n_late
+            FROM late""",
+        "late_alerts_stream": f"""
+            WITH {_CLICKS}, {_LATE},
+            counted AS (
+              SELECT user_id, window_start, window_start + INTERVAL '1 day' AS window_end,
+                     count(*) AS event_count
+              FROM arrived WHERE event_id NOT IN (SELECT event_id FROM late) GROUP BY ALL)
+            SELECT user_id, strftime(window_start, {_STAMP}) AS window_start,
+                   strftime(window_end, {_STAMP}) AS window_end, event_count
+            FROM counted
+            WHERE event_count > 5
+              AND window_end <= (SELECT max(event_time) - INTERVAL '5 seconds' FROM arrived)""",
+        "swapped_lists_stream": f"""
+            WITH {_CLICKS}, {_FACTORS},
+            scored AS (
+              SELECT u.vec_id AS user_id, i.product_id AS recommended, b.batch,
+                     round(list_dot_product(u.v, i.v) * (1 - 2 * b.batch), 6) + 0.0 AS score
+              FROM vecs u, items i, (VALUES (0::BIGINT), (1::BIGINT)) AS b(batch)),
+            top AS (
+              SELECT * FROM scored QUALIFY row_number() OVER (
+                PARTITION BY user_id, batch ORDER BY score DESC, recommended) <= 6)
+            SELECT c.event_id, c.user_id, c.product_id, t.recommended AS recommended_product_id,
+                   t.score, t.batch
+            FROM clicks c JOIN top t ON t.user_id = c.user_id AND t.recommended <> c.product_id
+             AND t.batch = CASE WHEN c.event_time < TIMESTAMP '{CUTOVER}' THEN 0 ELSE 1 END
+            QUALIFY row_number() OVER (
+              PARTITION BY c.event_id ORDER BY t.score DESC, t.recommended) <= 5""",
         "namespace_tables": """
             SELECT count(*) AS n_rows, true AS was_listed, 0::BIGINT AS n_left FROM customer""",
+        "new_files": """
+            SELECT event_type, count(*) AS n_rows FROM events
+            WHERE event_type NOT IN ('view', 'click') GROUP BY event_type""",
+        "table_replace": """
+            SELECT 'before' AS reader, c_nationkey, count(*) AS n_rows, true AS replace_failed
+            FROM customer GROUP BY c_nationkey
+            UNION ALL SELECT 'after', c_nationkey, count(*), true
+            FROM customer WHERE c_acctbal > 0 GROUP BY c_nationkey""",
         "listed_files": "SELECT DISTINCT event_type, true AS has_content FROM events",
         "event_time_parse": f"""
             SELECT event_id, CASE WHEN event_type <> 'error'
@@ -1491,6 +1730,23 @@ def oracle_sql() -> dict[str, str]:
         "click_sequences": f"""
             WITH {_CLICKS}, {_SEQUENCES}
             SELECT event_id, user_id, array_to_string(seq, ',') AS sequence, target FROM seqs""",
+        "click_sequences_alike": """
+            WITH clicks AS (
+              SELECT event_id,
+                     CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS user_id,
+                     CASE WHEN event_type = 'error' THEN '0'
+                       ELSE json_extract_string(props, '$.k') END AS product_id,
+                     CASE WHEN event_type = 'error' THEN TIMESTAMP '2024-01-05 00:00:00'
+                       ELSE ts END AS event_time
+              FROM events),
+            histories AS (
+              SELECT user_id, product_id, lead(product_id) OVER w AS target,
+                     list(product_id) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS h
+              FROM clicks WINDOW w AS (PARTITION BY user_id ORDER BY event_time, event_id))
+            SELECT user_id, product_id, target,
+                   array_to_string(list_concat(
+                     list_transform(range(10 - len(h)), lambda x: '<PAD>'), h), ',') AS sequence
+            FROM histories WHERE target IS NOT NULL""",
         "click_sequences_hot": """
             WITH clicks AS (
               SELECT event_id, json_extract_string(props, '$.k') AS product_id,
@@ -1644,6 +1900,30 @@ def oracle_sql() -> dict[str, str]:
             SELECT CASE WHEN in_train THEN 'train' ELSE 'test' END AS part, count(*) AS n_ratings,
                    true AS tried_in_order, true AS stopped_in_time, true AS kept_best
             FROM scaled GROUP BY 1""",
+        "mf_epoch_history": f"""
+            WITH {_CLICKS}, {_SCALED}, {_FACTORS}, {_STEP_ERRORS}
+            SELECT 1 AS epoch, round(sqrt(avg(err * err)), 6) AS rmse, count(*) AS n_ratings
+            FROM errors""",
+        "mf_epoch_vectors": f"""
+            WITH {_CLICKS}, {_SCALED}, {_FACTORS}, {_STEP_ERRORS},
+            places AS (
+              SELECT user_id, product_id, err, unnest(uv) AS p, unnest(iv) AS q,
+                     unnest(range(1, len(uv) + 1)) AS d FROM errors),
+            moves AS (
+              SELECT 'user' AS kind, user_id::VARCHAR AS id, d, count(*) AS c,
+                     avg(err * q - 0.05::DOUBLE * p) AS g FROM places GROUP BY ALL
+              UNION ALL
+              SELECT 'item', product_id, d, count(*), avg(err * p - 0.05::DOUBLE * q)
+              FROM places GROUP BY ALL),
+            old AS (
+              SELECT k.kind, product_id AS id, unnest(v) AS x,
+                     unnest(range(1, len(v) + 1)) AS d
+              FROM items, (VALUES ('user'), ('item')) AS k(kind)),
+            moved AS (
+              SELECT o.kind, o.id, greatest(-10.0::DOUBLE, least(10.0::DOUBLE,
+                       x + coalesce((1.0::DOUBLE - pow(0.98::DOUBLE, c)) * g, 0.0::DOUBLE))) AS x
+              FROM old o LEFT JOIN moves m ON m.kind = o.kind AND m.id = o.id AND m.d = o.d)
+            SELECT kind, id, round(sqrt(sum(x * x)), 6) AS norm FROM moved GROUP BY kind, id""",
         "seq_train_history": f"""
             WITH {_FACTORS}, all_clicks AS (
               SELECT event_id, user_id, json_extract_string(props, '$.k') AS product_id,
@@ -1664,6 +1944,71 @@ def oracle_sql() -> dict[str, str]:
                      + exp(-least(greatest(score, -10.0), 10.0))), 1e-10))), 6) AS loss,
                    (SELECT count(*) FROM clicks) AS n_clicks, true AS loss_falls
             FROM scores""",
+        "seq_epoch_vectors": f"""
+            WITH {_FACTORS}, all_clicks AS (
+              SELECT event_id, user_id, json_extract_string(props, '$.k') AS product_id,
+                     ts AS event_time FROM events),
+            clicks AS (
+              SELECT * FROM all_clicks WHERE product_id IN (SELECT product_id FROM items)),
+            {_SEQUENCES}, {_ITEMS_PADDED},
+            slots AS (
+              SELECT event_id, event_id % 3 AS worker, target, unnest(seq) AS product_id,
+                     unnest(range(1, 11)) AS pos FROM seqs),
+            places AS (
+              SELECT *, (1.0::DOUBLE / pos) / 2.9289682539682538 AS w,
+                     count(*) OVER (PARTITION BY event_id) AS valid
+              FROM slots),
+            dims AS (
+              SELECT product_id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS d FROM padded),
+            encoded AS (
+              SELECT l.event_id, l.worker, l.target, x.d, sum(l.w * x.x / l.valid) AS e
+              FROM places l JOIN dims x ON x.product_id = l.product_id GROUP BY ALL),
+            chances AS (
+              SELECT e.event_id, 1.0::DOUBLE / (1.0::DOUBLE
+                + exp(-greatest(-10.0, least(10.0, sum(e.e * t.x))))) AS c
+              FROM encoded e JOIN dims t ON t.product_id = e.target AND t.d = e.d
+              GROUP BY e.event_id),
+            pulls AS (SELECT event_id, (1 - c) * c * (1 - c) AS pull FROM chances),
+            goals AS (
+              SELECT worker, product_id, d, greatest(-10.0, least(10.0, any_value(x) + sum(step)))
+                       AS x
+              FROM (SELECT e.worker, e.target AS product_id, e.d, t.x, 0.01 * p.pull * e.e AS step
+                    FROM encoded e JOIN pulls p USING (event_id)
+                    JOIN dims t ON t.product_id = e.target AND t.d = e.d)
+              GROUP BY worker, product_id, d),
+            item_steps AS (
+              SELECT l.worker, l.product_id, g.d,
+                     sum(0.01 * p.pull / l.valid * g.x * l.w) AS step
+              FROM places l JOIN pulls p USING (event_id)
+              JOIN goals g ON g.worker = l.worker AND g.product_id = l.target
+              GROUP BY ALL),
+            ends AS (
+              SELECT worker, product_id, d,
+                     greatest(-10.0, least(10.0, coalesce(g.x, o.x) + coalesce(i.step, 0.0))) - o.x
+                       AS change
+              FROM goals g FULL JOIN item_steps i USING (worker, product_id, d)
+              JOIN dims o USING (product_id, d)),
+            moved AS (
+              SELECT o.product_id, o.d, any_value(o.x) + coalesce(avg(e.change), 0.0) AS x
+              FROM dims o LEFT JOIN ends e USING (product_id, d) GROUP BY o.product_id, o.d),
+            gains AS (
+              SELECT l.worker, l.pos,
+                     sum(0.01 * p.pull / l.valid * (
+                       coalesce(h.x, o.x) + coalesce(i.step, 0.0)) * g.x) AS gain
+              FROM places l JOIN pulls p USING (event_id)
+              JOIN goals g ON g.worker = l.worker AND g.product_id = l.target
+              JOIN dims o ON o.product_id = l.product_id AND o.d = g.d
+              LEFT JOIN goals h
+                ON h.worker = l.worker AND h.product_id = l.product_id AND h.d = g.d
+              LEFT JOIN item_steps i
+                ON i.worker = l.worker AND i.product_id = l.product_id AND i.d = g.d
+              GROUP BY l.worker, l.pos),
+            weights AS (
+              SELECT pos, avg(greatest(0.01, least(10.0,
+                       (1.0::DOUBLE / pos) / 2.9289682539682538 + gain))) AS x
+              FROM gains GROUP BY pos)
+            SELECT product_id, round(sqrt(sum(x * x)), 6) AS norm FROM moved GROUP BY product_id
+            UNION ALL SELECT 'weights', round(sqrt(sum(x * x)), 6) FROM weights""",
         "seq_top_n": f"""
             WITH {_CLICKS}
             SELECT user_id, least(5, any_value(total)) AS n_items, true AS in_order,

@@ -33,17 +33,23 @@ def measure(items: DataFrame, id_col: str, vector_col: str = "factor") -> Size:
     return Size(row[0], row[1] + row[2], row[3])
 
 
-def broadcast_items(
+def small_items(
     items: DataFrame, size: Size, id_col: str, vector_col: str = "factor"
-) -> Broadcast:
+) -> tuple[pa.Array, np.ndarray]:
     """Sorted ids and the matrix of their vectors, one row per item."""
     if size.bytes > BROADCAST_BYTES:
         raise ValueError(f"{size.bytes} bytes of item vectors are too many to broadcast")
     table = items.select(id_col, F.col(vector_col).cast("array<double>")).toArrow()
     table = table.take(pc.sort_indices(table[id_col]))
-    return items.sparkSession.sparkContext.broadcast(
-        (table[id_col].combine_chunks(), as_matrix(table[vector_col]))
-    )
+    return table[id_col].combine_chunks(), as_matrix(table[vector_col])
+
+
+def broadcast_items(
+    items: DataFrame, size: Size, id_col: str, vector_col: str = "factor"
+) -> Broadcast:
+    """Ids and matrix of ``small_items``, on every executor."""
+    found = small_items(items, size, id_col, vector_col)
+    return items.sparkSession.sparkContext.broadcast(found)
 
 
 def as_matrix(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:

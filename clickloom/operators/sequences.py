@@ -96,18 +96,22 @@ def _slice_hot_users(
     """Number each hot user's slices; all other users are one slice.
 
     Slices are the partitions of a range sort of the hot users' rows in click
-    order, so they hold as many rows each however the clicks bunch in time;
-    clicks that tie in everything are told apart by their content.
+    order, so they hold as many rows each however the clicks bunch in time. Clicks
+    that tie in the order are told apart by their content, and those alike in every
+    column (a bot without event ids) by their place in a written table: which of them
+    comes first makes no difference, and a retried task numbers them the same way.
     """
     listed = F.broadcast(hot.select(user_col))
     content = F.xxhash64(*clicks.columns)
     rows = hot.agg(F.sum("hot_rows")).first()[0]
     slices = math.ceil(rows * SLICES_PER_TASK / hot_rows)
-    order = [F.col(user_col), *_order(time_col, tie_cols), content]
+    written = materialize(clicks.join(listed, user_col, "left_semi"), "hot-rows")
+    placed = written.withColumn("_place", F.monotonically_increasing_id())
+    order = [F.col(user_col), *_order(time_col, tie_cols), content, F.col("_place")]
     cut = materialize(
-        clicks.join(listed, user_col, "left_semi")
-        .repartitionByRange(slices, *order)
-        .withColumn("_slice", F.spark_partition_id()),
+        placed.repartitionByRange(slices, *order)
+        .withColumn("_slice", F.spark_partition_id())
+        .drop("_place"),
         "hot-clicks",
     )
     others = clicks.join(listed, user_col, "left_anti").withColumn("_slice", F.lit(0))

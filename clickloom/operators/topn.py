@@ -5,26 +5,33 @@ that is small enough (measured, not assumed) is broadcast and the queries stay
 where they are. A larger one is hashed into blocks, as are the queries, and
 every (query block, item block) pair is one group joined on the two block
 numbers; a ranked window then merges the blocks.
+
+Items are scored in tiles of falling vector length. A score is at most the product of
+both lengths (Cauchy-Schwarz), so a query whose n-th score is above that bound for
+the next tile is finished, and a task stops when all its queries are.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Accumulator, Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.operators.matrix import (
     BROADCAST_BYTES,
+    Size,
     as_matrix,
-    broadcast_items,
     measure,
+    small_items,
 )
 
 # Queries and excluded pairs of one group; items of one item block.
@@ -34,11 +41,73 @@ ITEMS_PER_BLOCK = 131_072
 MAX_GROUPS = 20_000
 # Scores held at a time: a tile of queries by items.
 TILE_QUERIES, TILE_ITEMS = 512, 8_192
+# The first tile of items is smaller: it only has to fill the lists.
+FIRST_TILE = 256
 # Multiply-adds of one task at most, and the least that is worth a task of its own.
 TASK_WORK, LEAST_WORK = 2.5e11, 1e9
 BLOCKS_PER_TASK = 4
 
 
+@dataclass
+class NormIndex:
+    """Item vectors by falling length, in tiles; inside a tile by id."""
+
+    matrix: np.ndarray
+    place: np.ndarray  # each row's position among the sorted ids
+    row: np.ndarray  # and the other way round
+    starts: list[int]  # first rows of the tiles, and the end
+    norms: list[float]  # the largest length in each tile
+
+
+def norm_index(matrix: np.ndarray, first: int | None = None) -> NormIndex:
+    """Index the vectors of sorted ids; tiles grow from ``first`` to ``TILE_ITEMS`` rows."""
+    count, size = len(matrix), min(first or FIRST_TILE, TILE_ITEMS)
+    norms = np.linalg.norm(matrix, axis=1) if count else np.empty(0)
+    order = np.argsort(-norms, kind="stable")
+    starts = [0]
+    while starts[-1] < count:
+        starts.append(min(starts[-1] + size, count))
+        size = min(2 * size, TILE_ITEMS)
+    tiles = list(zip(starts[:-1], starts[1:], strict=True))
+    largest = [float(norms[order[a]]) for a, _ in tiles]
+    for a, b in tiles:
+        order[a:b].sort()
+    row = np.empty(count, dtype=np.int64)
+    row[order] = np.arange(count)
+    return NormIndex(matrix[order], order, row, starts, largest)
+
+
+class Prepared:
+    """An item table that is measured, and shipped if small, once for many calls of ``top_n``."""
+
+    def __init__(
+        self,
+        items: DataFrame,
+        item_col: str = "product_id",
+        vector_col: str = "factor",
+        broadcast_bytes: int = BROADCAST_BYTES,
+    ):
+        self.items = items.filter(F.col(vector_col).isNotNull())
+        self.item_col, self.vector_col = item_col, vector_col
+        self.size: Size = measure(self.items, item_col, vector_col)
+        self.small = self.size.bytes <= broadcast_bytes
+        self._shipped: Broadcast | None = None
+
+    def shipped(self) -> Broadcast:
+        """Sorted ids and their index, on every executor."""
+        if self._shipped is None:
+            ids, matrix = small_items(self.items, self.size, self.item_col, self.vector_col)
+            context = self.items.sparkSession.sparkContext
+            self._shipped = context.broadcast((ids, norm_index(matrix)))
+        return self._shipped
+
+    def close(self) -> None:
+        """Free what was shipped; frames made with it can no longer be computed."""
+        if self._shipped is not None:
+            self._shipped.destroy()
+            self._shipped = None
+
+
 def top_n(
     queries: DataFrame,
     items: DataFrame,
@@ -55,6 +124,8 @@ def top_n(
     broadcast_bytes: int = BROADCAST_BYTES,
     queries_per_block: int = QUERIES_PER_BLOCK,
     items_per_block: int = ITEMS_PER_BLOCK,
+    prepared: Prepared | None = None,
+    scored: Accumulator | None = None,
 ) -> DataFrame:
     """The ``n`` items with the largest dot product, for each query row.
 
@@ -62,7 +133,9 @@ def top_n(
     of ``queries`` with a limit per row. Ties go to the smaller item id;
     ``digits`` rounds scores before they are ranked. With ``temperature`` the
     softmax probability over all candidates is added. Query ids and item ids
-    are unique; rows without a vector are left out. ``n_queries`` saves counting ``queries`` where that is costly.
+    are unique; rows without a vector are left out. ``n_queries`` saves counting ``queries``
+    where that is costly, ``prepared`` measuring and shipping ``items`` again. ``scored``
+    is an accumulator that counts the (query, item) pairs whose score was computed.
 
     Returns query, item, ``score``, ``rank`` (and ``probability``), or with
     ``lists`` one row per query with the array ``recs``, best first.
@@ -71,9 +144,9 @@ def top_n(
         raise ValueError("lists carry no probability")
     spark = queries.sparkSession
     queries = queries.filter(F.col(vector_col).isNotNull())
-    items = items.filter(F.col(vector_col).isNotNull())
-    size = measure(items, item_col, vector_col)
-    small = size.bytes <= broadcast_bytes
+    if prepared is None:
+        prepared = Prepared(items, item_col, vector_col, broadcast_bytes)
+    items, size, small = prepared.items, prepared.size, prepared.small
     limit = F.lit(n) if n_col is None else F.coalesce(F.col(n_col), F.lit(n))
     asked = queries.select(
         query_col,
@@ -106,9 +179,9 @@ def top_n(
         entry = T.StructType([flat["score"]])
         entry = T.StructType([T.StructField(item_col, item_id), *entry.fields])
         schema = T.StructType([flat[query_col], T.StructField("recs", T.ArrayType(entry))])
-    score = partial(_score, query_col, item_col, digits, temperature, listed)
+    score = partial(_score, query_col, item_col, digits, temperature, listed, scored)
     if small and exclude is None:
-        shipped = broadcast_items(items, size, item_col, vector_col)
+        shipped = prepared.shipped()
         if tasks > 1:
             asked = asked.repartition(tasks, query_col)
         best = asked.mapInArrow(_per_batch(score, shipped), schema)
@@ -135,8 +208,7 @@ def top_n(
     groups = min(query_blocks * item_blocks, MAX_GROUPS)
     grouped = left.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
     if small:
-        shipped = broadcast_items(items, size, item_col, vector_col)
-        best = grouped.applyInArrow(_per_group(score, shipped), schema)
+        best = grouped.applyInArrow(_per_group(score, prepared.shipped()), schema)
         return best if listed else _finish(best, query_col, temperature)
     right = items.select(
         _each(query_blocks, "_qb"),
@@ -191,18 +263,18 @@ def _with_probability(best: DataFrame, query_col: str, temperature: float) -> Da
 
 def _per_batch(score, shipped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = shipped.value
+        ids, index = shipped.value
         for batch in batches:
-            yield from score(pa.Table.from_batches([batch]), None, ids, matrix).to_batches()
+            yield from score(pa.Table.from_batches([batch]), None, ids, index).to_batches()
 
     return run
 
 
 def _per_group(score, shipped):
     def run(asked: pa.Table) -> pa.Table:
-        ids, matrix = shipped.value
+        ids, index = shipped.value
         is_query = pc.is_valid(asked["_vector"])
-        return score(asked.filter(is_query), asked.filter(pc.invert(is_query)), ids, matrix)
+        return score(asked.filter(is_query), asked.filter(pc.invert(is_query)), ids, index)
 
     return run
 
@@ -216,13 +288,13 @@ def _per_pair(score, item_col: str):
             asked.filter(is_query),
             asked.filter(pc.invert(is_query)),
             ids,
-            as_matrix(offered["_vector"]),
+            norm_index(as_matrix(offered["_vector"])),
         )
 
     return run
 
 
-def _score(query_col, item_col, digits, temperature, listed, rows, pairs, ids, matrix):
+def _score(query_col, item_col, digits, temperature, listed, scored, rows, pairs, ids, index):
     """Best items of each query row among ``ids`` (sorted), tile by tile."""
     found = []
     if rows.num_rows and len(ids):
@@ -234,11 +306,12 @@ def _score(query_col, item_col, digits, temperature, listed, rows, pairs, ids, m
             a, b = np.searchsorted(out_q, [start, stop])
             best = _best_of(
                 vectors[start:stop],
-                matrix,
+                index,
                 limits[start:stop],
                 (out_q[a:b] - start, out_i[a:b]),
                 digits,
                 temperature,
+                scored,
             )
             found.append((best[0] + start, *best[1:]))
     q, i, score, rank, mass = (
@@ -293,20 +366,39 @@ def _positions(query_col, item_col, rows, pairs, ids):
     return q[order], i[order]
 
 
-def _best_of(vectors, matrix, limits, excluded, digits, temperature):
-    """Candidates of each item tile, then one ranking per query."""
-    keep = int(max(limits.max(), 1))
-    out_q, out_i = excluded
+def _best_of(vectors, index, limits, excluded, digits, temperature, scored=None):
+    """Candidates of each item tile, then one ranking per query.
+
+    ``index`` is a ``NormIndex``, or the matrix of sorted ids. Positions that come
+    back are those of sorted ids.
+    """
+    if isinstance(index, np.ndarray):
+        index = norm_index(index)
+    limits = np.maximum(limits, 1)
+    keep = int(limits.max())
+    out_q, out_i = excluded[0], index.row[excluded[1]] if len(excluded[1]) else excluded[1]
     peak = np.full(len(vectors), -np.inf)
     sums = np.zeros(len(vectors))
     best = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
-    for start in range(0, len(matrix), TILE_ITEMS):
-        stop = min(start + TILE_ITEMS, len(matrix))
-        tile = vectors @ matrix[start:stop].T
+    lengths = np.linalg.norm(vectors, axis=1)
+    last = np.full(len(vectors), -np.inf)  # the score that a further item has to reach
+    # Products and rounded scores may exceed the exact bound a little.
+    slack = 0.0 if digits is None else 0.5000001 * 10.0**-digits
+    for start, stop, norm in zip(index.starts, index.starts[1:], index.norms):
+        open_ = np.flatnonzero(last <= lengths * norm * (1 + 1e-9) + slack + 1e-300)
+        if temperature is not None:
+            open_ = np.arange(len(vectors))  # the sum needs every score
+        if not len(open_):
+            break
+        tile = vectors[open_] @ index.matrix[start:stop].T
+        if scored is not None:
+            scored.add(tile.size)
         if digits is not None:
             tile = np.round(tile, digits)
-        here = (out_i >= start) & (out_i < stop)
-        tile[out_q[here], out_i[here] - start] = -np.inf
+        at = np.full(len(vectors), -1)
+        at[open_] = np.arange(len(open_))
+        here = (out_i >= start) & (out_i < stop) & (at[out_q] >= 0)
+        tile[at[out_q[here]], out_i[here] - start] = -np.inf
         width = tile.shape[1]
         if keep < width:
             cut = np.partition(tile, width - keep, axis=1)[:, width - keep]
@@ -320,7 +412,10 @@ def _best_of(vectors, matrix, limits, excluded, digits, temperature):
         else:
             chosen = np.isfinite(tile)
         q, i = np.nonzero(chosen)
-        best = _merged(best, (q, i + start, tile[q, i]), len(vectors), keep)
+        more = (open_[q], index.place[i + start], tile[q, i])
+        best = _merged(best, more, len(vectors), keep)
+        full = _ranks(best[0], len(vectors)) == limits[best[0]]
+        last[best[0][full]] = best[2][full]
         if temperature is not None:
             higher = np.maximum(peak, tile.max(axis=1))
             some = np.isfinite(higher)
@@ -334,7 +429,7 @@ def _best_of(vectors, matrix, limits, excluded, digits, temperature):
         first = rank == 1
         mass[first] = peak[q[first]] / temperature + np.log(sums[q[first]])
     # The first row always stays: it carries the exponential sum.
-    kept = rank <= np.maximum(limits[q], 1)
+    kept = rank <= limits[q]
     return q[kept], i[kept], score[kept], rank[kept], mass[kept]
 
 

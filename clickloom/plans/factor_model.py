@@ -1,10 +1,14 @@
-"""Matrix factorisation of ratings with the built-in distributed ALS solver."""
+"""Matrix factorisation of ratings: by the built-in ALS solver, or epoch by epoch.
+
+ALS runs a fixed number of iterations; ``train_by_rotation`` keeps an error per
+epoch, stops early, goes on from a given model and resumes a run.
+"""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +22,8 @@ from clickloom.operators.metrics import error_metrics
 from clickloom.operators.ratings import build_ratings, normalize_ratings, split
 from clickloom.operators.skew import hot_keys, skew_join
 from clickloom.operators.topn import top_n
+from clickloom.plans import rotation
+from clickloom.plans.stopping import Patience
 from clickloom.session import checkpoint_root, materialize
 from clickloom.sources.models import load_version, save_version
 
@@ -27,6 +33,8 @@ EPOCHS = 20
 # ratings of the test tables are predicted no worse than by their mean.
 REG = 0.3
 MODEL_TYPE = "factor"
+# Of an epoch loop.
+PATIENCE, MIN_DELTA = 3, 1e-4
 # The solver sends every user block to every item block, so their number follows
 # the data and is bounded.
 RATINGS_PER_BLOCK = 100_000
@@ -145,35 +153,130 @@ def evaluate(model: FactorModel, test: DataFrame) -> DataFrame:
     return error_metrics(scored)
 
 
+def train_by_rotation(
+    ratings: DataFrame,
+    rank: int = RANK,
+    epochs: int = EPOCHS,
+    seed: int = 42,
+    validation: DataFrame | None = None,
+    check_at: Sequence[int] | None = None,
+    patience: int | None = PATIENCE,
+    min_delta: float = MIN_DELTA,
+    start: FactorModel | None = None,
+    path: str | None = None,
+    center: bool = True,
+    blocks: int | None = None,
+    strata: int | None = None,
+    **steps,
+) -> FactorModel:
+    """Train epoch by epoch (see ``rotation``) and return the best epoch's model.
+
+    The error watched is that of ``validation``, after every epoch or those in
+    ``check_at``, else the one met while training; the run ends when ``patience``
+    looks did not find it lower by ``min_delta``. The metadata keep both per epoch.
+    ``start`` is a model to go on from: known ids keep their vectors, new ones get
+    first vectors, and ``epochs`` more are run. With ``path`` every epoch is saved as
+    a version there, and a run that finds versions goes on behind the last one, with
+    the same result as a run that was never broken off. ``center`` explains the
+    ratings' differences from their mean. ``steps`` takes ``lr``, ``reg``, ``batch``.
+    """
+    spark = ratings.sparkSession
+    rated = ratings.select("user_id", "product_id", "rating")
+    saved = load_model(spark, path) if path else None
+    known = saved or start
+    meta = known.metadata if known else {}
+    history, checked = (list(meta.get(k) or []) for k in ("history", "validation_history"))
+    if known:
+        offset, rank = meta.get("rating_offset") or 0.0, meta.get("n_factors") or rank
+    else:
+        offset = (rated.agg(F.avg("rating")).first()[0] or 0.0) if center else 0.0
+    first = len((start.metadata.get("history") or []) if start else [])
+    looks = None if check_at is None else {first + epoch for epoch in check_at}
+    checked += [None] * (len(history) - len(checked))
+    watch, best = Patience(patience, min_delta), known
+
+    def look(epoch: int) -> bool:
+        value = history[epoch - 1] if validation is None else checked[epoch - 1]
+        return value is not None and watch.stops(value, epoch)
+
+    stopped = any([look(epoch) for epoch in range(first + 1, len(history) + 1)])
+    if watch.best_epoch:
+        best = load_model(spark, path, epochs_completed=watch.best_epoch)
+    plan = rotation.deal(rated, blocks, strata)
+    known_rows = (known.users, known.items) if known else (None, None)
+    users, items = (
+        materialize(rotation.with_new(rows, rated, key, rank, s), "rotation-start")
+        for rows, key, s in zip(known_rows, ("user_id", "product_id"), (seed, seed + 1))
+    )
+    try:
+        while not stopped and len(history) < first + epochs:
+            epoch = len(history) + 1
+            users, items, error = rotation.run_epoch(
+                plan, users, items, offset, epoch, seed=seed, **steps
+            )
+            model = FactorModel(users, items, {"n_factors": rank, "rating_offset": offset})
+            history.append(error)
+            seen = validation is not None and (looks is None or epoch in looks)
+            checked.append(evaluate(model, validation).first()["rmse"] if seen else None)
+            model.metadata |= {
+                "model_type": MODEL_TYPE,
+                "rmse": checked[-1] if seen else error,
+                "n_users": users.count(),
+                "n_items": items.count(),
+                "training_samples": plan.n_ratings,
+                "epochs_completed": epoch,
+                "history": list(history),
+                "validation_history": list(checked),
+            }
+            if path:
+                save_model(model, path)
+            stopped = look(epoch)
+            if best is None or watch.best_epoch == epoch:
+                best = model
+    finally:
+        plan.drop()
+    best = best or FactorModel(users, items, {"n_factors": rank, "rating_offset": offset})
+    found = {**best.metadata, "history": history, "validation_history": checked}
+    return FactorModel(best.users, best.items, found)
+
+
+def training_history(model: FactorModel) -> DataFrame:
+    """RMSE per epoch: met while training, and of the validation ratings if there were any."""
+    history = model.metadata.get("history") or []
+    checked = model.metadata.get("validation_history") or []
+    rows = [
+        (epoch, error, checked[epoch - 1] if epoch <= len(checked) else None)
+        for epoch, error in enumerate(history, start=1)
+    ]
+    return model.items.sparkSession.createDataFrame(
+        rows, "epoch int, rmse double, validation_rmse double"
+    )
+
+
 def train_with_early_stopping(
     train: DataFrame,
     validation: DataFrame,
     grid: Sequence[int] = (5, 10, 15, 20),
     patience: int = 1,
-    min_delta: float = 1e-4,
+    min_delta: float = MIN_DELTA,
     **params,
 ) -> tuple[FactorModel, list[tuple[int, float]]]:
-    """Raise the iteration count until validation RMSE stops improving.
+    """Look at the validation RMSE after the epochs of ``grid``, until it stops falling.
 
-    The solver cannot be paused, so each step trains from the same seed. Returns
-    the best model and the (epochs, RMSE) history.
+    One run; no epoch is computed twice. Returns the best model and the (epochs,
+    RMSE) history.
     """
-    indexed = index_ratings(train)
-    indexed = replace(indexed, ratings=materialize(indexed.ratings, "indexed-ratings"))
-    best: FactorModel | None = None
-    best_rmse, waited = float("inf"), 0
-    history: list[tuple[int, float]] = []
-    for epochs in grid:
-        model = train_factors(indexed, epochs=epochs, **params)
-        rmse = evaluate(model, validation).first()["rmse"]
-        history.append((epochs, rmse))
-        if best is None or rmse < best_rmse - min_delta:
-            best, best_rmse, waited = model, rmse, 0
-        else:
-            waited += 1
-            if waited >= patience:
-                break
-    return best, history
+    model = train_by_rotation(
+        train,
+        epochs=max(grid),
+        validation=validation,
+        check_at=grid,
+        patience=patience,
+        min_delta=min_delta,
+        **params,
+    )
+    checked = enumerate(model.metadata["validation_history"], start=1)
+    return model, [(epoch, rmse) for epoch, rmse in checked if rmse is not None]
 
 
 def train_factor_model(
@@ -182,19 +285,25 @@ def train_factor_model(
     normalize: bool = True,
     fraction: float = 0.8,
     seed: int = 42,
+    solver: str = "als",
     **params,
 ) -> tuple[FactorModel, DataFrame]:
     """Events to a model with its metadata; also returns the train ratings.
 
-    Ratings are scaled before the split, so the bounds cover all of them.
+    Ratings are scaled before the split, so the bounds cover all of them. ``solver``
+    is ``als`` or ``rotation``; ``params`` are those of ``train_factors`` or
+    ``train_by_rotation``.
     """
+    solvers = {"als": train_factors, "rotation": train_by_rotation}
+    if solver not in solvers:
+        raise ValueError(f"unknown solver: {solver}")
     ratings = materialize(build_ratings(events, weights), "raw-ratings")
     bounds = ratings.agg(F.min("rating"), F.max("rating")).first()
     if bounds[0] is None:
         raise ValueError("no ratings in the input")
     scaled = materialize(normalize_ratings(ratings), "ratings") if normalize else ratings
     train, test = split(scaled, fraction, seed)
-    model = train_factors(train, seed=seed, **params)
+    model = solvers[solver](train, seed=seed, **params)
     errors = evaluate(model, test).first()
     model.metadata.update(
         model_type=MODEL_TYPE,
@@ -246,8 +355,11 @@ def save_model(model: FactorModel, path: str) -> str:
     )
 
 
-def load_model(spark: SparkSession, path: str) -> FactorModel | None:
-    found = load_version(spark, path, ["users", "items"], schemas.FACTOR_MODEL_METADATA)
+def load_model(spark: SparkSession, path: str, **wanted) -> FactorModel | None:
+    """The latest version; ``wanted`` (metadata values) narrows the choice."""
+    found = load_version(
+        spark, path, ["users", "items"], schemas.FACTOR_MODEL_METADATA, **wanted
+    )
     if found is None:
         return None
     parts, metadata = found

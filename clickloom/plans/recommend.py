@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.operators.skew import hot_keys, skew_join
-from clickloom.operators.topn import top_n
+from clickloom.operators.topn import Prepared, top_n
 from clickloom.plans.factor_model import FactorModel
-from clickloom.plans.sequence_model import SequenceModel, recommend_from_sequence
+from clickloom.plans.sequence_model import SequenceModel, offered, recommend_from_sequence
 
 EVENT_RECOMMENDATIONS = 5
 REQUEST_LIMIT = 5
@@ -100,26 +101,61 @@ def _user_missing() -> Column:
     return F.col("user_id").isNull() | (F.col("user_id").cast("string") == "")
 
 
-def _excluded(requests: DataFrame) -> DataFrame:
-    return requests.select("request_id", F.explode("exclude_products").alias("product_id"))
+def _with_needs(requests: DataFrame, asker: list[str], n: int, item) -> DataFrame:
+    """Add ``_take``, the items a request gets, and ``_ask``, the list that surely holds them.
+
+    Whatever a request excludes, its answer is among the first ``_take`` plus as many
+    items as it excludes of its asker's list. That number is rounded up to a power of
+    two, so the requests of one asker share few lists, mostly one.
+    """
+    unwanted = F.array_distinct(F.coalesce("exclude_products", F.array())).cast(
+        T.ArrayType(item)
+    )
+    take = F.greatest(F.coalesce("n", F.lit(n)), F.lit(0))
+    deep = F.greatest(F.col("_take") + F.size("_unwanted"), F.lit(1))
+    depth = F.pow(F.lit(2.0), F.ceil(F.log2(deep))).cast("int")
+    return (
+        requests.withColumns({"_unwanted": unwanted, "_take": take})
+        .withColumn("_depth", depth)
+        .withColumn("_ask", F.to_json(F.struct(*asker, "_depth")))
+    )
+
+
+def _asked(needs: DataFrame, asker: list[str]) -> DataFrame:
+    """The distinct lists that the requests need."""
+    return needs.groupBy("_ask").agg(
+        F.first("_depth").alias("_depth"), *[F.first(c).alias(c) for c in asker]
+    )
 
 
 def _respond(
-    requests: DataFrame, lists: DataFrame, error: Column, metadata: Column, echo: list[str]
+    requests: DataFrame,
+    needs: DataFrame,
+    lists: DataFrame,
+    error: Column,
+    metadata: Column,
+    echo: list[str],
 ) -> DataFrame:
-    ok = F.col("error").isNull()
-    empty = F.array().cast(lists.schema["recs"].dataType)
-    return (
-        requests.withColumn("error", error)
-        .join(lists, "request_id", "left")
-        .select(
-            "request_id",
-            *[F.when(ok, F.col(c)).alias(c) for c in echo],
-            F.when(ok, F.coalesce(F.col("recs"), empty)).alias("recommendations"),
-            F.when(ok, metadata).alias("metadata"),
-            "error",
-        )
+    """Cut each request's answer out of its list, and add the requests that got an error."""
+    kind = lists.schema["recs"].dataType
+    empty = F.array().cast(kind)
+    columns = ["request_id", *echo, "recommendations", "metadata", "error"]
+    found = skew_join(needs, lists, "_ask", "left", hot_keys(needs, "_ask"))
+    ids = F.transform(F.coalesce("recs", empty), lambda r: r["product_id"])
+    wanted = F.slice(F.array_except(ids, "_unwanted"), F.lit(1), F.col("_take"))
+    answers = found.withColumn("_wanted", wanted).select(
+        "request_id",
+        *echo,
+        F.filter(
+            F.coalesce("recs", empty), lambda r: F.array_contains("_wanted", r["product_id"])
+        ).alias("recommendations"),
+        metadata.alias("metadata"),
+        F.lit(None).cast("string").alias("error"),
     )
+    failed = requests.withColumn("error", error).where("error IS NOT NULL")
+    blank = {c: F.lit(None).cast(answers.schema[c].dataType) for c in (*echo, "metadata")}
+    failed = failed.withColumns({**blank, "recommendations": F.lit(None).cast(kind)})
+    return answers.select(columns).unionByName(failed.select(columns))
 
 
 def serve_batch(
@@ -127,24 +163,27 @@ def serve_batch(
     model: FactorModel,
     n: int = REQUEST_LIMIT,
     digits: int | None = None,
+    prepared: Prepared | None = None,
+    **options,
 ) -> DataFrame:
     """Answer a table of (request_id, user_id, n, exclude_products) requests.
 
-    A request without a user gets an error; an unknown user an empty list.
+    A request without a user gets an error; an unknown user an empty list. The
+    catalogue is scored once per distinct user, however many requests there are.
     """
     error = F.when(_user_missing(), F.lit(USER_REQUIRED))
-    valid = requests.filter(~_user_missing()).select("request_id", "user_id", "n")
-    queries = skew_join(valid, model.users, "user_id", "inner", hot_keys(valid, "user_id"))
+    item = model.items.schema["product_id"].dataType
+    needs = _with_needs(requests.filter(~_user_missing()), ["user_id"], n, item)
+    queries = _asked(needs, ["user_id"]).join(model.users, "user_id")
     lists = top_n(
         queries,
         model.items,
-        n,
-        _excluded(requests),
-        query_col="request_id",
-        n_col="n",
+        query_col="_ask",
+        n_col="_depth",
         digits=digits,
         lists=True,
-        n_queries=valid.count(),
+        prepared=prepared,
+        **options,
     )
     meta = model.metadata
     info = F.struct(
@@ -153,7 +192,7 @@ def serve_batch(
         F.lit(meta.get("n_users")).cast("bigint").alias("n_users"),
         F.lit(meta.get("n_items")).cast("bigint").alias("n_items"),
     )
-    return _respond(requests, lists, error, info, ["user_id"])
+    return _respond(requests, needs, lists, error, info, ["user_id"])
 
 
 def serve_sequence_batch(
@@ -161,13 +200,27 @@ def serve_sequence_batch(
     model: SequenceModel,
     n: int = REQUEST_LIMIT,
     digits: int | None = None,
+    prepared: Prepared | None = None,
+    **options,
 ) -> DataFrame:
-    """Answer a table of (request_id, user_id, click_sequence, n, exclude_products) requests."""
+    """Answer a table of (request_id, user_id, click_sequence, n, exclude_products) requests.
+
+    Equal click sequences are encoded and scored once.
+    """
     no_clicks = F.col("click_sequence").isNull() | (F.size("click_sequence") == 0)
     error = F.when(_user_missing(), F.lit(USER_REQUIRED)).when(no_clicks, F.lit(CLICKS_REQUIRED))
+    item = model.items.schema["product_id"].dataType
     valid = requests.filter(~_user_missing() & ~no_clicks)
+    needs = _with_needs(valid, ["click_sequence"], n, item)
     lists = recommend_from_sequence(
-        model, valid, n, _excluded(valid), n_col="n", digits=digits, lists=True
+        model,
+        _asked(needs, ["click_sequence"]),
+        key_col="_ask",
+        n_col="_depth",
+        digits=digits,
+        lists=True,
+        prepared=prepared,
+        **options,
     )
     meta = model.metadata
     info = F.struct(
@@ -177,4 +230,38 @@ def serve_sequence_batch(
         F.lit(meta.get("n_items")).cast("bigint").alias("n_items"),
         F.lit(meta.get("final_loss")).cast("double").alias("final_loss"),
     )
-    return _respond(requests, lists, error, info, ["user_id", "click_sequence"])
+    return _respond(requests, needs, lists, error, info, ["user_id", "click_sequence"])
+
+
+class Scorer:
+    """Answers tables of requests with one model, which is measured and shipped once.
+
+    What is shipped stays until ``close``. Usable as a context, and as the
+    ``respond`` of ``start_serving_stream``.
+    """
+
+    def __init__(
+        self,
+        model: FactorModel | SequenceModel,
+        n: int = REQUEST_LIMIT,
+        digits: int | None = None,
+        **options,
+    ):
+        self.model, self.n, self.digits = model, n, digits
+        self.serve = serve_batch
+        items = model.items
+        if isinstance(model, SequenceModel):
+            self.serve, items = serve_sequence_batch, offered(model)
+        self.prepared = Prepared(items, **options)
+
+    def __call__(self, requests: DataFrame) -> DataFrame:
+        return self.serve(requests, self.model, self.n, self.digits, self.prepared)
+
+    def close(self) -> None:
+        self.prepared.close()
+
+    def __enter__(self) -> Scorer:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()

@@ -1,18 +1,20 @@
 """Next-click model: item vectors and position weights trained on click sequences.
 
-Every epoch deals the sequences out to W workers by a seeded hash. A worker runs
-gradient steps on its own copy of the model and returns the change of each row it
-touched; the new model is the old one plus the mean change of each row. Each epoch
-is written to the shared folder.
+The sequences are dealt to W workers once, by a seeded hash, and written as a table
+with a bucket per worker; they do not move again. Every epoch a worker takes its
+sequences in a new order, runs gradient steps on its own copy of the model and
+returns the change of each row it touched; the new model is the old one plus the
+mean change of each row. Each epoch is written to the shared folder.
 
 A model that is small enough (measured) is broadcast and a worker streams through
-one sorted partition, whatever its length. For a larger one a worker is a group
-that is joined with just the item rows its sequences mention.
+its bucket, whatever its length. For a larger one a worker is a group that is joined
+with just the item rows its sequences mention.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -30,6 +32,7 @@ from clickloom.operators.keys import distinct_keys, new_keys
 from clickloom.operators.matrix import BROADCAST_BYTES, as_matrix, broadcast_items, measure
 from clickloom.operators.sequences import SEQUENCE_LENGTH, click_sequences
 from clickloom.operators.topn import top_n
+from clickloom.plans.stopping import Patience
 from clickloom.session import scratch_path
 from clickloom.sources.files import remove_scratch
 from clickloom.sources.models import load_version, save_version
@@ -54,7 +57,6 @@ WEIGHT_LIMITS = (0.01, 10.0)
 
 MIN_WORKERS = 4
 SEQUENCES_PER_WORKER = 100_000
-MAX_GROUPS = 20_000
 BATCH = 64
 
 CHANGES = "key long, change array<double>, loss double"
@@ -230,12 +232,15 @@ def _run_epochs(
     workers: int | None = None,
     batch: int = BATCH,
     average: str = "touched",
+    deal_by: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, list[float], list[float]]:
     """The epoch loop: item rows, position weights and the mean loss of each epoch.
 
     ``workers`` is W. By default it follows the number of sequences alone, so a
-    model depends neither on the cluster nor on how items are shipped.
+    model depends neither on the cluster nor on how items are shipped. ``deal_by``
+    names an integer column among ``tie_cols`` whose remainder by W picks the worker,
+    instead of a hash.
     ``average="touched"`` divides a row's summed change by the workers that touched
     it, which keeps the step size when W is large; ``"workers"`` divides by W.
     """
@@ -249,8 +254,10 @@ def _run_epochs(
     samples_path = scratch_path(spark, "sequences")
     coded = clicks.withColumn("product_id", F.xxhash64("product_id", F.lit(salt)))
     padding = F.xxhash64(F.lit(PAD), F.lit(salt))
+    draw = F.xxhash64("user_id", time_col, *tie_cols, "target")
+    picked = F.xxhash64(draw, F.lit(seed)) if deal_by is None else F.col(deal_by)
     click_sequences(coded, k, time_col=time_col, tie_cols=tie_cols, pad=padding).select(
-        F.xxhash64("user_id", time_col, *tie_cols, "target").alias("sample"), "sequence", "target"
+        draw.alias("sample"), picked.cast("long").alias("draw"), "sequence", "target"
     ).write.parquet(samples_path)
     samples = spark.read.parquet(samples_path)
     n_samples = samples.count()
@@ -268,15 +275,19 @@ def _run_epochs(
         )
     )
     history: list[float] = []
-    best, waited = float("inf"), 0
+    watch = Patience(patience, min_delta)
+    buckets_path = scratch_path(spark, "sequence-buckets")
+    name = _deal(samples, workers, buckets_path)
+    remove_scratch(spark, samples_path)
     for epoch in range(epochs):
-        dealt = _deal(samples, workers, seed + epoch)
+        place = F.xxhash64("sample", F.lit(seed + epoch)).alias("place")
+        dealt = spark.table(name).select("worker", place, "sequence", "target")
         shipped = None
         if small:
             shipped = broadcast_items(state.filter(F.col("key").isNotNull()), size, "key")
-            changes = _changes_by_partition(dealt, shipped, weights, workers, steps)
+            changes = _changes_by_bucket(dealt, shipped, weights, steps)
         else:
-            changes = _changes_by_group(dealt, state, weights, workers, steps)
+            changes = _changes_by_group(dealt, state, weights, steps)
         path = scratch_path(spark, f"sequence-epoch-{epoch}")
         _apply(state, changes, max(n_factors, k), workers, average).write.parquet(path)
         if shipped is not None:
@@ -288,40 +299,43 @@ def _run_epochs(
         loss = (row["loss"] or 0.0) / max(n_samples, 1)
         history.append(loss)
         state = state.select("product_id", "key", "factor")
-        if patience is None:
-            continue
-        if loss < best - min_delta:
-            best, waited = loss, 0
-        else:
-            waited += 1
-            if waited >= patience:
-                break
-    remove_scratch(spark, samples_path)
+        if watch.stops(loss, epoch):
+            break
+    spark.sql(f"DROP TABLE {name}")
+    remove_scratch(spark, buckets_path)
     trained = state.filter(F.col("key").isNotNull()).select("product_id", "factor")
     return trained, weights, history
 
 
-def _deal(samples: DataFrame, workers: int, seed: int) -> DataFrame:
-    """Worker and place of each sequence in this epoch."""
-    draw = F.xxhash64("sample", F.lit(seed))
-    return samples.select(
-        F.pmod(draw, F.lit(workers)).cast("int").alias("worker"),
-        draw.alias("place"),
-        "sequence",
-        "target",
+def _deal(samples: DataFrame, workers: int, path: str) -> str:
+    """Write the samples as a table of one bucket per worker; returns its name.
+
+    Buckets are hashed, so a worker is named by the first number that falls into the
+    bucket of its own.
+    """
+    spark = samples.sparkSession
+    numbers = spark.range(64 * workers).select(F.col("id").cast("int").alias("worker"))
+    names = numbers.groupBy(F.pmod(F.hash("worker"), F.lit(workers)).alias("_bucket")).agg(
+        F.min("worker").alias("worker")
     )
+    picked = F.pmod("draw", F.lit(workers)).cast("int")
+    dealt = samples.join(F.broadcast(names), picked == F.col("_bucket"))
+    name = f"clickloom_sequences_{uuid.uuid4().hex}"
+    columns = dealt.select("worker", "sample", "sequence", "target").repartition(workers, "worker")
+    writer = columns.write.bucketBy(workers, "worker").option("path", path)
+    writer.saveAsTable(name)
+    return name
 
 
-def _changes_by_partition(
-    dealt: DataFrame, shipped: Broadcast, weights: list[float], workers: int, steps: dict
+def _changes_by_bucket(
+    dealt: DataFrame, shipped: Broadcast, weights: list[float], steps: dict
 ) -> DataFrame:
-    placed = dealt.repartitionById(workers, "worker").sortWithinPartitions("place")
-    kernel = _partition_worker(shipped, np.array(weights), steps)
-    return placed.select("sequence", "target").mapInArrow(kernel, CHANGES)
+    placed = dealt.sortWithinPartitions("worker", "place").groupBy("worker")
+    return placed.applyInArrow(_bucket_worker(shipped, np.array(weights), steps), CHANGES)
 
 
 def _changes_by_group(
-    dealt: DataFrame, state: DataFrame, weights: list[float], workers: int, steps: dict
+    dealt: DataFrame, state: DataFrame, weights: list[float], steps: dict
 ) -> DataFrame:
     mentioned = F.array_distinct(F.concat("sequence", F.array("target")))
     needed = (
@@ -330,9 +344,7 @@ def _changes_by_group(
         .join(state.select("key", "factor"), "key")
         .select(F.col("worker").alias("worker"), "key", "factor")
     )
-    groups = min(workers, MAX_GROUPS)
-    left = dealt.repartition(groups, "worker").groupBy("worker")
-    right = needed.repartition(groups, "worker").groupBy("worker")
+    left, right = dealt.groupBy("worker"), needed.groupBy("worker")
     return left.cogroup(right).applyInArrow(_group_worker(np.array(weights), steps), CHANGES)
 
 
@@ -357,7 +369,7 @@ def _apply(
     )
 
 
-def _partition_worker(shipped: Broadcast, weights: np.ndarray, steps: dict):
+def _bucket_worker(shipped: Broadcast, weights: np.ndarray, steps: dict):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, start = shipped.value
         keys = keys.to_numpy()
@@ -465,6 +477,11 @@ def _move(factors: np.ndarray, rows: np.ndarray, steps: np.ndarray, keep: float)
     factors[touched] = np.clip(moved, -FACTOR_LIMIT, FACTOR_LIMIT)
 
 
+def offered(model: SequenceModel) -> DataFrame:
+    """The items that may be recommended: all but the padding row."""
+    return model.items.filter(F.col("product_id") != PAD)
+
+
 def recommend_from_sequence(
     model: SequenceModel,
     requests: DataFrame,
@@ -479,11 +496,10 @@ def recommend_from_sequence(
     queries = encode_sequences(requests, model.items, model.weights, key_col, seq_col)
     if n_col is not None:
         queries = queries.join(requests.select(key_col, n_col), key_col)
-    offered = model.items.filter(F.col("product_id") != PAD)
     count = requests.count() if exclude is not None else None
     return top_n(
         queries,
-        offered,
+        offered(model),
         n,
         exclude,
         query_col=key_col,

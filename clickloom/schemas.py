@@ -43,6 +43,8 @@ FACTOR_MODEL_METADATA = _struct(
     rating_min=D,
     rating_max=D,
     normalized=T.BooleanType(),
+    history=T.ArrayType(D),
+    validation_history=T.ArrayType(D),
     last_updated=TS,
 )
 
@@ -65,6 +67,8 @@ SEQUENCE_MODEL_METADATA = _struct(
     last_updated=TS,
 )
 
+LISTS_METADATA = _struct(version=S, n_users=L, last_updated=TS)
+
 REQUESTS = T.StructType(
     [
         T.StructField("request_id", L),

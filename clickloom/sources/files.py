@@ -19,6 +19,7 @@ from clickloom.sources.readers import read_csv
 
 GROUPS = ("users", "products", "clickstream")
 ARCHIVE_STAMP = "%Y%m%d_%H%M%S"
+ARCHIVE_NAME = "clickstream_archive_"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -156,15 +157,8 @@ def list_files(
     spark: SparkSession, path: str, file_glob: str | None = None, n: int = 25
 ) -> DataFrame:
     """The ``n`` newest files below ``path``; their content is never read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    return (
-        reader.load(path)
-        .select("path", "length", "modificationTime")
-        .orderBy(F.col("modificationTime").desc(), "path")
-        .limit(n)
-    )
+    files = manifest(spark, path, file_glob)
+    return files.orderBy(F.col("modificationTime").desc(), "path").limit(n)
 
 
 def archive(
@@ -172,7 +166,7 @@ def archive(
 ) -> str:
     """Move input to ``archive_dir`` under a UTC-stamped name of its own."""
     stamp = (now or datetime.now(UTC)).strftime(ARCHIVE_STAMP)
-    target = f"{archive_dir}/clickstream_archive_{stamp}_{uuid.uuid4().hex[:8]}.json"
+    target = f"{archive_dir}/{ARCHIVE_NAME}{stamp}_{uuid.uuid4().hex[:8]}.json"
     fs, source = _fs(spark, path)
     target_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
     fs.mkdirs(target_path.getParent())
@@ -190,23 +184,55 @@ def move_back(spark: SparkSession, archived: str, path: str) -> None:
 
 
 def list_archives(spark: SparkSession, archive_dir: str) -> DataFrame:
-    """Archived inputs, newest first."""
-    fs, pattern = _fs(spark, f"{archive_dir}/clickstream_archive_*")
-    rows = [
-        (str(s.getPath()), fs.getContentSummary(s.getPath()).getLength(), s.getModificationTime())
-        for s in (fs.globStatus(pattern) or [])
-    ]
+    """Archived inputs, newest first; one listing covers all of them."""
+    pattern = f"{archive_dir}/{ARCHIVE_NAME}*"
+    if not matching(spark, pattern):
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+    files = manifest(spark, pattern)
+    name = F.regexp_extract("path", f"^(.*/{ARCHIVE_NAME}[^/]*)", 1)
     return (
-        spark.createDataFrame(rows, "path string, length long, millis long")
-        .select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
+        files.groupBy(name.alias("path"))
+        .agg(F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime"))
         .orderBy(F.col("modificationTime").desc(), F.col("path").desc())
     )
 
 
+def manifest(spark: SparkSession, path: str, file_glob: str | None = None) -> DataFrame:
+    """(path, length, modificationTime) of every file below ``path``, listed by Spark's tasks.
+
+    Content is never read. An input without files is an error.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    return reader.load(path).select("path", "length", "modificationTime")
+
+
+def unseen_files(
+    spark: SparkSession, path: str, seen: str, file_glob: str | None = None
+) -> DataFrame:
+    """The files below ``path`` that the table of seen files lacks, or that changed since."""
+    files = manifest(spark, path, file_glob)
+    if not exists(spark, seen):
+        return files
+    keys = ["path", "length", "modificationTime"]
+    return files.join(spark.read.parquet(seen).select(keys), keys, "left_anti")
+
+
+def mark_seen(files: DataFrame, seen: str) -> None:
+    """Add ``files`` to the table of seen files, once the work on them is done."""
+    files.select("path", "length", "modificationTime").write.mode("append").parquet(seen)
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a folder this package made with ``scratch_path``."""
     if "/clickloom/" not in path:
         raise ValueError(f"not a scratch path: {path}")
+    remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder if it exists."""
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, True)
 

@@ -39,9 +39,13 @@ def save_version(
     return version
 
 
-def model_info(spark: SparkSession, path: str, metadata_schema: T.StructType) -> DataFrame:
-    """Metadata of the latest version, as one row."""
+def model_info(
+    spark: SparkSession, path: str, metadata_schema: T.StructType, **wanted
+) -> DataFrame:
+    """Metadata of the latest version (with the values ``wanted``), as one row."""
     rows = spark.read.schema(metadata_schema).parquet(f"{path}/metadata")
+    for name, value in wanted.items():
+        rows = rows.where(F.col(name) == F.lit(value))
     latest = rows.agg(F.max_by(F.struct("*"), F.struct("last_updated", "version")).alias("m"))
     return latest.select("m.*")
 
@@ -53,12 +57,15 @@ def model_versions(spark: SparkSession, path: str, metadata_schema: T.StructType
 
 
 def load_version(
-    spark: SparkSession, path: str, parts: list[str], metadata_schema: T.StructType
+    spark: SparkSession, path: str, parts: list[str], metadata_schema: T.StructType, **wanted
 ) -> tuple[dict[str, DataFrame], dict] | None:
-    """Parts and metadata of the latest version; None when no model is stored."""
+    """Parts and metadata of the latest version; None when no model is stored.
+
+    ``wanted`` narrows the choice to versions with these metadata values.
+    """
     if not exists(spark, f"{path}/metadata"):
         return None
-    row = model_info(spark, path, metadata_schema).first()
+    row = model_info(spark, path, metadata_schema, **wanted).first()
     if row is None or row["version"] is None:
         return None
     metadata = row.asDict()

@@ -72,15 +72,37 @@ def read_json_lines(
         reader = _json_options(reader, schema, bad_records)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    rows = reader.json([paths] if isinstance(paths, str) else list(paths))
-    files = [unquote(f) for f in rows.inputFiles()]
-    if not any(path_pattern is None or re.search(path_pattern, f) for f in files):
+    places = [paths] if isinstance(paths, str) else list(paths)
+    if not any(_has_input(spark, place, file_glob, path_pattern) for place in places):
         raise FileNotFoundError(f"no input files in {paths}")
+    rows = reader.json(places)
     if path_pattern is not None:
         rows = rows.where(F.url_decode("_metadata.file_path").rlike(path_pattern))
     return rows
 
 
+def _has_input(
+    spark: SparkSession, path: str, file_glob: str | None, path_pattern: str | None
+) -> bool:
+    """Whether a file to read is at or below ``path``; the listing stops at the first one."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    named = hadoop.GlobPattern(file_glob) if file_glob else None
+    for status in fs.globStatus(place) or []:
+        root = unquote(status.getPath().toString())
+        files = fs.listFiles(status.getPath(), True)
+        while files.hasNext():
+            found = files.next().getPath()
+            full, name = unquote(found.toString()), found.getName()
+            hidden = any(part[:1] in ("_", ".") for part in full[len(root) :].split("/"))
+            if hidden or (named and not named.matches(name)):
+                continue
+            if path_pattern is None or re.search(path_pattern, full):
+                return True
+    return False
+
+
 def count_lines(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType
 ) -> tuple[int, int]:
@@ -136,14 +158,17 @@ def read_clickstream_stream(
     bad_records: str = "drop",
     mode: str = "lenient",
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
     """Unbounded click events from a watched directory. How often it is polled is the
-    trigger of the query that reads it."""
+    trigger of the query that reads it. Files of finished batches move to ``archive_dir``."""
     reader = _json_options(spark.readStream, schemas.CLICKSTREAM, bad_records)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return with_event_time(reader.json(path), mode)
 
 

@@ -124,7 +124,8 @@ def start_serving_stream(
 
     Each micro-batch overwrites its own folder, so a replayed batch leaves no
     second answer. A scorer measures a batch before it answers, so the batch is
-    read once and kept until it is answered.
+    read once and kept until it is answered. With a ``recommend.Scorer`` the model
+    is measured and shipped once for the whole stream; close it when the query ends.
     """
 
     def answer(batch: DataFrame, batch_id: int) -> None:

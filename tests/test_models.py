@@ -338,3 +338,43 @@ def test_retraining_lifecycle(spark, folder):
     info = model_info(spark, model, schemas.SEQUENCE_MODEL_METADATA).first()
     assert info.training_mode == "incremental" and len(info.history) == 4
     assert model_versions(spark, model, schemas.SEQUENCE_MODEL_METADATA).count() == 2
+
+
+def test_samples_stay_in_their_buckets(spark):
+    """After the first deal no epoch moves a sample; every worker has a bucket of its own."""
+    from helpers import plan_of
+
+    from clickloom.session import scratch_path
+
+    samples = spark.range(500).selectExpr(
+        "id AS sample", "xxhash64(id) AS draw", "array(id, id + 1) AS sequence", "id AS target"
+    )
+    name = seq._deal(samples, 6, scratch_path(spark, "buckets"))
+    try:
+        dealt = spark.table(name)
+        assert dealt.select("worker").distinct().count() == 6 and dealt.count() == 500
+        placed = dealt.sortWithinPartitions("worker").groupBy("worker").applyInArrow(
+            lambda t: t.select(["sample"]), "sample long"
+        )
+        assert "Exchange" not in plan_of(placed)
+        per_task = dealt.sortWithinPartitions("worker").groupBy("worker").agg(
+            F.count_distinct(F.spark_partition_id()).alias("n")
+        )
+        assert {r.n for r in per_task.collect()} == {1}
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_workers_may_be_picked_by_a_column(spark, options):
+    """Both ways to ship items agree, and so do two runs."""
+    events = chain_events(spark, 9, 12)
+    runs = [
+        seq.train_sequence_model(
+            events, n_factors=4, epochs=2, k=3, tie_cols=("event_id",), workers=3,
+            deal_by="event_id", **more,
+        )
+        for more in (options, {})
+    ]
+    assert runs[0].metadata["history"] == pytest.approx(runs[1].metadata["history"])
+    assert not any(t.name.startswith("clickloom_seq") for t in spark.catalog.listTables())

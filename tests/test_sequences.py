@@ -85,3 +85,24 @@ def test_slices_of_a_burst_are_even(spark):
     cut = _slice_hot_users(events, hot, "user_id", "event_time", ("event_id",), 2_000)
     sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
     assert sum(sizes) == len(rows) and max(sizes) <= 2 * 2_000
+
+
+def test_clicks_alike_in_every_column_are_split(spark):
+    """A bot's identical rows: slices stay even, sequences as if they were one history."""
+    from pyspark.sql import functions as F
+
+    from clickloom.operators import sequences
+
+    count, hot_rows = 6000, 1000
+    bot = spark.range(count).select(
+        F.lit("bot").alias("user_id"), F.lit("p").alias("product_id"),
+        F.lit("2024-01-01").cast("timestamp").alias("event_time"),
+    )
+    hot = spark.createDataFrame([("bot", count)], "user_id string, hot_rows long")
+    sliced = sequences._slice_hot_users(bot, hot, "user_id", "event_time", (), hot_rows)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    target = hot_rows / sequences.SLICES_PER_TASK
+    assert sum(sizes) == count and max(sizes) <= 2 * target
+    found = click_sequences(bot, 4, hot_rows=hot_rows)
+    lengths = found.groupBy(F.size(F.filter("sequence", lambda x: x != "<PAD>")).alias("n")).count()
+    assert {r.n: r["count"] for r in lengths.collect()} == {1: 1, 2: 1, 3: 1, 4: count - 4}

@@ -5,6 +5,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom import schemas
 from clickloom.plans import etl, signups
@@ -273,3 +274,74 @@ def test_a_cluster_needs_a_shared_folder(spark):
     conf = SimpleNamespace(get=lambda key, default: default)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+# --- versions of a table, and files seen ------------------------------------
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n long")
+
+
+def test_a_reader_ends_on_the_rows_it_began_with(spark, folder):
+    name = "clickloom_versions"
+    tables.write_table(numbers(spark, 1, 2), name, f"{folder}/t")
+    began = tables.read_table(spark, name)
+    tables.write_table(numbers(spark, 3), name, f"{folder}/t")
+    assert sorted(r.n for r in began.collect()) == [1, 2]
+    assert [r.n for r in tables.read_table(spark, name).collect()] == [3]
+    # The version before is kept, older ones are not.
+    tables.write_table(numbers(spark, 4), name, f"{folder}/t")
+    assert len(os.listdir(f"{folder}/t")) == 2
+    assert [r.n for r in tables.read_table(spark, name).collect()] == [4]
+    tables.append_table(numbers(spark, 5), name)
+    assert sorted(r.n for r in tables.read_table(spark, name).collect()) == [4, 5]
+    tables.drop_table(spark, name)
+    assert os.listdir(f"{folder}/t") == []
+
+
+def test_a_failed_replacement_leaves_the_table(spark, folder):
+    name = "clickloom_failed"
+    tables.write_table(numbers(spark, 1), name, f"{folder}/t")
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(numbers(spark, 2).selectExpr("raise_error('broken') AS n"), name)
+    assert [r.n for r in tables.read_table(spark, name).collect()] == [1]
+    tables.drop_table(spark, name)
+
+
+def test_a_replacement_may_change_columns_and_read_itself(spark, folder):
+    name = "clickloom_columns"
+    tables.write_table(numbers(spark, 1, 2), name)
+    grown = tables.read_table(spark, name).selectExpr("n + 1 AS n")
+    assert sorted(r.n for r in tables.write_table(grown, name).collect()) == [2, 3]
+    other = tables.write_table(tables.read_table(spark, name).selectExpr("n", "'x' AS s"), name)
+    assert other.columns == ["n", "s"] and other.count() == 2
+    tables.drop_table(spark, name)
+
+
+def test_unseen_files(spark, folder):
+    lines = spark.range(20).selectExpr("CAST(id AS string) AS value")
+    lines.repartition(2).write.text(f"{folder}/in")
+    seen = f"{folder}/seen"
+    assert files.unseen_files(spark, f"{folder}/in", seen, "part-*").count() == 2
+    files.mark_seen(files.unseen_files(spark, f"{folder}/in", seen, "part-*"), seen)
+    assert files.unseen_files(spark, f"{folder}/in", seen, "part-*").count() == 0
+    lines.repartition(1).write.mode("append").text(f"{folder}/in")
+    assert files.unseen_files(spark, f"{folder}/in", seen, "part-*").count() == 1
+
+
+def test_input_check_stops_at_the_first_file(spark, folder):
+    os.makedirs(f"{folder}/in/_hidden")
+    for name in ("_hidden/a.json", "b.txt"):
+        with open(f"{folder}/in/{name}", "w") as f:
+            f.write('{"user_id": "u"}\n')
+    schema = "user_id string"
+    for options in ({"file_glob": "*.json"}, {"path_pattern": "nothing"}):
+        with pytest.raises(FileNotFoundError):
+            readers.read_json_lines(spark, f"{folder}/in", T.StructType.fromDDL(schema), **options)
+    with pytest.raises(FileNotFoundError):
+        readers.read_json_lines(spark, f"{folder}/none")
+    found = readers.read_json_lines(
+        spark, f"{folder}/in", T.StructType.fromDDL(schema), file_glob="*.txt"
+    )
+    assert found.count() == 1

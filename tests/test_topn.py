@@ -209,3 +209,67 @@ def test_ties_are_cut_per_tile(monkeypatch):
     assert max(sizes) <= 7 * 5
     assert i.tolist() == list(range(5)) * 7 and rank.tolist() == [1, 2, 3, 4, 5] * 7
     assert q.tolist() == [n for n in range(7) for _ in range(5)] and not score.any()
+
+
+# --- stopping early ---------------------------------------------------------
+
+
+def skewed(count, width=8, seed=2):
+    """Few long vectors and many short ones."""
+    rng = np.random.default_rng(seed)
+    rows = rng.standard_normal((count, width))
+    rows *= (100.0 / np.arange(1, count + 1))[rng.permutation(count), None]
+    return {f"{i:05}": v.tolist() for i, v in enumerate(rows)}
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "items_per_block": 3000}])
+@pytest.mark.parametrize("digits", [None, 2])
+def test_long_vectors_end_the_search(spark, options, digits):
+    items = skewed(6000)
+    rng = np.random.default_rng(3)
+    queries = {f"u{i}": rng.standard_normal(8).tolist() for i in range(50)}
+    scored = spark.sparkContext.accumulator(0)
+    found = got(
+        top_n(
+            vectors(spark, queries, "user_id"), vectors(spark, items, "product_id"), 7,
+            scored=scored, digits=digits, **options,
+        )
+    )
+    names, matrix = list(items), np.array(list(items.values()))
+    for u, q in queries.items():
+        scores = matrix @ np.array(q)
+        if digits is not None:
+            scores = np.round(scores, digits)
+        best = sorted(range(len(names)), key=lambda i: (-scores[i], names[i]))[:7]
+        assert [found[(u, r)][0] for r in range(1, 8)] == [names[i] for i in best]
+    assert 0 < scored.value < 0.5 * len(queries) * len(items)
+
+
+def test_norm_index_covers_every_row():
+    from clickloom.operators import topn
+
+    matrix = np.array(list(skewed(5000).values()))
+    index = topn.norm_index(matrix, first=10)
+    assert np.array_equal(index.matrix[index.row], matrix)
+    assert sorted(index.place.tolist()) == list(range(5000))
+    norms = np.linalg.norm(index.matrix, axis=1)
+    for a, b, largest in zip(index.starts, index.starts[1:], index.norms, strict=False):
+        assert norms[a:b].max() == pytest.approx(largest)
+        assert index.place[a:b].tolist() == sorted(index.place[a:b])
+        assert b == 5000 or norms[b:].max() <= norms[a:b].min() + 1e-12
+    assert topn.norm_index(np.empty((0, 0))).starts == [0]
+
+
+def test_a_prepared_table_is_shipped_once(spark, monkeypatch):
+    from clickloom.operators import topn
+
+    calls = []
+    real = topn.small_items
+    monkeypatch.setattr(topn, "small_items", lambda *a: calls.append(1) or real(*a))
+    items, queries = vectors(spark, ITEMS, "product_id"), vectors(spark, QUERIES, "user_id")
+    prepared = topn.Prepared(items)
+    for _ in range(3):
+        assert got(top_n(queries, items, 4, prepared=prepared)) == brute(4)
+    assert len(calls) == 1
+    prepared.close()
+    assert got(top_n(queries, items, 4, prepared=prepared)) == brute(4) and len(calls) == 2
