@@ -195,7 +195,8 @@ def _verified(keyed: DataFrame, largest: int) -> DataFrame:
                     close()
                     now, group, over = key, [], False
                 group.append((word, n))
-                if len(group) > largest or over:
+                # A middle of one letter cannot be cut; the letters there are bound its group.
+                if (len(group) > largest and key[0] - key[1] - key[2] > 1) or over:
                     over = True
                     out += [(*row, *key[:3], None, None, None) for row in group]
                     group = []

@@ -1,9 +1,10 @@
 """Plain Python versions of the operators, to compare with."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -112,3 +113,90 @@ def best_fit_decreasing(lengths, capacity):
         else:
             bisect.insort(gaps, gaps.pop(i) - size)
     return opened
+
+
+def terms(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+
+def ranked(docs, items, k=20):
+    """docs, items: (id, text) -> sorted (item, rank, doc, score) rows; null ids come first."""
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    held = [(i, c, sum(c.values())) for i, c in held]
+    n_docs, total = sum(n > 0 for *_, n in held), sum(n for *_, n in held)
+    df = Counter(term for _, c, _ in held for term in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for i, c, n in held:
+            score = 0
+            for term in terms(text):
+                if c[term]:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                    m = 100 - 25 + 25 * n * n_docs // total
+                    score += w * (10**9 * c[term] // (1000 * c[term] + 12 * m))
+            if score:
+                scores.append((-score, (i is not None, i or 0), i))
+        scores.sort()
+        out += [(item, rank, i, -s) for rank, (s, _, i) in enumerate(scores[:k], start=1)]
+    return sorted(out, key=str)
+
+
+def repeats(docs, length=50):
+    """docs: (id, bytes) -> the removed spans of each row, in the order given."""
+    least = {}
+    for i, data in docs:
+        if i is not None:
+            for at in range(len(data) - length + 1):
+                window = data[at : at + length]
+                least[window] = min(i, least.get(window, i))
+    out = []
+    for i, data in docs:
+        spans = []
+        for at in range(len(data) - length + 1 if i is not None else 0):
+            if least[data[at : at + length]] < i:
+                if spans and spans[-1][1] >= at:
+                    spans[-1][1] = at + length
+                else:
+                    spans.append([at, at + length])
+        out.append([tuple(s) for s in spans])
+    return out
+
+
+def variants(docs):
+    """docs: (id, text) -> {word: (form, root, n, n_near, form_n)}"""
+    counts = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                counts[run] += 1
+    words = {w: n for w, n in counts.items() if n >= 2}
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    forms = {}
+    for word, others in near.items():
+        if others:
+            best = min(others, key=lambda v: (-words[v], v))
+            if words[best] >= 10 * words[word]:
+                forms[word] = best
+    out = {}
+    for word, n in words.items():
+        root = word
+        while root in forms:
+            root = forms[root]
+        form = forms.get(word)
+        out[word] = (form, root, n, len(near[word]), words[form] if form else None)
+    return out
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if abs(len(a) - len(b)) != 1:
+        return False
+    long, short = (a, b) if len(a) > len(b) else (b, a)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
