@@ -6,7 +6,7 @@ one state, the last token of its encoding. The state of a longer prefix is the
 one token that ends it and may follow the state in front of that token, so a
 prefix that many words share is encoded once and an encoding is read back from
 the states. No shuffle and no table of words that grows with the corpus: a
-worker remembers a bounded number of words.
+task remembers words up to a bound of bytes.
 """
 
 from __future__ import annotations
@@ -22,9 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import ID, TEXT, text_or_empty
+from clickloom.llm.common import ID, TEXT, released, text_or_empty
 
-MEMORY = 300_000
+MEMORY = 16 << 20  # bytes of one generation of remembered words
+ENTRY = 150  # of an entry besides its text and ids
+FOLLOWS = 1_000_000  # pairs of tokens whose seam is remembered
+LONG = 256  # pieces of more letters are encoded along the trie
 CHUNK = 512
 
 
@@ -104,6 +107,8 @@ class WordTrie:
             pair = states[start] << 32 | token
             apart = follows.get(pair)
             if apart is None:
+                if len(follows) > FOLLOWS:
+                    follows.clear()
                 apart = follows[pair] = self._apart(states[start], token)
             if apart:
                 return token
@@ -134,24 +139,34 @@ class WordTrie:
 
 
 class Memory(dict):
-    """What a worker remembers, in two generations of at most about ``MEMORY`` entries.
+    """What a task remembers, in two generations of at most about ``MEMORY`` bytes.
 
     When the young one is full it becomes the old one; entries used since move on.
     """
 
     def __init__(self):
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
         self.old: dict[str, bytes] = {}
+        self.bytes = 0
+
+    def remember(self, keys, values) -> None:
+        self.update(zip(keys, values))
+        self.bytes += sum(map(len, keys)) + sum(map(len, values)) + ENTRY * len(keys)
 
     def missing(self, keys: set[str]) -> set[str]:
         """Keys in neither generation; those in the old one become young."""
-        if len(self) > MEMORY:
+        if self.bytes > MEMORY:
             self.old = dict(self)
             self.clear()
+            self.bytes = 0
         new = keys.difference(self.keys())
         if self.old:
-            used = new.intersection(self.old.keys())
-            self.update((k, self.old[k]) for k in used)
-            new -= used
+            used = list(new.intersection(self.old.keys()))
+            self.remember(used, [self.old[k] for k in used])
+            new.difference_update(used)
         return new
 
 
@@ -200,7 +215,7 @@ class Encoder:
         ]
         known = self.known
         new = list(known.missing(set().union(*[own for own in cut if own])))
-        known.update(zip(new, self._learn(new)))
+        known.remember(new, self._learn(new))
         return [
             self._odd(text) if own is None else b"".join([known[p] for p in own])
             for text, own in zip(texts, cut)
@@ -243,12 +258,16 @@ class TrieEncoder(Encoder):
 
 
 class MergeEncoder(Encoder):
-    """New pieces are merged all together: one array of symbols, a merge per piece and step."""
+    """New pieces are merged all together: one array of symbols, a merge per piece and step.
+
+    The steps grow with a piece's length, so long pieces take the trie.
+    """
 
     NONE = np.iinfo("i8").max
 
     def __init__(self, path: str):
         super().__init__(path)
+        self.path = path
         vocab, suffix = self.model["vocab"], self.model["end_of_word_suffix"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in self.model["merges"]]
         key = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs])
@@ -266,6 +285,15 @@ class MergeEncoder(Encoder):
         return np.where(self.key[at] == pair, self.rank[at], self.NONE)
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
+        long = [p for p in pieces if len(p) > LONG]
+        if not long:
+            return self._merged(pieces)
+        ids = dict(zip(long, encoder(self.path)._learn(long)))
+        short = [p for p in pieces if len(p) <= LONG]
+        ids.update(zip(short, self._merged(short)))
+        return [ids[p] for p in pieces]
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
         if not pieces:
             return []
         coded = [p.encode() for p in pieces]
@@ -339,6 +367,7 @@ def encode_decode(
 
     def run(batches):
         own = encoder(tokenizer)
+        own.known.forget()
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
@@ -353,9 +382,10 @@ def encode_decode(
                     ],
                     names=[id_col, "ids", "decoded"],
                 )
+        own.known.forget()
 
     rows = docs.select(id_col, text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return rows.mapInArrow(released(run), f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def ids_digest(ids) -> F.Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +32,37 @@ def bounded(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
-def drop_listed(docs: DataFrame, dropped: DataFrame, id_col: str = ID) -> DataFrame:
-    """``docs`` without the rows whose id is listed; rows without id stay.
+def drop_listed(
+    docs: DataFrame, dropped: DataFrame, content: Column, id_col: str = ID
+) -> DataFrame:
+    """``docs`` without the rows whose id and content are listed; rows without id stay.
 
-    A list of at most ``BROADCAST_ROWS`` ids is broadcast and no text is
-    shuffled; with a longer one it is a plain anti join.
+    ``dropped`` has the id and the ``content`` (a hash of the text) of each row to go, so
+    another text of the same id stays. A list of at most ``BROADCAST_ROWS`` ids is
+    broadcast and no text is shuffled; with a longer one it is a plain anti join. Only
+    texts of listed ids are hashed.
     """
-    listed = materialize(dropped.select(F.col(id_col).alias("_listed")).distinct(), "dropped")
-    return docs.join(bounded(listed), docs[id_col] == listed["_listed"], "left_anti")
+    ids, contents = dropped.columns
+    listed = materialize(
+        dropped.where(F.col(ids).isNotNull())
+        .groupBy(F.col(ids).alias("_listed"))
+        .agg(F.collect_set(contents).alias("_contents")),
+        "dropped",
+    )
+    same = (docs[id_col] == listed["_listed"]) & F.array_contains(listed["_contents"], content)
+    return docs.join(bounded(listed), same, "left_anti")
+
+
+def released(run):
+    """``run`` of ``mapInArrow``; when a task ends, Arrow's unused memory goes back.
+
+    Workers live on and take other tasks; what their pools keep adds up.
+    """
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return wrapped

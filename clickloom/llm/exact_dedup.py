@@ -100,6 +100,10 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns.
+
+    A row goes by its id and its text: another text of the same id is not touched.
+    """
     verdicts = exact_duplicates(docs, id_col, text_col)
-    return drop_listed(docs, verdicts.where(~F.col("kept")), id_col)
+    dropped = verdicts.where(~F.col("kept")).select(F.col(id_col).alias("_id"), "full_hash")
+    return drop_listed(docs, dropped, text_digest(docs[text_col]), id_col)

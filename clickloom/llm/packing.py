@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.bpe import CHUNK, MergeEncoder, encoder
-from clickloom.llm.common import ID, TEXT, text_or_empty
+from clickloom.llm.common import ID, TEXT, released, text_or_empty
 from clickloom.session import materialize
 
 CAPACITY = 4096
@@ -53,6 +53,7 @@ def token_pieces(
 
     def run(batches):
         own = encoder(tokenizer, MergeEncoder)
+        own.known.forget()
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
@@ -77,9 +78,10 @@ def token_pieces(
                     columns.append(pa.ListArray.from_arrays(pa.array(ends), flat))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        own.known.forget()
 
     rows = docs.select(id_col, text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(run, schema + (", ids array<int>" if keep_ids else ""))
+    return rows.mapInArrow(released(run), schema + (", ids array<int>" if keep_ids else ""))
 
 
 # --------------------------------------------------------------------------
@@ -239,12 +241,11 @@ def _sorted_positions(frame: DataFrame, size: str, *ties: str, label: str, desce
         else:
             runs.append((value, seen, count))
         seen += count
-    offsets = frame.sparkSession.createDataFrame(
-        sorted(starts.items()), "_part int, _start long"
-    )
     row = F.col("_mid").bitwiseAND(F.lit((1 << LOW_BITS) - 1))
-    with_pos = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return with_pos.withColumn("_pos", F.col("_start") + row).drop("_part", "_start", "_mid"), runs
+    # One number per partition: a constant of the plan, where a join would be a job.
+    offsets = [starts.get(i, 0) for i in range(max(starts, default=0) + 1)]
+    start = F.get(F.lit(offsets).cast("array<long>"), part)
+    return placed.withColumn("_pos", start + row).drop("_mid"), runs
 
 
 def _moved(docs: DataFrame, plan: list[Interval]) -> DataFrame:
@@ -316,9 +317,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, ties: tuple[str, ...] = (I
         if smallest is None:
             break
         after = [] if gaps is None else [_shrunk(gaps, old)]
-        if opens:
-            opened = _moved(docs, opens)
-            after.append(opened.select(F.col("_at").alias("_seq"), F.col("length").alias("_used")))
+        if opens:  # their first documents are those placed at 0
+            opened = placed[-1].where("offset = 0")
+            after.append(opened.select(F.col("sequence_id").alias("_seq"), F.col("length").alias("_used")))
         table = _union(after).withColumn("_gap", F.lit(capacity) - F.col("_used"))
         gaps, found = _sorted_positions(
             table.where(F.col("_gap") >= smallest),

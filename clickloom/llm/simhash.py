@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import ID, TEXT, drop_listed, text_or_empty
+from clickloom.llm.common import ID, TEXT, drop_listed, released, text_or_empty
 from clickloom.llm.components import connected_components
 from clickloom.session import materialize
 
@@ -53,18 +53,20 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFrame:
-    """id and ``fp``, the fingerprint as a signed long."""
+    """id, ``fp``, the fingerprint as a signed long, and ``_digest``, a hash of the text."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], "u8")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view("i8"))], names=[id_col, "fp"]
+                [batch.column(0), pa.array(fps.view("i8")), batch.column(2)],
+                names=[id_col, "fp", "_digest"],
             )
 
-    rows = docs.select(id_col, text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    text = text_or_empty(text_col)
+    rows = docs.select(id_col, text.alias("_text"), F.xxhash64(text).alias("_digest"))
+    return rows.mapInArrow(released(run), f"`{id_col}` {kind}, fp long, _digest long")
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -196,11 +198,15 @@ def near_links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFrame:
     """One row per document: id, fp, component_id (the smallest id reachable by links).
 
-    Null and empty texts have the fingerprint zero, which links like any other.
+    Ids are whole numbers that fit a long. Null and empty texts have the fingerprint zero, which links like any other.
     Repeated rows give repeated rows; rows without id have a null component
     unless an id shares their fingerprint's component; an empty table gives no
     rows; other columns are ignored.
     """
+    return _with_components(docs, id_col, text_col).select(id_col, "fp", "component_id")
+
+
+def _with_components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = materialize(fingerprints(docs, id_col, text_col), "simhash")
     classes = materialize(rows.groupBy("fp").agg(F.min(id_col).alias("_least")), "simhash-classes")
     links = near_links(classes)
@@ -217,12 +223,16 @@ def near_duplicates(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) ->
         "simhash-components",
     )
     # Two written tables: a fingerprint that many documents share is split by the join.
-    return rows.join(known, F.col("fp") == F.col("_fp"), "left").select(
-        id_col, "fp", "component_id"
-    )
+    return rows.join(known, F.col("fp") == F.col("_fp"), "left")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFrame:
-    """The document of each group that has the smallest id, with all its columns."""
-    found = near_duplicates(docs, id_col, text_col)
-    return drop_listed(docs, found.where(F.col(id_col) != F.col("component_id")), id_col)
+    """The document of each group that has the smallest id, with all its columns.
+
+    A row goes by its id and its text: another text of the same id is not touched.
+    """
+    found = _with_components(docs, id_col, text_col)
+    dropped = found.where(F.col(id_col) != F.col("component_id")).select(
+        F.col(id_col).alias("_id"), "_digest"
+    )
+    return drop_listed(docs, dropped, F.xxhash64(text_or_empty(docs[text_col])), id_col)
