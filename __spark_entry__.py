@@ -888,13 +888,12 @@ def q_sequence_encoding(spark, sf):
         ),
         "sequences",
     )
-    encoded = encode_sequences(found, model.items, model.weights).withColumnRenamed(
-        "factor", "encoded"
-    )
+    encoded = encode_sequences(
+        found, model.items, model.weights, keep=("product_id",)
+    ).withColumnRenamed("factor", "encoded")
     score = vectors.dot(F.col("encoded"), F.col("factor"))
     scored = (
-        encoded.join(found.select("request_id", "product_id"), "request_id")
-        .join(model.items, "product_id")
+        encoded.join(model.items, "product_id")
         .select(F.col("request_id").alias("event_id"), score.alias("score"))
         .withColumn("probability", vectors.sigmoid(F.col("score")))
         .withColumn("loss", vectors.log_loss(F.col("probability")))
@@ -977,7 +976,7 @@ def _order_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_predict_pairs(spark, sf):
-    pairs = _order_pairs(spark, sf)
+    pairs = materialize(_order_pairs(spark, sf), "pairs")  # hot keys are looked for twice
     scored = factor_model.predict(
         _embedding_model(spark, sf), pairs,
         hot_users=hot_keys(pairs, "user_id"), hot_items=hot_keys(pairs, "product_id"),
@@ -1013,6 +1012,24 @@ def q_event_recommendations_sql(spark, sf):
     )
 
 
+def q_event_recommendations_udtf(spark, sf):
+    """The same through a table function over any rows that carry their user's list."""
+    clicks = _clicks(spark, sf).select("event_id", "user_id", "product_id")
+    lists = recommend.user_lists(_embedding_model(spark, sf), digits=DIGITS)
+    recommend.register_table_function(
+        materialize(lists, "user-lists"), clicks.schema, "clickloom_recommend_for"
+    )
+    return tables.run_sql(
+        spark,
+        """
+        SELECT * FROM clickloom_recommend_for(TABLE(
+          SELECT e.event_id, e.user_id, e.product_id, l.recs
+          FROM clickloom_events e JOIN clickloom_recommend_for_lists l USING (user_id)), 5)
+        """,
+        clickloom_events=clicks,
+    )
+
+
 def q_event_recommendations_stream(spark, sf):
     model = _embedding_model(spark, sf)
     clicks = _clicks(spark, sf)
@@ -1847,6 +1864,7 @@ def oracle_sql() -> dict[str, str]:
             FROM predicted""",
         "event_recommendations": _EVENT_RECS,
         "event_recommendations_sql": _EVENT_RECS,
+        "event_recommendations_udtf": _EVENT_RECS,
         "event_recommendations_stream": _EVENT_RECS,
         "serve_batch": _SERVED,
         "serve_stream": _SERVED,

@@ -22,7 +22,6 @@ from clickloom.operators.matrix import (
 )
 
 SEQUENCES_PER_BLOCK = 100_000
-MAX_GROUPS = 20_000
 
 
 def encode_sequences(
@@ -33,9 +32,12 @@ def encode_sequences(
     seq_col: str = "click_sequence",
     broadcast_bytes: int = BROADCAST_BYTES,
     per_block: int = SEQUENCES_PER_BLOCK,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """``sum(w[pos] * E[item]) / known items`` for each sequence, as ``factor``.
 
+    The columns ``keep`` are carried along.
+
     Sequences are cut to the last K items and padded on the left; an unknown
     item keeps its place but adds nothing. With a small item table this is a
     narrow step. Otherwise requests are hashed into blocks and each block is
@@ -46,7 +48,7 @@ def encode_sequences(
     size = measure(items, "product_id")
     schema = T.StructType(
         [
-            T.StructField(key_col, requests.schema[key_col].dataType),
+            *[requests.schema[c] for c in (key_col, *keep)],
             T.StructField("factor", T.ArrayType(T.DoubleType())),
         ]
     )
@@ -54,46 +56,49 @@ def encode_sequences(
     places = np.array(weights)
     if size.rows and size.bytes <= broadcast_bytes:
         shipped = broadcast_items(items, size, "product_id")
-        fitted = requests.select(key_col, clicks)
-        return fitted.mapInArrow(_encode_batches(key_col, places, shipped), schema)
+        fitted = requests.select(key_col, *keep, clicks)
+        kept = [key_col, *keep]
+        return fitted.mapInArrow(_encode_batches(kept, places, shipped), schema)
     blocks = max(math.ceil(requests.count() / per_block), 1)
     block = F.pmod(F.xxhash64(key_col), F.lit(blocks)).cast("int").alias("_block")
-    fitted = requests.select(block, key_col, clicks)
+    fitted = requests.select(block, key_col, *keep, clicks)
     mentioned = (
         fitted.select("_block", F.explode("_clicks").alias("product_id"))
         .distinct()
         .join(items.select("product_id", "factor"), "product_id")
         .select(F.col("_block").alias("_block"), "product_id", "factor")
     )
-    groups = min(blocks, MAX_GROUPS)
-    left = fitted.repartition(groups, "_block").groupBy("_block")
-    right = mentioned.repartition(groups, "_block").groupBy("_block")
-    return left.cogroup(right).applyInArrow(_encode_block(key_col, places, size.width), schema)
+    left = fitted.repartition(blocks, "_block").groupBy("_block")
+    right = mentioned.repartition(blocks, "_block").groupBy("_block")
+    kernel = _encode_block([key_col, *keep], places, size.width)
+    return left.cogroup(right).applyInArrow(kernel, schema)
 
 
-def _encode_batches(key_col: str, weights: np.ndarray, shipped):
+def _encode_batches(kept: list[str], weights: np.ndarray, shipped):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, factors = shipped.value
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            yield from _encode(key_col, weights, table, ids, factors).to_batches()
+            yield from _encode(kept, weights, table, ids, factors).to_batches()
 
     return run
 
 
-def _encode_block(key_col: str, weights: np.ndarray, width: int):
+def _encode_block(kept: list[str], weights: np.ndarray, width: int):
     def run(fitted: pa.Table, mentioned: pa.Table) -> pa.Table:
         ids, factors = mentioned["product_id"].combine_chunks(), as_matrix(mentioned["factor"])
         if not len(ids):
-            return pa.table(
-                {key_col: fitted[key_col], "factor": as_lists(np.zeros((len(fitted), width)))}
-            )
-        return _encode(key_col, weights, fitted, ids, factors)
+            return _with_factor(kept, fitted, np.zeros((len(fitted), width)))
+        return _encode(kept, weights, fitted, ids, factors)
 
     return run
 
 
-def _encode(key_col: str, weights: np.ndarray, fitted: pa.Table, ids: pa.Array, factors):
+def _with_factor(kept: list[str], fitted: pa.Table, factor: np.ndarray) -> pa.Table:
+    return pa.table({**{c: fitted[c] for c in kept}, "factor": as_lists(factor)})
+
+
+def _encode(kept: list[str], weights: np.ndarray, fitted: pa.Table, ids: pa.Array, factors):
     at = pc.index_in(fitted["_clicks"].combine_chunks().flatten(), value_set=ids)
     known = np.asarray(pc.is_valid(at)).reshape(-1, len(weights))
     at = np.asarray(pc.fill_null(at, 0)).reshape(-1, len(weights))
@@ -101,4 +106,4 @@ def _encode(key_col: str, weights: np.ndarray, fitted: pa.Table, ids: pa.Array,
     for place, weight in enumerate(weights):
         total += factors[at[:, place]] * (weight * known[:, place])[:, None]
     total /= np.maximum(known.sum(axis=1), 1)[:, None]
-    return pa.table({key_col: fitted[key_col], "factor": as_lists(total)})
+    return _with_factor(kept, fitted, total)

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.session import materialize
+
 # Rows of one key that a single task handles comfortably.
 HOT_ROWS = 1_000_000
-# Only the heaviest keys are split; this bounds what is broadcast.
-MAX_HOT_KEYS = 65_536
+# Hot keys that are held on the driver and broadcast; more of them stay a table.
+BROADCAST_KEYS = 65_536
 
 
 def hot_keys(
@@ -21,25 +23,26 @@ def hot_keys(
     key: str,
     *stats: Column,
     min_rows: int = HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
+    max_keys: int | None = None,
 ) -> DataFrame | None:
     """The keys with more than ``min_rows`` rows, or None when there are none.
 
-    Reads one column (plus what ``stats`` needs) and keeps at most ``max_keys``
-    rows, so the result is safe to broadcast. Which keys are listed changes only
-    how work is split, never a result.
+    Reads one column (plus what ``stats`` needs). With ``max_keys`` only the heaviest
+    are listed. Which keys are listed changes only how work is split, never a result.
     """
     heavy = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("hot_rows"), *stats)
         .filter(F.col("hot_rows") > min_rows)
-        .orderBy(F.col("hot_rows").desc())
-        .limit(max_keys)
     )
-    rows = heavy.collect()
+    if max_keys is not None:
+        heavy = heavy.orderBy(F.col("hot_rows").desc()).limit(max_keys)
+    rows = heavy.limit(BROADCAST_KEYS + 1).collect()
     if not rows:
         return None
+    if len(rows) > BROADCAST_KEYS:
+        return materialize(heavy, "hot-keys")
     return df.sparkSession.createDataFrame(rows, heavy.schema)
 
 
@@ -62,9 +65,9 @@ def skew_join(
         raise ValueError(f"unsupported join type: {how}")
     if hot is None:
         return big.join(small, key, how)
-    salts = F.broadcast(
-        hot.select(key, F.ceil(F.col("hot_rows") / F.lit(rows_per_task)).alias("_salts"))
-    )
+    salts = hot.select(key, F.ceil(F.col("hot_rows") / F.lit(rows_per_task)).alias("_salts"))
+    if hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        salts = F.broadcast(salts)
     copies = F.coalesce(F.col("_salts"), F.lit(1))
     content = F.xxhash64(*[F.col(c) for c in big.columns])
     left = big.join(salts, key, "left").withColumn("_salt", F.pmod(content, copies))

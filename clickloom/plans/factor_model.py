@@ -18,6 +18,7 @@ from clickloom import schemas
 from clickloom.functions.clicks import EVENT_WEIGHTS
 from clickloom.functions.vectors import dot
 from clickloom.operators.indexing import dense_index
+from clickloom.operators.matrix import measure
 from clickloom.operators.metrics import error_metrics
 from clickloom.operators.ratings import build_ratings, normalize_ratings, split
 from clickloom.operators.skew import hot_keys, skew_join
@@ -39,6 +40,8 @@ PATIENCE, MIN_DELTA = 3, 1e-4
 # the data and is bounded.
 RATINGS_PER_BLOCK = 100_000
 MIN_BLOCKS, MAX_BLOCKS = 4, 2_000
+# Vectors of one side that are broadcast to the pairs to predict.
+SHIPPED_BYTES = 64 * 1024 * 1024
 
 
 @dataclass
@@ -135,8 +138,21 @@ def predict(
     item predicts 0.0."""
     users = model.users.withColumnRenamed("factor", "_user_factor")
     items = model.items.withColumnRenamed("factor", "_item_factor")
-    joined = skew_join(pairs, users, user_col, "left", hot_users)
-    joined = skew_join(joined, items, item_col, "left", hot_items)
+    users = users.withColumnRenamed("user_id", user_col)
+    items = items.withColumnRenamed("product_id", item_col)
+    sides = [(users, user_col, "_user_factor", hot_users), (items, item_col, "_item_factor", hot_items)]
+    # What is small travels to the pairs; a large side goes first, while the pairs are narrow.
+    sized = [
+        (measure(rows, key, vector).bytes > SHIPPED_BYTES, rows, key, hot)
+        for rows, key, vector, hot in sides
+    ]
+    joined = pairs
+    for large, rows, key, hot in sorted(sized, key=lambda s: not s[0]):
+        if large:
+            joined = skew_join(joined, rows, key, "left", hot)
+        else:
+            joined = joined.join(F.broadcast(rows), key, "left")
+    joined = joined.select(*pairs.columns, "_user_factor", "_item_factor")
     offset = F.lit(float(model.metadata.get("rating_offset") or 0.0))
     score = F.coalesce(dot(F.col("_user_factor"), F.col("_item_factor")) + offset, F.lit(0.0))
     return joined.withColumn("prediction", score).drop("_user_factor", "_item_factor")

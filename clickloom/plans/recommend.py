@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,6 +100,58 @@ def register_lateral(
     )
 
 
+def register_table_function(
+    recs: DataFrame,
+    keep: T.StructType,
+    name: str = "recommend_for",
+) -> None:
+    """Make ``name(TABLE(rows), n)`` available to SQL, and the lists as ``<name>_lists``.
+
+    ``rows`` is any query with the columns of ``keep``, a ``product_id`` among them, and
+    ``recs``, the list of the row's user; each row comes back with the best ``n``
+    products that it does not hold itself, and n may differ from call to call:
+
+        SELECT * FROM recommend_for(TABLE(
+          SELECT e.event_id, e.user_id, e.product_id, l.recs
+          FROM events e JOIN recommend_for_lists l USING (user_id)), 5)
+
+    A list travels whole through the join and is unfolded behind it, batch by batch;
+    the function needs no partitioning, so a hot user's rows stay where the join's skew
+    handling put them (``PARTITION BY`` may be given and changes no row).
+    """
+    entry = recs.schema["recs"].dataType.elementType
+    answer = T.StructType(
+        [
+            *keep.fields,
+            T.StructField("recommended_product_id", entry["product_id"].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    names = keep.fieldNames()
+
+    class Unfold:
+        def eval(self, rows: pa.RecordBatch, n: pa.Array):
+            lists = rows.column("recs")
+            row = pc.list_parent_indices(lists)
+            found = lists.flatten()
+            ids = found.field("product_id")
+            own = rows.column("product_id").take(row)
+            other = pc.invert(pc.fill_null(pc.equal(ids, own.cast(ids.type)), False))
+            row, found = row.filter(other), found.filter(other)
+            at = row.to_numpy(zero_copy_only=False)
+            first = np.searchsorted(at, at)  # entries of a list stand together, best first
+            place = np.arange(len(at)) - first
+            most = n[0].as_py() if len(n) else 0
+            row, found = (x.filter(pa.array(place < most)) for x in (row, found))
+            columns = [rows.column(c).take(row) for c in names]
+            columns += [found.field("product_id"), found.field("score")]
+            yield pa.RecordBatch.from_arrays(columns, names=answer.fieldNames())
+
+    spark = recs.sparkSession
+    spark.udtf.register(name, F.arrow_udtf(Unfold, returnType=answer))
+    recs.select("user_id", "recs").createOrReplaceTempView(f"{name}_lists")
+
+
 def _user_missing() -> Column:
     return F.col("user_id").isNull() | (F.col("user_id").cast("string") == "")
 

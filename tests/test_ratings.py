@@ -123,3 +123,25 @@ def test_new_keys_and_append(spark):
     row = keys.count_distinct(both, "k").first()
     assert (row.n_rows, row.n_k) == (6, 3)
     assert keys.count_distinct(both, "k", approximate=True).first().n_k == 3
+
+
+def test_many_hot_keys_stay_a_table(spark, monkeypatch):
+    """Beyond the bound the list is neither collected nor broadcast, and splits the same rows."""
+    from helpers import plan_of
+
+    from clickloom.operators import skew
+
+    events, rows = random_events(spark, 500)
+    users = events.select("user_id").distinct().withColumn("x", F.length("user_id"))
+    want = sorted(events.join(users, "user_id").select("event_id", "x").collect())
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", 2)
+    hot = skew.hot_keys(events, "user_id", min_rows=5)
+    assert hot.count() > 2
+    found = skew.skew_join(events, users, "user_id", "inner", hot, rows_per_task=20)
+    assert sorted(found.select("event_id", "x").collect()) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = skew.skew_join(events, users, "user_id", "inner", hot, rows_per_task=20)
+        assert "Broadcast" not in plan_of(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

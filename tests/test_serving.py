@@ -108,3 +108,49 @@ def test_a_scorer_serves_many_batches_of_a_stream(spark, model, folder, monkeypa
     for i, user, n, out, _ in rows:
         want = best(USERS[user], 5 if n is None else n, out or []) if user in USERS else []
         assert [tuple(x) for x in answers[i].recommendations] == want
+
+
+# --- the table function -----------------------------------------------------
+
+
+def text(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+def test_table_function_unfolds_behind_the_join(spark, model):
+    from helpers import plan_of
+
+    lists = recommend.user_lists(model, n=5)
+    rows = [(i, f"u{i % 14}", None if i % 9 == 0 else f"p{i % 45:02}") for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id long, user_id string, product_id string")
+    events.createOrReplaceTempView("asked_events")
+    recommend.register_table_function(lists, events.schema, "suggest")
+    query = """
+        SELECT * FROM suggest(TABLE(
+          SELECT e.event_id, e.user_id, e.product_id, l.recs
+          FROM asked_events e JOIN suggest_lists l USING (user_id)) {more}, {n})"""
+    want = {
+        n: text(recommend.lateral_recommend(events, lists, n, keep=("event_id",))) for n in (5, 2)
+    }
+    for n, rows in want.items():
+        assert text(spark.sql(query.format(n=n, more=""))) == rows
+    split = spark.sql(query.format(n=5, more="PARTITION BY (user_id, pmod(hash(event_id), 3))"))
+    assert text(split) == want[5]
+    assert spark.sql(query.format(n=0, more="")).count() == 0
+    plan = plan_of(spark.sql(query.format(n=5, more="")))
+    assert "UDTF" in plan and "Generate" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("shipped", [1 << 30, 100, 0])
+def test_predictions_with_vectors_of_any_size(spark, model, monkeypatch, shipped):
+    from clickloom.plans import factor_model
+
+    monkeypatch.setattr(factor_model, "SHIPPED_BYTES", shipped)
+    rows = [(f"u{i % 14}", f"p{i % 45:02}", float(i)) for i in range(300)]
+    pairs = spark.createDataFrame(rows, "user_id string, product_id string, rating double")
+    found = factor_model.predict(model, pairs)
+    assert found.columns == ["user_id", "product_id", "rating", "prediction"]
+    for r in found.collect():
+        known = r.user_id in USERS and r.product_id in ITEMS
+        want = float(USERS[r.user_id] @ ITEMS[r.product_id]) if known else 0.0
+        assert r.prediction == pytest.approx(want)
