@@ -3,7 +3,9 @@
 A term is a word, its first four to six letters, either of them occurring
 several times, or the magnitude of the text's length, hashed into ``BUCKETS``
 buckets. Spark counts every bucket over all labelled rows to learn
-from; buckets that tell the classes apart enter the model. The model adds to a
+from. Two kinds of buckets enter the model: those that tell the classes apart by
+themselves, and, of the frequent ones, those that do so beside another bucket,
+however balanced each is alone. The model adds to a
 weight per bucket the product of two short vectors for every pair of buckets
 in a text, so that a pair can weigh more, or less, than its parts: an insult
 beside the mention of a group is no longer the sum of both.
@@ -17,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,9 @@ from clickloom.session import materialize
 BUCKETS = 1 << 18
 FEATURES = 1024  # buckets in the model, those that tell most
 LEAST_Z = 4.0
+FREQUENT = 1024  # most frequent buckets whose pairs are looked at
+PAIRED = 256  # buckets of the pairs that tell most beyond their parts
+LEAST_PAIR_Z, LEAST_PAIR_ROWS = 6.0, 20
 LEVELS = (2, 3, 5)
 SAMPLE_ROWS = 20_000  # labelled rows that the weights are fitted on
 FACTORS = 4
@@ -128,6 +134,32 @@ def _telling(counts: DataFrame, toxic: int, clean: int, features: int) -> list[i
     return [r["bucket"] for r in top.select("bucket").collect()]
 
 
+def _frequent(counts: DataFrame, rows: int) -> list[int]:
+    """The buckets of most rows, but for those that most rows have."""
+    both = F.col("toxic") + F.col("clean")
+    top = counts.where(both <= 0.9 * rows).orderBy(both.desc(), "bucket").limit(FREQUENT)
+    return [r["bucket"] for r in top.select("bucket").collect()]
+
+
+def _paired(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Columns of pairs whose toxic share differs most from what both shares add up to."""
+    rows, base = x.sum(0), float(y.mean())
+    toxic = x[y > 0]
+    share = toxic.sum(0) / np.maximum(rows, 1)
+    both, found = x.T @ x, toxic.T @ toxic
+    expected = np.clip(share[:, None] + share[None, :] - base, 0, 1)
+    spread = np.sqrt(base * (1 - base) / np.maximum(both, 1))
+    z = np.abs(found / np.maximum(both, 1) - expected) / spread
+    # Neither a rare pair nor one term under two names says anything about a pair.
+    alike = both >= 0.9 * np.minimum(rows[:, None], rows[None, :])
+    z[(both < LEAST_PAIR_ROWS) | alike | (z < LEAST_PAIR_Z)] = 0
+    a, b = np.nonzero(np.triu(z, 1))
+    best = np.lexsort((b, a, -z[a, b]))
+    order = np.column_stack([a[best], b[best]]).ravel()
+    _, first = np.unique(order, return_index=True)
+    return order[np.sort(first)][:PAIRED]
+
+
 @dataclass
 class FactorizationMachine:
     wanted: dict[int, int]
@@ -185,9 +217,10 @@ def fit(
 ) -> FactorizationMachine:
     """Learn from rows with an id and a label 0 or 1.
 
-    Bucket counts cover all of them; the weights are fitted on at most about
-    ``sample_rows``, taken by a hash of the id, over ``features`` buckets, which
-    bounds what the driver holds. Without both classes every score is 1/2.
+    Bucket counts cover all of them; pairs are looked at, and the weights fitted, on at
+    most about ``sample_rows``, taken by a hash of the id, over at most ``features`` +
+    ``PAIRED`` buckets, which bounds what the driver holds. Without both classes every
+    score is 1/2.
     """
     known = rows.select(
         F.col(id_col).alias("_id"),
@@ -199,9 +232,11 @@ def fit(
     none = FactorizationMachine({}, 0.0, np.zeros(0), np.zeros((0, FACTORS)))
     if len(sizes) < 2:
         return none
-    counts = _bucket_counts(known.select("text", "label"))
-    kept = sorted(_telling(counts, sizes[1], sizes[0], features))
-    wanted = {b: i for i, b in enumerate(kept)}
+    counts = materialize(_bucket_counts(known.select("text", "label")), "toxicity-buckets")
+    telling = set(_telling(counts, sizes[1], sizes[0], features))
+    frequent = _frequent(counts, sizes[0] + sizes[1])
+    looked = sorted(telling.union(frequent))
+    wanted = {b: i for i, b in enumerate(looked)}
     share = sample_rows / (sizes[0] + sizes[1])
     draw = F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
 
@@ -220,11 +255,17 @@ def fit(
         .mapInArrow(run, "features array<int>, label int")
         .toArrow()
     )
-    x = np.zeros((table.num_rows, len(kept)), "f4")
-    for i, found in enumerate(table.column("features").to_pylist()):
-        x[i, found] = 1
+    x = np.zeros((table.num_rows, len(looked)), "f4")
+    lists = table.column("features").combine_chunks()
+    x[pc.list_parent_indices(lists).to_numpy(), lists.flatten().to_numpy()] = 1
     # Alike rows add nothing but weight; order them so that sums repeat exactly.
     y = table.column("label").to_numpy().astype("f4")
+    if len(set(y.tolist())) < 2:
+        return none
+    at = np.array([wanted[b] for b in frequent], "i8")
+    paired = {looked[i] for i in at[_paired(x[:, at], y)]} if len(at) else set()
+    kept = sorted(telling | paired)
+    x, wanted = x[:, [wanted[b] for b in kept]], {b: i for i, b in enumerate(kept)}
     order = np.lexsort((y, *(x[:, j] for j in range(min(64, x.shape[1])))))
     return FactorizationMachine(wanted, *_fitted(x[order], y[order]))
 
