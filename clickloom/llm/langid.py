@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickloom.llm.common import ID, TEXT
+from clickloom.llm.common import ID, TEXT, released
 from clickloom.session import materialize
 
 ORDER = 4  # four characters of 16 bits make a key of 64
@@ -37,7 +37,8 @@ CALIBRATION_ROWS = 2_000
 ALL_CALIBRATION_ROWS = 1_000_000
 LENIENCE = 1.75  # times the mean entropy; texts that mix known languages stay below
 OUTLIERS = 0.005  # share of the calibration rows that may be garbled
-MEMORY = 300_000
+MEMORY = 32 << 20  # bytes of remembered words and their scores
+ENTRY = 200  # of a remembered word besides its scores
 COUNTED, SCORED, WORDS = 1_000, 512, 20_000  # rows and words held at a time
 FEW = 25  # languages up to which so many are held
 START, END = "\x01", "\x02"
@@ -111,7 +112,7 @@ def _gram_counts(rows: DataFrame) -> DataFrame:
                     names=["lang", "gram", "n"],
                 )
 
-    counts = rows.mapInArrow(run, "lang string, gram long, n long")
+    counts = rows.mapInArrow(released(run), "lang string, gram long, n long")
     return counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -329,14 +330,14 @@ def _calibrated(model: LanguageModel, rows: DataFrame) -> LanguageModel:
 # --------------------------------------------------------------------------
 
 class _Memory:
-    """Scores of the words that a worker has met, at most about ``MEMORY`` of them."""
+    """Scores of the words that a task has met, in at most about ``MEMORY`` bytes."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
         self.clear()
-
-        few = max(1, len(model.languages) // FEW)
-        self.most, self.words = MEMORY // few, WORDS // few
+        # Scores double in size when they are full, and are copied then.
+        self.most = MEMORY // (ENTRY + 3 * 8 * (len(model.languages) + 1))
+        self.words = WORDS // max(1, len(model.languages) // FEW)
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
@@ -380,7 +381,7 @@ def _scored(rows: DataFrame, model: LanguageModel) -> DataFrame:
                 names=["lang", "own", "chars"],
             )
 
-    return rows.mapInArrow(run, "lang string, own double, chars double")
+    return rows.mapInArrow(released(run), "lang string, own double, chars double")
 
 
 def _held(model: LanguageModel) -> int:
@@ -438,7 +439,7 @@ def identify(
                 names=[id_col, "lang_pred", "score", "entropy", "rejected"],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(released(run), schema)
 
 
 def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = TEXT) -> DataFrame:
@@ -458,4 +459,4 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = TEXT)
                 keep[some] = each.min(1) <= own.limits(sums[some, -1], each.argmin(1))
             yield part.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
