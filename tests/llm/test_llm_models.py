@@ -189,6 +189,43 @@ def test_pairs_are_learned_beyond_single_terms(spark):
     assert got[2] > 0.7 and max(got[0], got[1], got[3], got[4], got[5]) < 0.5
 
 
+def test_terms_that_matter_only_together_are_learned(spark, monkeypatch):
+    """The label is the exclusive or of two words; no term tells anything by itself."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        filler = [rng.choice(["one", "two", "three", "four", "five"]) for _ in range(8)]
+        words = [*filler, "grmbl" if a else "smile", "folk" if b else "tree"]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(a != b)))
+    learn = spark.createDataFrame(rows[:2000], "doc_id long, text string, toxic int")
+    probe = docs_of(spark, [t for _, t, _ in rows[2000:]])
+    right = {}
+    for factors in (4, 0):  # without factors the model is additive
+        monkeypatch.setattr(toxicity, "FACTORS", factors)
+        model = toxicity.fit(learn)
+        got = {r.doc_id: r.score >= 0.5 for r in toxicity.score(probe, model).collect()}
+        right[factors] = sum(got[i] == bool(y) for i, (_, _, y) in enumerate(rows[2000:])) / 1000
+    assert right[4] >= 0.95 and right[0] <= 0.65
+
+
+def test_scores_are_those_of_all_pairs(spark):
+    """Every pair of a text's buckets counts once, with the product of its vectors."""
+    rng = np.random.default_rng(3)
+    texts = ["grmbl folk grmbl", "folk", "", "tree smile folk grmbl grmbl", None]
+    known = sorted(set().union(*[toxicity._Words().of(t or "") for t in texts]))
+    wanted = {b: i for i, b in enumerate(known)}
+    weights, factors = rng.standard_normal(len(known)), rng.standard_normal((len(known), 3))
+    model = toxicity.FactorizationMachine(wanted, 0.3, weights, factors)
+    got = {r.doc_id: r.score for r in toxicity.score(docs_of(spark, texts), model).collect()}
+    for i, text in enumerate(texts):
+        at = sorted(wanted[b] for b in toxicity._Words().of(text or ""))
+        margin = 0.3 + sum(weights[j] for j in at)
+        margin += sum(factors[j] @ factors[k] for n, j in enumerate(at) for k in at[n + 1 :])
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-np.clip(margin, -30, 30))))
+
+
 def test_toxicity_without_both_classes(spark):
     rows = spark.createDataFrame([(1, "a", 0), (2, None, 0), (3, "b", None)],
                                  "doc_id long, text string, toxic int")
@@ -478,3 +515,54 @@ def test_pipeline_stages_keep_columns_and_take_odd_rows(spark):
 def test_llm_names_and_clash_columns():
     assert len(CLASH) == len(set(CLASH))
     assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("rows_at_most", [1_000_000, 0])
+def test_copies_go_by_id_and_text(spark, monkeypatch, rows_at_most):
+    """With one id on two texts, only the text that is a copy goes; no text is lost."""
+    from clickloom.llm import common, exact_dedup, simhash
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows_at_most)
+    a, b, c = (" ".join(f"{k}{i}" for i in range(300)) for k in "abc")
+    rows = [(5, a), (5, b), (3, a), (7, b), (9, c), (None, a)]
+    docs = docs_of(spark, [t for _, t in rows], [i for i, _ in rows])
+    want = sorted([(3, a), (5, b), (9, c), (None, a)], key=str)
+    for drop in (exact_dedup.drop_exact_duplicates, simhash.drop_near_duplicates):
+        left = drop(docs)
+        assert left.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == want
+
+
+def test_long_words_are_encoded_along_the_trie():
+    """A megabyte without a space takes seconds, and the ids are the library's."""
+    import time
+
+    from tokenizers import Tokenizer
+
+    from clickloom.llm import bpe
+
+    path = queries.tokenizer_path()
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    texts = [long, f"some {long[:500]} words {long[300:900]}", long[: bpe.LONG + 1]]
+    library, own = Tokenizer.from_file(path), bpe.MergeEncoder(path)
+    for text, ids in zip(texts, own.encode(texts)):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+    began = time.monotonic()
+    own.encode([long * 50])
+    assert time.monotonic() - began < 10
+
+
+def test_what_a_task_remembers_is_bounded_by_bytes(monkeypatch):
+    from clickloom.llm import bpe
+
+    monkeypatch.setattr(bpe, "MEMORY", 20_000)
+    own = bpe.MergeEncoder(queries.tokenizer_path())
+    rng = random.Random(6)
+    for _ in range(40):
+        own.encode([" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(20))])
+        assert own.known.bytes <= 20_000 + 20 * (bpe.ENTRY + 9 + 4 * 9)
+    assert own.known.old
+    own.known.forget()
+    assert not own.known and not own.known.old and own.known.bytes == 0
