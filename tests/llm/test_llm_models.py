@@ -514,7 +514,7 @@ def test_pipeline_stages_keep_columns_and_take_odd_rows(spark):
 
 def test_llm_names_and_clash_columns():
     assert len(CLASH) == len(set(CLASH))
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("rows_at_most", [1_000_000, 0])
