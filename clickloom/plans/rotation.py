@@ -11,6 +11,10 @@ Ratings are written once, a folder per step, bucketed by user block, and never
 move again; a step ships the vectors of its users and the items they rated. The
 state after each step is a table, so a lost executor costs a re-read, and after
 each epoch it can be saved as a model version from which a later run goes on.
+
+A batch that holds all ratings is one gradient step per user block: all its ratings
+see the same vectors, so a block is cut into parts whose gradients are summed, and
+no task holds more than a part.
 """
 
 from __future__ import annotations
@@ -39,6 +43,9 @@ ERROR_LIMIT = FACTOR_LIMIT = 10.0
 RATINGS_PER_BLOCK = 500_000
 STRATA = 8
 BATCH = 4096
+# Of a step over all ratings at once: ratings of one part, and of one matrix product.
+RATINGS_PER_PART = 100_000
+CHUNK = 8192
 
 
 @dataclass
@@ -50,6 +57,7 @@ class Plan:
     blocks: int
     strata: int
     n_ratings: int
+    parts: int = 0  # of all blocks, for steps over all ratings; 0: a block takes many batches
 
     def step(self, number: int) -> DataFrame:
         return self.spark.table(self.name).where(F.col("_step") == number).drop("_step")
@@ -58,11 +66,14 @@ class Plan:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def deal(ratings: DataFrame, blocks: int | None = None, strata: int | None = None) -> Plan:
+def deal(
+    ratings: DataFrame, blocks: int | None = None, strata: int | None = None, batch: int = 0
+) -> Plan:
     """Write (user_id, product_id, rating) by step and user block.
 
     A pair may occur once only. A user block's step holds at most its users times
-    its stratum's items, however popular one of either is.
+    its stratum's items, however popular one of either is. With a ``batch`` of all
+    ratings, if they are many, the table is dealt to the parts of the blocks.
     """
     spark = ratings.sparkSession
     rated = ratings.select("user_id", "product_id", F.col("rating").cast("double")).dropna()
@@ -76,11 +87,17 @@ def deal(ratings: DataFrame, blocks: int | None = None, strata: int | None = Non
         "_step", F.pmod(stratum - F.col("_block"), F.lit(strata))
     )
     dealt = dealt.withColumn("_place", F.xxhash64("user_id", "product_id", F.lit(2)))
+    key, buckets, parts = "_block", blocks, 0
+    if batch >= n_ratings > RATINGS_PER_PART:
+        cuts = math.ceil(n_ratings / (RATINGS_PER_PART * blocks))
+        cut = F.pmod(F.xxhash64("user_id", F.lit(3)), F.lit(cuts)).cast("int")
+        dealt = dealt.withColumn("_part", cut * blocks + F.col("_block")).drop("_place")
+        key, buckets, parts = "_part", cuts * blocks, cuts * blocks
     name = f"clickloom_ratings_{uuid.uuid4().hex}"
-    writer = dealt.repartition(blocks, "_block").write.partitionBy("_step")
-    writer = writer.bucketBy(blocks, "_block").option("path", scratch_path(spark, "dealt-ratings"))
+    writer = dealt.repartition(buckets, key).write.partitionBy("_step")
+    writer = writer.bucketBy(buckets, key).option("path", scratch_path(spark, "dealt-ratings"))
     writer.saveAsTable(name)
-    return Plan(spark, name, blocks, strata, n_ratings)
+    return Plan(spark, name, blocks, strata, n_ratings, parts)
 
 
 def start_vectors(ids: DataFrame, key: str, rank: int, seed: int) -> DataFrame:
@@ -115,9 +132,12 @@ def run_epoch(
     """
     squares = 0.0
     for step in range(plan.strata):
-        users, items, added = _run_step(
-            plan, plan.step(step), users, items, _kernel(offset, lr, reg, batch, seed + epoch)
-        )
+        if plan.parts:
+            moved = _run_whole_step(plan, plan.step(step), users, items, offset, lr, reg)
+        else:
+            kernel = _kernel(offset, lr, reg, batch, seed + epoch)
+            moved = _run_step(plan, plan.step(step), users, items, kernel)
+        users, items, added = moved
         squares += added
     return users, items, math.sqrt(squares / max(plan.n_ratings, 1))
 
@@ -146,6 +166,54 @@ def _run_step(plan: Plan, rated: DataFrame, users: DataFrame, items: DataFrame,
     return out.where("user_id IS NOT NULL").select("user_id", "factor"), moved, squares
 
 
+def _run_whole_step(
+    plan: Plan, rated: DataFrame, users: DataFrame, items: DataFrame, offset: float, lr: float,
+    reg: float,
+):
+    """A step in which all ratings of a block are one batch: sums per part, then one move per row."""
+    sides = {"user_id": users, "product_id": items}
+    blank = {k: F.lit(None).cast(rows.schema[k].dataType) for k, rows in sides.items()}
+    found = T.StructType(
+        [
+            T.StructField("_block", T.IntegerType()),
+            *[rows.schema[k] for k, rows in sides.items()],
+            T.StructField("gradients", T.ArrayType(T.DoubleType())),
+            T.StructField("uses", T.LongType()),
+            T.StructField("squares", T.DoubleType()),
+        ]
+    )
+    needed = [
+        rated.select("_part", k).distinct().join(rows, k)
+        .select(
+            F.col("_part").alias("_part"),
+            *[(F.col(c) if c == k else blank[c]).alias(c) for c in sides],
+            "factor",
+        )
+        for k, rows in sides.items()
+    ]
+    left, right = rated.groupBy("_part"), needed[0].unionByName(needed[1]).groupBy("_part")
+    kernel = _sums_kernel(plan.blocks, offset, reg)
+    sums = materialize(left.cogroup(right).applyInArrow(kernel, found), "rotation-sums")
+    moved = []
+    for k, rows in sides.items():
+        width = rows.agg(F.coalesce(F.max(F.size("factor")), F.lit(0))).first()[0]
+        total = ", ".join(f"sum(get(gradients, {i}))" for i in range(width))
+        summed = (
+            sums.where(F.col(k).isNotNull())
+            .groupBy("_block", k)
+            .agg(F.expr(f"array({total})").alias("_sums"), F.sum("uses").alias("_uses"))
+        )
+        rate = (1.0 - F.pow(F.lit(1.0 - lr), F.col("_uses"))) / F.col("_uses")
+        limit = F.lit(FACTOR_LIMIT)
+        change = F.zip_with(
+            "factor", "_sums", lambda x, g: F.greatest(-limit, F.least(limit, x + rate * g)) - x
+        )
+        changes = summed.join(rows, k).select(k, change.alias("factor"))
+        moved.append(materialize(_averaged(rows, changes, k), f"rotation-{k}"))
+    squares = sums.agg(F.coalesce(F.sum("squares"), F.lit(0.0))).first()[0]
+    return *moved, squares
+
+
 def _averaged(items: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Add to each item the mean of its changes."""
     width = items.agg(F.coalesce(F.max(F.size("factor")), F.lit(0))).first()[0]
@@ -189,6 +257,50 @@ def _kernel(offset: float, lr: float, reg: float, batch: int, seed: int):
     return train
 
 
+def _sums_kernel(blocks: int, offset: float, reg: float):
+    """Sums of the gradients per row that the ratings of a part mention, at the given vectors."""
+
+    def add(rated: pa.Table, state: pa.Table) -> pa.Table:
+        is_user = pc.is_valid(state["user_id"])
+        sides = {"user_id": state.filter(is_user), "product_id": state.filter(pc.invert(is_user))}
+        ids = {k: s[k].combine_chunks() for k, s in sides.items()}
+        p, q = (as_matrix(s["factor"]) for s in sides.values())
+        u, i = (pc.index_in(rated[k], value_set=ids[k]).to_numpy() for k in sides)
+        goals = rated["rating"].to_numpy() - offset
+        sums, squares = (np.zeros_like(p), np.zeros_like(q)), 0.0
+        for at in range(0, len(goals), CHUNK):
+            rows, columns = u[at : at + CHUNK], i[at : at + CHUNK]
+            old_p, old_q = p[rows], q[columns]
+            errors = goals[at : at + CHUNK] - np.einsum("bd,bd->b", old_p, old_q)
+            errors = np.clip(errors, -ERROR_LIMIT, ERROR_LIMIT)
+            squares += float(errors @ errors)
+            _add(sums[0], rows, errors[:, None] * old_q - reg * old_p)
+            _add(sums[1], columns, errors[:, None] * old_p - reg * old_q)
+        uses = [np.bincount(x, minlength=len(m)) for x, m in zip((u, i), (p, q))]
+        blank = [pa.nulls(len(q), ids["user_id"].type), pa.nulls(len(p), ids["product_id"].type)]
+        count = len(p) + len(q)
+        block = rated["_part"][0].as_py() % blocks if len(rated) else 0
+        return pa.table(
+            {
+                "_block": pa.array(np.full(count, block, "int32")),
+                "user_id": pa.concat_arrays([ids["user_id"], blank[0]]),
+                "product_id": pa.concat_arrays([blank[1], ids["product_id"]]),
+                "gradients": pa.concat_arrays([as_lists(m) for m in sums]),
+                "uses": pa.array(np.concatenate(uses).astype("int64")),
+                "squares": pa.array(np.where(np.arange(count) == 0, squares, 0.0)),
+            }
+        )
+
+    return add
+
+
+def _add(sums: np.ndarray, rows: np.ndarray, gradients: np.ndarray) -> None:
+    order = np.argsort(rows, kind="stable")
+    ordered = rows[order]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    sums[ordered[first]] += np.add.reduceat(gradients[order], first, axis=0)
+
+
 def _shuffled(places: np.ndarray, seed: int) -> np.ndarray:
     """Another order of the same places for every seed."""
     x = (places.view("u8") + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)

@@ -65,6 +65,45 @@ def test_one_step_from_given_vectors(spark):
     assert factor_model.training_history(model).collect()[0].rmse == pytest.approx(rmse)
 
 
+def test_one_step_over_all_ratings_is_cut_into_parts(spark, monkeypatch):
+    """No task holds more than about a part of the ratings, and the step stays the same."""
+    largest = []
+    deal = rotation.deal
+
+    def watched(*args):
+        plan = deal(*args)
+        rows = plan.step(0).selectExpr("input_file_name() AS f").groupBy("f").count()
+        largest.append(max(r["count"] for r in rows.collect()))
+        return plan
+
+    monkeypatch.setattr(rotation, "deal", watched)
+    monkeypatch.setattr(rotation, "RATINGS_PER_PART", 25, raising=False)
+    monkeypatch.setattr(rotation, "CHUNK", 7, raising=False)
+    model = factor_model.train_by_rotation(
+        ratings_of(spark), epochs=1, start=given(spark), blocks=1, batch=1 << 40, lr=0.1, reg=0.05
+    )
+    new, rmse = one_step(0.1, 0.05)
+    got = vectors_of(model.users) | vectors_of(model.items)
+    assert got.keys() == new.keys()
+    assert all(np.allclose(got[k], new[k]) for k in new)
+    assert model.metadata["history"] == [pytest.approx(rmse)]
+    assert largest[0] < len(RATED) / 2
+
+
+def test_parts_of_several_blocks_move_as_the_blocks_do(spark, monkeypatch):
+    found = []
+    for size in (1 << 40, 10):
+        monkeypatch.setattr(rotation, "RATINGS_PER_PART", size, raising=False)
+        model = factor_model.train_by_rotation(
+            ratings_of(spark), epochs=2, start=given(spark), blocks=4, strata=2, batch=1 << 40,
+            lr=0.1, reg=0.05,
+        )
+        found.append((vectors_of(model.users) | vectors_of(model.items), model.metadata["history"]))
+    (whole, errors), (cut, more) = found
+    assert whole.keys() == cut.keys() and all(np.allclose(whole[k], cut[k]) for k in whole)
+    assert more == [pytest.approx(e) for e in errors]
+
+
 def test_items_of_several_blocks_are_averaged(spark):
     """Six blocks work on two strata: with lr small enough steps add up, so the mean shows."""
     plan = rotation.deal(ratings_of(spark), blocks=6, strata=2)
