@@ -4,7 +4,8 @@ Scores are matrix products inside tasks and never become rows. An item table
 that is small enough (measured, not assumed) is broadcast and the queries stay
 where they are. A larger one is hashed into blocks, as are the queries, and
 every (query block, item block) pair is one group joined on the two block
-numbers; a ranked window then merges the blocks.
+numbers; a ranked window then merges the blocks. A block's vectors are bounded by
+bytes, and both sides are cut so that the fewest rows are copied.
 
 Items are scored in tiles of falling vector length. A score is at most the product of
 both lengths (Cauchy-Schwarz), so a query whose n-th score is above that bound for
@@ -36,11 +37,13 @@ from clickloom.operators.matrix import (
 
 # Queries and excluded pairs of one group; items of one item block.
 QUERIES_PER_BLOCK = 65_536
-PAIRS_PER_BLOCK = 4_000_000
+PAIRS_PER_BLOCK = 500_000
 ITEMS_PER_BLOCK = 131_072
+# Vectors of a block, in bytes; a worker holds a few copies of them.
+BLOCK_BYTES = 16 * 1024 * 1024
 MAX_GROUPS = 20_000
 # Scores held at a time: a tile of queries by items.
-TILE_QUERIES, TILE_ITEMS = 512, 8_192
+TILE_QUERIES, TILE_ITEMS = 512, 2_048
 # The first tile of items is smaller: it only has to fill the lists.
 FIRST_TILE = 256
 # Multiply-adds of one task at most, and the least that is worth a task of its own.
@@ -186,18 +189,26 @@ def top_n(
             asked = asked.repartition(tasks, query_col)
         best = asked.mapInArrow(_per_batch(score, shipped), schema)
         return best if listed else _finish(best, query_col, temperature)
-    item_blocks = 1 if small else math.ceil(size.rows / items_per_block)
+    fits = max(1, BLOCK_BYTES // (8 * max(size.width, 1)))
+    queries_per_block = min(queries_per_block, fits)
+    item_blocks = 1 if small else math.ceil(size.rows / min(items_per_block, fits))
+    # Blocks are hashed to partitions; several per task even out collisions.
+    groups = tasks * BLOCKS_PER_TASK if tasks > 1 else 1
+    query_blocks = math.ceil(n_queries / queries_per_block)
+    if not small:
+        # Queries are copied per item block and items per query block.
+        even = math.sqrt(groups * size.rows / max(n_queries, 1))
+        item_blocks = max(item_blocks, min(math.ceil(even), groups))
     n_pairs = 0
     if exclude is not None:
         pairs = exclude.select(F.col(query_col).cast(query_id), F.col(item_col).cast(item_id))
         exclude = pairs.distinct()
         # Repeated pairs only make blocks finer, which is free while items are broadcast.
         n_pairs = (pairs if small else exclude).count()
-    # Blocks are hashed to partitions; several per task even out collisions.
     query_blocks = max(
-        math.ceil(n_queries / queries_per_block),
+        query_blocks,
         math.ceil(n_pairs / (PAIRS_PER_BLOCK * item_blocks)),
-        math.ceil(tasks * BLOCKS_PER_TASK / item_blocks) if tasks > 1 else 1,
+        math.ceil(groups / item_blocks),
     )
     qb, ib = _block(query_col, query_blocks, "_qb"), _block(item_col, item_blocks, "_ib")
     left = asked.select(

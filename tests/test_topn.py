@@ -155,6 +155,35 @@ def test_broadcast_is_measured(spark, monkeypatch):
         broadcast_items(items, size, "product_id")
 
 
+@pytest.mark.parametrize("excluded", [False, True])
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch, excluded):
+    """However wide the vectors, a block of either side holds about as many bytes."""
+    from clickloom.operators import topn
+
+    queries, items = vectors(spark, QUERIES, "user_id"), vectors(spark, ITEMS, "product_id")
+    pairs = spark.createDataFrame([(q, i) for q in QUERIES for i in list(ITEMS)[:5]],
+                                  queries.select("user_id").schema.add("product_id", "string"))
+    exclude = pairs if excluded else None
+    want = {tuple(r) for r in top_n(queries, items, 3, exclude, digits=6)
+            .select("user_id", "product_id", "rank").collect()}
+    blocks, real = {}, topn._block
+    monkeypatch.setattr(
+        topn, "_block", lambda key, n, name: blocks.update({name: n}) or real(key, n, name)
+    )
+    monkeypatch.setattr(topn, "BLOCK_BYTES", 10 * 4 * 8, raising=False)
+    found = top_n(queries, items, 3, exclude, digits=6, broadcast_bytes=0)
+    assert {tuple(r) for r in found.select("user_id", "product_id", "rank").collect()} == want
+    assert blocks["_ib"] >= len(ITEMS) / 10 and blocks["_qb"] >= len(QUERIES) / 10
+
+
+def test_little_is_shipped(spark):
+    """A worker holds a copy of what is shipped, and an executor has several workers."""
+    from clickloom.operators import matrix, topn
+
+    assert matrix.BROADCAST_BYTES <= 64 * 1024 * 1024
+    assert topn.TILE_QUERIES * topn.TILE_ITEMS * 8 <= 16 * 1024 * 1024
+
+
 @pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "per_block": 2}])
 def test_encoding(spark, options):
     items = {**ITEMS, "<PAD>": [0.5, 0.0, -0.5, 1.0]}
