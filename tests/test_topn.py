@@ -184,6 +184,30 @@ def test_little_is_shipped(spark):
     assert topn.TILE_QUERIES * topn.TILE_ITEMS * 8 <= 16 * 1024 * 1024
 
 
+def test_few_mentioned_items_are_shipped(spark, monkeypatch):
+    """A catalogue too large to ship: the rows that sequences mention may still be few."""
+    from clickloom.operators import encoding
+
+    shipped, real = [], encoding.broadcast_items
+    monkeypatch.setattr(
+        encoding, "broadcast_items", lambda *a: shipped.append(a[1].rows) or real(*a)
+    )
+    items = vectors(spark, ITEMS, "product_id")
+    requests = spark.createDataFrame(
+        [(1, ["p1", "p2"], "p3"), (2, ["p2", "x"], "gone"), (3, ["x", "y"], None)],
+        "request_id long, click_sequence array<string>, target string",
+    )
+    size = measure(items, "product_id")
+    for options in ({}, {"broadcast_bytes": size.bytes - 1}, {"broadcast_bytes": 0}):
+        rows = encode_sequences(
+            requests, items, [0.5, 0.5], keep=("target",), score="target", **options
+        ).collect()
+        score = {r.request_id: r.score for r in rows}
+        mean = (np.array(ITEMS["p1"]) + np.array(ITEMS["p2"])) / 4
+        assert score == {1: pytest.approx(float(mean @ np.array(ITEMS["p3"]))), 2: None, 3: None}
+    assert shipped == [60, 3]
+
+
 @pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "per_block": 2}])
 def test_encoding(spark, options):
     items = {**ITEMS, "<PAD>": [0.5, 0.0, -0.5, 1.0]}
