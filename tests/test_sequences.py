@@ -40,6 +40,29 @@ def test_against_brute_force(spark, k, hot_rows):
     assert found(got) == expected(rows, k)
 
 
+def test_a_low_bound_does_not_ask_for_ever_more_slices(spark, monkeypatch):
+    """What the driver samples and keeps per slice must not grow with the rows."""
+    from clickloom.operators import sequences
+
+    seen, real = [], sequences._slice_hot_users
+
+    def watched(*args):
+        cut = real(*args)
+        seen.append(cut.where("_hot").select("_slice").distinct().count())
+        return cut
+
+    monkeypatch.setattr(sequences, "_slice_hot_users", watched)
+    monkeypatch.setattr(sequences, "MAX_SLICES", 6, raising=False)
+    events, rows = random_events(spark)
+    got = click_sequences(events, 3, tie_cols=("event_id",), hot_rows=3)
+    assert found(got) == expected(rows, 3)
+    assert 1 < seen[0] <= 6
+    monkeypatch.undo()
+    assert sequences._slice_count(36_000_000, 200) == sequences.MAX_SLICES
+    assert sequences._slice_count(36_000_000, 1_000_000) == 72
+    assert sequences._slice_count(10**9, 200) == 2_000  # a slice stays what a task handles
+
+
 def test_hot_user_with_one_time(spark):
     rows = [(i, "u", f"p{i}", "view", 5) for i in range(30)]
     rows += [(30 + i, "u", f"q{i}", "view", None) for i in range(30)]
