@@ -231,6 +231,17 @@ def test_both_worker_forms_agree(spark):
     assert streamed.metadata["history"] == pytest.approx(grouped.metadata["history"])
 
 
+def test_only_mentioned_rows_are_shipped(spark, monkeypatch):
+    """New events that mention few items ship few rows, however many the model has."""
+    events, _ = random_events(spark, count=120)
+    model = seq.train_sequence_model(events, epochs=1, tie_cols=("event_id",))
+    shipped, real = [], seq.broadcast_items
+    monkeypatch.setattr(seq, "broadcast_items", lambda *a: shipped.append(a[1].rows) or real(*a))
+    few = events.where("product_id IN ('p0', 'p1')")
+    seq.update_sequence_model(model, few, epochs=1, tie_cols=("event_id",))
+    assert model.items.count() > 5 and shipped[0] <= 3
+
+
 def test_average_divides_by_all_workers(spark):
     """One worker's change counts 1/W, as if idle workers returned the old model."""
     events = chain_events(spark, users=1, length=2)
