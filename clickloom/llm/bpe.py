@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import ID, TEXT, released, text_or_empty
+from clickloom.llm.common import ID, TEXT, in_arrow, text_or_empty
 
 MEMORY = 16 << 20  # bytes of one generation of remembered words
 ENTRY = 150  # of an entry besides its text and ids
@@ -189,16 +189,21 @@ class Encoder:
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.library, self.model = Tokenizer.from_file(path), spec["model"]
+        self.path, self.library = path, Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        vocab = self.model["vocab"]
+        vocab = spec["model"]["vocab"]
         self.tokens = [""] * (max(chain(vocab.values(), self.special.values())) + 1)
         for token, i in chain(vocab.items(), self.special.items()):
             self.tokens[i] = token
         self.known = Memory()
+        self._prepare(spec["model"])
+
+    def _prepare(self, model: dict) -> None:
+        """What the encoding needs of the file; the rest of it is not kept."""
+        raise NotImplementedError
 
     def _learn(self, pieces: list[str]) -> list[bytes]:
         raise NotImplementedError
@@ -230,9 +235,7 @@ class Encoder:
 class TrieEncoder(Encoder):
     """New pieces are encoded along their trie."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        model = self.model
+    def _prepare(self, model: dict) -> None:
         self.trie = WordTrie(model["vocab"], model["merges"], model["end_of_word_suffix"])
         self.split = self.library.pre_tokenizer.pre_tokenize_str
         self.normalise = self.library.normalizer.normalize_str
@@ -265,11 +268,9 @@ class MergeEncoder(Encoder):
 
     NONE = np.iinfo("i8").max
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-        vocab, suffix = self.model["vocab"], self.model["end_of_word_suffix"]
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in self.model["merges"]]
+    def _prepare(self, model: dict) -> None:
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         key = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs])
         order = np.argsort(key)
         self.key, self.rank = key[order], order
@@ -385,7 +386,7 @@ def encode_decode(
         own.known.forget()
 
     rows = docs.select(id_col, text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(released(run), f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return in_arrow(rows, run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def ids_digest(ids) -> F.Column:

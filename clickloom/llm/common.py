@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from contextlib import suppress
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from clickloom.session import materialize
 
 ID, TEXT = "doc_id", "text"
 BROADCAST_ROWS = 1_000_000  # of an id or two
+ARROW_ROWS = 2_000  # of a batch between a task and its Python worker
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +57,20 @@ def drop_listed(
     return docs.join(bounded(listed), same, "left_anti")
 
 
+def in_arrow(rows: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``ARROW_ROWS`` rows, for rows with whole texts.
+
+    Executor and worker each hold a batch; at Spark's default of 10,000 rows that is often
+    all of a task's input. A smaller setting of the session stays.
+    """
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= ARROW_ROWS:
+        conf.set(name, ARROW_ROWS)
+    return rows.mapInArrow(released(run), schema)
+
+
 def released(run):
-    """``run`` of ``mapInArrow``; when a task ends, Arrow's unused memory goes back.
+    """``run`` of ``mapInArrow``; when a task ends, unused memory goes back to the system.
 
     Workers live on and take other tasks; what their pools keep adds up.
     """
@@ -64,5 +80,7 @@ def released(run):
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            with suppress(AttributeError, OSError):  # only some C libraries have it
+                ctypes.CDLL(None).malloc_trim(0)
 
     return wrapped

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickloom.llm.common import ID, TEXT, released
+from clickloom.llm.common import ID, TEXT, in_arrow
 from clickloom.session import materialize
 
 ORDER = 4  # four characters of 16 bits make a key of 64
@@ -112,7 +112,7 @@ def _gram_counts(rows: DataFrame) -> DataFrame:
                     names=["lang", "gram", "n"],
                 )
 
-    counts = rows.mapInArrow(released(run), "lang string, gram long, n long")
+    counts = in_arrow(rows, run, "lang string, gram long, n long")
     return counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -381,7 +381,7 @@ def _scored(rows: DataFrame, model: LanguageModel) -> DataFrame:
                 names=["lang", "own", "chars"],
             )
 
-    return rows.mapInArrow(released(run), "lang string, own double, chars double")
+    return in_arrow(rows, run, "lang string, own double, chars double")
 
 
 def _held(model: LanguageModel) -> int:
@@ -439,7 +439,7 @@ def identify(
                 names=[id_col, "lang_pred", "score", "entropy", "rejected"],
             )
 
-    return docs.select(id_col, text_col).mapInArrow(released(run), schema)
+    return in_arrow(docs.select(id_col, text_col), run, schema)
 
 
 def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = TEXT) -> DataFrame:
@@ -459,4 +459,4 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = TEXT)
                 keep[some] = each.min(1) <= own.limits(sums[some, -1], each.argmin(1))
             yield part.filter(pa.array(keep))
 
-    return docs.mapInArrow(released(run), docs.schema)
+    return in_arrow(docs, run, docs.schema)

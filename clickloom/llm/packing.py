@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.bpe import CHUNK, MergeEncoder, encoder
-from clickloom.llm.common import ID, TEXT, released, text_or_empty
+from clickloom.llm.common import ID, TEXT, in_arrow, text_or_empty
 from clickloom.session import materialize
 
 CAPACITY = 4096
@@ -81,7 +81,7 @@ def token_pieces(
         own.known.forget()
 
     rows = docs.select(id_col, text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(released(run), schema + (", ids array<int>" if keep_ids else ""))
+    return in_arrow(rows, run, schema + (", ids array<int>" if keep_ids else ""))
 
 
 # --------------------------------------------------------------------------

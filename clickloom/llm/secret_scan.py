@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import ID, TEXT, released, text_or_empty
+from clickloom.llm.common import ID, TEXT, in_arrow, text_or_empty
 from clickloom.session import materialize
 
 # Fixed by the contract: kinds in their order, patterns and least lengths.
@@ -246,7 +246,7 @@ def _found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             )
 
     rows = docs.select(id_col, text_or_empty(text_col).alias("_text"))
-    return rows.mapInArrow(released(run), f"`{id_col}` {kind}, {_FOUND}")
+    return in_arrow(rows, run, f"`{id_col}` {kind}, {_FOUND}")
 
 
 def learn(found: DataFrame, sample: int = SAMPLE) -> list[Automaton]:
@@ -331,7 +331,7 @@ def redact(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> DataFrame
             arrays[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
 
-    return docs.mapInArrow(released(run), docs.schema)
+    return in_arrow(docs, run, docs.schema)
 
 
 def _redacted(text: str, models: list[Automaton]) -> str:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import ID, TEXT, drop_listed, released, text_or_empty
+from clickloom.llm.common import ID, TEXT, drop_listed, in_arrow, text_or_empty
 from clickloom.llm.components import connected_components
 from clickloom.session import materialize
 
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, id_col: str = ID, text_col: str = TEXT) -> Dat
 
     text = text_or_empty(text_col)
     rows = docs.select(id_col, text.alias("_text"), F.xxhash64(text).alias("_digest"))
-    return rows.mapInArrow(released(run), f"`{id_col}` {kind}, fp long, _digest long")
+    return in_arrow(rows, run, f"`{id_col}` {kind}, fp long, _digest long")
 
 
 def _variants(fps: DataFrame) -> DataFrame:

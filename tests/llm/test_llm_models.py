@@ -566,3 +566,28 @@ def test_what_a_task_remembers_is_bounded_by_bytes(monkeypatch):
     assert own.known.old
     own.known.forget()
     assert not own.known and not own.known.old and own.known.bytes == 0
+
+
+def test_batches_between_tasks_and_workers_are_bounded(spark):
+    import pyarrow as pa
+
+    from clickloom.llm import bpe, common
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, 10_000)
+        rows = common.in_arrow(spark.range(0, 9_000, 1, 1), sizes, "n long").collect()
+        assert sum(r.n for r in rows) == 9_000
+        assert max(r.n for r in rows) <= common.ARROW_ROWS
+        spark.conf.set(name, 100)
+        rows = common.in_arrow(spark.range(0, 900, 1, 1), sizes, "n long").collect()
+        assert max(r.n for r in rows) <= 100  # a smaller setting stays
+    finally:
+        spark.conf.set(name, before)
+    own = bpe.MergeEncoder(queries.tokenizer_path())
+    assert not any(isinstance(x, dict) and "merges" in x for x in vars(own).values())
