@@ -31,13 +31,16 @@ LONG = 256  # pieces of more letters are encoded along the trie
 CHUNK = 512
 
 
+SHORT = (2, 1)
+
+
 def _sizes(tokens) -> dict[str, tuple[int, ...]]:
-    """Lengths of the tokens of three or more characters by their last three, longest first."""
+    """Lengths of the tokens that may end like these three characters, longest first."""
     found: dict[str, set[int]] = {}
     for token in tokens:
         if len(token) >= 3:
             found.setdefault(token[-3:], set()).add(len(token))
-    return {tail: tuple(sorted(sizes, reverse=True)) for tail, sizes in found.items()}
+    return {tail: (*sorted(sizes, reverse=True), *SHORT) for tail, sizes in found.items()}
 
 
 class WordTrie:
@@ -95,7 +98,7 @@ class WordTrie:
     def _state(self, word: str, end: int, tokens, sizes, states: list[int]) -> int:
         """The token that ends ``word[:end]`` and may follow the state in front of it."""
         follows = self.follows
-        for size in chain(sizes.get(word[max(0, end - 3) : end], ()), (2, 1)):
+        for size in sizes.get(word[end - 3 : end], SHORT) if end > 2 else SHORT:
             start = end - size
             if start < 0:
                 continue
@@ -104,18 +107,27 @@ class WordTrie:
                 continue
             if start == 0:
                 return token
-            pair = states[start] << 32 | token
+            before = states[start]
+            if before < 0:
+                before = states[start] = self._state(
+                    word, start, self.inner, self.inner_sizes, states
+                )
+            pair = before << 32 | token
             apart = follows.get(pair)
             if apart is None:
                 if len(follows) > FOLLOWS:
                     follows.clear()
-                apart = follows[pair] = self._apart(states[start], token)
+                apart = follows[pair] = self._apart(before, token)
             if apart:
                 return token
         raise ValueError(f"no encoding of {word[:end]!r}")
 
     def encode(self, words) -> dict[str, bytes]:
-        """The ids of each word, as little-endian 32-bit numbers."""
+        """The ids of each word, as little-endian 32-bit numbers.
+
+        A prefix gets its state when one is asked for, which of a word most never are;
+        prefixes of long words get theirs in turn, so that the asking stays shallow.
+        """
         out: dict[str, bytes] = {}
         states, before = [0], ""
         for word in sorted(words):
@@ -125,8 +137,13 @@ class WordTrie:
                     break
                 shared += 1
             del states[shared + 1 :]
-            for end in range(shared + 1, len(word)):
-                states.append(self._state(word, end, self.inner, self.inner_sizes, states))
+            states += [-1] * (len(word) - len(states))
+            if len(word) > LONG:
+                for end in range(1, len(word)):
+                    if states[end] < 0:
+                        states[end] = self._state(
+                            word, end, self.inner, self.inner_sizes, states
+                        )
             token = self._state(word, len(word), self.final, self.final_sizes, states)
             end, ids = len(word) - self.size[token], [token]
             while end:

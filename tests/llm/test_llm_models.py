@@ -591,3 +591,21 @@ def test_batches_between_tasks_and_workers_are_bounded(spark):
         spark.conf.set(name, before)
     own = bpe.MergeEncoder(queries.tokenizer_path())
     assert not any(isinstance(x, dict) and "merges" in x for x in vars(own).values())
+
+
+def test_few_prefixes_get_a_state(monkeypatch):
+    """A word's prefixes get one when the tokens behind them ask, not each in turn."""
+    from clickloom.llm import bpe
+
+    asked, state = [0], bpe.WordTrie._state
+
+    def counted(*args):
+        asked[0] += 1
+        return state(*args)
+
+    monkeypatch.setattr(bpe.WordTrie, "_state", counted)
+    own, rng = bpe.TrieEncoder(queries.tokenizer_path()), random.Random(9)
+    parts = ["the", "ing", "er", "on", "tion", "and", "lich", "heit", "que"]
+    words = {"".join(rng.choices(parts, k=4)) for _ in range(1000)}
+    ids = own.encode([" ".join(words)])[0]
+    assert asked[0] <= 1.5 * len(ids) / 4 < sum(map(len, words)) / 2
