@@ -387,3 +387,24 @@ def test_workers_may_be_picked_by_a_column(spark, options):
     ]
     assert runs[0].metadata["history"] == pytest.approx(runs[1].metadata["history"])
     assert not any(t.name.startswith("clickloom_seq") for t in spark.catalog.listTables())
+
+
+def test_solver_blocks_bound_what_is_sent(spark, monkeypatch):
+    """Users x item blocks and items x user blocks grow with the ratings, not with their square."""
+    per_user = 39
+    for users in (15_000, 90_000, 540_000):
+        n = users * per_user
+        item_blocks = factor_model.solver_blocks(n, users)
+        fewest = -(-n // factor_model.MOST_PER_BLOCK)
+        assert item_blocks >= fewest
+        assert item_blocks <= max(fewest, factor_model.MIN_BLOCKS)
+        assert factor_model.solver_blocks(n, 100) == -(-n // factor_model.RATINGS_PER_BLOCK)
+    monkeypatch.setattr(factor_model, "RATINGS_PER_BLOCK", 10)
+    rated = spark.range(2000).selectExpr(
+        "cast(id % 400 AS string) AS user_id", "cast(id DIV 400 AS string) AS product_id",
+        "cast(id % 7 AS double) AS rating",
+    )
+    data = factor_model.index_ratings(rated)
+    assert (data.user_blocks, data.item_blocks) == (40, 4)
+    model = factor_model.train_factors(data, rank=2, epochs=1)
+    assert (model.users.count(), model.items.count()) == (400, 5)
