@@ -609,3 +609,21 @@ def test_few_prefixes_get_a_state(monkeypatch):
     words = {"".join(rng.choices(parts, k=4)) for _ in range(1000)}
     ids = own.encode([" ".join(words)])[0]
     assert asked[0] <= 1.5 * len(ids) / 4 < sum(map(len, words)) / 2
+
+
+def test_a_batch_does_not_walk_through_all_that_is_remembered():
+    import time
+
+    from clickloom.llm import bpe
+
+    memory = bpe.Memory()
+    for generation in range(2):
+        keys = [f"{generation}-{k}" for k in range(130_000)]
+        memory.missing(set())
+        memory.remember(keys, [b"1234"] * len(keys))
+    assert memory.old and memory
+    memory.bytes = 0  # no third generation here
+    began = time.process_time()
+    for k in range(300):
+        assert memory.missing({f"1-{k}", f"0-{k}", f"new-{k}"}) == {f"new-{k}"}
+    assert time.process_time() - began < 0.5
