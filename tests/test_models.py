@@ -408,3 +408,9 @@ def test_solver_blocks_bound_what_is_sent(spark, monkeypatch):
     assert (data.user_blocks, data.item_blocks) == (40, 4)
     model = factor_model.train_factors(data, rank=2, epochs=1)
     assert (model.users.count(), model.items.count()) == (400, 5)
+
+
+def test_solver_sends_grow_no_faster_than_ratings():
+    """Events 6, 60 and 360 times sf0.1: as many vectors sent per rating at each size."""
+    for users in (9_000, 90_000, 540_000):
+        assert factor_model.solver_blocks(users * 39, users) == factor_model.MIN_BLOCKS
