@@ -10,6 +10,10 @@ bytes, and both sides are cut so that the fewest rows are copied.
 Items are scored in tiles of falling vector length. A score is at most the product of
 both lengths (Cauchy-Schwarz), so a query whose n-th score is above that bound for
 the next tile is finished, and a task stops when all its queries are.
+
+A tile is scored in single precision, which is off by a known bound at most; what may be
+among a query's best within that bound is scored again in double precision. Softmax sums
+need every score in double precision.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +46,21 @@ ITEMS_PER_BLOCK = 131_072
 # Vectors of a block, in bytes; a worker holds a few copies of them.
 BLOCK_BYTES = 16 * 1024 * 1024
 MAX_GROUPS = 20_000
-# Scores held at a time: a tile of queries by items.
+# Scores held at a time: a tile of queries by items. The second number of queries is for
+# softmax sums, which pass over the tile several times and want it in the core's cache.
 TILE_QUERIES, TILE_ITEMS = 512, 2_048
+TILE_QUERIES_SUMMED = 128
 # The first tile of items is smaller: it only has to fill the lists.
 FIRST_TILE = 256
 # Multiply-adds of one task at most, and the least that is worth a task of its own.
 TASK_WORK, LEAST_WORK = 2.5e11, 1e9
 BLOCKS_PER_TASK = 4
+# Lengths whose products neither overflow nor vanish.
+LEAST_LENGTH, MOST_LENGTH = 1e-100, 1e100
+# Sums of exponentials up to this power need no common factor.
+PLAIN_POWER = 300.0
+# Numbers of vectors gathered at a time.
+GATHERED = 2_097_152
 
 
 @dataclass
@@ -60,6 +72,17 @@ class NormIndex:
     row: np.ndarray  # and the other way round
     starts: list[int]  # first rows of the tiles, and the end
     norms: list[float]  # the largest length in each tile
+    plain: bool = False  # whether single precision finds the candidates
+
+    @cached_property
+    def near(self) -> np.ndarray:
+        """The vectors over the largest length of their tile, in single precision."""
+        found = np.empty(self.matrix.shape, dtype=np.float32)
+        for start, stop, norm in zip(self.starts, self.starts[1:], self.norms):
+            np.divide(
+                self.matrix[start:stop], norm or 1.0, out=found[start:stop], casting="same_kind"
+            )
+        return found
 
 
 def norm_index(matrix: np.ndarray, first: int | None = None) -> NormIndex:
@@ -77,7 +100,12 @@ def norm_index(matrix: np.ndarray, first: int | None = None) -> NormIndex:
         order[a:b].sort()
     row = np.empty(count, dtype=np.int64)
     row[order] = np.arange(count)
-    return NormIndex(matrix[order], order, row, starts, largest)
+    return NormIndex(matrix[order], order, row, starts, largest, _plain(norms))
+
+
+def _plain(lengths: np.ndarray) -> bool:
+    """Whether vectors of these lengths can be scaled to length 1."""
+    return bool(np.all((lengths == 0) | ((lengths > LEAST_LENGTH) & (lengths < MOST_LENGTH))))
 
 
 class Prepared:
@@ -312,8 +340,9 @@ def _score(query_col, item_col, digits, temperature, listed, scored, rows, pairs
         vectors = as_matrix(rows["_vector"])
         limits = rows["_limit"].to_numpy()
         out_q, out_i = _positions(query_col, item_col, rows, pairs, ids)
-        for start in range(0, len(vectors), TILE_QUERIES):
-            stop = min(start + TILE_QUERIES, len(vectors))
+        step = TILE_QUERIES if temperature is None else TILE_QUERIES_SUMMED
+        for start in range(0, len(vectors), step):
+            stop = min(start + step, len(vectors))
             a, b = np.searchsorted(out_q, [start, stop])
             best = _best_of(
                 vectors[start:stop],
@@ -386,72 +415,176 @@ def _best_of(vectors, index, limits, excluded, digits, temperature, scored=None)
     if isinstance(index, np.ndarray):
         index = norm_index(index)
     limits = np.maximum(limits, 1)
-    keep = int(limits.max())
+    keep, width = int(limits.max()), vectors.shape[1]
     out_q, out_i = excluded[0], index.row[excluded[1]] if len(excluded[1]) else excluded[1]
-    peak = np.full(len(vectors), -np.inf)
-    sums = np.zeros(len(vectors))
+    order = np.argsort(out_i, kind="stable")
+    out_q, out_i = out_q[order], out_i[order]
+    outside = np.searchsorted(out_i, index.starts)
     best = (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))
+    found, waiting = [], 0  # candidates that are not merged yet
     lengths = np.linalg.norm(vectors, axis=1)
     last = np.full(len(vectors), -np.inf)  # the score that a further item has to reach
     # Products and rounded scores may exceed the exact bound a little.
     slack = 0.0 if digits is None else 0.5000001 * 10.0**-digits
-    for start, stop, norm in zip(index.starts, index.starts[1:], index.norms):
+    near = temperature is None and index.plain and _plain(lengths)
+    # Rounding of both vectors, of their products and of the sum, for length 1.
+    off = 1.1 * (width + 8) * (2.0**-24 if near else 2.0**-53)
+    if near:
+        unit = (vectors / np.where(lengths > 0, lengths, 1.0)[:, None]).astype(np.float32)
+    sums = None if temperature is None else _Sums(lengths, index, digits, temperature)
+    for t, (start, stop, norm) in enumerate(zip(index.starts, index.starts[1:], index.norms)):
         open_ = np.flatnonzero(last <= lengths * norm * (1 + 1e-9) + slack + 1e-300)
         if temperature is not None:
             open_ = np.arange(len(vectors))  # the sum needs every score
         if not len(open_):
             break
-        tile = vectors[open_] @ index.matrix[start:stop].T
+        if near:
+            tile = unit[open_] @ index.near[start:stop].T
+            size = lengths[open_] * norm  # of a score of 1 in the tile
+            size[size == 0] = 1.0
+            error = np.full(len(open_), off)
+        else:
+            tile = vectors[open_] @ index.matrix[start:stop].T
+            size = np.ones(len(open_))
+            error = off * lengths[open_] * norm
         if scored is not None:
             scored.add(tile.size)
-        if digits is not None:
-            tile = np.round(tile, digits)
         at = np.full(len(vectors), -1)
         at[open_] = np.arange(len(open_))
-        here = (out_i >= start) & (out_i < stop) & (at[out_q] >= 0)
-        tile[at[out_q[here]], out_i[here] - start] = -np.inf
-        width = tile.shape[1]
-        if keep < width:
-            cut = np.partition(tile, width - keep, axis=1)[:, width - keep]
-            chosen = (tile >= cut[:, None]) & np.isfinite(tile)
-            crowded = np.flatnonzero(chosen.sum(axis=1) > keep)
-            if len(crowded):  # of equal scores the first ids go on
-                above = tile[crowded] > cut[crowded, None]
-                equal = chosen[crowded] & ~above
-                free = keep - above.sum(axis=1, keepdims=True)
-                chosen[crowded] = above | (equal & (equal.cumsum(axis=1) <= free))
-        else:
-            chosen = np.isfinite(tile)
-        q, i = np.nonzero(chosen)
-        more = (open_[q], index.place[i + start], tile[q, i])
-        best = _merged(best, more, len(vectors), keep)
-        full = _ranks(best[0], len(vectors)) == limits[best[0]]
-        last[best[0][full]] = best[2][full]
-        if temperature is not None:
-            higher = np.maximum(peak, tile.max(axis=1))
-            some = np.isfinite(higher)
-            sums[some] *= np.exp((peak[some] - higher[some]) / temperature)
-            sums[some] += np.exp((tile[some] - higher[some, None]) / temperature).sum(axis=1)
-            peak = higher
+        here = slice(outside[t], outside[t + 1])
+        row, column = at[out_q[here]], out_i[here] - start
+        tile[row[row >= 0], column[row >= 0]] = -np.inf
+        reach = (last[open_] - slack) / size - error
+        q, i, crowded = _reached(tile, reach, keep, 2 * (error + slack / size))
+        if len(crowded):  # ties; of equal scores the first ids go on
+            more = _first_of(
+                vectors[open_[crowded]] @ index.matrix[start:stop].T, tile[crowded], keep, digits
+            )
+            q, i = np.concatenate([q, crowded[more[0]]]), np.concatenate([i, more[1]])
+        if len(q):
+            score = _products(vectors, index.matrix, open_[q], i + start)
+            if digits is not None:
+                score = np.round(score, digits)
+            found.append((open_[q], index.place[i + start], score))
+            waiting += len(q)
+        if waiting >= len(open_):  # until then ``last`` is only lower than it could be
+            best = _merged(best, _joined(found), len(vectors), keep)
+            full = _ranks(best[0], len(vectors)) == limits[best[0]]
+            last[best[0][full]] = best[2][full]
+            found, waiting = [], 0
+        if sums is not None:
+            sums.add(tile)
+    if found:
+        best = _merged(best, _joined(found), len(vectors), keep)
     q, i, score = best
     rank = _ranks(q, len(vectors))
     mass = np.full(len(q), np.nan)
     if temperature is not None:
         first = rank == 1
-        mass[first] = peak[q[first]] / temperature + np.log(sums[q[first]])
+        mass[first] = sums.logs(q[first])
     # The first row always stays: it carries the exponential sum.
     kept = rank <= limits[q]
     return q[kept], i[kept], score[kept], rank[kept], mass[kept]
 
 
+def _reached(tile, reach, keep: int, margin):
+    """Entries of each row that are at least ``reach`` and may be among its first ``keep``.
+
+    Entries further apart than ``margin`` are in the right order. Rows where too many
+    entries are that close are returned as a list, without their entries.
+    """
+    kind, width, none = tile.dtype.type, tile.shape[1], np.empty(0, dtype=np.int64)
+
+    def below(x):
+        return np.maximum(np.nextafter(x.astype(kind), kind(-np.inf)), np.finfo(kind).min)
+
+    reach = below(reach)
+    rows = np.flatnonzero(tile.max(axis=1) >= reach)
+    if not len(rows):
+        return none, none, none
+    if 2 * len(rows) > len(tile):
+        rows = np.arange(len(tile))
+    some = tile if len(rows) == len(tile) else tile[rows]
+    hit = some >= reach[rows, None]
+    crowded = np.flatnonzero(np.count_nonzero(hit, axis=1) > 4 * keep)
+    if len(crowded):
+        cut = np.partition(some[crowded], width - keep, axis=1)[:, width - keep]
+        cut = np.maximum(reach[rows[crowded]], below(cut - margin[rows[crowded]]))
+        hit[crowded] = some[crowded] >= cut[:, None]
+        # A product on its own costs several times one in a tile.
+        most = max(4 * keep, width // 8)
+        crowded = crowded[np.count_nonzero(hit[crowded], axis=1) > most]
+        hit[crowded] = False
+    q, i = np.divmod(np.flatnonzero(hit), width)
+    return rows[q], i, rows[crowded]
+
+
+def _first_of(scores, tile, keep: int, digits):
+    """The ``keep`` largest scores of each row, the first ones of equal scores."""
+    if digits is not None:
+        scores = np.round(scores, digits)
+    scores[~np.isfinite(tile)] = -np.inf
+    width = scores.shape[1]
+    cut = np.partition(scores, width - keep, axis=1)[:, width - keep]
+    above = scores > cut[:, None]
+    equal = (scores == cut[:, None]) & np.isfinite(scores)
+    free = keep - above.sum(axis=1, keepdims=True)
+    return np.nonzero(above | (equal & (equal.cumsum(axis=1) <= free)))
+
+
+def _products(vectors, matrix, q, i) -> np.ndarray:
+    """The score of each pair, whatever stands beside it in a tile."""
+    found, step = np.empty(len(q)), max(1, GATHERED // max(vectors.shape[1], 1))
+    for a in range(0, len(q), step):
+        b = a + step
+        found[a:b] = np.einsum("bd,bd->b", vectors[q[a:b]], matrix[i[a:b]])
+    return found
+
+
+class _Sums:
+    """Sums of exponentials of all scores of a query, over the tiles that are added."""
+
+    def __init__(self, lengths, index: NormIndex, digits, temperature: float):
+        self.digits, self.temperature = digits, temperature
+        self.sums, self.peak = np.zeros(len(lengths)), np.zeros(len(lengths))
+        most = max(lengths, default=0.0) * max(index.norms, default=0.0) / abs(temperature)
+        self.moving = not most <= PLAIN_POWER
+        if self.moving:
+            self.peak[:] = -np.inf
+
+    def add(self, tile: np.ndarray) -> None:
+        """Take the scores of a tile, which is overwritten."""
+        if self.digits is None:
+            tile /= self.temperature
+        else:
+            tile *= 10.0**self.digits
+            np.rint(tile, out=tile)
+            tile *= 1.0 / (self.temperature * 10.0**self.digits)
+        if self.moving:
+            higher = np.maximum(self.peak, tile.max(axis=1))
+            some = np.isfinite(higher)
+            self.sums[some] *= np.exp(self.peak[some] - higher[some])
+            self.peak = higher
+            tile -= np.where(some, higher, 0.0)[:, None]
+        np.exp(tile, out=tile)
+        self.sums += tile.sum(axis=1)
+
+    def logs(self, q: np.ndarray) -> np.ndarray:
+        return self.peak[q] + np.log(self.sums[q])
+
+
 def _ranks(q: np.ndarray, queries: int) -> np.ndarray:
     """Places from 1 within each query of rows in order."""
     return np.arange(len(q)) - np.searchsorted(q, np.arange(queries))[q] + 1
 
 
+def _joined(found):
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
 def _merged(best, more, queries: int, keep: int):
     """The first ``keep`` of both candidate sets per query, in order."""
-    q, i, score = (np.concatenate(x) for x in zip(best, more, strict=True))
+    q, i, score = _joined((best, more))
     order = np.lexsort((i, -score, q))
     q, i, score = q[order], i[order], score[order]
     kept = _ranks(q, queries) <= keep

@@ -326,3 +326,73 @@ def test_a_prepared_table_is_shipped_once(spark, monkeypatch):
     assert len(calls) == 1
     prepared.close()
     assert got(top_n(queries, items, 4, prepared=prepared)) == brute(4) and len(calls) == 2
+
+
+# --- candidates in single precision ------------------------------------------
+
+
+def ranked(queries, items, n, digits=None, excluded=()):
+    """Positions and scores of each query's best items, from plain loops."""
+    for u, q in enumerate(queries):
+        scores = [float(np.einsum("d,d->", q, v)) for v in items]
+        if digits is not None:
+            scores = [float(np.round(x, digits)) for x in scores]
+        left = [i for i in range(len(items)) if (u, i) not in excluded]
+        for i in sorted(left, key=lambda i: (-scores[i], i))[:n]:
+            yield u, i, scores[i]
+
+
+@pytest.mark.parametrize("temperature", [None, 2.0])
+def test_full_lists_are_only_compared(monkeypatch, temperature):
+    """Once a list is full, a tile is compared with its last score and not sorted out."""
+    from clickloom.operators import topn
+
+    rng = np.random.default_rng(8)
+    queries, items = rng.standard_normal((40, 16)), rng.standard_normal((20_000, 16))
+    items /= np.linalg.norm(items, axis=1)[:, None]  # equal lengths: nothing ends the search
+    sorted_out, real = [], np.partition
+    monkeypatch.setattr(
+        topn.np, "partition", lambda a, *rest, **kw: sorted_out.append(a.size) or real(a, *rest, **kw)
+    )
+    none = np.empty(0, dtype=np.int64)
+    q, i, score, rank, mass = topn._best_of(
+        queries, items, np.full(40, 5), (none, none), 6, temperature
+    )
+    want = list(ranked(queries, items, 5, 6))
+    assert list(zip(q.tolist(), i.tolist(), score.tolist(), strict=True)) == want
+    assert sum(sorted_out) < 0.25 * len(queries) * len(items)
+    if temperature:
+        scores = np.round(queries @ items.T, 6) / temperature
+        assert mass[rank == 1] == pytest.approx(np.log(np.exp(scores).sum(axis=1)))
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-40, 1e60, 1e-160])
+def test_scores_that_differ_in_double_precision_only(monkeypatch, scale):
+    from clickloom.operators import topn
+
+    monkeypatch.setattr(topn, "TILE_ITEMS", 64)
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((5, 12))
+    items = base[rng.integers(0, 5, 700)] * (1 + 1e-11 * rng.permutation(700)[:, None])
+    items[rng.integers(0, 700, 30)] = 0.0
+    queries = np.concatenate([rng.standard_normal((9, 12)), np.zeros((1, 12))]) * scale
+    pairs = sorted({(int(rng.integers(0, 10)), int(rng.integers(0, 700))) for _ in range(2000)})
+    out = tuple(np.array(x) for x in zip(*pairs, strict=True))
+    q, i, score, *_ = topn._best_of(queries, items, np.full(10, 7), out, None, None)
+    want = list(ranked(queries, items, 7, None, set(pairs)))
+    assert list(zip(q.tolist(), i.tolist(), strict=True)) == [w[:2] for w in want]
+    assert score == pytest.approx([w[2] for w in want])
+
+
+@pytest.mark.parametrize("temperature", [0.001, 2.0])
+def test_softmax_of_long_vectors(temperature):
+    from clickloom.operators import topn
+
+    rng = np.random.default_rng(10)
+    queries, items = 30 * rng.standard_normal((6, 8)), rng.standard_normal((900, 8))
+    none = np.empty(0, dtype=np.int64)
+    *_, rank, mass = topn._best_of(queries, items, np.full(6, 3), (none, none), None, temperature)
+    powers = queries @ items.T / temperature
+    peak = powers.max(axis=1, keepdims=True)
+    want = np.log(np.exp(powers - peak).sum(axis=1)) + peak[:, 0]
+    assert mass[rank == 1] == pytest.approx(want)
