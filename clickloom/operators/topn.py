@@ -243,7 +243,10 @@ def top_n(
         qb, _each(item_blocks, "_ib"), "*", F.lit(None).cast(item_id).alias(item_col)
     )
     if exclude is not None:
-        left = left.unionByName(exclude.select(qb, ib, "*"), allowMissingColumns=True)
+        # Empty vectors: after a run of null ones each row is looked through again when it is
+        # sent to a worker. Pairs are told by the missing limit.
+        nothing = F.array().cast("array<double>").alias("_vector")
+        left = left.unionByName(exclude.select(qb, ib, "*", nothing), allowMissingColumns=True)
     groups = min(query_blocks * item_blocks, MAX_GROUPS)
     grouped = left.repartition(groups, "_qb", "_ib").groupBy("_qb", "_ib")
     if small:
@@ -312,7 +315,7 @@ def _per_batch(score, shipped):
 def _per_group(score, shipped):
     def run(asked: pa.Table) -> pa.Table:
         ids, index = shipped.value
-        is_query = pc.is_valid(asked["_vector"])
+        is_query = pc.is_valid(asked["_limit"])
         return score(asked.filter(is_query), asked.filter(pc.invert(is_query)), ids, index)
 
     return run
@@ -322,7 +325,7 @@ def _per_pair(score, item_col: str):
     def run(asked: pa.Table, offered: pa.Table) -> pa.Table:
         offered = offered.take(pc.sort_indices(offered[item_col]))
         ids = offered[item_col].combine_chunks()
-        is_query = pc.is_valid(asked["_vector"])
+        is_query = pc.is_valid(asked["_limit"])
         return score(
             asked.filter(is_query),
             asked.filter(pc.invert(is_query)),

@@ -396,3 +396,45 @@ def test_softmax_of_long_vectors(temperature):
     peak = powers.max(axis=1, keepdims=True)
     want = np.log(np.exp(powers - peak).sum(axis=1)) + peak[:, 0]
     assert mass[rank == 1] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("path", PATHS)
+def test_excluded_pairs_are_sent_without_null_vectors(spark, monkeypatch, path):
+    """Sending a row after n null lists takes n steps."""
+    from clickloom.operators import topn
+
+    pair, group = topn._per_pair, topn._per_group
+
+    def full(asked):
+        if asked["_vector"].null_count:
+            raise ValueError("null vectors")
+        return asked
+
+    def per_pair(*given):
+        run = pair(*given)
+
+        def checked(asked, offered):
+            return run(full(asked), offered)
+
+        return checked
+
+    def per_group(*given):
+        run = group(*given)
+
+        def checked(asked):
+            return run(full(asked))
+
+        return checked
+
+    monkeypatch.setattr(topn, "_per_pair", per_pair)
+    monkeypatch.setattr(topn, "_per_group", per_group)
+    odd = [(None, "p1"), ("u1", None), (None, None), ("gone", "p1"), ("u1", "gone")]
+    seen = spark.createDataFrame(sorted(SEEN) + odd, "user_id string, product_id string")
+    found = top_n(
+        vectors(spark, {**QUERIES, "empty": None}, "user_id"),
+        vectors(spark, ITEMS, "product_id"),
+        4,
+        seen,
+        **PATHS[path],
+    )
+    assert got(found) == brute(4, SEEN)
