@@ -438,3 +438,25 @@ def test_excluded_pairs_are_sent_without_null_vectors(spark, monkeypatch, path):
         **PATHS[path],
     )
     assert got(found) == brute(4, SEEN)
+
+
+def test_few_scores_are_computed_twice(monkeypatch):
+    """All scores in single precision, and only what may enter a list in double precision."""
+    from clickloom.operators import topn
+
+    twice, real = [], topn._products
+    monkeypatch.setattr(
+        topn, "_products", lambda *given: twice.append(len(given[2])) or real(*given)
+    )
+    rng = np.random.default_rng(12)
+    queries, items = rng.standard_normal((60, 24)), rng.standard_normal((9_000, 24))
+    items /= np.linalg.norm(items, axis=1)[:, None]
+    index, none = topn.norm_index(items), np.empty(0, dtype=np.int64)
+    for sign in (1, -1):
+        q, i, score, *_ = topn._best_of(
+            sign * queries, index, np.full(60, 6), (none, none), 6, None
+        )
+        want = list(ranked(sign * queries, items, 6, 6))
+        assert list(zip(q.tolist(), i.tolist(), score.tolist(), strict=True)) == want
+    assert index.near.dtype == np.float32
+    assert 0 < sum(twice) < 0.02 * 2 * len(queries) * len(items)
